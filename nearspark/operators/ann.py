@@ -19,14 +19,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.distance import DEFAULT_METRIC, check_metric, matrix
-from ..sources.staging import new_path
+from ..sources.staging import new_path, stage
 from .knn import collect_vectors, local_candidates, top_k
 from .predicates import metadata_filter
 from .search import DEFAULT_K, similarity_search
-from .sizing import small_row_count
+from .sizing import has_rows, small_row_count
 
 DEFAULT_LISTS = 100
 TRAIN_ROWS_PER_LIST = 256
+WIDTH_ROWS = 1000
 INDEX_TYPES = ("hnsw", "ivfflat", "diskann")
 
 
@@ -57,7 +58,7 @@ class _Index:
     def _widen(self, found: Callable[[int], DataFrame], start: int, end: int, k: int) -> DataFrame:
         """Candidates of the smallest probed width that yields ``k`` rows, or of all."""
         width = start
-        while width < end and found(width).limit(k).count() < k:
+        while width < end and not has_rows(found(width), k):
             width = min(end, width * 2)
         return found(width)
 
@@ -100,11 +101,11 @@ class IvfIndex(_Index):
         prepared = df.filter(F.col(embedding).isNotNull()).withColumn(
             "_features", array_to_vector(_comparable(df, metric, embedding))
         )
-        total = prepared.count()
         train = prepared.select("_features")
-        wanted = lists * TRAIN_ROWS_PER_LIST
+        wanted, total = lists * TRAIN_ROWS_PER_LIST, df.count()
         if total > 2 * wanted:
-            train = train.sample(fraction=wanted / total, seed=seed)
+            # written once: the training passes then read the sample, not the corpus
+            train = stage(train.sample(fraction=wanted / total, seed=seed), "ivf-train")
         model: KMeansModel = KMeans(
             k=lists, featuresCol="_features", predictionCol="cell", seed=seed, maxIter=10
         ).fit(train)
@@ -196,14 +197,15 @@ class LshIndex(_Index):
         path: str | None = None,
         seed: int = 42,
     ) -> LshIndex:
-        """Hash every row; the default bucket width follows the mean vector length."""
+        """Hash every row; the default bucket width follows the length of some vectors."""
         check_metric(metric)
         present = df.filter(F.col(embedding).isNotNull())
         if width is None:
-            vector = _comparable(present, metric, embedding)
-            norm = F.sqrt(F.aggregate(vector, F.lit(0.0), lambda total, x: total + x * x))
-            mean = present.agg(F.avg(norm)).first()[0] or 1.0
-            width = 2.0 * mean / dims**0.5
+            length = 1.0
+            if metric != "cosine":
+                rows = present.select(F.col(embedding)).take(WIDTH_ROWS)
+                length = float(np.mean([np.linalg.norm(r[0]) for r in rows])) if rows else 1.0
+            width = 2.0 * (length or 1.0) / dims**0.5
         size = tables * projections
         random = np.random.default_rng(seed).standard_normal((dims, size))
         directions = random / np.sqrt(np.square(random).sum(axis=0))

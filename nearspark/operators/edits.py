@@ -180,7 +180,8 @@ def unique_violations(table: DataFrame, items: DataFrame, key: str | Sequence[st
     batch = _cast(items, table).filter(~_any_null(names)).groupBy(*names).agg(
         F.count(F.lit(1)).alias("in_batch")
     )
-    existing = table.select(*[column(table, n) for n in names]).filter(~_any_null(names))
+    wanted = _measured(items, batch.select(*names))
+    existing = table.select(*[column(table, n) for n in names]).join(wanted, names, "left_semi")
     existing = existing.groupBy(*names).agg(F.count(F.lit(1)).alias("in_table"))
     both = batch.join(existing, names, "left").na.fill(0, ["in_table"])
     return both.filter((F.col("in_batch") > 1) | (F.col("in_table") > 0))

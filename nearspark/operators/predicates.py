@@ -29,8 +29,8 @@ _BUILD = {
     "=": lambda c, v: c == v,
     "equal": lambda c, v: c == v,
     "!=": lambda c, v: c != v,
-    "LIKE": lambda c, v: c.like(v),
-    "NOT LIKE": lambda c, v: ~c.like(v),
+    "LIKE": lambda c, v: F.like(c, v),
+    "NOT LIKE": lambda c, v: ~F.like(c, v),
     ">": lambda c, v: c > v,
     "<": lambda c, v: c < v,
     ">=": lambda c, v: c >= v,
@@ -60,7 +60,7 @@ def condition_column(df: DataFrame, clause: Condition | Mapping[str, Any] | tupl
     if condition in NULL_CONDITIONS:
         return compare(left, condition, None)
     if "LIKE" in condition:
-        return compare(left, condition, value_text(value))
+        return compare(left, condition, F.lit(value_text(value)))
     literal = typed_literal(value, data_type(df, name), condition in RANGE_CONDITIONS)
     return compare(left, condition, literal)
 
@@ -87,11 +87,17 @@ def metadata_map(metadata: str = "metadata") -> Column:
     return F.from_json(F.col(metadata), "map<string,string>")
 
 
+def metadata_value(entries: Column, key: str) -> Column:
+    """Text of a key in a metadata map; of a repeated key the last one counts."""
+    same = F.filter(F.map_entries(entries), lambda e: e["key"] == key)
+    return F.try_element_at(same, F.lit(-1))["value"]
+
+
 def metadata_column(filters: Mapping[str, Any], metadata: str = "metadata") -> Column:
     """Every key of ``filters`` equals the text of its value in a JSON object."""
     entries = metadata_map(metadata)
     parts = [entries.isNotNull()]
-    parts += [F.try_element_at(entries, F.lit(k)) == value_text(v) for k, v in filters.items()]
+    parts += [metadata_value(entries, k) == value_text(v) for k, v in filters.items()]
     return combine_columns(parts)
 
 

@@ -27,16 +27,23 @@ def project_columns(df: DataFrame, columns: str | Iterable[str] | None = None) -
     return df.select(*output_columns(df, columns))
 
 
-def sort_order(df: DataFrame, rules: Iterable) -> list[Column]:
-    """Sort keys with NULL as the largest value, for both directions."""
-    keys = []
+def sort_names(rules: Iterable) -> list[tuple[str, bool]]:
+    """Sort rules as ``(column, descending)``; any direction but ``DESC`` is ascending."""
+    found = []
     for rule in rules or ():
         if isinstance(rule, Mapping):
             rule = (rule["column"], rule.get("direction", "ASC"))
         name, direction = (rule, "ASC") if isinstance(rule, str) else rule
-        key = column(df, name)
-        keys.append(key.desc_nulls_first() if direction == "DESC" else key.asc_nulls_last())
-    return keys
+        found.append((name, direction == "DESC"))
+    return found
+
+
+def sort_order(df: DataFrame, rules: Iterable) -> list[Column]:
+    """Sort keys with NULL as the largest value, for both directions."""
+    return [
+        column(df, n).desc_nulls_first() if descending else column(df, n).asc_nulls_last()
+        for n, descending in sort_names(rules)
+    ]
 
 
 def sort_rows(df: DataFrame, rules: Iterable) -> DataFrame:
@@ -108,6 +115,26 @@ def _match_items(
     return left.join(right, cell & on, "inner").drop("_slice", "_block", "_b", "_s")
 
 
+def _not_after(keys: list[tuple[Column, bool]], bounds: list[Column]) -> Column:
+    """Whether a row sorts at or before a bound; keys are ``(column, descending)``.
+
+    NULL is the largest value, as in :func:`sort_order`.
+    """
+    result = F.lit(True)
+    for (key, descending), bound in reversed(list(zip(keys, bounds))):
+        if descending:
+            before = F.coalesce(key > bound, key.isNull() & bound.isNotNull())
+        else:
+            before = F.coalesce(key < bound, key.isNotNull() & bound.isNull())
+        result = before | (key.eqNullSafe(bound) & result)
+    return result
+
+
+def _first_rows(rows: DataFrame, group: list[str], keys: list[Column], limit: int) -> DataFrame:
+    rank = F.row_number().over(Window.partitionBy(*group).orderBy(*keys))
+    return rows.withColumn("_rank", rank).filter(F.col("_rank") <= limit)
+
+
 def select_per_item(
     df: DataFrame,
     items: DataFrame,
@@ -120,18 +147,21 @@ def select_per_item(
     return_all: bool = False,
     ordinal: str = "item_ordinal",
     salts: int = 32,
+    bound_slice: int | None = 1000,
 ) -> DataFrame:
     """The select of every item of ``items`` in one job.
 
     ``where`` holds ``(column, condition, item column)``: the value of each
-    condition comes from the item. Each item has its own limit. Output rows carry
-    the item's ``ordinal``.
-
-    Items with equal parameters are answered once. The limit is applied in two
-    steps, first within ``salts`` slices of a parameter row (the slice follows from
-    the ``unique`` column, so a retried task repeats it) and then over all of them.
-    Both steps cut locally before their shuffle, so an item matching a third of
-    the table moves at most ``limit`` rows per task.
+    condition comes from the item. Each item has its own limit, ties fall to the
+    smaller ``unique`` value. Output rows carry the item's ``ordinal``.
+
+    Items with equal parameters are answered once. To avoid sorting everything an
+    item matches, one in ``bound_slice`` rows is searched first: the last row of an
+    item's result there bounds its result over the whole table, and only rows up to
+    that bound go on (None skips this). The limit is then applied in two steps,
+    within ``salts`` slices of a parameter row and over all of them. Both cut locally
+    before their shuffle, so an item matching a third of the table moves few rows.
+    Slices follow from a hash of ``unique``, so a retried task repeats them.
     """
     clauses = [tuple(c) for c in where]
     names = list(dict.fromkeys(v for _, c, v in clauses if c not in NULL_CONDITIONS))
@@ -144,26 +174,46 @@ def select_per_item(
         else:
             value = _item_value(df, items, name, condition, source)
             parts.append(compare(column(df, name), condition, value))
+    on = combine_columns(parts, combine)
     renamed = [column(items, n).alias(f"p_{n}") for n in names]
-    group = [F.col(f"p_{n}") for n in names]
+    group = [f"p_{n}" for n in names]
     params = items.select(*renamed).distinct()
     has_key = combine != "OR" and any(c in ("=", "equal") for _, c, _ in clauses)
-    matched = _match_items(df, params, combine_columns(parts, combine), has_key, unique, salts)
-    if not return_all:
+
+    if return_all:
+        matched = _match_items(df, params, on, has_key, unique, salts)
+    else:
         check_limit(limit)
-        keys = sort_order(df, sort) + [column(df, unique).asc_nulls_last()]
-        slice_ = F.pmod(F.xxhash64(column(df, unique)), F.lit(salts))
-        for by in ([*group, slice_], group):
-            rank = F.row_number().over(Window.partitionBy(*by).orderBy(*keys))
-            matched = matched.withColumn("_rank", rank).filter(F.col("_rank") <= limit)
-            matched = matched.drop("_rank")
-    tagged = items.select(column(items, ordinal).alias(ordinal), *renamed)
-    wanted = [n for n in parse_output_columns(columns) if n != "*"]
-    if not wanted or "*" in parse_output_columns(columns):
-        wanted = df.columns
-    return tagged.join(matched, [f"p_{n}" for n in names]).select(
-        F.col(ordinal), *[column(df, n) for n in wanted]
+        rules = sort_names(sort) + [(unique, False)]
+        keys = sort_order(df, [(n, "DESC" if d else "ASC") for n, d in rules])
+        hashed = F.xxhash64(column(df, unique))
+        if bound_slice:
+            few = df.filter(F.pmod(hashed, F.lit(bound_slice)) == 0)
+            found = _match_items(few, params, on, has_key, unique, salts)
+            last = _first_rows(found, group, keys, limit).filter(F.col("_rank") == limit)
+            bounds = [f"b_{i}" for i in range(len(rules))]
+            last = last.select(
+                *[F.col(g).alias(f"l_{g}") for g in group], F.lit(True).alias("b_known"),
+                *[column(df, n).alias(b) for (n, _), b in zip(rules, bounds)],
+            )
+            same = combine_columns([F.col(g).eqNullSafe(F.col(f"l_{g}")) for g in group])
+            params = params.join(last, same, "left").select(*group, "b_known", *bounds)
+            inside = _not_after(
+                [(column(df, n), d) for n, d in rules], [F.col(b) for b in bounds]
+            )
+            on = on & (F.col("b_known").isNull() | inside)
+        matched = _match_items(df, params, on, has_key, unique, salts)
+        matched = matched.withColumn("_slice", F.pmod(hashed, F.lit(salts)))
+        matched = _first_rows(matched, [*group, "_slice"], keys, limit).drop("_rank")
+        matched = _first_rows(matched, group, keys, limit)
+    tagged = items.select(
+        column(items, ordinal).alias(ordinal), *[column(items, n).alias(f"i_{n}") for n in names]
     )
+    mine = combine_columns([F.col(f"i_{n}").eqNullSafe(F.col(f"p_{n}")) for n in names])
+    wanted = parse_output_columns(columns)
+    if not wanted or "*" in wanted:
+        wanted = df.columns
+    return tagged.join(matched, mine).select(F.col(ordinal), *[column(df, n) for n in wanted])
 
 
 def count_rows(df: DataFrame) -> DataFrame:

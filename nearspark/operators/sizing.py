@@ -2,22 +2,42 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 MAX_BROADCAST_ROWS = 50_000
 MAX_BROADCAST_BYTES = 64 << 20
 
 
+def _field_bytes(field: T.StructField) -> Column:
+    value = F.col("`" + field.name.replace("`", "``") + "`")
+    if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+        return F.coalesce(F.octet_length(value), F.lit(0))
+    if isinstance(field.dataType, T.ArrayType) and isinstance(
+        field.dataType.elementType, T.NumericType
+    ):
+        return F.coalesce(F.size(value), F.lit(0)) * 8
+    if isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
+        return F.coalesce(F.octet_length(F.to_json(F.struct(value))), F.lit(0))
+    return F.lit(16)
+
+
 def small_row_count(
     df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, max_bytes: int = MAX_BROADCAST_BYTES
 ) -> int | None:
-    """Rows of ``df`` if both its rows and its bytes (as JSON text) are within the bounds.
+    """Rows of ``df`` if both its rows and its bytes are within the bounds, else None.
 
-    Reads at most ``max_rows + 1`` rows; None means too large.
+    Fetches one number per row for at most ``max_rows + 1`` rows, partition by
+    partition until there are enough, so a large table is not read through.
     """
-    size = F.octet_length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])))
-    found = df.select(size.alias("bytes")).limit(max_rows + 1).agg(
-        F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes")
-    ).first()
-    return found.rows if found.rows <= max_rows and found.bytes <= max_bytes else None
+    size = sum((_field_bytes(f) for f in df.schema), F.lit(0))
+    sizes = df.select(size.cast("long").alias("bytes")).take(max_rows + 1)
+    if len(sizes) > max_rows or sum(r.bytes for r in sizes) > max_bytes:
+        return None
+    return len(sizes)
+
+
+def has_rows(df: DataFrame, count: int) -> bool:
+    """Whether ``df`` has at least ``count`` rows; stops reading once it does."""
+    return len(df.select(F.lit(1)).take(count)) >= count

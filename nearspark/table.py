@@ -101,7 +101,7 @@ class TableEditor:
     def upsert(self, items: DataFrame, key: str, output_columns=None) -> DataFrame:
         items = self._accept(items, "upsert", key)
         table = self.rows()
-        if table.groupBy(key).count().filter("count > 1").first() is not None:
+        if edits.unique_violations(table, items, key).filter("in_table > 1").first() is not None:
             raise ItemError(f"column '{key}' is not unique in {self.name}")
         if parse_output_columns(output_columns):
             result = edits.returning_upserted(table, items, key, output_columns, self.defaults)
