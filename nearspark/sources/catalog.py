@@ -63,6 +63,10 @@ def ensure_vector_table(
     spark: SparkSession, name: str, dims: int | None, vectors: DataFrame | None = None
 ) -> int:
     """Create the table if it is missing; the length comes from ``dims`` or a first vector."""
+    if table_exists(spark, name):
+        known = get_property(spark, name, DIMS)
+        if known:
+            return int(known)
     if not dims and vectors is not None:
         first = vectors.select(F.size("embedding").alias("n")).first()
         dims = first.n if first is not None and first.n > 0 else None
@@ -72,11 +76,14 @@ def ensure_vector_table(
             "embedding model returns vectors."
         )
     create_vector_table(spark, name, dims, if_not_exists=True)
-    return int(get_property(spark, name, DIMS) or dims)
+    return int(dims)
 
 
 def drop_table(spark: SparkSession, name: str) -> None:
-    """Drop the table if it exists."""
+    """Drop the table, with all of its versions, if it exists."""
+    if table_exists(spark, name):
+        # back to the table's own folder, which is what a drop clears
+        spark.sql(f"ALTER TABLE {full_name(name)} SET LOCATION '{home(spark, name)}'")
     spark.sql(f"DROP TABLE IF EXISTS {full_name(name)}")
 
 
@@ -101,6 +108,11 @@ def location(spark: SparkSession, name: str) -> str:
     return rows.filter(F.col("col_name") == "Location").first()["data_type"]
 
 
+def home(spark: SparkSession, name: str) -> str:
+    """The table's own folder; edited states lie below it."""
+    return location(spark, name).split(f"/{VERSIONS}/")[0].rstrip("/")
+
+
 def append(spark: SparkSession, name: str, rows: DataFrame) -> None:
     """Add rows in one job, which commits all of its files or none."""
     target = spark.table(full_name(name))
@@ -109,8 +121,7 @@ def append(spark: SparkSession, name: str, rows: DataFrame) -> None:
 
 def replace(spark: SparkSession, name: str, state: DataFrame) -> None:
     """Make ``state`` the content of the table; it may be derived from the table itself."""
-    home = location(spark, name).split(f"/{VERSIONS}/")[0].rstrip("/")
-    path = f"{home}/{VERSIONS}/{uuid.uuid4().hex}"
+    path = f"{home(spark, name)}/{VERSIONS}/{uuid.uuid4().hex}"
     target = spark.table(full_name(name))
     state.select(*target.columns).write.parquet(path)
     spark.sql(f"ALTER TABLE {full_name(name)} SET LOCATION '{path}'")

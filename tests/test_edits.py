@@ -12,12 +12,17 @@ from nearspark.operators.edits import ORDINAL, PRESENT
 FIELDS = ("name", "age")
 
 
-@pytest.fixture(scope="module", params=["broadcast", "shuffle"])
-def batch(request, spark):
-    """1,500 items; a third share one key, some fields are absent, some NULL."""
-    patch = pytest.MonkeyPatch()
+@pytest.fixture(params=["broadcast", "shuffle"])
+def batch(request, monkeypatch, items_of_all_kinds):
+    """The items, once as a measured-small batch and once as a large one."""
     if request.param == "shuffle":
-        patch.setattr(edits, "small_row_count", lambda df: None)
+        monkeypatch.setattr(edits, "small_row_count", lambda df: None)
+    return items_of_all_kinds
+
+
+@pytest.fixture(scope="module")
+def items_of_all_kinds(spark):
+    """1,500 items; a third share one key, some fields are absent, some NULL."""
     rng = random.Random(5)
     items = []
     for n in range(1500):
@@ -33,8 +38,7 @@ def batch(request, spark):
         [(n, list(i), i.get("id"), i.get("name"), i.get("age")) for n, i in items],
         f"{ORDINAL} long, {PRESENT} array<string>, id long, name string, age int",
     ).repartition(6)
-    yield sorted(items), df
-    patch.undo()
+    return sorted(items), df
 
 
 @pytest.fixture(scope="module")
