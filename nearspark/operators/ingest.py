@@ -19,8 +19,7 @@ from ..sources.staging import stage
 CONTENT_FIELDS = ("content", "text", "pageContent")
 CHUNK_SOURCE = "markdown_by_header"
 
-_HEADING = f"(?:^|(?<=[{JS_LINE_END}]))(?=#)"
-_TRIM = f"^[{JS_SPACE}]+|[{JS_SPACE}]+$"
+_HEADING = f"(?=#)(?<=[{JS_LINE_END}])"
 
 
 def vector_schema(dims: int) -> T.StructType:
@@ -63,7 +62,7 @@ def null_metadata(metadata: Column) -> Column:
 
 def trim_space(text: Column) -> Column:
     """Strip all white space including line ends, not just blanks."""
-    return F.regexp_replace(text, _TRIM, "")
+    return F.btrim(text, F.lit(JS_SPACE))
 
 
 def chunk_markdown(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -137,6 +136,14 @@ def prepare_vectors(docs: DataFrame, dims: int) -> DataFrame:
     )
 
 
+def append_numbered(table: DataFrame, numbered: DataFrame, dims: int) -> DataFrame:
+    """The table plus rows that have their ids already; a bad vector fails all of them."""
+    added = prepare_vectors(numbered, dims)
+    if "created_at" in table.columns:
+        added = added.withColumn("created_at", F.current_timestamp())
+    return table.unionByName(added.select(*table.columns))
+
+
 def insert_documents(
     table: DataFrame, docs: DataFrame, dims: int, order: Sequence[str] = (), last_id: int = 0
 ) -> DataFrame:
@@ -144,10 +151,7 @@ def insert_documents(
 
     Ids go on from ``last_id``. A vector of another length fails the whole batch.
     """
-    added = assign_ids(prepare_vectors(docs, dims), last_id + 1, order)
-    if "created_at" in table.columns:
-        added = added.withColumn("created_at", F.current_timestamp())
-    return table.unionByName(added.select(*table.columns))
+    return append_numbered(table, assign_ids(docs, last_id + 1, order), dims)
 
 
 def ingest_report(added: DataFrame, table_name: str) -> DataFrame:
@@ -166,13 +170,22 @@ def documents_from_items(items: DataFrame) -> DataFrame:
     )
 
 
+def embed_documents(docs: DataFrame, embedder) -> DataFrame:
+    """``docs`` plus the ``embedding`` of their ``content``."""
+    return docs.withColumn("embedding", embed_text(F.col("content"), embedder))
+
+
 def add_documents(
     table: DataFrame, docs: DataFrame, embedder, dims: int, order: Sequence[str] = (),
     last_id: int = 0,
 ) -> DataFrame:
-    """Embed the contents, then insert."""
-    embedded = docs.withColumn("embedding", embed_text(F.col("content"), embedder))
-    return insert_documents(table, embedded, dims, order, last_id)
+    """Embed the contents, then insert.
+
+    Ids are given before the model runs: a sort reads its input twice, and the model
+    should see each text once.
+    """
+    numbered = assign_ids(docs, last_id + 1, order)
+    return append_numbered(table, embed_documents(numbered, embedder), dims)
 
 
 def ingest_markdown(

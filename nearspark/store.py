@@ -12,7 +12,6 @@ from .functions.distance import DEFAULT_METRIC, check_metric
 from .operators import ann, ingest, search
 from .operators.predicates import parse_metadata_filter
 from .sources import catalog
-from .sources.staging import stage
 
 
 class VectorStore:
@@ -41,14 +40,29 @@ class VectorStore:
     def add_vectors(self, docs: DataFrame, order: Sequence[str] = ()) -> int:
         """Append ``(content, embedding, metadata)`` rows; returns how many there were.
 
-        The batch is written to staging first (which assigns its ids), then appended
-        in one job. A bad vector fails the call before the table changes.
+        Ids are assigned on a staged copy, which is then appended in one job. A bad
+        vector fails that job, and the table stays as it was.
         """
         dims = catalog.ensure_vector_table(self.spark, self.name, self.dims, docs)
+        return self._append(docs, order, dims, lambda numbered: numbered)
+
+    def add_documents(self, docs: DataFrame, order: Sequence[str] = ()) -> int:
+        """Embed ``(content, metadata)`` rows and append them; the model runs in the append."""
+        dims = self.dims
+        if not dims and not catalog.table_exists(self.spark, self.name):
+            first = docs.select("content").first()
+            dims = len(self.embedder.embed_query(first.content)) if first else None
+        dims = catalog.ensure_vector_table(self.spark, self.name, dims)
+        return self._append(
+            docs, order, dims, lambda numbered: ingest.embed_documents(numbered, self.embedder)
+        )
+
+    def _append(self, docs: DataFrame, order: Sequence[str], dims: int, complete) -> int:
         last = int(catalog.get_property(self.spark, self.name, catalog.LAST_ID) or 0)
-        rows = ingest.assign_ids(ingest.prepare_vectors(docs, dims), last + 1, order)
-        count = rows.count()
+        numbered = ingest.assign_ids(docs, last + 1, order)
+        count = numbered.count()
         if count:
+            rows = ingest.prepare_vectors(complete(numbered), dims)
             catalog.append(self.spark, self.name, rows.withColumn(
                 "created_at", F.current_timestamp()
             ))
@@ -56,12 +70,6 @@ class VectorStore:
         self._index = None
         return count
 
-    def add_documents(self, docs: DataFrame, order: Sequence[str] = ()) -> int:
-        """Embed ``(content, metadata)`` rows and append them."""
-        embedded = docs.withColumn("embedding", ingest.embed_text(F.col("content"), self.embedder))
-        # staged, so that the model sees each text once
-        return self.add_vectors(stage(embedded, "embedded"), order)
-
     def insert(self, items: DataFrame, order: Sequence[str] = ()) -> DataFrame:
         """Insert mode: any items in, one summary row out."""
         count = self.add_documents(ingest.documents_from_items(items), order)
