@@ -167,6 +167,18 @@ def _without_existing(
     return rows.join(keys, list(names), "left_anti")
 
 
+def _count_keys(
+    table: DataFrame, wanted: DataFrame, names: Sequence[str], items: DataFrame, alias: str
+) -> DataFrame:
+    """Table rows per key. For few items only the wanted keys are counted; otherwise all
+    are, as counting starts before the shuffle and shrinks hot keys, which a join would not.
+    """
+    keys = table.select(*[column(table, n) for n in names]).filter(~_any_null(names))
+    if small_row_count(items) is not None:
+        keys = keys.join(F.broadcast(wanted), list(names), "left_semi")
+    return keys.groupBy(*names).agg(F.count(F.lit(1)).alias(alias))
+
+
 def insert_skip_conflicts(
     table: DataFrame, items: DataFrame, key: str | Sequence[str], **options
 ) -> DataFrame:
@@ -180,9 +192,7 @@ def unique_violations(table: DataFrame, items: DataFrame, key: str | Sequence[st
     batch = _cast(items, table).filter(~_any_null(names)).groupBy(*names).agg(
         F.count(F.lit(1)).alias("in_batch")
     )
-    wanted = _measured(items, batch.select(*names))
-    existing = table.select(*[column(table, n) for n in names]).join(wanted, names, "left_semi")
-    existing = existing.groupBy(*names).agg(F.count(F.lit(1)).alias("in_table"))
+    existing = _count_keys(table, batch.select(*names), names, items, "in_table")
     both = batch.join(existing, names, "left").na.fill(0, ["in_table"])
     return both.filter((F.col("in_batch") > 1) | (F.col("in_table") > 0))
 
@@ -435,9 +445,7 @@ def affected_by_update(table: DataFrame, items: DataFrame, match: str) -> DataFr
     """Per item the number of table rows it matches, 0 when none."""
     items = _cast(items, table)
     wanted = items.select(match).filter(column(items, match).isNotNull()).distinct()
-    counts = table.join(_measured(items, wanted), match, "left_semi").groupBy(match).agg(
-        F.count(F.lit(1)).alias("_rows")
-    )
+    counts = _count_keys(table, wanted, [match], items, "_rows")
     joined = items.join(counts, match, "left")
     return _summary(joined, F.coalesce("_rows", F.lit(0)).cast("long"))
 

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.distance import DEFAULT_METRIC, all_pairs, check_metric, matrix, paired
-from .sizing import MAX_BROADCAST_BYTES, MAX_BROADCAST_ROWS, small_row_count
+from .sizing import MAX_BROADCAST_BYTES, MAX_BROADCAST_ROWS, bound_slice, small_row_count
 
 TILE_CELLS = 2_000_000
 BLOCK_ROWS = 100_000
@@ -28,7 +28,7 @@ Mask = Callable[[np.ndarray, pa.RecordBatch, np.ndarray], np.ndarray]
 class Best:
     """The best ``k`` rows per query among the batches seen so far."""
 
-    def __init__(self, ids, vectors, k, metric, decimals=None):
+    def __init__(self, ids, vectors, k, metric, decimals=None, bounds=None):
         self.ids, self.vectors = ids, vectors
         self.k, self.metric, self.decimals = k, metric, decimals
         # matrix products carry noise and rounding makes near values equal, so rows
@@ -37,7 +37,7 @@ class Best:
         self.query = np.empty(0, np.int64)
         self.row = np.empty(0, np.int64)
         self.distance = np.empty(0)
-        self.bound = np.full(len(ids), np.inf)
+        self.bound = np.full(len(ids), np.inf) if bounds is None else bounds.copy()
         self.norm = np.sqrt(np.square(vectors).sum(axis=1)) if len(ids) else np.empty(0)
 
     def _margin(self, numbers, longest, bound):
@@ -97,7 +97,7 @@ class Best:
         last = np.arange(len(query)) - starts == self.k - 1
         self.query, self.row, self.distance = query[keep], row[keep], distance[keep]
         full = np.where(np.isnan(distance[last]), np.inf, distance[last])
-        self.bound[query[last]] = full
+        self.bound[query[last]] = np.minimum(self.bound[query[last]], full)
 
     def batch(self) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays(
@@ -149,18 +149,19 @@ def local_candidates(
     metric: str,
     decimals: int | None,
     mask: Mask | None = None,
+    bounds: np.ndarray | None = None,
 ) -> DataFrame:
     """Best ``k`` of every corpus partition for a bounded set of queries.
 
     ``corpus`` has ``id``, ``embedding`` and whatever ``mask`` reads. One pass over
-    it, no shuffle of it.
+    it, no shuffle of it. ``bounds`` are distances beyond which no row can count.
     """
-    shared = corpus.sparkSession.sparkContext.broadcast((query_ids, queries))
+    shared = corpus.sparkSession.sparkContext.broadcast((query_ids, queries, bounds))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, vectors = shared.value
-        best = Best(ids, vectors, k, metric, decimals)
-        for batch in batches:
+        ids, vectors, limits = shared.value
+        best = Best(ids, vectors, k, metric, decimals, limits)
+        for batch in batches if len(ids) else ():
             part, row_ids, rows = _valid(batch, 0, 1, vectors.shape[1])
             if len(row_ids):
                 visible = None if mask is None else (lambda n, p=part: mask(n, p))
@@ -215,6 +216,24 @@ def collect_vectors(queries: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return ids, vectors
 
 
+def first_bounds(
+    corpus: DataFrame, ids: np.ndarray, vectors: np.ndarray, k: int, metric: str,
+    decimals: int | None, every: int,
+) -> np.ndarray:
+    """Distance of each query's ``k``-th neighbour among one in ``every`` corpus rows.
+
+    The whole corpus can only do better, so this is a bound on the final result.
+    """
+    few = corpus.filter(F.pmod(F.xxhash64("id"), F.lit(every)) == 0)
+    found = top_k(local_candidates(few, ids, vectors, k, metric, decimals), k)
+    kth = found.filter(F.col("rank") == k).select("query_id", "distance").toPandas()
+    bounds = np.full(len(ids), np.inf)
+    order = np.argsort(ids)
+    place = order[np.searchsorted(ids, kth["query_id"].to_numpy(), sorter=order)]
+    bounds[place] = np.where(kth["distance"].isna(), np.inf, kth["distance"])
+    return bounds
+
+
 def knn_join(
     queries: DataFrame,
     corpus: DataFrame,
@@ -227,12 +246,15 @@ def knn_join(
     max_query_rows: int = MAX_BROADCAST_ROWS,
     max_query_bytes: int = MAX_BROADCAST_BYTES,
     block_rows: int = BLOCK_ROWS,
+    first_slice: int | None = None,
 ) -> DataFrame:
     """Exact ``k`` nearest corpus rows of every query: ``(query_id, id, distance, rank)``.
 
-    Ids are integers. Queries within the size bounds are broadcast and the corpus
-    is read once where it lies; larger query sets go through the block grid. With
-    ``decimals`` distances are rounded before ranking, ties go to the smaller id.
+    Ids are integers and unique. Queries within the size bounds are broadcast and the
+    corpus is read where it lies; larger query sets go through the block grid. On a
+    large corpus one in ``first_slice`` rows is searched first, and its result keeps
+    the tasks from handing on rows that cannot count. With ``decimals`` distances are
+    rounded before ranking, ties go to the smaller id.
     """
     check_metric(metric)
     left = queries.select(F.col(query_id).alias("id"), F.col(embedding).alias("embedding"))
@@ -241,5 +263,7 @@ def knn_join(
         found = grid_candidates(right, left, k, metric, decimals, block_rows)
     else:
         ids, vectors = collect_vectors(left)
-        found = local_candidates(right, ids, vectors, k, metric, decimals)
+        every = first_slice or bound_slice(corpus)
+        bounds = first_bounds(right, ids, vectors, k, metric, decimals, every) if every else None
+        found = local_candidates(right, ids, vectors, k, metric, decimals, None, bounds)
     return top_k(found, k)

@@ -17,7 +17,7 @@ from .predicates import (
     condition_column,
     filter_rows,
 )
-from .sizing import MAX_BROADCAST_ROWS, small_row_count
+from .sizing import MAX_BROADCAST_ROWS, bound_slice, small_row_count
 
 DEFAULT_LIMIT = 50
 
@@ -147,7 +147,7 @@ def select_per_item(
     return_all: bool = False,
     ordinal: str = "item_ordinal",
     salts: int = 32,
-    bound_slice: int | None = 1000,
+    first_slice: int | None = None,
 ) -> DataFrame:
     """The select of every item of ``items`` in one job.
 
@@ -156,9 +156,9 @@ def select_per_item(
     smaller ``unique`` value. Output rows carry the item's ``ordinal``.
 
     Items with equal parameters are answered once. To avoid sorting everything an
-    item matches, one in ``bound_slice`` rows is searched first: the last row of an
-    item's result there bounds its result over the whole table, and only rows up to
-    that bound go on (None skips this). The limit is then applied in two steps,
+    item matches, a large table's one in ``first_slice`` rows is searched first: the
+    last row of an item's result there bounds its result over the whole table, and
+    only rows up to that bound go on. The limit is then applied in two steps,
     within ``salts`` slices of a parameter row and over all of them. Both cut locally
     before their shuffle, so an item matching a third of the table moves few rows.
     Slices follow from a hash of ``unique``, so a retried task repeats them.
@@ -187,8 +187,9 @@ def select_per_item(
         rules = sort_names(sort) + [(unique, False)]
         keys = sort_order(df, [(n, "DESC" if d else "ASC") for n, d in rules])
         hashed = F.xxhash64(column(df, unique))
-        if bound_slice:
-            few = df.filter(F.pmod(hashed, F.lit(bound_slice)) == 0)
+        every = first_slice or bound_slice(df)
+        if every:
+            few = df.filter(F.pmod(hashed, F.lit(every)) == 0)
             found = _match_items(few, params, on, has_key, unique, salts)
             last = _first_rows(found, group, keys, limit).filter(F.col("_rank") == limit)
             bounds = [f"b_{i}" for i in range(len(rules))]

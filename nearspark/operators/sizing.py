@@ -8,6 +8,8 @@ from pyspark.sql import types as T
 
 MAX_BROADCAST_ROWS = 50_000
 MAX_BROADCAST_BYTES = 64 << 20
+BOUND_SLICE = 1000
+MANY_FILES = 256
 
 
 def _field_bytes(field: T.StructField) -> Column:
@@ -41,3 +43,12 @@ def small_row_count(
 def has_rows(df: DataFrame, count: int) -> bool:
     """Whether ``df`` has at least ``count`` rows; stops reading once it does."""
     return len(df.select(F.lit(1)).take(count)) >= count
+
+
+def bound_slice(df: DataFrame) -> int | None:
+    """How thin a slice to search first for bounds; None where the extra job costs more.
+
+    A first look pays off when many tasks would otherwise each hand on their own best
+    rows, so it goes by the number of files behind ``df``.
+    """
+    return BOUND_SLICE if len(df.inputFiles()) > MANY_FILES else None

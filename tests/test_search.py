@@ -134,11 +134,14 @@ def as_lists(found):
     return result
 
 
-@pytest.mark.parametrize("path", ["broadcast", "grid"])
+@pytest.mark.parametrize("path", ["broadcast", "bounded", "grid"])
 @pytest.mark.parametrize("metric", ["l2", "cosine", "inner_product", "manhattan"])
 def test_knn_join(corpus, metric, path):
     data, df = corpus
-    limits = {} if path == "broadcast" else {"max_query_rows": 3, "block_rows": 150}
+    limits = {
+        "broadcast": {}, "bounded": {"first_slice": 9},
+        "grid": {"max_query_rows": 3, "block_rows": 150},
+    }[path]
     found = as_lists(knn_join(df, df, 8, metric, decimals=6, **limits))
     expected = brute(data, [i for i in range(700) if i != 7], 8, metric)
     if metric == "cosine":

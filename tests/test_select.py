@@ -56,7 +56,7 @@ def test_select_per_item(spark, table, slice_, direction):
     items_df = spark.createDataFrame(items, "item_ordinal long, g string, least int")
     found = select_per_item(
         df, items_df, [("grp", "=", "g"), ("score", ">=", "least")],
-        [("score", direction)], "id", "id", limit=4, bound_slice=slice_,
+        [("score", direction)], "id", "id", limit=4, first_slice=slice_,
     )
     sign = 1 if direction == "ASC" else -1
     expected = brute(
@@ -73,7 +73,7 @@ def test_select_per_item_null_sort_keys(spark, table, direction):
     items_df = spark.createDataFrame(items, "item_ordinal long, g string")
     found = select_per_item(
         df, items_df, [("grp", "=", "g")], [("score", direction)], "id", "id", limit=30,
-        bound_slice=2,
+        first_slice=2,
     )
     big = 1000
     sign = 1 if direction == "ASC" else -1
@@ -96,7 +96,7 @@ def test_select_per_item_grid(spark, table, combine, monkeypatch):
     items_df = spark.createDataFrame(items, "item_ordinal long, above int, pattern string")
     found = select_per_item(
         df, items_df, [("score", ">", "above"), ("grp", "LIKE", "pattern")],
-        [("score", "ASC")], "id", "id", combine, limit=3, salts=4, bound_slice=5,
+        [("score", "ASC")], "id", "id", combine, limit=3, salts=4, first_slice=5,
     )
 
     def match(r, p):
