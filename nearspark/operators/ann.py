@@ -13,9 +13,10 @@ from typing import Any
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.clustering import KMeans, KMeansModel
+from pyspark.ml.clustering import KMeans
+from pyspark.ml.feature import Normalizer
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.distance import DEFAULT_METRIC, check_metric, matrix
@@ -36,13 +37,25 @@ def _unit(vectors: np.ndarray) -> np.ndarray:
     return vectors / np.where(norm == 0, 1.0, norm)
 
 
-def _comparable(df: DataFrame, metric: str, embedding: str) -> Column:
-    """Vectors as the euclidean cells see them: unit length for the cosine metric."""
-    vector = F.col(embedding).cast("array<double>")
-    if metric != "cosine":
-        return vector
-    norm = F.sqrt(F.aggregate(vector, F.lit(0.0), lambda total, x: total + x * x))
-    return F.when(norm == 0, vector).otherwise(F.transform(vector, lambda x: x / norm))
+def nearest_cells(
+    centers: np.ndarray, metric: str, vectors: np.ndarray, count: int | None = None
+) -> np.ndarray:
+    """The ``count`` nearest centers of each vector (all by default), nearest first."""
+    points = _unit(vectors) if metric == "cosine" else vectors
+    gaps = np.square(centers).sum(axis=1)[None, :] - 2 * points @ centers.T
+    if count == 1:
+        return gaps.argmin(axis=1)[:, None]
+    return np.argsort(gaps, axis=1, kind="stable")[:, :count]
+
+
+def bucket_numbers(
+    directions: np.ndarray, width: float, metric: str, vectors: np.ndarray
+) -> np.ndarray:
+    """Projections of each vector, cut into steps of ``width``."""
+    points = _unit(vectors) if metric == "cosine" else vectors
+    # a fixed summation order per row keeps equal vectors in equal buckets
+    spots = np.stack([(points * d).sum(axis=1) for d in directions.T], axis=1)
+    return np.floor(spots / width).astype(np.int64)
 
 
 class _Index:
@@ -98,34 +111,34 @@ class IvfIndex(_Index):
         splits a cell that holds much of the corpus over several writing tasks.
         """
         check_metric(metric)
-        prepared = df.filter(F.col(embedding).isNotNull()).withColumn(
-            "_features", array_to_vector(_comparable(df, metric, embedding))
-        )
-        train = prepared.select("_features")
+        present = df.filter(F.col(embedding).isNotNull())
+        train = present.select(F.col(embedding).cast("array<double>").alias("vector"))
         wanted, total = lists * TRAIN_ROWS_PER_LIST, df.count()
         if total > 2 * wanted:
             # written once: the training passes then read the sample, not the corpus
             train = stage(train.sample(fraction=wanted / total, seed=seed), "ivf-train")
-        model: KMeansModel = KMeans(
-            k=lists, featuresCol="_features", predictionCol="cell", seed=seed, maxIter=10
-        ).fit(train)
+        train = train.select(array_to_vector("vector").alias("features"))
+        if metric == "cosine":
+            unit = Normalizer(inputCol="features", outputCol="unit", p=2.0)
+            train = unit.transform(train).select(F.col("unit").alias("features"))
+        model = KMeans(k=lists, seed=seed, maxIter=10).fit(train)
+        centers = np.array(model.clusterCenters())
+
+        @F.arrow_udf("int")
+        def cell(batch: pa.Array) -> pa.Array:
+            found = nearest_cells(centers, metric, matrix(batch, centers.shape[1]), 1)
+            return pa.array(found[:, 0].astype(np.int32))
+
+        cells = present.withColumn("cell", cell(F.col(embedding)))
         path = path or new_path(df.sparkSession, "ivf")
-        cells = model.transform(prepared).drop("_features")
         cells.hint("rebalance", "cell").write.partitionBy("cell").parquet(path)
-        schema = cells.schema
-        table = df.sparkSession.read.schema(schema).parquet(path)
-        return cls(table, np.array(model.clusterCenters()), metric, id_col, embedding)
+        table = df.sparkSession.read.schema(cells.schema).parquet(path)
+        return cls(table, centers, metric, id_col, embedding)
 
     @property
     def lists(self) -> int:
         return len(self.centers)
 
-    def nearest_cells(self, vectors: np.ndarray) -> np.ndarray:
-        """Cells of each query, nearest first."""
-        points = _unit(vectors) if self.metric == "cosine" else vectors
-        gaps = np.square(points).sum(axis=1)[:, None] - 2 * points @ self.centers.T
-        return np.argsort(gaps + np.square(self.centers).sum(axis=1), axis=1, kind="stable")
-
     def search(
         self,
         query: Sequence[float],
@@ -141,7 +154,8 @@ class IvfIndex(_Index):
         Probes double until ``k`` rows pass the filter or all cells are in.
         """
         self._check(metric)
-        cells = self.nearest_cells(np.asarray([query], dtype=np.float64))[0].tolist()
+        point = np.asarray([query], dtype=np.float64)
+        cells = nearest_cells(self.centers, self.metric, point)[0].tolist()
 
         def found(width: int) -> DataFrame:
             return metadata_filter(self.table.filter(F.col("cell").isin(cells[:width])), filters)
@@ -155,7 +169,7 @@ class IvfIndex(_Index):
     ) -> DataFrame:
         """``search`` for a bounded query table in one pass over the probed cells."""
         ids, vectors = _bounded(queries, query_id, self.embedding)
-        order = self.nearest_cells(vectors)[:, :probes]
+        order = nearest_cells(self.centers, self.metric, vectors, probes)
         probed = np.zeros((len(ids), self.lists), bool)
         np.put_along_axis(probed, order, True, axis=1)
 
@@ -209,29 +223,21 @@ class LshIndex(_Index):
         size = tables * projections
         random = np.random.default_rng(seed).standard_normal((dims, size))
         directions = random / np.sqrt(np.square(random).sum(axis=0))
-        index = cls(None, directions, width, tables, metric, id_col, embedding)
 
         @F.arrow_udf("array<long>")
         def buckets(batch: pa.Array) -> pa.Array:
-            found = index.buckets(matrix(batch, dims))
+            found = bucket_numbers(directions, width, metric, matrix(batch, dims))
             offsets = np.arange(0, found.size + 1, size, dtype=np.int32)
             return pa.ListArray.from_arrays(pa.array(offsets), pa.array(found.ravel()))
 
         hashed = present.withColumn("buckets", buckets(F.col(embedding)))
         path = path or new_path(df.sparkSession, "lsh")
         hashed.write.parquet(path)
-        index.table = df.sparkSession.read.schema(hashed.schema).parquet(path)
-        return index
-
-    def __getstate__(self):
-        # the table stays on the driver; tasks only hash
-        return {**self.__dict__, "table": None}
+        table = df.sparkSession.read.schema(hashed.schema).parquet(path)
+        return cls(table, directions, width, tables, metric, id_col, embedding)
 
     def buckets(self, vectors: np.ndarray) -> np.ndarray:
-        points = _unit(vectors) if self.metric == "cosine" else vectors
-        # a fixed summation order per row keeps equal vectors in equal buckets
-        spots = np.stack([(points * d).sum(axis=1) for d in self.directions.T], axis=1)
-        return np.floor(spots / self.width).astype(np.int64)
+        return bucket_numbers(self.directions, self.width, self.metric, vectors)
 
     def search(
         self,
