@@ -149,19 +149,19 @@ def accepted_rows(
     first = keyed.groupBy(*names).agg(
         F.min_by(F.struct(*[column(image, c) for c in image.columns]), F.col(ORDINAL)).alias("_row")
     )
-    fresh = _without_existing(table, first, names, items)
+    fresh = _without_existing(table, first, names, small_row_count(items) is not None)
     return fresh.select("_row.*").unionByName(image.filter(_any_null(names)))
 
 
 def _without_existing(
-    table: DataFrame, rows: DataFrame, names: Sequence[str], items: DataFrame
+    table: DataFrame, rows: DataFrame, names: Sequence[str], few: bool
 ) -> DataFrame:
     """``rows`` whose key the table does not have.
 
-    For few items the table is only probed with their keys, not shuffled.
+    If they are known to be few, the table is only probed with their keys, not shuffled.
     """
     keys = table.select(*[column(table, n) for n in names])
-    if small_row_count(items) is not None:
+    if few:
         wanted = rows.select(*[column(rows, n) for n in names])
         keys = F.broadcast(keys.join(F.broadcast(wanted), list(names), "left_semi").distinct())
     return rows.join(keys, list(names), "left_anti")
@@ -323,7 +323,7 @@ def upsert_rows(
     if small_row_count(items) is not None:
         small = F.broadcast(changes).alias("s")
         kept = old.join(small, _same_key(key), "left").select(*_overlay(table, changes, key))
-        fresh = _without_existing(table, changes, [key], items).alias("s")
+        fresh = _without_existing(table, changes, [key], True).alias("s")
         return kept.unionByName(fresh.select(*_fresh_row(table, changes, key, defaults)))
     old = table.withColumn("_old", F.lit(True)).alias("t")
     merged = old.join(changes.alias("s"), _same_key(key), "full_outer")
@@ -437,7 +437,7 @@ def _returned(after: DataFrame, columns: str | Sequence[str]) -> DataFrame:
     return after.select(ORDINAL, *output_columns(rows, columns))
 
 
-def _summary(items: DataFrame, affected: Column) -> DataFrame:
+def summary(items: DataFrame, affected: Column) -> DataFrame:
     return items.select(ORDINAL, F.lit(True).alias("success"), affected.alias("affectedRows"))
 
 
@@ -447,7 +447,7 @@ def affected_by_update(table: DataFrame, items: DataFrame, match: str) -> DataFr
     wanted = items.select(match).filter(column(items, match).isNotNull()).distinct()
     counts = _count_keys(table, wanted, [match], items, "_rows")
     joined = items.join(counts, match, "left")
-    return _summary(joined, F.coalesce("_rows", F.lit(0)).cast("long"))
+    return summary(joined, F.coalesce("_rows", F.lit(0)).cast("long"))
 
 
 def affected_by_insert(
@@ -455,15 +455,15 @@ def affected_by_insert(
 ) -> DataFrame:
     """Per item 1, or 0 where a skip-on-conflict insert on ``key`` leaves it out."""
     if key is None:
-        return _summary(items, F.lit(1).cast("long"))
+        return summary(items, F.lit(1).cast("long"))
     accepted = accepted_rows(table, items, key, **options).select(ORDINAL, F.lit(1).alias("_in"))
     joined = items.select(ORDINAL).join(accepted, ORDINAL, "left")
-    return _summary(joined, F.coalesce("_in", F.lit(0)).cast("long"))
+    return summary(joined, F.coalesce("_in", F.lit(0)).cast("long"))
 
 
 def affected_by_upsert(items: DataFrame) -> DataFrame:
     """Every valid upsert item touches exactly one row."""
-    return _summary(items, F.lit(1).cast("long"))
+    return summary(items, F.lit(1).cast("long"))
 
 
 def affected_by_delete(table: DataFrame, where: Iterable = (), combine: str = "AND") -> DataFrame:

@@ -193,5 +193,6 @@ def ingest_markdown(
     last_id: int = 0,
 ) -> DataFrame:
     """Documents to chunks to vectors to table rows, in document and chunk order."""
-    chunks = chunk_markdown(docs.select(key, text), text)
+    # staged, as the sort behind the ids would otherwise cut the documents twice
+    chunks = stage(chunk_markdown(docs.select(key, text), text), "chunks")
     return add_documents(table, chunks, embedder, dims, (key, "chunk"), last_id)

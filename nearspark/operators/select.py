@@ -17,7 +17,7 @@ from .predicates import (
     condition_column,
     filter_rows,
 )
-from .sizing import MAX_BROADCAST_ROWS, bound_slice, small_row_count
+from .sizing import BOUND_SLICE, MAX_BROADCAST_ROWS, bound_slice, small_row_count
 
 DEFAULT_LIMIT = 50
 
@@ -156,12 +156,13 @@ def select_per_item(
     smaller ``unique`` value. Output rows carry the item's ``ordinal``.
 
     Items with equal parameters are answered once. To avoid sorting everything an
-    item matches, a large table's one in ``first_slice`` rows is searched first: the
-    last row of an item's result there bounds its result over the whole table, and
-    only rows up to that bound go on. The limit is then applied in two steps,
-    within ``salts`` slices of a parameter row and over all of them. Both cut locally
-    before their shuffle, so an item matching a third of the table moves few rows.
-    Slices follow from a hash of ``unique``, so a retried task repeats them.
+    item matches, one in ``first_slice`` rows is searched first (by default unless the
+    table is small and an equality condition narrows it down): the last row of an
+    item's result there bounds its result over the whole table, and only rows up to
+    that bound go on. The limit is then applied in two steps, within ``salts`` slices
+    of a parameter row and over all of them. Both cut locally before their shuffle,
+    so an item matching a third of the table moves few rows. Slices follow from a hash
+    of ``unique``, so a retried task repeats them.
     """
     clauses = [tuple(c) for c in where]
     names = list(dict.fromkeys(v for _, c, v in clauses if c not in NULL_CONDITIONS))
@@ -187,7 +188,8 @@ def select_per_item(
         rules = sort_names(sort) + [(unique, False)]
         keys = sort_order(df, [(n, "DESC" if d else "ASC") for n, d in rules])
         hashed = F.xxhash64(column(df, unique))
-        every = first_slice or bound_slice(df)
+        # without a key every row meets every item, so bounds pay off at any size
+        every = first_slice or (bound_slice(df) if has_key else BOUND_SLICE)
         if every:
             few = df.filter(F.pmod(hashed, F.lit(every)) == 0)
             found = _match_items(few, params, on, has_key, unique, salts)

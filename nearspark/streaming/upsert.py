@@ -40,10 +40,12 @@ class KeyedTable:
     def upsert(self, batch: DataFrame, batch_id: int = 0) -> None:
         """Bring in a micro-batch; per key the row with the greatest ``order`` stays.
 
-        The new buckets are staged first and then swapped in, each as a whole.
-        Repeating a batch after a failure gives the same table.
+        The batch is written down first, as it is read several times. The new buckets
+        are staged too and then swapped in, each as a whole. Repeating a batch after a
+        failure gives the same table.
         """
         items = batch.withColumn(ORDINAL, F.col(self.order)).withColumn(BUCKET, self._bucket())
+        items = stage(items, "stream-batch")
         touched = [r[0] for r in items.select(BUCKET).distinct().collect()]  # at most `buckets`
         if not touched:
             return

@@ -78,7 +78,7 @@ class TableEditor:
             return edits.returning_inserted(image, output_columns)
         hit = image.select(ORDINAL, F.lit(1).cast("long").alias("_in"))
         joined = items.select(ORDINAL).join(hit, ORDINAL, "left")
-        return edits._summary(joined, F.coalesce("_in", F.lit(0)).cast("long"))
+        return edits.summary(joined, F.coalesce("_in", F.lit(0)).cast("long"))
 
     def insert_values(self, values: Mapping[str, str], **options) -> DataFrame:
         return self.insert(edits.manual_item(self.rows(), values), **options)
