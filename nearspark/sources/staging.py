@@ -25,9 +25,8 @@ def staging_root(spark: SparkSession) -> str:
         return root
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder all executors share")
-    root = tempfile.mkdtemp(prefix="nearspark-")
-    spark.conf.set(CHECKPOINT_DIR, root)
-    return root
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="nearspark-"))
+    return spark.sparkContext.getCheckpointDir()
 
 
 def new_path(spark: SparkSession, label: str) -> str:
