@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import scan_table
-from . import bpe, chat, licenses, quality, urls
+from . import bpe, chat, decontaminate, jaccard, licenses, quality, sharding, urls, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -63,6 +63,26 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base,
 FROM d LEFT JOIN base USING (doc_id) LEFT JOIN met USING (doc_id)"""
 
 
+@query("op1_ngram_jaccard", rf"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all({_LOWER}, '{_SPACE}') AS w FROM documents),
+g AS (
+  SELECT DISTINCT doc_id, array_to_string(list_slice(w, i, i + 4), ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id),
+link AS (
+  SELECT a.doc_id AS x, b.doc_id AS y FROM g AS a JOIN g AS b ON a.s = b.s AND a.doc_id <> b.doc_id
+  JOIN n AS na ON na.doc_id = a.doc_id JOIN n AS nb ON nb.doc_id = b.doc_id
+  GROUP BY a.doc_id, b.doc_id, na.n, nb.n
+  HAVING 100 * count(*) >= {jaccard.PERCENT} * (na.n + nb.n - count(*))),
+reach AS (
+  SELECT doc_id AS x, doc_id AS y FROM documents
+  UNION SELECT reach.x, link.y FROM reach JOIN link ON reach.y = link.x)
+SELECT doc_id, coalesce(max(n.n), 0)::BIGINT AS n_shingles, min(y) AS component_id
+FROM reach JOIN documents ON doc_id = x LEFT JOIN n USING (doc_id) GROUP BY doc_id""")
+def op1_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.near_components(scan_table(spark, folder, "documents"))
+
+
 @query("op2_license_scan", _licenses_sql())
 def op2_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.scan(scan_table(spark, folder, "documents")).drop("blocks")
@@ -114,6 +134,70 @@ def op6_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     return chat.digests(chat.expand(rows.unionByName(probe)))
 
 
+def page_records(pages: DataFrame) -> DataFrame:
+    """Crawl records made of the pages: every page is a full response of its site's section
+    (host and language, so that a section has many captures), and some time later the
+    section is asked again with a validator: the page's ETag, its date, or an unknown tag."""
+    text = F.coalesce("html", F.lit(""))
+    tag = F.concat(F.lit('"'), F.substring(F.sha2(text, 256), 1, 16), F.lit('"'))
+    day = F.concat(F.lit("day "), F.col("page_id"))
+    base = pages.select(
+        "page_id", F.regexp_replace("url", "[0-9]+.*$", "").alias("url"), tag.alias("tag"), day.alias("day"),
+        F.sha2(text, 256).alias("digest"),
+    )
+    full = base.select(
+        (2 * F.col("page_id")).alias("record_id"), F.lit("response").alias("type"), "url", F.col("page_id").alias("time"),
+        F.create_map(
+            F.lit("etag"), "tag", F.lit("last-modified"), "day", F.lit("content-type"), F.lit("text/html"),
+            F.lit("date"), "day",
+        ).alias("headers"), F.col("digest").alias("body_digest"),
+    )
+    later = F.col("page_id") + 1 + F.col("page_id") % 5
+    kind = F.col("page_id") % 3
+    revisit = base.select(
+        (2 * F.col("page_id") + 1).alias("record_id"), F.lit("revisit").alias("type"),
+        F.concat(F.col("url"), F.lit("?ref=again#top")).alias("url"), later.alias("time"),
+        F.map_filter(F.create_map(
+            F.lit("etag"), F.when(kind == 0, F.col("tag")).when(kind == 2, F.lit('"unknown"')),
+            F.lit("last-modified"), F.when(kind == 1, F.col("day")),
+            F.lit("content-type"), F.lit("not permitted"),
+            F.lit("date"), F.concat(F.lit("day "), later),
+            F.lit("expires"), F.concat(F.lit("day "), later + 9),
+        ), lambda k, v: v.isNotNull()).alias("headers"), F.lit(None).cast("string").alias("body_digest"),
+    )
+    return full.unionByName(revisit)
+
+
+@query("op7_warc_revisits", r"""
+WITH p AS (
+  SELECT page_id, regexp_replace(url, '[0-9]+.*$', '') AS url, sha256(coalesce(html, '')) AS digest FROM pages),
+q AS (
+  SELECT page_id, digest, '"' || substr(digest, 1, 16) || '"' AS tag, page_id + 1 + page_id % 5 AS later,
+    'https://' || regexp_replace(lower(regexp_extract(r, '^[^/?]*')), ':(80|443)$', '')
+      || regexp_replace(regexp_extract(r, '^[^/?]*([^?]*)', 1), '(\.html)?/?$', '') AS url
+  FROM (SELECT *, regexp_replace(regexp_replace(trim(url), '#.*$', ''), '(?i)^https?://(www\.)?', '') AS r FROM p)),
+a AS (
+  SELECT v.*, f.page_id AS of_page, f.tag AS old_tag, f.digest AS old_digest
+  FROM q AS v ASOF LEFT JOIN q AS f ON v.url = f.url AND v.later > f.page_id),
+s AS (
+  SELECT *, CASE WHEN page_id % 3 = 0 THEN tag = old_tag WHEN page_id % 3 = 1 THEN page_id = of_page ELSE false END AS ok FROM a)
+SELECT 2 * page_id + 1 AS record_id, url AS canonical_url, later AS time, 2 * of_page AS refers_to,
+  CASE WHEN url IS NULL THEN 'no_url' WHEN of_page IS NULL THEN 'no_earlier' WHEN ok THEN 'resolved' ELSE 'changed' END AS status,
+  CASE WHEN ok THEN old_digest END AS body_digest,
+  CASE WHEN ok THEN 'content-type=text/html;date=day ' || later || ';etag=' || old_tag || ';expires=day ' || (later + 9)
+    || ';last-modified=day ' || of_page END AS headers
+FROM s""")
+def op7_warc_revisits(spark: SparkSession, folder: str) -> DataFrame:
+    found = warc.resolve(page_records(scan_table(spark, folder, "pages")), span=1000)
+    pairs = F.transform(F.array_sort(F.map_entries("headers")), lambda e: F.concat(e["key"], F.lit("="), e["value"]))
+    return found.withColumn("headers", F.array_join(pairs, ";"))
+
+
+@query("op8_decontaminate")
+def op8_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.overlaps(scan_table(spark, folder, "documents"), scan_table(spark, folder, "benchmark"))
+
+
 def _quality_sql() -> str:
     ratio = {
         "mean_word_chars": ("word_chars", "n_words"), "symbol_ratio": ("n_symbols", "word_chars"),
@@ -158,3 +242,12 @@ def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality.judge(scan_table(spark, folder, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
     )
+
+
+@query("op10_shards")
+def op10_shards(spark: SparkSession, folder: str) -> DataFrame:
+    placed = sharding.assign(scan_table(spark, folder, "documents"))
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
