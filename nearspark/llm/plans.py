@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import scan_table
-from . import bpe, chat, decontaminate, jaccard, licenses, quality, sharding, urls, warc
+from . import bpe, chat, decontaminate, jaccard, licenses, pst, quality, sharding, urls, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -93,6 +93,11 @@ def op3_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return urls.judge_urls(scan_table(spark, folder, "pages"))
 
 
+@query("op4_suffix_tree")
+def op4_suffix_tree(spark: SparkSession, folder: str) -> DataFrame:
+    return pst.score(scan_table(spark, folder, "documents"))
+
+
 TOKENIZER = "byte_bpe_50k.json"
 
 
