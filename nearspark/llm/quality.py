@@ -137,5 +137,7 @@ def accepted(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text_col: str = "
     """The rows that the rules keep, with their own columns; decided row by row, no join."""
     whole_row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("__row")
     rows = docs.select(whole_row, F.col(text_col).alias("__text"))
-    judged = judge(rows, rules, "__row", "__text")
-    return judged.filter("kept").select("__row.*")
+    # the row number keeps the optimizer from writing the measures out again inside the filter,
+    # where each step of a lambda would compute its arrays anew
+    judged = judge(rows, rules, "__row", "__text").select("__row", "kept", F.monotonically_increasing_id().alias("__n"))
+    return judged.filter("kept AND __n >= 0").select("__row.*")
