@@ -21,14 +21,12 @@ from pyspark.sql import functions as F
 
 from ..functions.distance import DEFAULT_METRIC, check_metric, matrix
 from ..sources.staging import new_path, stage
-from .knn import collect_vectors, local_candidates, top_k
+from .knn import bucket_candidates, top_k
 from .predicates import metadata_filter
 from .search import DEFAULT_K, similarity_search
-from .sizing import has_rows, small_row_count
+from .sizing import has_rows
 
 DEFAULT_LISTS = 100
-TRAIN_ROWS_PER_LIST = 256
-WIDTH_ROWS = 1000
 INDEX_TYPES = ("hnsw", "ivfflat", "diskann")
 
 
@@ -103,20 +101,20 @@ class IvfIndex(_Index):
         embedding: str = "embedding",
         path: str | None = None,
         seed: int = 42,
+        train_fraction: float | None = None,
     ) -> IvfIndex:
         """Train cells and write the partitioned corpus.
 
-        Only the cell centers come from a sample (a few hundred rows per list, as
-        more do not move them); every row is assigned and kept. The rebalance hint
+        The cell centers come from all rows, or from the ``train_fraction`` of them that
+        the caller asks for; every row is assigned and kept. The rebalance hint
         splits a cell that holds much of the corpus over several writing tasks.
         """
         check_metric(metric)
         present = df.filter(F.col(embedding).isNotNull())
         train = present.select(F.col(embedding).cast("array<double>").alias("vector"))
-        wanted, total = lists * TRAIN_ROWS_PER_LIST, df.count()
-        if total > 2 * wanted:
+        if train_fraction is not None:
             # written once: the training passes then read the sample, not the corpus
-            train = stage(train.sample(fraction=wanted / total, seed=seed), "ivf-train")
+            train = stage(train.sample(fraction=train_fraction, seed=seed), "ivf-train")
         train = train.select(array_to_vector("vector").alias("features"))
         if metric == "cosine":
             unit = Normalizer(inputCol="features", outputCol="unit", p=2.0)
@@ -167,20 +165,24 @@ class IvfIndex(_Index):
         self, queries: DataFrame, k: int, probes: int = 1, query_id: str = "id",
         decimals: int | None = None,
     ) -> DataFrame:
-        """``search`` for a bounded query table in one pass over the probed cells."""
-        ids, vectors = _bounded(queries, query_id, self.embedding)
-        order = nearest_cells(self.centers, self.metric, vectors, probes)
-        probed = np.zeros((len(ids), self.lists), bool)
-        np.put_along_axis(probed, order, True, axis=1)
-
-        def mask(numbers: np.ndarray, batch: pa.RecordBatch) -> np.ndarray:
-            return probed[numbers][:, np.asarray(batch.column(2))]
-
-        used = np.flatnonzero(probed.any(axis=0)).tolist()
-        corpus = self.table.filter(F.col("cell").isin(used)).select(
-            F.col(self.id_col).alias("id"), F.col(self.embedding).alias("embedding"), "cell"
+        """``search`` for a whole query table: queries go to their nearest cells and meet
+        only the rows of these."""
+        centers, metric = self.centers, self.metric
+
+        @F.arrow_udf("array<int>")
+        def cells(batch: pa.Array) -> pa.Array:
+            found = nearest_cells(centers, metric, matrix(batch, centers.shape[1]), probes).astype(np.int32)
+            offsets = np.arange(0, found.size + 1, found.shape[1], dtype=np.int32)
+            return pa.ListArray.from_arrays(pa.array(offsets), pa.array(found.ravel()))
+
+        asked = queries.filter(F.col(self.embedding).isNotNull()).select(
+            F.col(query_id).alias("id"), F.col(self.embedding).alias("embedding"),
+            F.explode(cells(F.col(self.embedding))).alias("bucket"),
         )
-        return top_k(local_candidates(corpus, ids, vectors, k, self.metric, decimals, mask), k)
+        corpus = self.table.select(
+            F.col(self.id_col).alias("id"), F.col(self.embedding).alias("embedding"), F.col("cell").alias("bucket")
+        )
+        return top_k(bucket_candidates(corpus, asked, k, self.metric, decimals), k)
 
 
 class LshIndex(_Index):
@@ -211,30 +213,39 @@ class LshIndex(_Index):
         path: str | None = None,
         seed: int = 42,
     ) -> LshIndex:
-        """Hash every row; the default bucket width follows the length of some vectors."""
+        """Hash every row; the default bucket width follows the mean length of all vectors."""
         check_metric(metric)
         present = df.filter(F.col(embedding).isNotNull())
         if width is None:
             length = 1.0
             if metric != "cosine":
-                rows = present.select(F.col(embedding)).take(WIDTH_ROWS)
-                length = float(np.mean([np.linalg.norm(r[0]) for r in rows])) if rows else 1.0
+                squares = F.aggregate(
+                    F.col(embedding), F.lit(0.0), lambda s, v: s + v.cast("double") * v.cast("double")
+                )
+                length = present.agg(F.avg(F.sqrt(squares))).first()[0] or 1.0
             width = 2.0 * (length or 1.0) / dims**0.5
         size = tables * projections
         random = np.random.default_rng(seed).standard_normal((dims, size))
         directions = random / np.sqrt(np.square(random).sum(axis=0))
 
+        hashed = present.withColumn("buckets", cls._hashed(directions, width, metric)(F.col(embedding)))
+        path = path or new_path(df.sparkSession, "lsh")
+        hashed.write.parquet(path)
+        table = df.sparkSession.read.schema(hashed.schema).parquet(path)
+        return cls(table, directions, width, tables, metric, id_col, embedding)
+
+    @staticmethod
+    def _hashed(directions: np.ndarray, width: float, metric: str):
+        """The function that gives a vector its bucket numbers."""
+        dims, size = directions.shape
+
         @F.arrow_udf("array<long>")
         def buckets(batch: pa.Array) -> pa.Array:
             found = bucket_numbers(directions, width, metric, matrix(batch, dims))
             offsets = np.arange(0, found.size + 1, size, dtype=np.int32)
             return pa.ListArray.from_arrays(pa.array(offsets), pa.array(found.ravel()))
 
-        hashed = present.withColumn("buckets", buckets(F.col(embedding)))
-        path = path or new_path(df.sparkSession, "lsh")
-        hashed.write.parquet(path)
-        table = df.sparkSession.read.schema(hashed.schema).parquet(path)
-        return cls(table, directions, width, tables, metric, id_col, embedding)
+        return buckets
 
     def buckets(self, vectors: np.ndarray) -> np.ndarray:
         return bucket_numbers(self.directions, self.width, self.metric, vectors)
@@ -274,33 +285,24 @@ class LshIndex(_Index):
     def knn_join(
         self, queries: DataFrame, k: int, query_id: str = "id", decimals: int | None = None
     ) -> DataFrame:
-        """Neighbours sharing a bucket for a bounded query table, in one pass."""
-        ids, vectors = _bounded(queries, query_id, self.embedding)
-        tables = self.tables
-        mine = self.buckets(vectors).reshape(len(ids), tables, -1)
-
-        def mask(numbers: np.ndarray, batch: pa.RecordBatch) -> np.ndarray:
-            flat = batch.column(2).flatten().to_numpy(zero_copy_only=False)
-            theirs = flat.reshape(batch.num_rows, tables, -1)
-            shared = np.zeros((len(numbers), batch.num_rows), bool)
-            for t in range(tables):
-                equal = np.ones_like(shared)
-                for p in range(theirs.shape[2]):
-                    equal &= mine[numbers, t, p][:, None] == theirs[:, t, p][None, :]
-                shared |= equal
-            return shared
-
-        corpus = self.table.select(
-            F.col(self.id_col).alias("id"), F.col(self.embedding).alias("embedding"), "buckets"
+        """Neighbours sharing a bucket for a whole query table: both sides meet by bucket."""
+        hash_rows = self._hashed
+
+        def keyed(rows: DataFrame, id_col: str, buckets) -> DataFrame:
+            per = self.directions.shape[1] // self.tables
+            numbers = F.array(*[
+                F.xxhash64(F.lit(t), F.slice("buckets", t * per + 1, per)) for t in range(self.tables)
+            ])
+            return rows.withColumn("buckets", buckets).select(
+                F.col(id_col).alias("id"), F.col(self.embedding).alias("embedding"), F.explode(numbers).alias("bucket")
+            )
+
+        asked = keyed(
+            queries.filter(F.col(self.embedding).isNotNull()), query_id,
+            hash_rows(self.directions, self.width, self.metric)(F.col(self.embedding)),
         )
-        return top_k(local_candidates(corpus, ids, vectors, k, self.metric, decimals, mask), k)
-
-
-def _bounded(queries: DataFrame, query_id: str, embedding: str):
-    left = queries.select(F.col(query_id).alias("id"), F.col(embedding).alias("embedding"))
-    if small_row_count(left) is None:
-        raise ValueError("query table too large for one pass; split it or use knn_join")
-    return collect_vectors(left)
+        corpus = keyed(self.table, self.id_col, F.col("buckets"))
+        return top_k(bucket_candidates(corpus, asked, k, self.metric, decimals), k)
 
 
 def create_index(df: DataFrame, index_type: str, metric: str = DEFAULT_METRIC, **options):

@@ -111,16 +111,20 @@ def assign_ids(
     """
     rows = rows.drop(id_col)
     staged = stage(rows.orderBy(*order) if order else rows, "ids")
-    part = F.regexp_extract(F.col("_metadata.file_name"), r"part-(\d+)", 1).cast("long")
-    numbered = staged.withColumn("_part", part).withColumn("_row", F.col("_metadata.row_index"))
-    sizes = numbered.groupBy("_part").agg(F.count(F.lit(1)).alias("_size"))
+    numbered = staged.withColumn("_file", F.col("_metadata.file_name")).withColumn(
+        "_row", F.col("_metadata.row_index")
+    )
+    sizes = numbered.groupBy("_file").agg(F.count(F.lit(1)).alias("_size"))
+    # a task may write several files: the task's number comes first, then its file counter
+    task = F.regexp_extract("_file", r"^part-(\d+)", 1).cast("long")
+    counter = F.regexp_extract("_file", r"-c(\d+)", 1).cast("long")
     # one row per written file, so both the window and the broadcast are bounded by that
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.orderBy(task, counter, "_file").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(
-        "_part", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset")
+        "_file", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset")
     )
     identity = (F.col("_offset") + F.col("_row") + F.lit(start)).cast("long")
-    return numbered.join(F.broadcast(offsets), "_part").select(identity.alias(id_col), *rows.columns)
+    return numbered.join(F.broadcast(offsets), "_file").select(identity.alias(id_col), *rows.columns)
 
 
 def prepare_vectors(docs: DataFrame, dims: int) -> DataFrame:

@@ -141,6 +141,46 @@ def top_k(candidates: DataFrame, k: int) -> DataFrame:
     return ranked.filter(F.col("rank") <= k)
 
 
+def bucket_candidates(
+    corpus: DataFrame, queries: DataFrame, k: int, metric: str, decimals: int | None
+) -> DataFrame:
+    """Best ``k`` per query and tile among the rows that share a bucket with it.
+
+    Both sides have ``id``, ``embedding`` and ``bucket``; a row may stand in several. Buckets
+    are cut by a hash of the id into tiles of at most about ``BLOCK_ROWS`` rows a side, by
+    their measured sizes, so neither a hot bucket nor many queries meet in one task. A pair
+    found in several buckets is given once.
+    """
+    def sized(rows: DataFrame, name: str) -> DataFrame:
+        return rows.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).alias(name))
+
+    tiles = sized(corpus, "rows").join(sized(queries, "asked"), "bucket")
+
+    def dealt(side: DataFrame, own: str, other: str) -> DataFrame:
+        part = F.pmod(F.xxhash64("id"), F.col(own)).alias(f"{own}_part")
+        every = F.explode(F.sequence(F.lit(0).cast("long"), F.col(other) - 1)).alias(f"{other}_part")
+        placed = side.join(tiles, "bucket").select("id", "embedding", "bucket", own, other, part)
+        return placed.select("id", "embedding", "bucket", f"{own}_part", every).select(
+            F.col("id").cast("long").alias("id"), "embedding", "bucket",
+            F.col("rows_part").cast("long").alias("rows_part"), F.col("asked_part").cast("long").alias("asked_part"),
+        )
+
+    keys = ["bucket", "rows_part", "asked_part"]
+
+    def tile(asked: pa.Table, rows: pa.Table) -> pa.Table:
+        best = Best(np.empty(0, np.int64), np.empty((0, 0)), k, metric, decimals)
+        if len(asked) and len(rows):
+            query_ids, row_ids = (np.asarray(t["id"].combine_chunks()) for t in (asked, rows))
+            vectors, others = (matrix(t["embedding"].combine_chunks(), None) for t in (asked, rows))
+            best = Best(query_ids, vectors, k, metric, decimals)
+            best.add(row_ids, others)
+        return pa.Table.from_batches([best.batch()])
+
+    left = dealt(queries.filter(F.col("embedding").isNotNull()), "asked", "rows").groupBy(*keys)
+    right = dealt(corpus.filter(F.col("embedding").isNotNull()), "rows", "asked").groupBy(*keys)
+    return left.cogroup(right).applyInArrow(tile, RESULT).dropDuplicates(["query_id", "id"])
+
+
 def local_candidates(
     corpus: DataFrame,
     query_ids: np.ndarray,

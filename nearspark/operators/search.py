@@ -71,6 +71,11 @@ def with_rank(results: DataFrame, id_col: str = "id") -> DataFrame:
     return results.withColumn("rank", F.row_number().over(Window.orderBy(*nearest_first(id_col))))
 
 
+def metadata_or_empty(metadata: Column) -> Column:
+    """The metadata as results show it: an absent one and the JSON null are both ``{}``."""
+    return F.when(F.trim(metadata) == "null", "{}").otherwise(F.coalesce(metadata, F.lit("{}")))
+
+
 def get_many(
     df: DataFrame,
     prompt: str,
@@ -84,7 +89,7 @@ def get_many(
     results = similarity_search(df, embedder.embed_query(prompt), k, metric, filters, **options)
     return results.select(
         F.col("content").alias("pageContent"),
-        F.coalesce("metadata", F.lit("{}")).alias("metadata"),
+        metadata_or_empty(F.col("metadata")).alias("metadata"),
         F.col("distance").alias("score"),
     )
 
@@ -100,7 +105,7 @@ def retrieve_documents(
     ranked = with_rank(results)
     if rerank is not None:
         ranked = rerank(ranked)
-    return ranked.select("rank", "content", F.coalesce("metadata", F.lit("{}")).alias("metadata"))
+    return ranked.select("rank", "content", metadata_or_empty(F.col("metadata")).alias("metadata"))
 
 
 def retrieve_context(documents: DataFrame) -> DataFrame:

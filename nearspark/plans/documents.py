@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.embedder import HashingEmbedder
 from ..operators.ingest import (
     add_documents, assign_ids, chunk_markdown, documents_from_items, embed_text,
-    extract_metadata, extract_page_content, ingest_markdown, ingest_report, insert_documents,
-    prepare_vectors,
+    extract_metadata, extract_page_content, ingest_markdown, insert_documents,
 )
 from ..operators.search import get_many
+from ..store import VectorStore
 from .registry import Tables, query
 from .vectors import DIMS, RAG_SQL, rag_docs
 
@@ -195,19 +197,35 @@ def _shown(rows: DataFrame) -> DataFrame:
     )
 
 
-for _name in ("insert_documents", "add_vectors"):
-    @query(_name, f"""
-        WITH {RAG_SQL} SELECT {_SHOWN_SQL} FROM (
-            SELECT id, content, embedding, metadata FROM rag_docs UNION ALL {_BATCH_SQL})""")
-    def _(t: Tables) -> DataFrame:
-        return _shown(_inserted(t))
+@query("insert_documents", f"""
+    WITH {RAG_SQL} SELECT {_SHOWN_SQL} FROM (
+        SELECT id, content, embedding, metadata FROM rag_docs UNION ALL {_BATCH_SQL})""")
+def _(t: Tables) -> DataFrame:
+    return _shown(_inserted(t))
+
+
+def _store(t: Tables) -> VectorStore:
+    """A store over a table of its own, made by its first insert."""
+    return VectorStore(t.spark, EMBEDDER, f"query_{uuid.uuid4().hex}", dims=DIMS)
+
+
+@query("add_vectors", f"""
+    SELECT {_SHOWN_SQL} FROM ({_BATCH_SQL.replace('1000000 + ', '')})""")
+def _(t: Tables) -> DataFrame:
+    store = _store(t)
+    store.add_vectors(_batch(t).withColumn("metadata", F.lit(None).cast("string")), ("label", "vec_id"))
+    return _shown(store.rows())
 
 
 @query("ingest_report", """
-    SELECT true AS success, count(*) AS "insertedCount", 'public.rag_docs' AS "tableName"
-    FROM embeddings""")
+    SELECT true AS success, count(*) AS "insertedCount", true AS "stored" FROM documents""")
 def _(t: Tables) -> DataFrame:
-    return ingest_report(prepare_vectors(_batch(t), DIMS), "public.rag_docs")
+    store = _store(t)
+    report = store.insert(t.documents.select("text", F.struct("lang").alias("metadata")))
+    stored = store.rows().agg(F.count(F.lit(1)).alias("n"))
+    return report.crossJoin(F.broadcast(stored)).select(  # one row each
+        "success", "insertedCount", (F.col("n") == F.col("insertedCount")).alias("stored")
+    )
 
 
 @query("add_documents", f"""

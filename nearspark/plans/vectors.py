@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.distance import METRICS, distance, parse_vector, vector_literal, vector_text
+from ..functions.distance import METRICS, check_dims, distance, parse_vector, vector_literal, vector_text
 from ..operators.ann import IvfIndex, LshIndex, recall
 from ..operators.knn import knn_join
 from ..operators.predicates import metadata_filter
@@ -150,7 +150,7 @@ def _top(t: Tables) -> DataFrame:
 
 
 @query("retrieve_documents", f"""{_TOP_SQL}
-    SELECT CAST(rank AS INTEGER) AS rank, content, coalesce(metadata, '{{}}') AS metadata FROM docs""")
+    SELECT CAST(rank AS INTEGER) AS rank, content, coalesce(nullif(metadata, 'null'), '{{}}') AS metadata FROM docs""")
 def _(t: Tables) -> DataFrame:
     return retrieve_documents(_top(t))
 
@@ -169,16 +169,18 @@ def shortest_first(ranked: DataFrame) -> DataFrame:
 
 @query("rerank", f"""{_TOP_SQL}
     SELECT CAST(row_number() OVER (ORDER BY length(content), id) AS INTEGER) AS rank, content,
-           coalesce(metadata, '{{}}') AS metadata FROM docs""")
+           coalesce(nullif(metadata, 'null'), '{{}}') AS metadata FROM docs""")
 def _(t: Tables) -> DataFrame:
     return retrieve_documents(_top(t), shortest_first)
 
 
 @query("check_dims", """
-    SELECT vec_id, len(embedding) AS dims, len(embedding) = 64 AS fits FROM embeddings""")
+    SELECT vec_id, len(embedding) AS dims, round(list_sum(CAST(embedding AS DOUBLE[])), 5) + 0.0 AS total
+    FROM embeddings""")
 def _(t: Tables) -> DataFrame:
-    dims = F.size("embedding").cast("long")
-    return t.embeddings.select("vec_id", dims.alias("dims"), (dims == DIMS).alias("fits"))
+    checked = t.embeddings.select("vec_id", check_dims(F.col("embedding"), DIMS).alias("v"))
+    total = F.round(F.aggregate("v", F.lit(0.0), lambda a, x: a + x.cast("double")), 5) + 0.0
+    return checked.select("vec_id", F.size("v").cast("long").alias("dims"), total.alias("total"))
 
 
 @query("vector_text", """

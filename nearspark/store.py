@@ -62,11 +62,12 @@ class VectorStore:
         numbered = ingest.assign_ids(docs, last + 1, order)
         count = numbered.count()
         if count:
+            # the range is taken before the rows are there: a crash leaves a gap, never a repeat
+            catalog.set_property(self.spark, self.name, catalog.LAST_ID, str(last + count))
             rows = ingest.prepare_vectors(complete(numbered), dims)
             catalog.append(self.spark, self.name, rows.withColumn(
                 "created_at", F.current_timestamp()
             ))
-            catalog.set_property(self.spark, self.name, catalog.LAST_ID, str(last + count))
         self._index = None
         return count
 
@@ -115,7 +116,7 @@ class VectorStore:
         found = self.similarity_search(prompt, k, filters)
         return found.select(
             F.col("content").alias("pageContent"),
-            F.coalesce("metadata", F.lit("{}")).alias("metadata"),
+            search.metadata_or_empty(F.col("metadata")).alias("metadata"),
             F.col("distance").alias("score"),
         )
 

@@ -42,10 +42,13 @@ class KeyedTable:
 
         The batch is written down first, as it is read several times. The new buckets
         are staged too and then swapped in, each as a whole. Repeating a batch after a
-        failure gives the same table.
+        failure gives the same table. An item without a key fails its batch.
         """
         items = batch.withColumn(ORDINAL, F.col(self.order)).withColumn(BUCKET, self._bucket())
         items = stage(items, "stream-batch")
+        lost = items.filter(F.col(self.key).isNull()).limit(1).count()
+        if lost:
+            raise ValueError(f"Unique column '{self.key}' must have a value")
         touched = [r[0] for r in items.select(BUCKET).distinct().collect()]  # at most `buckets`
         if not touched:
             return

@@ -151,3 +151,14 @@ def test_describe(vectors):
     assert tuples(describe_table(vectors))[:2] == [
         (1, "id", "bigint", "YES"), (2, "content", "string", "YES"),
     ]
+
+
+def test_ids_stay_unique_when_a_task_writes_many_files(spark):
+    spark.conf.set("spark.sql.files.maxRecordsPerFile", "10")
+    try:
+        rows = spark.range(100).withColumnRenamed("id", "n").repartition(3)
+        assert sorted(r.id for r in assign_ids(rows).collect()) == list(range(1, 101))
+        ordered = assign_ids(rows, 5, ("n",)).collect()
+        assert all(r.id == r.n + 5 for r in ordered)
+    finally:
+        spark.conf.unset("spark.sql.files.maxRecordsPerFile")

@@ -70,7 +70,7 @@ def test_retrieval_forms(vectors):
     docs = retrieve_documents(top)
     assert sorted(tuples(docs)) == [
         (1, "Hello world", '{"source":"test","category":"greeting"}'),
-        (2, "No metadata doc", "null"),
+        (2, "No metadata doc", "{}"),
     ]
     assert retrieve_context(docs).first().context == "Hello world\n\nNo metadata doc"
     flipped = retrieve_documents(top, lambda d: d.withColumn("rank", 3 - F.col("rank")))
@@ -201,3 +201,20 @@ def test_index_kinds(corpus):
     assert isinstance(create_index(corpus[1], "hnsw", "l2", dims=DIMS), LshIndex)
     with pytest.raises(ValueError, match="Unsupported index type: flat"):
         create_index(corpus[1], "flat")
+
+
+def test_batch_search_has_no_cap_and_splits_hot_cells(spark, monkeypatch):
+    from nearspark.operators import knn
+
+    monkeypatch.setattr(knn, "BLOCK_ROWS", 7)
+    rows = spark.range(300).selectExpr(
+        "id", "array(float(if(id % 3 = 0, 1, id % 17)), float(id % 5), float(id % 7 + 1)) AS embedding"
+    )
+    exact = knn.knn_join(rows, rows, 3, "l2", decimals=6).select("query_id", "id", "rank")
+    index = IvfIndex.build(rows, 4, "l2")
+    found = index.knn_join(rows, 3, probes=4, decimals=6).select("query_id", "id", "rank")
+    assert sorted(tuples(found)) == sorted(tuples(exact))
+    top = LshIndex.build(rows, 3, "l2").knn_join(rows, 1, decimals=6)
+    assert sorted(tuples(top.select("query_id", "id"))) == sorted(
+        tuples(exact.filter("rank = 1").select("query_id", "id"))
+    )
