@@ -16,15 +16,16 @@ sequence as one). Two sets link when 100 * intersection >= percent * union.
    percentage), the positional filter (what stands behind the shared place must suffice) and, once per
    pair, the suffix filter (the sets, cut at 64 fixed pivots of the hash range, can overlap at most
    by the smaller count of each part).
-5. *Verification*, once per pair, on the whole sets of both classes. Only the texts of
+5. *Verification* on the whole sets of both classes, once per pair of a round. Only the texts of
    candidates make sets again.
 
 Groups of near copies may be a third of the table, so pairs are not all written out: the
 first rounds pair every class with one leader of its n-gram, and the classes linked so far
-become one label; the last round pairs what is left across labels, leaving out pairs of
-the commonest label of an n-gram with itself. Every pair that could link is thus verified
-or already connected, so the components are exact. ``links=True`` skips the leader rounds and the
-labels and returns all linked pairs of classes instead.
+become one label. The last step deals the classes of each label to blocks of bounded size and
+compares a class with whole blocks of other labels, leaving out the commonest label of an
+n-gram with itself; one link with a block is enough. Every pair that could link is thus verified or
+already connected, so the components are exact. ``near_links`` returns all linked pairs of
+classes instead, and is as large as they are.
 
 Defined results: null and empty texts and texts of white space have an empty set and link
 with nothing; a component's id is its smallest document id, nulls left out; rows with one id
@@ -52,6 +53,9 @@ CELL_BITS = 20
 CHUNK_BITS = 14
 PARTS = 64
 SLOT_BITS = 24
+#: A block of classes with one label holds about so many classes and n-grams.
+BLOCK_CLASSES = 64
+BLOCK_GRAMS = 1 << 18
 
 
 def _cells(sets: np.ndarray) -> np.ndarray:
@@ -224,30 +228,18 @@ class Join:
         sorted_rows = prefixes.repartition("gram").sortWithinPartitions("gram", "cls")
         self.rows = self.scratch.put(sorted_rows.mapInArrow(_shared, prefixes.schema), "shared")
 
-    def candidates(self, labels: DataFrame | None, leaders: bool) -> DataFrame:
+    def leader_pairs(self, labels: DataFrame | None) -> DataFrame:
+        """Every class with the leader of each of its n-grams that has another label."""
         rows = _labelled(self.rows, labels)
-        best = _commonest(rows)
-        differ = F.col("x.label") != F.col("y.label")
-        if leaders:
-            return _pairs(rows, best, self.percent, differ)
-        others = rows.alias("r").join(
-            best.select("gram", F.col("label").alias("top")), "gram"
-        ).filter("r.label <> top").select("gram", "cls", "n", "pos", "label")
-        return _pairs(others, rows, self.percent, differ)
+        return _pairs(rows, _commonest(rows), self.percent, F.col("x.label") != F.col("y.label"))
 
     def all_candidates(self) -> DataFrame:
         return _pairs(self.rows, self.rows, self.percent, F.col("x.cls") < F.col("y.cls"))
 
-    def verified(self, pairs: DataFrame) -> DataFrame:
-        """The pairs (a, b) that link, with their overlap."""
-        spark, percent, size = self.spark, self.percent, self.size
-        x, y = self.classes.alias("x"), self.classes.alias("y")
-        both = pairs.join(x, F.col("a") == F.col("x.cls")).join(y, F.col("b") == F.col("y.cls"))
-        most = F.aggregate(F.zip_with("x.parts", "y.parts", lambda p, q: F.least(p, q)), F.lit(0), lambda s, v: s + v)
-        left = self.scratch.put(
-            both.filter((100 + percent) * most >= percent * (F.col("x.n") + F.col("y.n"))).select("a", "b"), "suffix"
-        )
-        needed = left.select(F.col("a").alias("cls")).union(left.select("b")).distinct().join(self.classes, "cls").select("cls", "id")
+    def sets(self, classes: DataFrame) -> DataFrame:
+        """(cls, grams) of the classes in the column ``cls``, made again from one text of each."""
+        size = self.size
+        needed = classes.distinct().join(self.classes, "cls").select("cls", "id")
         slot = F.pmod(F.xxhash64("id"), F.lit(1 << SLOT_BITS)).cast("int")
         words = needed.groupBy(F.shiftright(slot, 6).alias("w")).agg(
             F.bit_or(F.expr(f"shiftleft(1L, int(pmod(xxhash64(id), {1 << SLOT_BITS}) & 63))")).alias("bits")
@@ -255,41 +247,112 @@ class Join:
         bitmap = np.zeros(1 << SLOT_BITS - 6, np.int64)  # of fixed size; lets through too many, never too few
         for row in words.toLocalIterator():
             bitmap[row["w"]] = row["bits"]
-        shared_bitmap = spark.sparkContext.broadcast(bitmap)
-        sets = self.docs.select("id", "text", slot.alias("slot")).mapInArrow(
-            lambda b: _sets(b, size, shared_bitmap), f"id {self.kind}, cls long, grams array<long>"
+        shared = self.spark.sparkContext.broadcast(bitmap)
+        made = self.docs.select("id", "text", slot.alias("slot")).mapInArrow(
+            lambda b: _sets(b, size, shared), f"id {self.kind}, cls long, grams array<long>"
         )
-        sets = sets.alias("s").join(
+        wanted = made.alias("s").join(
             needed.alias("k"), (F.col("s.cls") == F.col("k.cls")) & F.col("s.id").eqNullSafe(F.col("k.id")), "left_semi"
         )
-        sets = self.scratch.put(sets.select("cls", "grams"), "sets")
+        return self.scratch.put(wanted.select("cls", "grams"), "sets")
+
+    def _linking(self, overlap: Column, total: Column) -> Column:
+        return 100 * overlap >= self.percent * (total - overlap)
+
+    def _suffix_filter(self) -> Column:
+        """On the classes x and y: their sets can overlap enough part by part."""
+        most = F.aggregate(F.zip_with("x.parts", "y.parts", lambda p, q: F.least(p, q)), F.lit(0), lambda t, v: t + v)
+        return (100 + self.percent) * most >= self.percent * (F.col("x.n") + F.col("y.n"))
+
+    def verified(self, pairs: DataFrame) -> DataFrame:
+        """The pairs (a, b) that link, with their overlap."""
+        x, y = self.classes.alias("x"), self.classes.alias("y")
+        both = pairs.join(x, F.col("a") == F.col("x.cls")).join(y, F.col("b") == F.col("y.cls"))
+        left = self.scratch.put(both.filter(self._suffix_filter()).select("a", "b"), "suffix")
+        sets = self.sets(left.select(F.col("a").alias("cls")).union(left.select("b")))
         wide = left.join(sets.select(F.col("cls").alias("a"), F.col("grams").alias("ga")), "a").join(
             sets.select(F.col("cls").alias("b"), F.col("grams").alias("gb")), "b"
         )
-        overlap = F.size(F.array_intersect("ga", "gb"))
-        links = wide.select("a", "b", overlap.alias("overlap"), (F.size("ga") + F.size("gb")).alias("n")).filter(
-            100 * F.col("overlap") >= percent * (F.col("n") - F.col("overlap"))
+        counted = wide.select(
+            "a", "b", F.size(F.array_intersect("ga", "gb")).alias("overlap"), (F.size("ga") + F.size("gb")).alias("total")
         )
-        links = self.scratch.put(links.select("a", "b", "overlap").distinct(), "links")
+        found = counted.filter(self._linking(F.col("overlap"), F.col("total")))
+        links = self.scratch.put(found.select("a", "b", "overlap").distinct(), "links")
         self.scratch.drop(left, sets)
         return links
 
+    def across(self, labels: DataFrame | None) -> DataFrame:
+        """Links (a, b) that join different labels, one at least for all labels that any link joins.
+
+        Classes of one label are dealt to blocks. A class meets the blocks of other labels with
+        which it shares an n-gram; it is compared with every member of a block, and one link
+        with it is enough.
+        """
+        every = _labelled(self.rows, labels)
+        best = _commonest(every).select("gram", F.col("label").alias("top"))
+        rows = self.scratch.put(every.join(best, "gram"), "mixed")  # n-grams that have several labels left
+        members = rows.select("cls", "n", "label").distinct()
+        parts = members.groupBy("label").agg(
+            F.greatest(F.ceil(F.count("*") / BLOCK_CLASSES), F.ceil(F.sum("n") / BLOCK_GRAMS)).alias("of")
+        )
+        members = self.scratch.put(members.join(parts, "label").select(
+            "cls", "n", "label", F.pmod(F.xxhash64("cls"), "of").alias("part")
+        ), "members")
+        blocks = rows.join(members.select("cls", "part"), "cls").groupBy("gram", "label", "part").agg(
+            F.min("n").alias("n_min"), F.max("n").alias("n_max"), F.max(F.col("n") - F.col("pos")).alias("room")
+        )
+        x, y, t = rows.filter("label <> top").alias("x"), blocks.alias("y"), self.percent
+        room = F.least(F.col("x.n") - F.col("x.pos"), F.col("y.room"))
+        met = x.join(
+            y, (F.col("x.gram") == F.col("y.gram"))
+            & ((F.col("x.label") < F.col("y.label")) | (F.col("y.label") == F.col("x.top")))
+            & (100 * F.col("y.n_max") >= t * F.col("x.n")) & (100 * F.col("x.n") >= t * F.col("y.n_min"))
+            & ((100 + t) * room >= t * (F.col("x.n") + F.col("y.n_min"))),
+        ).select("x.cls", "y.label", "y.part").distinct()
+        single = members.groupBy("label", "part").agg(F.count("*").alias("m"), F.min("cls").alias("one"))
+        c, o = self.classes.alias("x"), self.classes.alias("y")
+        pairs = met.alias("p").join(single.alias("b"), ["label", "part"]).select(
+            F.col("p.cls").alias("a"), "label", "part", F.when(F.col("m") == 1, F.col("one")).alias("one")
+        )
+        few = pairs.filter("one IS NOT NULL").join(c, F.col("a") == F.col("x.cls")).join(o, F.col("one") == F.col("y.cls")).filter(
+            self._suffix_filter()
+        ).select("a", "label", "part")
+        pairs = self.scratch.put(few.unionByName(pairs.filter("one IS NULL").select("a", "label", "part")), "across")
+        in_pairs = members.join(pairs.select("label", "part").distinct(), ["label", "part"])
+        sets = self.sets(in_pairs.select("cls").union(pairs.select("a")))
+        bodies = in_pairs.join(sets, "cls").groupBy("label", "part").agg(F.collect_list(F.struct("cls", "grams")).alias("body"))
+        own = pairs.join(sets.select(F.col("cls").alias("a"), F.col("grams").alias("ga")), "a")
+        wide = own.join(bodies, ["label", "part"])
+
+        def links(m: Column) -> Column:
+            return self._linking(F.size(F.array_intersect("ga", m["grams"])), F.size("ga") + F.size(m["grams"]))
+
+        hits = F.transform(F.filter("body", links), lambda m: m["cls"])
+        found = self.scratch.put(
+            wide.select("a", F.array_min(hits).alias("b")).filter("b IS NOT NULL"), "links"
+        )
+        self.scratch.drop(rows, members, pairs, sets)
+        return found
+
     def labels(self, leader_rounds: int = LEADER_ROUNDS) -> DataFrame | None:
         """(node, label) of all classes with a link."""
         labels = links = tested = None
-        for k in range(leader_rounds + 1):
-            pairs = self.candidates(labels, leaders=k < leader_rounds)
+        for _ in range(leader_rounds):
+            pairs = self.leader_pairs(labels)
             if tested is not None:
                 pairs = pairs.join(tested, ["a", "b"], "left_anti")
             pairs = self.scratch.put(pairs, "pairs")
             if pairs.isEmpty():
-                continue
-            found = self.verified(pairs)
+                break
+            found = self.verified(pairs).select("a", "b")
             tested = pairs if tested is None else tested.unionByName(pairs)
             links = found if links is None else links.unionByName(found)
             if not found.isEmpty():
                 labels = components(links, self.scratch)
-        return labels
+        found = self.across(labels)
+        if found.isEmpty():
+            return labels
+        return components(found if links is None else links.unionByName(found), self.scratch)
 
 
 def _sets(batches: Iterator[pa.RecordBatch], size: int, bitmap) -> Iterator[pa.RecordBatch]:
