@@ -1,22 +1,31 @@
 """Language-model scores from a probabilistic suffix tree over words.
 
 Symbols are the words of a text, lower-cased, and one end of text. A context of up to
-``DEPTH`` words is a candidate state when it makes up at least ``MIN_SHARE`` of all training
-tokens (and ``MIN_COUNT`` of them). So there are at most 1 / MIN_SHARE candidates per
-length, whatever the corpus' size, and the tree may be broadcast. A candidate is retained
-when the distribution of its next symbols diverges from that of its longest retained
-suffix by at least ``DIVERGENCE`` nats; symbols too rare behind it count as one rest.
+``DEPTH`` words is a candidate state when the training texts hold it at least ``MIN_COUNT``
+times (and it makes up at least ``MIN_SHARE`` of all training tokens; 0 asks for no share). A
+candidate is retained when the distribution of its next symbols diverges from that of its
+longest retained suffix by at least ``DIVERGENCE`` nats; symbols too rare behind it count as
+one rest. The tree grows with the corpus, so it is kept as Spark tables.
 
 Smoothing: of each next symbol's count ``DISCOUNT`` is taken off; what is left over goes to the
 other symbols in proportion to the suffix state. The root is the add-0.5 unigram
 distribution over all words of the corpus. A text's score sums, token by token, the log10
 probability from the longest state that ends there.
 
-What is gathered: (1) cell counts of all n-grams (tables of fixed size, added up as they
-stream by), which name the n-grams that can be frequent; (2) exact counts of these; (3) all
-different words; (4) per text and word that is not frequent its number of places, met by
-word to count the corpus and then by text to add up. Frequent words never enter that
-exchange, so no word is a hot key.
+How it is made:
+
+1. All n-grams up to ``DEPTH`` + 1 are counted, first per task, then by n-gram.
+2. Depth by depth the candidates' divergence is summed by context, which starts before the
+   exchange, and the chance of each frequent n-gram's last token is taken from the longest
+   retained suffix of the rest: its own state's, else that of the n-gram less its first token.
+3. As every suffix of a frequent n-gram is frequent, a text's score is the sum of one weight
+   per n-gram in it: the log10 backoff of the state it is, and what its chance adds to that
+   of its suffix, less the backoff of its context. Weights of n-grams that make up ``HOT_SHARE`` of the
+   tokens are broadcast and never enter an exchange, so none is a hot key; the others meet the
+   texts by n-gram and are added up by text. A bitmap keeps n-grams without a weight away from
+   that exchange; it can let too many through, never too few.
+
+Neither ``HOT_SHARE`` nor the bitmap's size changes a result.
 
 Defined results: null and empty texts are one end of text; rows with a null id train;
 repeated rows train and are scored one by one; without training texts every token has
@@ -30,18 +39,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .scratch import Scratch
 from .words import U64, Run, mix, runs, windows
 
 DEPTH = 3
-MIN_SHARE = 2e-5
+MIN_SHARE = 0.0
 MIN_COUNT = 3
 DIVERGENCE = 0.02
 DISCOUNT = 0.5
-CELL_BITS = 19
-CHUNK_BITS = 14
+HOT_SHARE = 2e-5
+BITMAP_BITS = 26
+PILE = 2_000_000
 END = mix(np.array([0xE0F], U64), 77)[0]
 
 
@@ -61,7 +72,7 @@ def _inside(tokens: np.ndarray, starts: np.ndarray) -> np.ndarray:
 
 
 def grams(tokens: np.ndarray, n: int) -> np.ndarray:
-    return tokens if n == 1 else windows(tokens, n, 50 + n)
+    return windows(tokens, n, 50 + n)
 
 
 def _valid(place: np.ndarray, n: int) -> np.ndarray:
@@ -69,288 +80,219 @@ def _valid(place: np.ndarray, n: int) -> np.ndarray:
     return place[n - 1 :] >= n - 1
 
 
-def _cell(h: np.ndarray) -> np.ndarray:
-    return (mix(h, 9) >> U64(64 - CELL_BITS)).astype(np.int64)
-
-
-def _sketched(batches: Iterator[pa.RecordBatch], depth: int) -> Iterator[pa.RecordBatch]:
-    counts = np.zeros((depth + 1, 1 << CELL_BITS), np.int64)
-    for batch in batches:
-        for run in runs(batch.column(0)):
-            tokens, starts = _tokens(run)
-            place = _inside(tokens, starts)
-            for n in range(1, depth + 2):
-                h = grams(tokens, n)
-                if len(h):
-                    counts[n - 1] += np.bincount(_cell(h[_valid(place, n)]), minlength=1 << CELL_BITS)
-    each = counts.reshape(-1, 1 << CHUNK_BITS)
-    used = [k for k in range(len(each)) if each[k].any()]
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(used, pa.int32()), pa.array([each[k].astype("<u4").tobytes() for k in used], pa.binary())],
-        names=["chunk", "counts"],
-    )
-
-
-def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total: dict[int, np.ndarray] = {}
-    for batch in batches:
-        for chunk, raw in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-            counts = np.frombuffer(raw.as_buffer(), "<u4").astype(np.int64)
-            total[chunk] = total[chunk] + counts if chunk in total else counts
-    if total:
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(list(total), pa.int32()), pa.array([c.tobytes() for c in total.values()], pa.binary())],
-            names=["chunk", "counts"],
-        )
-
-
-def _distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The different tokens of each few megabytes, joined up to a bound before they leave."""
-    held, size = [], 0
-
-    def out() -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(np.unique(np.concatenate(held)).view(np.int64))], names=["word"])
-
-    for batch in batches:
-        for run in runs(batch.column(0)):
-            held.append(np.unique(_tokens(run)[0]))
-            size += len(held[-1])
-            if size > 4_000_000:
-                held = [np.unique(np.concatenate(held))]
-                size = len(held[0])
-                if size > 2_000_000:
-                    yield out()
-                    held, size = [], 0
-    if held:
-        yield out()
-
-
 class _Sums:
-    """Counts of n-grams of one task with one place of each, joined when they pile up."""
+    """Counts of n-grams of one task with their head and tail, joined when they pile up and
+    handed on when many different ones remain."""
 
-    def __init__(self):
-        self.parts, self.size = [], 0
+    def __init__(self, n: int):
+        self.n, self.parts, self.size = n, [], 0
 
-    def add(self, *columns: np.ndarray) -> None:
+    def add(self, *columns: np.ndarray) -> Iterator[pa.RecordBatch]:
         self.parts.append(columns)
         self.size += len(columns[0])
-        if self.size > 2_000_000:
+        if self.size > 2 * PILE:
             self.parts = [self.joined()]
             self.size = len(self.parts[0][0])
+            if self.size > PILE:
+                yield from self.out()
 
     def joined(self) -> tuple[np.ndarray, ...]:
         gram, *rest, count = (np.concatenate(c) for c in zip(*self.parts, strict=True))
         keys, first, back = np.unique(gram, return_index=True, return_inverse=True)
         return (keys, *(r[first] for r in rest), np.bincount(back, count, len(keys)).astype(np.int64))
 
+    def out(self) -> Iterator[pa.RecordBatch]:
+        if self.parts:
+            *names, count = self.joined()
+            self.parts, self.size = [], 0
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(count), self.n, np.int32)), *(pa.array(c.view(np.int64)) for c in names), pa.array(count)],
+                names=["n", "gram", "head", "tail", "count"],
+            )
+
 
-def _counted(batches: Iterator[pa.RecordBatch], cells, least: int, depth: int) -> Iterator[pa.RecordBatch]:
-    """(n, gram, its first n - 1 tokens, its last n - 1, its last token, count) of all n-grams
-    whose cell holds enough."""
-    table, sums = cells.value, [_Sums() for _ in range(depth + 1)]
+def _counted(batches: Iterator[pa.RecordBatch], depth: int) -> Iterator[pa.RecordBatch]:
+    """(n, gram, its first n - 1 tokens, its last n - 1, count) of all n-grams."""
+    sums = [_Sums(n) for n in range(1, depth + 2)]
     for batch in batches:
         for run in runs(batch.column(0)):
             tokens, starts = _tokens(run)
-            place = _inside(tokens, starts)
+            place, shorter = _inside(tokens, starts), np.zeros(len(tokens) + 1, U64)
             for n in range(1, depth + 2):
                 h = grams(tokens, n)
-                at = np.flatnonzero(_valid(place, n)) if len(h) else np.zeros(0, np.int64)
-                at = at[table[n - 1][_cell(h[at])] >= least]
-                if not len(at):
-                    continue
+                if not len(h):
+                    break
+                at = np.flatnonzero(_valid(place, n))
                 keys, first, count = np.unique(h[at], return_index=True, return_counts=True)
                 at = at[first]
-                shorter = grams(tokens, n - 1) if n > 1 else np.zeros(len(tokens) + 1, U64)
-                sums[n - 1].add(keys, shorter[at], shorter[at + 1], tokens[at + n - 1], count)
-    for n, s in enumerate(sums, 1):
-        if s.parts:
-            *names, count = s.joined()
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(count), n, np.int32)), *(pa.array(c.view(np.int64)) for c in names), pa.array(count)],
-                names=["n", "gram", "head", "tail", "last", "count"],
-            )
+                yield from sums[n - 1].add(keys, shorter[at], shorter[at + 1], count)
+                shorter = h
+    for s in sums:
+        yield from s.out()
 
 
 class Tree:
-    """States and next symbols as sorted arrays; at most (DEPTH + 1) / MIN_SHARE entries."""
+    """``weights``: (gram, count, known, logs, gain) of all training words and frequent n-grams."""
 
     def __init__(self, total: int, vocabulary: int, depth: int):
         self.total, self.vocabulary, self.depth = total, vocabulary, depth
         self.denominator = total + 0.5 * (vocabulary + 1)
-        self.words: tuple[np.ndarray, np.ndarray] = (np.zeros(0, U64), np.zeros(0))  # frequent ones, log10(c + 0.5)
-        self.states: list[tuple[np.ndarray, np.ndarray]] = []  # per depth: context, log10 of its backoff
-        self.nexts: list[tuple[np.ndarray, np.ndarray]] = []  # per depth: gram, log10 of probability / root's
-
-    def unigram(self, count: float) -> float:
-        return (count + 0.5) / self.denominator
-
-
-def _sorted(entries: dict[int, float]) -> tuple[np.ndarray, np.ndarray]:
-    keys = np.array(sorted(entries), U64)
-    return keys, np.array([entries[int(k)] for k in keys], float)
-
-
-def grow(tree: Tree, rows: list[tuple], divergence: float = DIVERGENCE) -> Tree:
-    """Fills the tree from (n, gram, head, tail, last, count) of the frequent n-grams."""
-    word_count = {gram: c for n, gram, _, _, _, c in rows if n == 1}
-    tree.words = _sorted({w: math.log10(c + 0.5) for w, c in word_count.items()})
-    gram_count = {(n, gram): c for n, gram, _, _, _, c in rows}
-    suffix = {(n, gram): tail for n, gram, _, tail, _, _ in rows}
-    followers: dict[tuple[int, int], list[tuple[int, int, int, int]]] = {}
-    for n, gram, head, tail, last, c in rows:
-        if n > 1:
-            followers.setdefault((n - 1, head), []).append((gram, tail, last, c))
-    chance: dict[tuple[int, int], float] = {}  # of a gram's last token behind the rest, where that is a state
-    states: set[tuple[int, int]] = set()
-    for depth in range(1, tree.depth + 1):
-        backoff, gain = {}, {}
-        for (n, context), nexts in followers.items():
-            size = gram_count.get((n, context), 0)
-            if n != depth or not size:
-                continue
-            own, old = [], []
-            for gram, tail, last, c in nexts:
-                # the gram behind the longest retained suffix of the context
-                m, shorter = n, tail
-                while m > 1 and (m, shorter) not in chance:
-                    shorter, m = suffix[(m, shorter)], m - 1
-                own.append((c - DISCOUNT) / size)
-                old.append(chance.get((m, shorter)) if m > 1 else tree.unigram(word_count[last]))
-            rest, old_rest = max(1 - sum(own), 1e-12), max(1 - sum(old), 1e-12)
-            far = sum(p * math.log(p / q) for p, q in zip(own, old, strict=True)) + rest * math.log(rest / old_rest)
-            if far < divergence:
-                continue
-            states.add((n, context))
-            backoff[context] = math.log10(rest / old_rest)
-            for (gram, _, last, _), p in zip(nexts, own, strict=True):
-                gain[gram] = math.log10(p / tree.unigram(word_count[last]))
-        for (n, context) in [s for s in states if s[0] == depth]:
-            for gram, _, last, _ in followers[(n, context)]:
-                chance[(n + 1, gram)] = 10 ** gain[gram] * tree.unigram(word_count[last])
-        tree.states.append(_sorted(backoff))
-        tree.nexts.append(_sorted(gain))
-    return tree
+        self.weights: DataFrame | None = None
 
 
 def learn(train: DataFrame, depth: int = DEPTH, min_share: float = MIN_SHARE, min_count: int = MIN_COUNT,
           divergence: float = DIVERGENCE) -> Tree:
     """The tree of the texts in the column ``text`` of ``train``."""
-    sketch = train.mapInArrow(lambda b: _sketched(b, depth), "chunk int, counts binary").repartition("chunk")
-    cells = np.zeros((depth + 1, 1 << CELL_BITS), np.int64)
-    flat = cells.reshape(-1, 1 << CHUNK_BITS)
-    for row in sketch.mapInArrow(_added, "chunk int, counts binary").toLocalIterator():
-        flat[row["chunk"]] += np.frombuffer(row["counts"], np.int64)
-    total = int(cells[0].sum())
-    vocabulary = train.mapInArrow(_distinct, "word long").distinct().count()
-    least = max(min_count, math.ceil(min_share * total))
-    shared = train.sparkSession.sparkContext.broadcast(cells)
+    scratch = Scratch(train.sparkSession, "suffix-tree")
     counted = train.mapInArrow(
-        lambda b: _counted(b, shared, least, depth),
-        "n int, gram long, head long, tail long, last long, count long",
+        lambda b: _counted(b, depth), "n int, gram long, head long, tail long, count long"
+    ).groupBy("gram").agg(
+        F.first("n").alias("n"), F.first("head").alias("head"), F.first("tail").alias("tail"), F.sum("count").alias("count"),
     )
-    frequent = counted.groupBy("n", "gram").agg(
-        F.first("head").alias("head"), F.first("tail").alias("tail"), F.first("last").alias("last"),
-        F.sum("count").alias("count"),
-    ).filter(F.col("count") >= least)
-    table = frequent.toArrow()
-    names = [table[c].to_numpy().view(U64).tolist() for c in ("gram", "head", "tail", "last")]
-    rows = list(zip(table["n"].to_pylist(), *names, table["count"].to_pylist(), strict=True))
-    shared.destroy()
-    return grow(Tree(total, vocabulary, depth), rows, divergence)
+    # a share is not known before the words are counted; nothing below the count is needed
+    table = scratch.put(counted.filter((F.col("n") == 1) | (F.col("count") >= min_count)), "grams")
+    size = table.filter("n = 1").agg(F.coalesce(F.sum("count"), F.lit(0)).alias("total"), F.count("*").alias("words")).first()
+    tree = Tree(size["total"], size["words"], depth)
+    least = max(min_count, math.ceil(min_share * tree.total))
+
+    def level(n: int) -> DataFrame:
+        return table.filter((F.col("n") == n) & (F.col("count") >= least)).select("gram", "head", "tail", "count")
+
+    known = table.filter("n = 1").select("gram", "count", F.log10((F.col("count") + 0.5) / 0.5).alias("logs"))
+    root = (F.col("count") + 0.5) / F.lit(tree.denominator)
+    #: per frequent n-gram the chance of its last token, and the root's
+    below = level(1).select("gram", root.alias("chance"), root.alias("root"))
+    states, steps = [], []
+    for n in range(1, depth + 1):
+        tails = below.select(F.col("gram").alias("tail"), F.col("chance").alias("old"), "root")
+        nexts = scratch.put(level(n + 1).join(tails, "tail").select("gram", "head", "count", "old", "root"), f"nexts-{n}")
+        part = F.col("count") - F.lit(DISCOUNT)
+        sums = nexts.groupBy("head").agg(
+            F.sum(part).alias("mass"), F.sum("old").alias("old"),
+            F.sum(part * (F.log(part) - F.log("old"))).alias("far"),
+        )
+        own = sums.join(level(n).select(F.col("gram").alias("head"), F.col("count").alias("size")), "head").select(
+            "head", "size", F.greatest(1 - F.col("mass") / F.col("size"), F.lit(1e-12)).alias("rest"),
+            F.greatest(1 - F.col("old"), F.lit(1e-12)).alias("old_rest"),
+            ((F.col("far") - F.col("mass") * F.log("size")) / F.col("size")).alias("far"),
+        )
+        retained = scratch.put(
+            own.filter(F.col("far") + F.col("rest") * F.log(F.col("rest") / F.col("old_rest")) >= divergence)
+            .select("head", "size", F.log10(F.col("rest") / F.col("old_rest")).alias("backoff")),
+            f"states-{n}",
+        )
+        chance = F.coalesce(part / F.col("size"), F.col("old"))
+        below = scratch.put(nexts.join(retained, "head", "left").select(
+            "gram", "count", chance.alias("chance"), "root",
+            (F.log10(chance / F.col("old")) - F.coalesce("backoff", F.lit(0.0))).alias("gain"),
+        ), f"chances-{n}")
+        states.append(retained.select(F.col("head").alias("gram"), F.col("backoff").alias("gain")))
+        steps.append(below.select("gram", "count", "gain"))
+    none, no = F.lit(None).cast("long").alias("count"), F.lit(0.0)
+    parts = known.select("gram", "count", F.lit(1).alias("known"), "logs", no.alias("gain"))
+    for s in states:
+        parts = parts.unionByName(s.select("gram", none, F.lit(0).alias("known"), no.alias("logs"), "gain"))
+    for s in steps:
+        parts = parts.unionByName(s.select("gram", "count", F.lit(0).alias("known"), no.alias("logs"), "gain"))
+    tree.weights = scratch.put(parts.groupBy("gram").agg(
+        F.max("count").alias("count"), F.max("known").alias("known"), F.sum("logs").alias("logs"), F.sum("gain").alias("gain")
+    ).filter("known > 0 OR gain <> 0"), "weights")
+    return tree
 
 
 class Lookup:
     """Finds hashes in a sorted table; a bitmap by their top bits turns most away first."""
 
-    def __init__(self, table: tuple[np.ndarray, np.ndarray]):
-        self.keys, self.values = table
+    def __init__(self, keys: np.ndarray, values: np.ndarray):
+        self.keys, self.values = keys, values
         self.bits = np.zeros(1 << 20, bool)
-        self.bits[(mix(self.keys, 3) >> U64(44)).astype(np.int64)] = True
+        self.bits[(mix(keys, 3) >> U64(44)).astype(np.int64)] = True
 
     def __call__(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Which of ``h`` are in the table, and their values."""
         if not len(self.keys):
-            return np.zeros(0, np.int64), np.zeros(0)
+            return np.zeros(0, np.int64), self.values[:0]
         at = np.flatnonzero(self.bits[(mix(h, 3) >> U64(44)).astype(np.int64)])
         place = np.minimum(np.searchsorted(self.keys, h[at]), len(self.keys) - 1)
         hit = self.keys[place] == h[at]
         return at[hit], self.values[place[hit]]
 
 
-def _gains(tokens: np.ndarray, place: np.ndarray, states: list[Lookup], nexts: list[Lookup]) -> np.ndarray:
-    """Per token log10 of its probability over that of the root."""
-    gain, open_ = np.zeros(len(tokens)), np.ones(len(tokens), bool)
-    for n in range(len(states), 0, -1):
-        if len(tokens) <= n:
-            continue
-        at, backoff = states[n - 1](grams(tokens[:-1], n))
-        at = at + n  # the token that follows the context
-        good = open_[at] & (place[at] >= n)
-        at, backoff = at[good], backoff[good]
-        if not len(at):
-            continue
-        hit, value = nexts[n - 1](grams(tokens, n + 1)[at - n])
-        gain[at] += backoff
-        gain[at[hit]] += value - backoff[hit]
-        open_[at[hit]] = False
-    return gain
-
-
 def _by_text(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return np.add.reduceat(values, starts[:-1]) if len(starts) > 1 else np.zeros(0)
 
 
-def _summaries(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch]:
-    """From (text, ...): the other columns with n_tokens, and of the frequent words the number
-    and the sum of log10(c + 0.5), and the tree's gain."""
-    tree = shared.value
-    words = Lookup(tree.words)
-    states, nexts = [Lookup(s) for s in tree.states], [Lookup(s) for s in tree.nexts]
+def _probed(bits: np.ndarray, h: np.ndarray) -> np.ndarray:
+    at = h & U64((1 << BITMAP_BITS) - 1)
+    return (bits[(at >> U64(6)).astype(np.int64)] >> (at & U64(63))) & U64(1) != 0
+
+
+def _summaries(batches: Iterator[pa.RecordBatch], shared, depth: int) -> Iterator[pa.RecordBatch]:
+    """From (text, ...): the other columns with n_tokens, and the sums of the hot n-grams."""
+    hot = Lookup(*shared.value[:2])
     for batch in batches:
         row = 0
         for run in runs(batch.column(0)):
             tokens, starts = _tokens(run)
-            at, value = words(tokens)
-            known, logs = np.zeros(len(tokens)), np.zeros(len(tokens))
-            known[at], logs[at] = 1, value
-            gain = _gains(tokens, _inside(tokens, starts), states, nexts)
+            place, sums = _inside(tokens, starts), np.zeros((len(tokens), 3))
+            for n in range(1, depth + 2):
+                h = grams(tokens, n)
+                at, value = hot(h)
+                good = place[at + n - 1] >= n - 1
+                sums[at[good]] += value[good]
+            known, logs, gain = (_by_text(c, starts) for c in sums.T)
             yield pa.RecordBatch.from_arrays(
                 [*(c.slice(row, len(run)) for c in batch.columns[1:]), pa.array(np.diff(starts)),
-                 pa.array(_by_text(known, starts).astype(np.int64)), pa.array(_by_text(logs, starts)),
-                 pa.array(_by_text(gain, starts))],
+                 pa.array(known.astype(np.int64)), pa.array(logs), pa.array(gain)],
                 names=["id", "key", "held_out", "n_tokens", "known", "logs", "gain"],
             )
             row += len(run)
 
 
-def _rare(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch]:
-    """(word, key, places, training places) of each text's words that are not frequent."""
-    words = Lookup(shared.value.words)
+def _cold(batches: Iterator[pa.RecordBatch], shared, depth: int) -> Iterator[pa.RecordBatch]:
+    """(gram, key, places) of each text's n-grams that are not hot and may have a weight."""
+    hot, bits = Lookup(*shared.value[:2]), shared.value[2]
     for batch in batches:
-        row = 0
-        key, held = batch.column(1).to_numpy(), batch.column(2).to_numpy(zero_copy_only=False)
+        row, key = 0, batch.column(1).to_numpy()
         for run in runs(batch.column(0)):
             tokens, starts = _tokens(run)
-            rare = np.ones(len(tokens), bool)
-            rare[words(tokens)[0]] = False
-            at = np.flatnonzero(rare)
-            text = np.repeat(np.arange(len(run)), np.diff(starts))[at]
-            h = tokens[at]
-            order = np.lexsort((h, text))
-            h, text = h[order], text[order]
-            new = np.ones(len(h), bool)
-            new[1:] = (h[1:] != h[:-1]) | (text[1:] != text[:-1])
-            first = np.flatnonzero(new)
-            count = np.diff(first, append=len(h)).astype(np.int32)
-            own = row + text[first]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(h[first].view(np.int64)), pa.array(key[own]), pa.array(count),
-                 pa.array(np.where(held[own], 0, count).astype(np.int32))],
-                names=["word", "key", "places", "trained"],
-            )
+            place, texts = _inside(tokens, starts), np.repeat(np.arange(len(run)), np.diff(starts))
+            for n in range(1, depth + 2):
+                h = grams(tokens, n)
+                if not len(h):
+                    break
+                cold = _valid(place, n) & _probed(bits, h)
+                cold[hot(h)[0]] = False
+                at = np.flatnonzero(cold)
+                h, text = h[at], texts[at]
+                order = np.lexsort((h, text))
+                h, text = h[order], text[order]
+                new = np.ones(len(h), bool)
+                new[1:] = (h[1:] != h[:-1]) | (text[1:] != text[:-1])
+                first = np.flatnonzero(new)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(h[first].view(np.int64)), pa.array(key[row + text[first]]),
+                     pa.array(np.diff(first, append=len(h)).astype(np.int32))],
+                    names=["gram", "key", "places"],
+                )
             row += len(run)
 
 
+def _shared(tree: Tree) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The hot n-grams and their weights, at most (depth + 1) / HOT_SHARE, and the bitmap."""
+    hot = tree.weights.filter(F.col("count") >= max(1, math.ceil(HOT_SHARE * tree.total))).toArrow()
+    keys = hot["gram"].to_numpy().view(U64)
+    order = np.argsort(keys)
+    values = np.stack([hot[c].to_numpy().astype(float) for c in ("known", "logs", "gain")], 1)
+    slot = F.col("gram").bitwiseAND((1 << BITMAP_BITS) - 1)
+    words = tree.weights.groupBy(F.shiftright(slot, 6).alias("w")).agg(
+        F.bit_or(F.expr("shiftleft(1L, int(gram & 63))")).alias("bits")
+    ).toArrow()
+    bits = np.zeros(1 << BITMAP_BITS - 6, np.int64)
+    bits[words["w"].to_numpy()] = words["bits"].to_numpy()
+    return keys[order], values[order], bits.view(U64)
+
+
 def score(
     docs: DataFrame, tree: Tree | None = None, id_col: str = "doc_id", text_col: str = "text", **settings
 ) -> DataFrame:
@@ -363,27 +305,29 @@ def score(
     )
     if tree is None:
         tree = learn(rows.filter("NOT held_out").select("text"), **settings)
-    shared = docs.sparkSession.sparkContext.broadcast(tree)
+    depth, shared = tree.depth, docs.sparkSession.sparkContext.broadcast(_shared(tree))
     kind = rows.schema["id"].dataType.simpleString()
     whole = rows.select("text", "id", "key", "held_out").mapInArrow(
-        lambda b: _summaries(b, shared),
+        lambda b: _summaries(b, shared, depth),
         f"id {kind}, key long, held_out boolean, n_tokens long, known long, logs double, gain double",
     )
-    rare = rows.select("text", "key", "held_out").mapInArrow(
-        lambda b: _rare(b, shared), "word long, key long, places int, trained int"
-    )
-    counted = rare.withColumn("c", F.sum("trained").over(Window.partitionBy("word")))
-    sums = counted.groupBy("key").agg(
-        F.sum(F.col("places") * F.log10(F.col("c") + 0.5)).alias("rare_logs"),
-        F.sum(F.when(F.col("c") > 0, F.col("places"))).alias("rare_known"),
+    cold = rows.select("text", "key").mapInArrow(lambda b: _cold(b, shared, depth), "gram long, key long, places int")
+    weights = tree.weights.select("gram", F.col("known").alias("w"), F.col("logs").alias("l"), F.col("gain").alias("g"))
+    sums = cold.join(weights, "gram").groupBy("key").agg(
+        F.sum(F.col("places") * F.col("w")).alias("more_known"), F.sum(F.col("places") * F.col("l")).alias("more_logs"),
+        F.sum(F.col("places") * F.col("g")).alias("more_gain"),
     )
     # equal rows share a key: their sums are theirs together
-    joined = whole.join(sums, "key", "left").withColumn("m", F.count("*").over(Window.partitionBy("key")))
-    known = F.col("known") + F.coalesce((F.col("rare_known") / F.col("m")).cast("long"), F.lit(0))
-    logs = F.col("logs") + F.coalesce(F.col("rare_logs") / F.col("m"), F.lit(0.0))
-    base = logs - F.col("n_tokens") * math.log10(tree.denominator)
+    copies = rows.groupBy("key").agg(F.count("*").alias("m"))
+    joined = whole.join(sums.join(copies, "key"), "key", "left")
+
+    def with_more(name: str) -> Column:
+        return F.col(name) + F.coalesce(F.col(f"more_{name}") / F.col("m"), F.lit(0.0))
+
+    known = F.round(with_more("known")).cast("long")
+    base = with_more("logs") + F.col("n_tokens") * F.lit(math.log10(0.5) - math.log10(tree.denominator))
     return joined.select(
         F.col("id").alias(id_col), "held_out", "n_tokens", known.alias("n_known"),
         F.lit(tree.total).cast("long").alias("train_tokens"), base.alias("base_score"),
-        (base + F.col("gain")).alias("score"),
+        (base + with_more("gain")).alias("score"),
     )

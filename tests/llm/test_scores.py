@@ -106,3 +106,16 @@ def test_no_training_rows(spark):
     held = next(i for i in range(100) if is_held(i))
     row = pst.score(odd_docs(spark, [(held, "a b")])).first()
     assert (row["n_tokens"], row["n_known"], row["train_tokens"], row["base_score"], row["score"]) == (3, 0, 0, 0.0, 0.0)
+
+
+def test_counts_do_not_grow_with_the_corpus(spark):
+    """A context seen a few times counts, however many other tokens there are."""
+    rows = [(k, " ".join(f"n{k}x{i}" for i in range(5000))) for k in range(160)]
+    rows += [(1000 + k, "stone over river goes") for k in range(10)]
+    held = next(i for i in range(2000, 2100) if is_held(i))
+    rows.append((held, "stone over river goes"))
+    got = pst.score(odd_docs(spark, rows))
+    row = got.filter(f"doc_id = {held}").first()
+    plain = Plain([t for i, t in rows if not is_held(i)], pst.DEPTH, lambda n: pst.MIN_COUNT, pst.DIVERGENCE)
+    assert pst.MIN_COUNT < 10 < 2e-5 * plain.total and ("stone",) in plain.states
+    assert row["score"] == pytest.approx(plain.scores("stone over river goes")[3])
