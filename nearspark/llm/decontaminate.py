@@ -10,9 +10,9 @@ the ignored places; the masks ignore different ones.
    keeps all but possible hits away from the exchange; it can let too many through, never too few.
 3. Possible hits join the benchmark's hashes exactly. What stays are (text, item, diagonal).
 4. Around each hit the whole overlap of text and item on that diagonal is compared word
-   by word; its best stretch (matches minus mismatches) is an overlap when it has at least
-   ``MATCHES`` equal words, or all but a fifth of a shorter item, and at least ``IDENTITY`` of it
-   is equal.
+   by word; a stretch is an overlap when it has at least ``MATCHES`` equal words, or all but a
+   fifth of a shorter item, and at least ``IDENTITY`` of it is equal. Reported is the stretch of
+   greatest matches minus mismatches if it is one, else of all that are one with most equal words.
 
 Equal texts are verified once, under a digest of their words; a task sends the words of a
 text once, however many copies it sees.
@@ -153,6 +153,18 @@ def best_stretch(equal: np.ndarray) -> tuple[int, int, int]:
     return start, end, int(equal[start:end].sum())
 
 
+def widest_stretch(equal: np.ndarray) -> tuple[int, int, int]:
+    """Start, end and matches of the stretch with most equal words of all whose share of
+    equal words is at least ``IDENTITY``."""
+    # in quarters, so that sums are exact: a stretch qualifies when its sum is not negative
+    total = np.concatenate([[0], np.cumsum(np.where(equal, round(4 * (1 - IDENTITY)), -round(4 * IDENTITY)))])
+    same = np.concatenate([[0], np.cumsum(equal)])
+    starts = np.searchsorted(-np.minimum.accumulate(total), -total)  # the first not above each end
+    end = int(np.argmax(same - same[starts]))
+    at = np.flatnonzero(equal[starts[end] : end]) + starts[end]
+    return (int(at[0]), int(at[-1]) + 1, len(at)) if len(at) else (0, 0, 0)
+
+
 def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """From key, item, from_word (of the text), from_item, and both runs of words."""
     for batch in batches:
@@ -160,7 +172,9 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for k, (doc_at, item_at, n) in enumerate(zip(*(batch.column(c).to_pylist() for c in (2, 3, 4)), strict=True)):
             x, y = batch.column(5)[k].values.to_numpy(), batch.column(6)[k].values.to_numpy()
             start, end, same = best_stretch(x == y)
-            if same >= min(MATCHES, n - n // 5) and same >= IDENTITY * (end - start):
+            if same < IDENTITY * (end - start):
+                start, end, same = widest_stretch(x == y)
+            if same >= min(MATCHES, n - n // 5):
                 keep.append(k)
                 starts.append(doc_at + start)
                 item_starts.append(item_at + start)

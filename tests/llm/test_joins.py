@@ -3,6 +3,7 @@
 import random
 import zlib
 
+import numpy as np
 import pytest
 from fixtures import components, linked, odd_docs, odd_rows, sentence, shingle_set
 from pyspark.sql import functions as F
@@ -94,6 +95,26 @@ def test_decontamination(spark):
     assert decontaminate.overlaps(docs.limit(0), bench).collect() == []
 
 
+def test_decontamination_middle_replaced(spark):
+    """Two verbatim passages on one diagonal are found though the stretch over both is too unlike."""
+    item = [f"m{k}" for k in range(60)]
+    gap = lambda a, b, c: " ".join([*item[:a], *(f"z{k}" for k in range(b)), *item[a + b : a + b + c]])
+    rows = [(0, gap(20, 15, 20)), (1, gap(12, 9, 12)), (2, gap(20, 0, 0)), (3, gap(9, 9, 9))]
+    bench = spark.createDataFrame([(0, " ".join(item))], "item_id long, text string")
+    found = {r["doc_id"]: r["n_equal"] for r in decontaminate.overlaps(odd_docs(spark, rows), bench).collect()}
+    assert found == {0: 20, 1: 12, 2: 20}
+
+
+def test_widest_stretch():
+    rng = random.Random(4)
+    for _ in range(200):
+        equal = [rng.random() < 0.7 for _ in range(rng.randint(1, 40))]
+        spans = [(a, b) for a in range(len(equal)) for b in range(a + 1, len(equal) + 1) if 4 * sum(equal[a:b]) >= 3 * (b - a)]
+        start, end, same = decontaminate.widest_stretch(np.array(equal))
+        assert same == max((sum(equal[a:b]) for a, b in spans), default=0) == sum(equal[start:end])
+        assert 4 * same >= 3 * (end - start)
+
+
 def test_revisits(spark):
     rng = random.Random(4)
     urls = ["http://A.com/x/", "https://www.a.com/x.html#f", "https://a.com:443/x?utm_a=1", "http://b.org/?b=2&a=1", "https://b.org?a=1&b=2&ref=q", None]
