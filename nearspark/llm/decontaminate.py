@@ -4,8 +4,10 @@ Words are compared without case and ASCII punctuation. A seed is a fixed mask ov
 ``SPAN`` neighbouring words that ignores some of them, so a hit survives substitutions at
 the ignored places; the masks ignore different ones.
 
-1. Benchmark items are hashed under every mask at every place. Items of fewer words than a
-   mask, but at least ``LEAST``, are hashed whole.
+1. Benchmark items are hashed under every mask at every place. Items below ``SHORT`` words, but
+   of at least ``LEAST``, are also hashed under masks made for their length, which hit whichever
+   fifth of the words differs. Longer items are found where a mask of ``MASKS`` fits: not
+   every pattern of 12 equal words of 16 does (every fourth word changed does not).
 2. Texts are hashed in the same way. A bitmap of fixed size over the benchmark hashes
    keeps all but possible hits away from the exchange; it can let too many through, never too few.
 3. Possible hits join the benchmark's hashes exactly. What stays are (text, item, diagonal).
@@ -25,6 +27,7 @@ item; an empty table on either side gives no overlaps; other columns are not rea
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +40,8 @@ from .words import U64, mix, runs
 #: 1 is compared, 0 is ignored.
 MASKS = ("111011010111", "110110101110111", "111101001011011")
 LEAST = 8
+#: Items of fewer words have masks made for their length.
+SHORT = 15
 MATCHES = 12
 IDENTITY = 0.75
 BITMAP_BITS = 24
@@ -54,9 +59,17 @@ def _seed(hashes: np.ndarray, mask: str, salt: int) -> np.ndarray:
     return mix(total, salt)
 
 
-def _masks() -> list[tuple[str, int]]:
-    shortest = min(map(len, MASKS))
-    return [(m, 31 + k) for k, m in enumerate(MASKS)] + [("1" * n, 100 + n) for n in range(LEAST, shortest)]
+def _short_masks(n: int) -> list[tuple[str, int, int]]:
+    """(mask, salt, its place in the item) for items of n words. Blocks of the item, two more than
+    a fifth of its words, of which each mask ignores a fifth of the words' number: whichever
+    fifth of the words differs or is cut off, some mask holds none of them."""
+    less = n // 5
+    border = [n * k // (less + 2) for k in range(less + 3)]
+    masks = []
+    for k, out in enumerate(combinations(range(less + 2), less)):
+        mask = "".join(("0" if b in out else "1") * (border[b + 1] - border[b]) for b in range(less + 2))
+        masks.append((mask.strip("0"), 1000 + 100 * n + k, mask.index("1")))
+    return masks
 
 
 def _longs(values: np.ndarray) -> pa.Array:
@@ -64,7 +77,7 @@ def _longs(values: np.ndarray) -> pa.Array:
 
 
 def _items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(item, words, seeds, places) per item; seeds shorter than the masks only of items so short."""
+    """(item, words, seeds, places) per item; items below ``SHORT`` words also have masks of their own."""
     for batch in batches:
         rows = []
         ids, row = batch.column(0), 0
@@ -72,11 +85,14 @@ def _items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for i in range(len(run)):
                 words = run.hashes[run.first[i] : run.first[i + 1]]
                 seeds, places = [np.zeros(0, U64)], [np.zeros(0, np.int64)]
-                for mask, salt in _masks():
-                    if len(mask) == len(words) or mask in MASKS:
-                        h = _seed(words, mask, salt)
-                        seeds.append(h)
-                        places.append(np.arange(len(h)))
+                for salt, mask in enumerate(MASKS, 31):
+                    h = _seed(words, mask, salt)
+                    seeds.append(h)
+                    places.append(np.arange(len(h)))
+                if LEAST <= len(words) < SHORT:
+                    for mask, salt, place in _short_masks(len(words)):
+                        seeds.append(_seed(words[place : place + len(mask)], mask, salt))
+                        places.append(np.array([place]))
                 rows.append((words.view(np.int64), np.concatenate(seeds).view(np.int64), np.concatenate(places)))
             row += len(run)
         yield pa.RecordBatch.from_arrays(
@@ -96,9 +112,9 @@ def _bit(bits: np.ndarray, at: np.ndarray) -> np.ndarray:
 
 def _hits(batches: Iterator[pa.RecordBatch], bitmap, short: list[int]) -> Iterator[pa.RecordBatch]:
     """Per text with possible hits: id, digest, and once per text and task its words,
-    seeds and places. ``short``: lengths of items below the masks."""
+    seeds and places. ``short``: lengths of items below ``SHORT``."""
     bits, seen = bitmap.value, set()
-    masks = [(m, s) for m, s in _masks() if m in MASKS or len(m) in short]
+    masks = [(m, s) for s, m in enumerate(MASKS, 31)] + [(m, s) for n in short for m, s, _ in _short_masks(n)]
     for batch in batches:
         row = 0
         for run in runs(batch.column(1), "symbol"):
@@ -172,9 +188,10 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for k, (doc_at, item_at, n) in enumerate(zip(*(batch.column(c).to_pylist() for c in (2, 3, 4)), strict=True)):
             x, y = batch.column(5)[k].values.to_numpy(), batch.column(6)[k].values.to_numpy()
             start, end, same = best_stretch(x == y)
-            if same < IDENTITY * (end - start):
+            least = min(MATCHES, n - n // 5)
+            if same < least or same < IDENTITY * (end - start):
                 start, end, same = widest_stretch(x == y)
-            if same >= min(MATCHES, n - n // 5):
+            if same >= least:
                 keep.append(k)
                 starts.append(doc_at + start)
                 item_starts.append(item_at + start)
@@ -213,8 +230,7 @@ def overlaps(
     for row in words.toLocalIterator():
         bits[row["w"]] = row["bits"]
     bitmap = spark.sparkContext.broadcast(bits.view(U64))
-    shortest = min(map(len, MASKS))
-    short = [r[0] for r in items.select(F.size("words").alias("n")).filter((F.col("n") >= LEAST) & (F.col("n") < shortest)).distinct().collect()]
+    short = [r[0] for r in items.select(F.size("words").alias("n")).filter((F.col("n") >= LEAST) & (F.col("n") < SHORT)).distinct().collect()]
 
     texts = docs.select(F.col(id_col).alias("id"), F.lower(F.col(text_col).cast("string")).alias("text"))
     id_kind = texts.schema["id"].dataType.simpleString()
@@ -229,7 +245,8 @@ def overlaps(
     )
     found = places.join(seeds, "seed").select("key", "item", (F.col("at") - F.col("place")).alias("diagonal")).distinct()
     bodies = once.groupBy("key").agg(F.first("words").alias("words"))
-    both = found.join(items.select("item", F.col("words").alias("item_words")), "item").join(bodies, "key")
+    own = items.select(F.col("item").alias("own"), F.col("words").alias("item_words"))
+    both = found.join(own, F.col("item").eqNullSafe(F.col("own"))).join(bodies, "key")  # a null id is an id
     from_word = F.greatest("diagonal", F.lit(0))
     from_item = F.greatest(-F.col("diagonal"), F.lit(0))
     length = F.least(F.size("words") - from_word, F.size("item_words") - from_item).cast("int")

@@ -2,6 +2,7 @@
 
 import random
 import zlib
+from itertools import combinations
 
 import numpy as np
 import pytest
@@ -105,6 +106,21 @@ def test_decontamination_middle_replaced(spark):
     assert found == {0: 20, 1: 12, 2: 20}
 
 
+def test_decontamination_short_items(spark):
+    """Items of 8 to 14 words with any fifth of their words changed or cut off, and a null id."""
+    items = {n: [f"s{n}w{k}" for k in range(n)] for n in range(8, 15)}
+    rows, expected = [], set()
+    for n, item in items.items():
+        for out in combinations(range(n), n // 5):
+            rows.append((len(rows), " ".join("changed" if k in out else w for k, w in enumerate(item))))
+            expected.add((len(rows) - 1, n if n > 8 else None))
+        rows.append((len(rows), " ".join(item[: n - n // 5])))
+        expected.add((len(rows) - 1, n if n > 8 else None))
+    bench = spark.createDataFrame([(n if n > 8 else None, " ".join(w)) for n, w in items.items()], "item_id long, text string")
+    found = {(r["doc_id"], r["item_id"]) for r in decontaminate.overlaps(odd_docs(spark, rows), bench).collect()}
+    assert found == expected
+
+
 def test_widest_stretch():
     rng = random.Random(4)
     for _ in range(200):
