@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.embedder import HashingEmbedder
 from ..operators.ingest import (
     add_documents, assign_ids, chunk_markdown, documents_from_items, embed_text,
-    extract_metadata, extract_page_content, ingest_markdown, insert_documents,
+    extract_metadata, extract_page_content, ingest_markdown, insert_documents, prepare_vectors,
 )
 from ..operators.search import get_many
 from ..store import VectorStore

@@ -39,7 +39,3 @@ def vectors(spark):
 def users(spark):
     rows = [(1, "alice", 30), (2, "bob", None), (3, "carol", 41)]
     return spark.createDataFrame(rows, "id long, name string, age int").cache()
-
-
-def tuples(df):
-    return [tuple(r) for r in df.collect()]

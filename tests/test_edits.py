@@ -3,7 +3,7 @@
 import random
 
 import pytest
-from conftest import tuples
+from row_helpers import tuples
 from pyspark.sql import functions as F
 
 from nearspark.operators import edits

@@ -1,7 +1,7 @@
 from decimal import Decimal
 
 import pytest
-from conftest import tuples
+from row_helpers import tuples
 
 from nearspark.functions.literals import number_text, parse_number, value_text
 from nearspark.functions.names import (

@@ -1,7 +1,7 @@
 import random
 
 import pytest
-from conftest import tuples
+from row_helpers import tuples
 
 from nearspark.operators.select import limit_rows, select_per_item, select_rows, sort_rows
 

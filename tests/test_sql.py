@@ -1,5 +1,5 @@
 import pytest
-from conftest import tuples
+from row_helpers import tuples
 
 from nearspark.operators.sqlexec import bind, execute_sql, parse_parameters, with_metadata_map
 
