@@ -10,6 +10,9 @@ rows are judged one by one; an empty table gives an empty result; columns of the
 never read besides the named ones, so clashing names do no harm.
 
 Windows of three words are compared by a 64-bit hash inside one text.
+
+A rule on stop words is left out for texts whose language, where a column of it is named, has
+no list; the other rules decide there.
 """
 
 from __future__ import annotations
@@ -25,7 +28,9 @@ from .text import SPACE_CLASS, split_words, whole
 
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
-#: The commonest function words of the languages in view.
+#: Languages that ``STOP_WORDS`` has words of; in others a rule on stop words says nothing.
+STOP_LANGUAGES = ("en", "fr", "de", "es")
+#: The commonest function words of these languages.
 STOP_WORDS = (
     "the of and to in a is that it for was on as with be by are this at from or an "
     "le la les de des et en un une que qui dans du est pour au il elle "
@@ -73,7 +78,11 @@ def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", kee
                 starts,
                 lambda i: F.struct(F.xxhash64(F.get(w, i), F.get(w, i + 1), F.get(w, i + 2)).alias("h"), i.alias("i")),
             )
-        ).alias("__s"),
+        ).alias("__windows"),
+    ).select(
+        # always true, but not to the optimizer, which therefore leaves this column where it is;
+        # written into a later filter, each step of a lambda would compute the array anew
+        *names, "n_symbols", "__w", "__l", F.when(F.monotonically_increasing_id() >= 0, F.col("__windows")).alias("__s"),
     )
     s = F.col("__s")
 
@@ -104,9 +113,10 @@ def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", kee
     )
 
 
-def compile_rules(rules: tuple[Rule, ...] = RULES) -> Column:
+def compile_rules(rules: tuple[Rule, ...] = RULES, lang_col: str | None = None) -> Column:
     """One boolean column: every rule of the table holds."""
     tests = [F.lit(True)]
+    listed = F.coalesce(F.col(lang_col).isin(*STOP_LANGUAGES), F.lit(False)) if lang_col else F.lit(True)
     for rule in rules:
         value = F.col(rule.measure)
         inside = reduce(
@@ -115,7 +125,8 @@ def compile_rules(rules: tuple[Rule, ...] = RULES) -> Column:
             + ([value >= rule.low] if rule.low is not None else [])
             + ([value <= rule.high] if rule.high is not None else []),
         )
-        tests.append(or_(F.col("n_words") < rule.from_words, inside))
+        holds = or_(F.col("n_words") < rule.from_words, inside)
+        tests.append(holds | ~listed if rule.measure == "stop_ratio" else holds)
     return reduce(and_, tests)
 
 
@@ -125,19 +136,21 @@ def base_failed() -> Column:
 
 def judge(
     docs: DataFrame, rules: tuple[Rule, ...] = RULES, id_col: str = "doc_id", text_col: str = "text",
-    keep: tuple[str, ...] = (),
+    keep: tuple[str, ...] = (), lang_col: str | None = None,
 ) -> DataFrame:
     """``measure`` with ``base_failed`` and ``kept``."""
-    return measure(docs, id_col, text_col, keep).select(
-        "*", base_failed().alias("base_failed"), (~base_failed() & compile_rules(rules)).alias("kept")
+    kept = (*keep, lang_col) if lang_col and lang_col not in keep else keep
+    return measure(docs, id_col, text_col, kept).select(
+        "*", base_failed().alias("base_failed"), (~base_failed() & compile_rules(rules, lang_col)).alias("kept")
     )
 
 
-def accepted(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text_col: str = "text") -> DataFrame:
-    """The rows that the rules keep, with their own columns; decided row by row, no join."""
+def accepted(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """The rows that the rules keep, with their own columns; decided row by row, no join. The
+    column of the language is used where ``docs`` has one."""
     whole_row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("__row")
     rows = docs.select(whole_row, F.col(text_col).alias("__text"))
-    # the row number keeps the optimizer from writing the measures out again inside the filter,
-    # where each step of a lambda would compute its arrays anew
-    judged = judge(rows, rules, "__row", "__text").select("__row", "kept", F.monotonically_increasing_id().alias("__n"))
-    return judged.filter("kept AND __n >= 0").select("__row.*")
+    lang = None
+    if lang_col in docs.columns:
+        rows, lang = rows.withColumn("__lang", F.col(f"__row.`{lang_col}`").cast("string")), "__lang"
+    return judge(rows, rules, "__row", "__text", lang_col=lang).filter("kept").select("__row.*")

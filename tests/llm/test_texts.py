@@ -74,6 +74,18 @@ def test_quality_defaults(spark):
     assert kept.columns == odd_docs(spark).columns
 
 
+def test_quality_filters_and_languages(spark):
+    """The verdict can be filtered on, and languages without a list are not held to it."""
+    text = " ".join(f"sana{k} lause{k}" for k in range(300))
+    docs = spark.createDataFrame(
+        [(1, text, "fi"), (2, text, "en"), (3, text, None), (4, text + " the of and" * 40, "en"), (5, "x", "fi")],
+        "doc_id long, text string, lang string",
+    )
+    assert sorted(r[0] for r in quality.accepted(docs).collect()) == [1, 3, 4]
+    assert [r[0] for r in quality.judge(docs).filter("kept").collect()] == [4]
+    assert quality.judge(docs).filter("n_repeat_words > 0").select("doc_id").count() == 1
+
+
 def test_licenses_find_wrapped_templates(spark):
     text = "foo " * 40 + "Permission is hereby\ngranted, free of charge, to any person obtaining a copy of this program " + "bar " * 40
     docs = spark.createDataFrame([(1, text), (2, "permission of the person"), (3, "CC BY CC-BY cc by")], "doc_id long, text string")
