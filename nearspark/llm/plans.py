@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import scan_table
-from . import bpe, chat, decontaminate, jaccard, licenses, pst, quality, sharding, urls, warc
+from . import bpe, chat, decontaminate, fim, jaccard, licenses, pst, quality, sharding, urls, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -256,3 +256,29 @@ def op10_shards(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"),
     )
+
+
+_DRAW = "('0x' || substr(sha256('1:' || coalesce(doc_id::VARCHAR, '')), {at}, 8))::BIGINT"
+_P, _S, _M = (fim.MARK[part] for part in ("prefix", "suffix", "middle"))
+
+
+@query("op13_fill_in_middle", f"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, ''))::BIGINT AS n,
+    {", ".join(f"{_DRAW.format(at=1 + 8 * k)} AS h{k + 1}" for k in range(4))}
+  FROM documents),
+f AS (
+  SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+    CASE WHEN n = 0 OR contains(t, '{_P}') OR contains(t, '{_S}') OR contains(t, '{_M}') OR h3 % 100 >= 90 THEN 'plain'
+      WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+  FROM d),
+o AS (
+  SELECT *, CASE form WHEN 'plain' THEN t
+      WHEN 'psm' THEN '{_P}' || substr(t, 1, a) || '{_S}' || substr(t, b + 1) || '{_M}' || substr(t, a + 1, b - a)
+      ELSE '{_S}' || substr(t, b + 1) || '{_P}' || substr(t, 1, a) || '{_M}' || substr(t, a + 1, b - a) END AS output
+  FROM f)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+  sha256(output) AS output_sha256, sha256(t) AS restored_sha256
+FROM o""")
+def op13_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
+    return fim.digests(scan_table(spark, folder, "documents"))
