@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import scan_table
-from . import bpe, chat, decontaminate, fim, jaccard, licenses, pst, quality, sharding, urls, warc
+from . import bpe, chat, decontaminate, fim, jaccard, licenses, pst, quality, repeats, sharding, urls, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -258,6 +258,27 @@ def op10_shards(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query("op11_substring_dedup", rf"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{_SPACE}') AS w FROM documents),
+p AS (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM d),
+g AS (
+  SELECT doc_id, i, w[i] AS word,
+    CASE WHEN i + {repeats.SIZE - 1} <= len(w) THEN sha256(array_to_string(list_slice(w, i, i + {repeats.SIZE - 1}), ' ')) END AS g
+  FROM p),
+l AS (SELECT g, min(doc_id) AS least FROM g WHERE g IS NOT NULL GROUP BY g),
+c AS (
+  SELECT doc_id, i, word, coalesce(max(CASE WHEN least < doc_id THEN i END) OVER (
+    PARTITION BY doc_id ORDER BY i ROWS BETWEEN {repeats.SIZE - 1} PRECEDING AND CURRENT ROW), 0) > 0 AS gone
+  FROM g LEFT JOIN l USING (g)),
+k AS (
+  SELECT doc_id, count(*) FILTER (gone) AS n_removed, string_agg(word, ' ' ORDER BY i) FILTER (NOT gone) AS kept
+  FROM c GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN k USING (doc_id)""")
+def op11_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return repeats.remove_repeats(scan_table(spark, folder, "documents"), texts=False)
+
+
 _DRAW = "('0x' || substr(sha256('1:' || coalesce(doc_id::VARCHAR, '')), {at}, 8))::BIGINT"
 _P, _S, _M = (fim.MARK[part] for part in ("prefix", "suffix", "middle"))
 

@@ -45,7 +45,8 @@ def word_table(kind: str) -> np.ndarray:
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
-_BYTE = mix(np.arange(256, dtype=U64), 1)[_LOWER]
+_EXACT = mix(np.arange(256, dtype=U64), 1)
+_BYTE = _EXACT[_LOWER]
 _TABLES = {kind: word_table(kind) for kind in ("space", "symbol")}
 _MULTIPLIER = 0xD6E8FEB86659FD93
 
@@ -83,7 +84,7 @@ def text_buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return offsets, np.frombuffer(data, np.uint8) if data else np.zeros(0, np.uint8)
 
 
-def _run(row: int, bytes_: np.ndarray, ends: np.ndarray, table: np.ndarray) -> Run:
+def _run(row: int, bytes_: np.ndarray, ends: np.ndarray, table: np.ndarray, values: np.ndarray = _BYTE) -> Run:
     n = len(bytes_)
     starts_of_texts = np.concatenate([np.zeros(1, np.int64), ends])
     if not n:
@@ -104,21 +105,22 @@ def _run(row: int, bytes_: np.ndarray, ends: np.ndarray, table: np.ndarray) -> R
     longest = int(place.max()) + 1
     powers = _POWERS if longest <= len(_POWERS) else _powers(longest)
     with np.errstate(over="ignore"):
-        value = _BYTE[bytes_[starts[0] :]] * powers[place]
+        value = values[bytes_[starts[0] :]] * powers[place]
         value *= tail
         hashes = np.add.reduceat(value, starts - starts[0])
     return Run(row, mix(hashes), first)
 
 
-def runs(texts: pa.Array, kind: str = "space") -> Iterator[Run]:
-    """All texts of a batch, a few megabytes at a time; a longer text is a run of its own."""
+def runs(texts: pa.Array, kind: str = "space", fold: bool = True) -> Iterator[Run]:
+    """All texts of a batch, a few megabytes at a time; a longer text is a run of its own.
+    Without ``fold`` words that differ in case differ."""
     offsets, data = text_buffers(texts)
-    table, row, count = _TABLES[kind], 0, len(offsets) - 1
+    table, values, row, count = _TABLES[kind], _BYTE if fold else _EXACT, 0, len(offsets) - 1
     while row < count:
         last = int(np.searchsorted(offsets, offsets[row] + RUN_BYTES, "right")) - 1
         last = min(max(last, row + 1), count)
         lo = offsets[row]
-        yield _run(row, data[lo : offsets[last]], offsets[row + 1 : last + 1] - lo, table)
+        yield _run(row, data[lo : offsets[last]], offsets[row + 1 : last + 1] - lo, table, values)
         row = last
 
 
@@ -147,3 +149,38 @@ def shingles(run: Run, size: int) -> Iterator[np.ndarray]:
             yield windows(run.hashes[lo:hi], int(n), 100 + int(n))
         else:
             yield np.zeros(0, U64)
+
+
+class Ranges:
+    """Hashes of any ranges of a run's words, by prefix sums: equal words give equal hashes
+    wherever they stand."""
+
+    _up = _down = np.ones(1, U64)
+
+    def __init__(self, hashes: np.ndarray):
+        n = len(hashes)
+        if len(Ranges._up) <= n:
+            room = 1 << int(n).bit_length()
+            with np.errstate(over="ignore"):
+                for name, factor in (("_up", _MULTIPLIER), ("_down", pow(_MULTIPLIER, -1, 2**64))):
+                    steps = np.full(room, factor, U64)
+                    steps[0] = 1
+                    setattr(Ranges, name, np.cumprod(steps, dtype=U64))
+        with np.errstate(over="ignore"):
+            self.sums = np.concatenate([np.zeros(1, U64), np.cumsum(hashes * Ranges._up[:n], dtype=U64)])
+
+    def __call__(self, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+        """Hash of the words ``lo:hi`` of the run, for arrays of both."""
+        with np.errstate(over="ignore"):
+            return mix((self.sums[hi] - self.sums[lo]) * Ranges._down[lo] + mix((hi - lo).astype(U64), 5))
+
+
+def rightmost_least(values: np.ndarray, size: int) -> np.ndarray:
+    """For each window of ``size`` neighbours the place of its least value, the last of equal ones."""
+    at, reach = np.arange(len(values)), 1
+    while reach < size:
+        step = min(reach, size - reach)
+        left, right = at[:-step], at[step:]
+        at = np.where(values[right] <= values[left], right, left)
+        reach += step
+    return at
