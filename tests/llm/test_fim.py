@@ -77,7 +77,6 @@ def test_parse_reads_marks_across_pieces(seed):
         assert back == parts
 
 
-def test_second_sort_needs_no_exchange(spark):
-    first = fim.sorted_pieces(fim.plan(odd_docs(spark)))
-    again = first.mapPartitions(fim._assembled, preservesPartitioning=True)
-    assert again.partitionBy(first.getNumPartitions(), fim._partition) is again
+def test_one_exchange(spark):
+    plan = fim.digests(odd_docs(spark))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and plan.count("Sort") == 2
