@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import scan_table
-from . import bpe, chat, decontaminate, fim, jaccard, licenses, pst, quality, repeats, sharding, urls, warc
+from . import bpe, chat, decontaminate, fim, jaccard, lexical, licenses, pst, quality, repeats, sharding, urls, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -279,6 +279,26 @@ def op11_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return repeats.remove_repeats(scan_table(spark, folder, "documents"), texts=False)
 
 
+@query("op12_lexical_search", rf"""
+WITH t AS (
+  SELECT doc_id, unnest(regexp_extract_all({_LOWER}, '{_SYMBOL}')) AS term FROM documents),
+n AS (SELECT doc_id, count(*)::BIGINT AS n FROM t GROUP BY doc_id),
+c AS (SELECT count(*)::BIGINT AS total, sum(n)::BIGINT AS length FROM n),
+f AS (SELECT doc_id, term, count(*)::BIGINT AS tf FROM t GROUP BY doc_id, term),
+w AS (
+  SELECT term, floor(1000 * ln((2 * total + 2) / (2 * count(*) + 1)))::BIGINT AS w
+  FROM f, c GROUP BY term, total),
+i AS (SELECT item_id, unnest(regexp_extract_all({_LOWER}, '{_SYMBOL}')) AS term FROM benchmark),
+q AS (SELECT item_id, term, count(*)::BIGINT AS times FROM i GROUP BY item_id, term),
+s AS (
+  SELECT item_id, doc_id, sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * total) // length))))::BIGINT AS score
+  FROM q JOIN w USING (term) JOIN f USING (term) JOIN n USING (doc_id), c GROUP BY item_id, doc_id)
+SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score
+FROM s WHERE score > 0 QUALIFY rank <= {lexical.K}""")
+def op12_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    return lexical.search(scan_table(spark, folder, "documents"), scan_table(spark, folder, "benchmark"))
+
+
 _DRAW = "('0x' || substr(sha256('1:' || coalesce(doc_id::VARCHAR, '')), {at}, 8))::BIGINT"
 _P, _S, _M = (fim.MARK[part] for part in ("prefix", "suffix", "middle"))
 
