@@ -21,6 +21,10 @@ DEFAULT_SCHEMA = "public"
 LAST_ID = "nearspark.last_id"
 DIMS = "nearspark.dims"
 VERSIONS = "_versions"
+#: Folder of the table's approximate index, and the last row id that is in it.
+INDEX = "nearspark.index"
+INDEXED_ID = "nearspark.indexed_id"
+INDEXES = "_indexes"
 
 
 def full_name(name: str, schema: str | None = None) -> str:
@@ -103,6 +107,10 @@ def set_property(spark: SparkSession, name: str, key: str, value: str) -> None:
     spark.sql(f"ALTER TABLE {full_name(name)} SET TBLPROPERTIES ('{key}' = '{value}')")
 
 
+def drop_property(spark: SparkSession, name: str, key: str) -> None:
+    spark.sql(f"ALTER TABLE {full_name(name)} UNSET TBLPROPERTIES IF EXISTS ('{key}')")
+
+
 def location(spark: SparkSession, name: str) -> str:
     rows = spark.sql(f"DESCRIBE TABLE EXTENDED {full_name(name)}")
     return rows.filter(F.col("col_name") == "Location").first()["data_type"]
@@ -120,10 +128,14 @@ def append(spark: SparkSession, name: str, rows: DataFrame) -> None:
 
 
 def replace(spark: SparkSession, name: str, state: DataFrame) -> None:
-    """Make ``state`` the content of the table; it may be derived from the table itself."""
+    """Make ``state`` the content of the table; it may be derived from the table itself.
+
+    An index knows nothing of changed rows, so the table loses it.
+    """
     path = f"{home(spark, name)}/{VERSIONS}/{uuid.uuid4().hex}"
     target = spark.table(full_name(name))
     state.select(*target.columns).write.parquet(path)
+    drop_property(spark, name, INDEX)
     spark.sql(f"ALTER TABLE {full_name(name)} SET LOCATION '{path}'")
     spark.catalog.refreshTable(full_name(name))
 

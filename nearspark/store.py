@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Mapping, Sequence
 from typing import Any
 
@@ -33,7 +34,7 @@ class VectorStore:
         self.spark, self.embedder, self.dims = spark, embedder, dims
         self.name = table if "." in table else f"{schema}.{table}"
         self.metric = check_metric(metric)
-        self._index = None
+        self._opened: tuple[str, ann.IvfIndex | ann.LshIndex] | None = None
 
     # -------------------------------------------------------------- ingest
 
@@ -65,10 +66,12 @@ class VectorStore:
             # the range is taken before the rows are there: a crash leaves a gap, never a repeat
             catalog.set_property(self.spark, self.name, catalog.LAST_ID, str(last + count))
             rows = ingest.prepare_vectors(complete(numbered), dims)
-            catalog.append(self.spark, self.name, rows.withColumn(
-                "created_at", F.current_timestamp()
-            ))
-        self._index = None
+            try:
+                catalog.append(self.spark, self.name, rows.withColumn("created_at", F.current_timestamp()))
+            except Exception:
+                # the job committed nothing, so its ids are free again
+                catalog.set_property(self.spark, self.name, catalog.LAST_ID, str(last))
+                raise
         return count
 
     def insert(self, items: DataFrame, order: Sequence[str] = ()) -> DataFrame:
@@ -84,29 +87,53 @@ class VectorStore:
         return catalog.read_table(self.spark, self.name)
 
     def create_index(self, index_type: str, **options) -> None:
-        """Build an approximate index over the present rows for this store's metric."""
+        """Build an approximate index over the present rows for this store's metric.
+
+        It belongs to the table: any store of it uses the index, and rows that were inserted
+        since are searched besides. Changing rows otherwise (edits, truncation) removes it.
+        """
         if index_type != "ivfflat":
             options.setdefault("dims", int(catalog.get_property(
                 self.spark, self.name, catalog.DIMS
             )))
-        self._index = ann.create_index(self.rows(), index_type, self.metric, **options)
+        last = catalog.get_property(self.spark, self.name, catalog.LAST_ID) or "0"
+        options.setdefault("path", f"{catalog.home(self.spark, self.name)}/{catalog.INDEXES}/{uuid.uuid4().hex}")
+        rows = self.rows().filter(F.col("id") <= int(last))
+        index = ann.create_index(rows, index_type, self.metric, **options)
+        catalog.set_property(self.spark, self.name, catalog.INDEXED_ID, last)
+        catalog.set_property(self.spark, self.name, catalog.INDEX, index.path)
+
+    def index(self) -> ann.IvfIndex | ann.LshIndex | None:
+        """The table's index, if it has one for this store's metric."""
+        path = catalog.get_property(self.spark, self.name, catalog.INDEX)
+        if path is None:
+            return None
+        if self._opened is None or self._opened[0] != path:
+            self._opened = path, ann.load_index(self.spark, path)
+        return self._opened[1] if self._opened[1].metric == self.metric else None
 
     def similarity_search_vector(
         self, query: Sequence[float], k: int = search.DEFAULT_K,
         filters: Mapping[str, Any] | str | None = None, probes: int | None = None,
+        share: float | None = None,
     ) -> DataFrame:
         """``(id, content, metadata, distance)`` of the nearest rows.
 
-        Uses the index if there is one; it covers the rows present when it was
-        built and is dropped by the next insert through this store.
+        Uses the table's index if there is one. How far it looks is its own choice, unless
+        ``probes`` cells or a ``share`` of the rows is asked for.
         """
         if filters is None or isinstance(filters, str):
             filters = parse_metadata_filter(filters)
-        if isinstance(self._index, ann.IvfIndex):
-            return self._index.search(query, k, probes or 1, filters, self.metric)
-        if self._index is not None:
-            return self._index.search(query, k, filters, self.metric)
-        return search.similarity_search(self.rows(), query, k, self.metric, filters)
+        index, rows = self.index(), self.rows()
+        if index is None:
+            return search.similarity_search(rows, query, k, self.metric, filters)
+        if isinstance(index, ann.IvfIndex):
+            found = index.search(query, k, probes, filters, self.metric)
+        else:
+            found = index.search(query, k, filters, self.metric, share=share)
+        newer = rows.filter(F.col("id") > int(catalog.get_property(self.spark, self.name, catalog.INDEXED_ID)))
+        both = found.unionByName(search.similarity_search(newer, query, k, self.metric, filters))
+        return both.orderBy(*search.nearest_first()).limit(k)
 
     def similarity_search(self, prompt: str, k: int = search.DEFAULT_K, filters=None) -> DataFrame:
         return self.similarity_search_vector(self.embedder.embed_query(prompt), k, filters)

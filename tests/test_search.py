@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from nearspark.functions.distance import (
     check_dims, distance, parse_vector, vector_literal, vector_text,
 )
+from nearspark.operators import ann
 from nearspark.operators.ann import IvfIndex, LshIndex, create_index, recall
 from nearspark.operators.knn import knn_join
 from nearspark.operators.search import (
@@ -196,6 +197,83 @@ def test_lsh(corpus, metric):
     assert index.search(data[20].tolist(), 1, columns=("id",)).first().id == 20
 
 
+def clustered(spark, count=3000, dims=16, groups=40):
+    rng = np.random.default_rng(5)
+    centers = rng.standard_normal((groups, dims)) * 4
+    data = (centers[rng.integers(0, groups, count)] + rng.standard_normal((count, dims)) * 0.3).astype(np.float32)
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(data)], "id long, embedding array<float>")
+    return data, rows.repartition(4).cache()
+
+
+def test_lsh_reads_few_buckets_and_finds_the_neighbours(spark):
+    data, df = clustered(spark)
+    index = LshIndex.build(df, 16, "l2", bits=10)
+    hits, read = 0, 0
+    for q in range(0, 3000, 300):
+        order, _, near = index.probed(data[q].tolist())[0]
+        read += index.counts[0][order[:near]].sum()
+        expected = brute(data, [q], 10, "l2")[q]
+        found = index.search(data[q].tolist(), 10, columns=("id",), decimals=6)
+        hits += len({r.id for r in found.collect()} & {i for i, _ in expected})
+        if q % 900 == 0:
+            exact = index.search(data[q].tolist(), 10, columns=("id",), decimals=6, exact=True)
+            assert [(r.id, r.distance + 0.0) for r in exact.collect()] == expected
+    assert hits >= 0.9 * 100 and read < 0.3 * 10 * 3000
+    plan = index.search(data[0].tolist(), 3, columns=("id",))._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(hash_table" in plan and "folder" in plan.split("PartitionFilters:")[1].split("]")[0]
+
+
+def test_lsh_gap_bounds_the_distance(spark):
+    rng = np.random.default_rng(1)
+    rows, query = rng.standard_normal((200, 8)), rng.standard_normal(8)
+    planes = ann.Hyperplanes.fit(rows, 8, "l2", 2, 6, 7)
+    codes, offsets = planes.codes(rows), planes.offsets(query[None, :])[0]
+    for t in range(2):
+        assert (planes.gaps(offsets[t])[codes[:, t]] <= np.square(rows - query).sum(axis=1) + 1e-9).all()
+
+
+@pytest.mark.parametrize("tables", [1, 3])
+def test_batch_searches_fill_up(spark, corpus, tables):
+    """Every query gets k rows, or all there are, however few its own bucket holds."""
+    data, df = corpus
+    asked = df.filter("id < 40")
+    for index in (LshIndex.build(df, DIMS, "l2", tables=tables), IvfIndex.build(df, 60, "l2")):
+        found = index.knn_join(asked, 300, decimals=6) if tables == 1 else index.knn_join(asked, 300, decimals=6, probes=2)
+        sizes = {r.query_id: (r.n, r.least) for r in found.groupBy("query_id").agg(F.count("*").alias("n"), F.countDistinct("id").alias("least")).collect()}
+        assert sizes == {i: (300, 300) for i in range(40) if i != 7}
+    full = as_lists(index.knn_join(asked, 699, decimals=6))
+    assert full == brute(data, [i for i in range(40) if i != 7], 699, "l2")
+
+
+def test_two_level_cells(spark, monkeypatch):
+    monkeypatch.setattr(ann, "DIRECT_LISTS", 8)
+    data, df = clustered(spark)
+    index = IvfIndex.build(df, metric="l2")
+    assert len(index.cells.tops) == 7 and 40 <= index.lists <= 56 and index.table.count() == 3000
+    hits = 0
+    for q in range(0, 3000, 300):
+        found = {r.id for r in index.search(data[q].tolist(), 10, columns=("id",), decimals=6).collect()}
+        hits += len(found & {i for i, _ in brute(data, [q], 10, "l2")[q]})
+    assert hits >= 90 and index.probes < index.lists / 2
+    plan = index.search(data[0].tolist(), 3, 1, columns=("id",))._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(coarse" in plan and "In(cell" in plan.replace("EqualTo(cell", "In(cell")
+
+
+def test_an_index_is_opened_again(spark, corpus):
+    data, df = corpus
+    for index in (LshIndex.build(df, DIMS, "cosine", bits=4), IvfIndex.build(df, 9, "cosine")):
+        again = ann.load_index(spark, index.path)
+        assert type(again) is type(index) and again.total == 699
+        one, two = (i.search(data[20].tolist(), 6, columns=("id",), decimals=6).collect() for i in (index, again))
+        assert one == two
+
+
+def test_index_of_nothing(spark):
+    empty = spark.createDataFrame([], "id long, embedding array<float>")
+    for index in (LshIndex.build(empty, 3), IvfIndex.build(empty)):
+        assert index.search([1.0, 2.0, 3.0], 5, columns=("id",)).collect() == []
+
+
 def test_index_kinds(corpus):
     assert isinstance(create_index(corpus[1], "ivfflat", "l2", lists=3), IvfIndex)
     assert isinstance(create_index(corpus[1], "hnsw", "l2", dims=DIMS), LshIndex)

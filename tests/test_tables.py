@@ -72,6 +72,26 @@ def test_vector_table_lifecycle(spark):
     assert not catalog.table_exists(spark, "public.itest_docs")
 
 
+def test_index_belongs_to_the_table(spark):
+    """Another store uses it, sees rows inserted since, and edits remove it."""
+    store, other = (VectorStore(spark, HashingEmbedder(3), "itest_index", metric="l2") for _ in range(2))
+    store.drop()
+    store.add_vectors(docs(spark, BATCH), ("n",))
+    for kind in ("hnsw", "ivfflat"):
+        store.create_index(kind)
+        assert other.index().path == store.index().path and other.index().total == store.rows().count()
+        other.add_vectors(docs(spark, [(1, "newer", [0.1, 0.2, 0.31], None)]))
+        for s in (store, other):
+            found = s.similarity_search_vector([0.1, 0.2, 0.31], 10).collect()
+            assert found[0].content == "newer" and len(found) == s.rows().count()
+        assert VectorStore(spark, HashingEmbedder(3), "itest_index").index() is None  # built for another metric
+    path = store.index().path
+    catalog.edit(spark, "itest_index", lambda rows: rows.filter("content <> 'newer'"))
+    assert store.index() is None and path.startswith(catalog.home(spark, "itest_index"))
+    assert [r.id for r in store.similarity_search_vector([0.1, 0.2, 0.3], 1).collect()] == [1]
+    store.drop()
+
+
 def test_create_twice(spark):
     catalog.drop_table(spark, "twice")
     catalog.create_vector_table(spark, "twice", 3)
