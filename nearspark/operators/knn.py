@@ -1,12 +1,18 @@
 """k nearest neighbours of many query vectors at once.
 
 Work is done in tiles of queries x rows. A task never holds more than its tile and
-the current best ``k`` per query, and only those leave the task. Nothing depends on
-how keys are distributed: blocks follow from a hash of the row id.
+the current best ``k`` per query, and only those leave the task.
+
+Query sets that fit into every task are broadcast, and the corpus is read where it lies. For larger ones
+the corpus is dealt to the cells of sampled pivots. Queries meet the rows of their nearest cells first,
+which bounds the distance of their ``k``-th neighbour; by the triangle inequality a cell whose rows are all
+farther away than that cannot add anything, and the query is not sent there. Cells are cut into tiles
+by a hash of the row id and by their measured sizes, so a hot cell is no hot task.
 """
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -15,10 +21,16 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.distance import DEFAULT_METRIC, all_pairs, check_metric, matrix, paired
+from ..sources.staging import stage
 from .sizing import MAX_BROADCAST_BYTES, MAX_BROADCAST_ROWS, bound_slice, small_row_count
 
 TILE_CELLS = 2_000_000
+#: Most rows of a side of a tile, and most bytes of its vectors as doubles.
 BLOCK_ROWS = 100_000
+BLOCK_BYTES = 128 << 20
+#: Pivots grow with the square root of the corpus up to this number.
+MAX_PIVOTS = 2048
+LOG = logging.getLogger(__name__)
 RESULT = "query_id long, id long, distance double"
 
 # Tells which rows of a tile a query may see: (query slice, batch) -> bool matrix.
@@ -142,17 +154,20 @@ def top_k(candidates: DataFrame, k: int) -> DataFrame:
 
 
 def bucket_candidates(
-    corpus: DataFrame, queries: DataFrame, k: int, metric: str, decimals: int | None
+    corpus: DataFrame, queries: DataFrame, k: int, metric: str, decimals: int | None,
+    block_rows: int | None = None,
 ) -> DataFrame:
     """Best ``k`` per query and tile among the rows that share a bucket with it.
 
     Both sides have ``id``, ``embedding`` and ``bucket``; a row may stand in several. Buckets
-    are cut by a hash of the id into tiles of at most about ``BLOCK_ROWS`` rows a side, by
-    their measured sizes, so neither a hot bucket nor many queries meet in one task. A pair
-    found in several buckets is given once.
+    are cut by a hash of the id into tiles of at most about ``BLOCK_ROWS`` rows and
+    ``BLOCK_BYTES`` bytes a side, by their measured sizes, so neither a hot bucket nor many
+    queries meet in one task. A pair found in several buckets is given once.
     """
     def sized(rows: DataFrame, name: str) -> DataFrame:
-        return rows.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).alias(name))
+        count, bytes_ = F.count(F.lit(1)), 8 * F.coalesce(F.sum(F.size("embedding").cast("long")), F.lit(0))
+        tiles = F.greatest(F.ceil(count / (block_rows or BLOCK_ROWS)), F.ceil(bytes_ / BLOCK_BYTES), F.lit(1).cast("long"))
+        return rows.groupBy("bucket").agg(tiles.alias(name))
 
     tiles = sized(corpus, "rows").join(sized(queries, "asked"), "bucket")
 
@@ -211,40 +226,151 @@ def local_candidates(
     return corpus.mapInArrow(run, RESULT)
 
 
-def grid_candidates(
-    corpus: DataFrame, queries: DataFrame, k: int, metric: str, decimals: int | None,
-    block_rows: int = BLOCK_ROWS,
-) -> DataFrame:
-    """Best ``k`` per cell of a grid of query blocks x corpus blocks.
+class Pivots:
+    """Sampled centers, and the space in which the triangle inequality holds for a metric.
 
-    For query sets too large to hand to every task. Blocks are hashed from ids, so
-    each has about ``block_rows`` rows whatever the data looks like.
+    That is the metric itself for L2 and Manhattan, L2 between unit vectors for cosine, and for the
+    inner product L2 after the corpus vectors got one more coordinate that makes them all equally long.
     """
-    blocks = {}
-    for name, df in (("q", queries), ("c", corpus)):
-        blocks[name] = max(1, -(-df.count() // block_rows))
-
-    def placed(df: DataFrame, own: str, other: str) -> DataFrame:
-        block = F.pmod(F.xxhash64("id"), F.lit(blocks[own])).cast("int")
-        copies = F.explode(F.sequence(F.lit(0), F.lit(blocks[other] - 1)))
-        return df.select("id", "embedding", block.alias(own)).withColumn(other, copies)
-
-    def cell(left: pa.Table, right: pa.Table) -> pa.Table:
-        if not left.num_rows or not right.num_rows:
-            return pa.Table.from_batches([], schema=pa.schema(
-                [("query_id", pa.int64()), ("id", pa.int64()), ("distance", pa.float64())]
-            ))
-        _, ids, vectors = _valid(left, 0, 1, None)
-        best = Best(ids, vectors, k, metric, decimals)
-        for batch in right.to_batches(max_chunksize=10_000):
-            _, row_ids, rows = _valid(batch, 0, 1, vectors.shape[1])
-            if len(row_ids):
-                best.add(row_ids, rows)
-        return pa.Table.from_batches([best.batch()])
 
-    left = placed(queries, "q", "c").groupBy("q", "c")
-    right = placed(corpus, "c", "q").groupBy("q", "c")
-    return left.cogroup(right).applyInArrow(cell, RESULT)
+    def __init__(self, metric: str, longest: float, points: np.ndarray):
+        self.metric, self.longest = metric, longest
+        self.centers = self.lift(points, False)
+
+    def lift(self, vectors: np.ndarray, asked: bool) -> np.ndarray:
+        """Vectors of the corpus, or those that are ``asked`` for, in that space."""
+        if self.metric == "cosine":
+            norm = np.sqrt(np.square(vectors).sum(axis=1, keepdims=True))
+            return vectors / np.where(norm == 0, 1.0, norm)
+        if self.metric == "inner_product":
+            rest = np.zeros(len(vectors)) if asked else np.sqrt(
+                np.maximum(self.longest**2 - np.square(vectors).sum(axis=1), 0.0)
+            )
+            return np.column_stack([vectors, rest])
+        return vectors
+
+    def distances(self, vectors: np.ndarray, asked: bool) -> np.ndarray:
+        """Of each vector to each pivot."""
+        name = "manhattan" if self.metric == "manhattan" else "l2"
+        lifted, step = self.lift(vectors, asked), max(1, TILE_CELLS // len(self.centers))
+        parts = [all_pairs(name, lifted[at : at + step], self.centers) for at in range(0, len(lifted), step)]
+        return np.concatenate(parts) if parts else np.zeros((0, len(self.centers)))
+
+    def reach(self, vectors: np.ndarray, distance: np.ndarray) -> np.ndarray:
+        """A distance of the metric from each query as one of that space, with room for noise."""
+        if self.metric == "cosine":
+            far = np.sqrt(2.0 * np.maximum(distance, 0.0))
+        elif self.metric == "inner_product":
+            far = np.sqrt(np.maximum(np.square(vectors).sum(axis=1) + self.longest**2 + 2.0 * distance, 0.0))
+        else:
+            far = distance
+        return far * (1 + 1e-6) + 1e-6 * (1 + self.longest)
+
+
+def _placed(rows: DataFrame, pivots: Pivots) -> DataFrame:
+    """Corpus rows with their ``bucket``, the nearest pivot, and how ``far`` it is."""
+    shared = rows.sparkSession.sparkContext.broadcast(pivots)
+
+    @F.arrow_udf("struct<bucket: int, far: double>")
+    def place(batch: pa.Array) -> pa.Array:
+        found = shared.value.distances(matrix(batch, None), False)
+        near = found.argmin(axis=1) if len(found) else np.zeros(0, np.int64)
+        return pa.StructArray.from_arrays(
+            [pa.array(near.astype(np.int32)), pa.array(found[np.arange(len(near)), near])], names=["bucket", "far"]
+        )
+
+    return rows.withColumn("_at", place(F.col("embedding"))).select("id", "embedding", "_at.bucket", "_at.far")
+
+
+def pivot_candidates(
+    corpus: DataFrame, queries: DataFrame, k: int, metric: str, decimals: int | None,
+    block_rows: int | None = None, seed: int = 11,
+) -> DataFrame:
+    """Best rows of query sets too large to hand to every task, cell by cell."""
+    present, asked = (df.filter(F.col("embedding").isNotNull()) for df in (corpus, queries))
+    square = F.aggregate("embedding", F.lit(0.0), lambda s, v: s + v.cast("double") * v.cast("double"))
+    zero = (square == 0) if metric == "cosine" else F.lit(False)
+    size = present.agg(
+        F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(zero.cast("long")), F.lit(0)).alias("zeros"),
+        F.sqrt(F.coalesce(F.max(square), F.lit(0.0))).alias("longest"),
+    ).first()
+    useful = size["rows"] - size["zeros"]
+
+    def by_id(rows: DataFrame, of: DataFrame, count: int) -> DataFrame:
+        """The first ``count`` rows by id, at no known distance, for each of the queries."""
+        ids = [r[0] for r in of.select(F.col("id").cast("long")).orderBy("id").limit(count).collect()]
+        every = F.explode(F.array(*[F.lit(i) for i in ids]).cast("array<long>")).alias("id")
+        return rows.select(F.col("id").cast("long").alias("query_id"), every, F.lit(float("nan")).alias("distance"))
+
+    # a zero vector has no direction: from it nothing, and for others it, is at a known distance
+    aside = by_id(asked.filter(zero), present, k)
+    if useful < k and size["zeros"]:
+        aside = aside.unionByName(by_id(asked.filter(~zero), present.filter(zero), k - useful))
+    if not useful:
+        return aside
+    count = min(MAX_PIVOTS, max(1, round(useful**0.5)))
+    rows = present.filter(~zero)
+    sample = rows.select("embedding").sample(fraction=min(1.0, 1.5 * count / useful), seed=seed).limit(count)
+    points = sample.toArrow()["embedding"].combine_chunks()
+    if not len(points):
+        points = rows.select("embedding").limit(1).toArrow()["embedding"].combine_chunks()
+    if isinstance(points, pa.ChunkedArray):
+        points = points.combine_chunks()
+    pivots = Pivots(metric, float(size["longest"]) if metric != "cosine" else 1.0, np.unique(matrix(points, None), axis=0))
+    cells = stage(_placed(rows, pivots), "knn-cells")
+    stats = cells.groupBy("bucket").agg(
+        F.count(F.lit(1)).alias("n"), F.min("far").alias("least"), F.max("far").alias("most")
+    ).toArrow()  # one row per pivot
+    held, least, most = (np.zeros(len(pivots.centers)) for _ in range(3))
+    at = stats["bucket"].to_numpy()
+    for name, values in (("n", held), ("least", least), ("most", most)):
+        values[at] = stats[name].to_numpy()
+    shared = corpus.sparkSession.sparkContext.broadcast((pivots, held, least, most))
+    slack = 0.0 if decimals is None else 10.0**-decimals
+
+    @F.arrow_udf("array<int>")
+    def first(batch: pa.Array) -> pa.Array:
+        """The nearest cells that hold ``k`` rows together."""
+        pivots, held, _, _ = shared.value
+        vectors = matrix(batch, None)
+        order = np.argsort(np.where(held > 0, pivots.distances(vectors, True), np.inf), axis=1, kind="stable")
+        enough = 1 + (np.cumsum(held[order], axis=1) < k).sum(axis=1)
+        return _number_lists([o[: min(n, (held > 0).sum())] for o, n in zip(order, enough)])
+
+    @F.arrow_udf("array<int>")
+    def others(batch: pa.Array, seen: pa.Array, bound: pa.Array) -> pa.Array:
+        """Further cells that may hold a row within the bound, which a missing one does not limit."""
+        pivots, held, least, most = shared.value
+        vectors = matrix(batch, None)
+        far = pivots.distances(vectors, True)
+        limit = np.asarray(bound.fill_null(np.inf))
+        limit = np.where(np.isfinite(limit), pivots.reach(vectors, np.where(np.isfinite(limit), limit + slack, 0.0)), np.inf)
+        open_ = (held > 0) & (np.maximum(far - most, least - far) <= limit[:, None])
+        for n, own in enumerate(seen.to_pylist()):
+            open_[n, own] = False
+        return _number_lists([np.flatnonzero(o) for o in open_])
+
+    mine = stage(asked.filter(~zero).select(
+        F.col("id").cast("long").alias("id"), "embedding", first(F.col("embedding")).alias("seen")
+    ), "knn-queries")
+    start = mine.select("id", "embedding", F.explode("seen").alias("bucket"))
+    found = stage(top_k(bucket_candidates(cells, start, k, metric, decimals, block_rows), k), "knn-first")
+    bounds = found.filter(F.col("rank") == k).select(F.col("query_id").alias("id"), F.col("distance").alias("bound"))
+    further = stage(mine.join(bounds, "id", "left").select(
+        "id", "embedding", F.explode(others(F.col("embedding"), F.col("seen"), F.col("bound"))).alias("bucket")
+    ), "knn-further")
+    if LOG.isEnabledFor(logging.INFO):
+        pairs = start.select("bucket").unionByName(further.select("bucket")).groupBy("bucket").count().toArrow()
+        done = float((held[pairs["bucket"].to_numpy()] * pairs["count"].to_numpy()).sum())
+        LOG.info("compares %.0f of %.0f pairs", done, useful * mine.count())
+    more = bucket_candidates(cells, further, k, metric, decimals, block_rows)
+    return found.drop("rank").unionByName(more).unionByName(aside)
+
+
+def _number_lists(lists: list[np.ndarray]) -> pa.Array:
+    ends = np.cumsum([0] + [len(x) for x in lists]).astype(np.int32)
+    flat = np.concatenate([np.zeros(0, np.int32), *(x.astype(np.int32) for x in lists)])
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
 
 
 def collect_vectors(queries: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -285,13 +411,13 @@ def knn_join(
     decimals: int | None = None,
     max_query_rows: int = MAX_BROADCAST_ROWS,
     max_query_bytes: int = MAX_BROADCAST_BYTES,
-    block_rows: int = BLOCK_ROWS,
+    block_rows: int | None = None,
     first_slice: int | None = None,
 ) -> DataFrame:
     """Exact ``k`` nearest corpus rows of every query: ``(query_id, id, distance, rank)``.
 
     Ids are integers and unique. Queries within the size bounds are broadcast and the
-    corpus is read where it lies; larger query sets go through the block grid. On a
+    corpus is read where it lies; larger query sets go through the cells of pivots. On a
     large corpus one in ``first_slice`` rows is searched first, and its result keeps
     the tasks from handing on rows that cannot count. With ``decimals`` distances are
     rounded before ranking, ties go to the smaller id.
@@ -300,7 +426,7 @@ def knn_join(
     left = queries.select(F.col(query_id).alias("id"), F.col(embedding).alias("embedding"))
     right = corpus.select(F.col(id_col).alias("id"), F.col(embedding).alias("embedding"))
     if small_row_count(left, max_query_rows, max_query_bytes) is None:
-        found = grid_candidates(right, left, k, metric, decimals, block_rows)
+        found = pivot_candidates(right, left, k, metric, decimals, block_rows)
     else:
         ids, vectors = collect_vectors(left)
         every = first_slice or bound_slice(corpus)

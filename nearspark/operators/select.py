@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
+from typing import NamedTuple
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,6 +22,11 @@ from .predicates import (
 from .sizing import BOUND_SLICE, MAX_BROADCAST_ROWS, bound_slice, small_row_count
 
 DEFAULT_LIMIT = 50
+#: Rows of a quantile bucket of a band join, and the most buckets there may be.
+BUCKET_ROWS = 50_000
+MAX_BUCKETS = 4096
+#: Rows of a table for each slice in which an item's limit is applied first.
+SLICE_ROWS = 1_000_000
 
 
 def project_columns(df: DataFrame, columns: str | Iterable[str] | None = None) -> DataFrame:
@@ -89,17 +96,90 @@ def _item_value(df: DataFrame, items: DataFrame, name: str, condition: str, sour
     return value.cast(target)
 
 
+def _as_double(value: Column, dtype: T.DataType) -> Column | None:
+    """An order-keeping double of a column, None for types that have none."""
+    if isinstance(dtype, T.NumericType):
+        return value.cast("double")
+    if isinstance(dtype, T.DateType):
+        return F.unix_date(value).cast("double")
+    if isinstance(dtype, T.TimestampType):
+        return F.unix_micros(value).cast("double")
+    return None
+
+
+class _Band(NamedTuple):
+    """Range conditions on one column, and the quantiles that cut the column into buckets.
+
+    The bucket number grows with the value, so an interval of values is an interval of buckets.
+    """
+
+    name: str
+    dtype: T.DataType
+    splits: list[float]
+    lows: list[Column]
+    highs: list[Column]
+
+    @classmethod
+    def of(cls, df: DataFrame, items: DataFrame, clauses: list[tuple], combine: str, rows: int) -> _Band | None:
+        """The band of the column with most range conditions; None if a row may match without them."""
+        ranges: dict[str, list[tuple]] = {}
+        for name, condition, source in clauses if combine != "OR" or len(clauses) == 1 else ():
+            if condition in RANGE_CONDITIONS and _as_double(F.lit(None), data_type(df, name)) is not None:
+                ranges.setdefault(name, []).append((condition, source))
+        if not ranges:
+            return None
+        name = max(ranges, key=lambda n: len(ranges[n]))
+        dtype, lows, highs = data_type(df, name), [], []
+        for condition, source in ranges[name]:
+            value = _item_value(df, items, name, condition, source)
+            number = value.cast("double") if isinstance(dtype, T.NumericType) else _as_double(value, dtype)
+            (lows if condition[0] == ">" else highs).append(number)
+        count = min(MAX_BUCKETS, max(16, -(-rows // BUCKET_ROWS)))
+        values = df.select(_as_double(column(df, name), dtype).alias("v"))
+        inner = values.approxQuantile("v", [i / count for i in range(1, count)], 1 / (4 * count)) if rows else []
+        inside = sorted({float(v) for v in inner if abs(v) != float("inf")}) or [0.0]
+        return cls(name, dtype, [-float("inf"), *inside, float("inf")], lows, highs)
+
+    def within(self, bound: Column, descending: bool) -> _Band:
+        """The band of rows that sort up to a bound on its column."""
+        number = _as_double(bound, self.dtype)
+        return self._replace(lows=[*self.lows, number]) if descending else self._replace(highs=[*self.highs, number])
+
+    def numbered(self, df: DataFrame, value: str, bucket: str) -> DataFrame:
+        """``df`` with the bucket of its double column ``value``; NaN, the greatest, comes last."""
+        cut = Bucketizer(splits=self.splits, inputCol=value, outputCol=bucket, handleInvalid="keep")
+        return cut.transform(df).withColumn(bucket, F.col(bucket).cast("int")).drop(value)
+
+    def join(self, df: DataFrame, params: DataFrame, on: Column) -> DataFrame:
+        """Rows with the parameter rows they satisfy: both sides meet by bucket."""
+        # greatest and least pass over NULL, which limits nothing
+        open_low, open_high = F.lit(-float("inf")), F.lit(float("nan"))
+        low, high = F.greatest(open_low, open_low, *self.lows), F.least(open_high, open_high, *self.highs)
+        asked = self.numbered(params.withColumn("_v", low), "_v", "_from")
+        asked = self.numbered(asked.withColumn("_v", high), "_v", "_to")
+        every = F.explode(F.sequence("_from", "_to")).alias("_bucket")
+        asked = asked.filter("_from <= _to").select(*params.columns, every)
+        rows = df.withColumn("_v", _as_double(column(df, self.name), self.dtype)).filter(F.col("_v").isNotNull())
+        rows = self.numbered(rows, "_v", "_cell")
+        if small_row_count(asked) is not None:
+            asked = F.broadcast(asked)
+        return rows.join(asked, (F.col("_cell") == F.col("_bucket")) & on, "inner").drop("_cell", "_bucket")
+
+
 def _match_items(
-    df: DataFrame, params: DataFrame, on: Column, has_key: bool, unique: str, salts: int
+    df: DataFrame, params: DataFrame, on: Column, has_key: bool, unique: str, slices: int, band: _Band | None
 ) -> DataFrame:
     """Rows of ``df`` joined with the parameter rows they satisfy.
 
-    A measured-small parameter table is broadcast, so ``df`` is not shuffled. Past
-    that size an equality key gives an ordinary join. Without a key, rows and
-    parameters meet in a grid: each row goes to one slice and every block, each
-    parameter row to one block and every slice, so each pair meets exactly once and
-    no grid cell depends on how values are distributed.
+    An equality key gives an ordinary join, or one with a broadcast side where the parameter table was
+    measured to be small. Otherwise a range condition gives a band join, in which rows and items meet by
+    quantile buckets. What is left must compare every row with every parameter: small
+    parameter tables are broadcast, larger ones meet the rows in a grid: each row goes to one slice and
+    every block, each parameter row to one block and every slice, so each pair meets
+    exactly once and no grid cell depends on how values are distributed.
     """
+    if band is not None and not has_key:
+        return band.join(df, params, on)
     rows = small_row_count(params)
     if rows is not None:
         return df.join(F.broadcast(params), on, "inner")
@@ -107,10 +187,10 @@ def _match_items(
         return df.join(params, on, "inner")
     blocks = max(1, params.count() // MAX_BROADCAST_ROWS)
     spread = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    left = df.withColumn("_slice", F.pmod(F.xxhash64(column(df, unique)), F.lit(salts)).cast("int"))
+    left = df.withColumn("_slice", F.pmod(F.xxhash64(column(df, unique)), F.lit(slices)).cast("int"))
     left = left.withColumn("_block", spread(blocks))
     right = params.withColumn("_b", F.pmod(F.xxhash64(*params.columns), F.lit(blocks)).cast("int"))
-    right = right.withColumn("_s", spread(salts))
+    right = right.withColumn("_s", spread(slices))
     cell = (F.col("_slice") == F.col("_s")) & (F.col("_block") == F.col("_b"))
     return left.join(right, cell & on, "inner").drop("_slice", "_block", "_b", "_s")
 
@@ -146,7 +226,7 @@ def select_per_item(
     limit: int = DEFAULT_LIMIT,
     return_all: bool = False,
     ordinal: str = "item_ordinal",
-    salts: int = 32,
+    salts: int | None = None,
     first_slice: int | None = None,
 ) -> DataFrame:
     """The select of every item of ``items`` in one job.
@@ -159,10 +239,10 @@ def select_per_item(
     item matches, one in ``first_slice`` rows is searched first (by default unless the
     table is small and an equality condition narrows it down): the last row of an
     item's result there bounds its result over the whole table, and only rows up to
-    that bound go on. The limit is then applied in two steps, within ``salts`` slices
-    of a parameter row and over all of them. Both cut locally before their shuffle,
-    so an item matching a third of the table moves few rows. Slices follow from a hash
-    of ``unique``, so a retried task repeats them.
+    that bound go on. The limit is then applied in two steps, within ``salts`` slices of a parameter
+    row (by default one for every ``SLICE_ROWS`` rows of the table) and over all of them. Both cut
+    locally before their shuffle, so an item matching a third of the table moves few rows. Slices
+    follow from a hash of ``unique``, so a retried task repeats them.
     """
     clauses = [tuple(c) for c in where]
     names = list(dict.fromkeys(v for _, c, v in clauses if c not in NULL_CONDITIONS))
@@ -180,9 +260,12 @@ def select_per_item(
     group = [f"p_{n}" for n in names]
     params = items.select(*renamed).distinct()
     has_key = combine != "OR" and any(c in ("=", "equal") for _, c, _ in clauses)
+    size = df.count() if salts is None or not has_key else 0
+    slices = salts or max(1, -(-size // SLICE_ROWS))
+    band = None if has_key else _Band.of(df, items, clauses, combine, size)
 
     if return_all:
-        matched = _match_items(df, params, on, has_key, unique, salts)
+        matched = _match_items(df, params, on, has_key, unique, slices, band)
     else:
         check_limit(limit)
         rules = sort_names(sort) + [(unique, False)]
@@ -192,7 +275,7 @@ def select_per_item(
         every = first_slice or (bound_slice(df) if has_key else BOUND_SLICE)
         if every:
             few = df.filter(F.pmod(hashed, F.lit(every)) == 0)
-            found = _match_items(few, params, on, has_key, unique, salts)
+            found = _match_items(few, params, on, has_key, unique, slices, band)
             last = _first_rows(found, group, keys, limit).filter(F.col("_rank") == limit)
             bounds = [f"b_{i}" for i in range(len(rules))]
             last = last.select(
@@ -205,8 +288,10 @@ def select_per_item(
                 [(column(df, n), d) for n, d in rules], [F.col(b) for b in bounds]
             )
             on = on & (F.col("b_known").isNull() | inside)
-        matched = _match_items(df, params, on, has_key, unique, salts)
-        matched = matched.withColumn("_slice", F.pmod(hashed, F.lit(salts)))
+            if band is not None and band.name == rules[0][0]:
+                band = band.within(F.col("b_0"), rules[0][1])
+        matched = _match_items(df, params, on, has_key, unique, slices, band)
+        matched = matched.withColumn("_slice", F.pmod(hashed, F.lit(slices)))
         matched = _first_rows(matched, [*group, "_slice"], keys, limit).drop("_rank")
         matched = _first_rows(matched, group, keys, limit)
     tagged = items.select(

@@ -104,6 +104,21 @@ for _metric in METRICS:
     _distance(_metric)
 
 
+@query("knn_join_pivots", f"""
+    WITH {SCALED_SQL}, pairs AS (
+        SELECT q.id AS query_id, e.id, {rounded('l2')} AS distance
+        FROM scaled e, (SELECT id, CAST(embedding AS DOUBLE[]) AS v FROM scaled) q)
+    SELECT query_id, id, distance, CAST(rank AS INTEGER) AS rank FROM (
+        SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, id) AS rank
+        FROM pairs)
+    WHERE rank <= 10""")
+def _(t: Tables) -> DataFrame:
+    """The way of query sets that are too large to broadcast."""
+    rows = scaled(t)
+    found = knn_join(rows, rows, 10, "l2", decimals=DECIMALS, max_query_rows=0)
+    return found.withColumn("distance", F.col("distance") + 0.0)
+
+
 @query("similarity_search", f"""
     WITH {QUERY_SQL}, {RAG_SQL}
     SELECT id, content, metadata, {rounded('cosine')} AS distance FROM rag_docs e, q

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from .functions.names import parse_output_columns
 from .operators import edits
 from .operators.edits import ORDINAL
-from .operators.select import DEFAULT_LIMIT, select_rows
+from .operators.select import DEFAULT_LIMIT, select_per_item, select_rows
 from .operators.sqlexec import execute_sql
 from .sources import catalog
 from .sources.staging import stage
@@ -57,6 +57,22 @@ class TableEditor:
     ) -> DataFrame:
         return select_rows(self.rows(), columns, where, combine, sort, limit, return_all)
 
+    def select_each(
+        self, items: DataFrame, where: Iterable, columns=None, combine: str = "AND", sort: Iterable = (),
+        limit: int = DEFAULT_LIMIT, return_all: bool = False, unique: str | None = None,
+    ) -> DataFrame:
+        """The select of every item, with its own values and its own limit.
+
+        ``where`` holds ``(column, condition, item column)``. Ties fall to the smaller value of
+        ``unique``, by default the table's first unique column.
+        """
+        unique = unique or next((key[0] for key in self._keys() if len(key) == 1), None)
+        if unique is None:
+            raise ValueError("name a unique column")
+        return select_per_item(
+            self.rows(), items, where, sort, unique, columns, combine, limit, return_all
+        )
+
     def insert(
         self, items: DataFrame, output_columns=None, skip_on_conflict: bool = False
     ) -> DataFrame:

@@ -1,3 +1,5 @@
+import re
+
 import numpy as np
 import pytest
 from row_helpers import tuples
@@ -106,7 +108,7 @@ def corpus(spark):
     return data, spark.createDataFrame(rows, "id long, embedding array<float>").repartition(5).cache()
 
 
-def brute(data, queries, k, metric):
+def brute(data, queries, k, metric, without=7):
     x = data.astype(np.float64)
     result = {}
     for qid in queries:
@@ -122,7 +124,7 @@ def brute(data, queries, k, metric):
             with np.errstate(all="ignore"):
                 d = np.where(norm == 0, np.inf, np.clip(1 - (x * q).sum(1) / norm, 0, 2))
         d = np.round(d, 6)
-        ids = [i for i in np.lexsort((np.arange(len(d)), d)) if i != 7][:k]
+        ids = [i for i in np.lexsort((np.arange(len(d)), d)) if i != without][:k]
         result[qid] = [(int(i), float(d[i]) + 0.0) for i in ids]
     return result
 
@@ -135,13 +137,13 @@ def as_lists(found):
     return result
 
 
-@pytest.mark.parametrize("path", ["broadcast", "bounded", "grid"])
+@pytest.mark.parametrize("path", ["broadcast", "bounded", "pivots"])
 @pytest.mark.parametrize("metric", ["l2", "cosine", "inner_product", "manhattan"])
 def test_knn_join(corpus, metric, path):
     data, df = corpus
     limits = {
         "broadcast": {}, "bounded": {"first_slice": 9},
-        "grid": {"max_query_rows": 3, "block_rows": 150},
+        "pivots": {"max_query_rows": 3, "block_rows": 150},
     }[path]
     found = as_lists(knn_join(df, df, 8, metric, decimals=6, **limits))
     expected = brute(data, [i for i in range(700) if i != 7], 8, metric)
@@ -150,8 +152,36 @@ def test_knn_join(corpus, metric, path):
     assert found == expected
 
 
+def test_knn_join_leaves_out_far_cells(spark, caplog, monkeypatch):
+    """Fewer pairs than all, tiles by bytes, and the same rows."""
+    from nearspark.operators import knn
+
+    data, df = clustered(spark, 1500)
+    monkeypatch.setattr(knn, "BLOCK_BYTES", 16 * 8 * 50)
+    for metric in ("l2", "manhattan", "cosine", "inner_product"):
+        caplog.clear()
+        with caplog.at_level("INFO", "nearspark.operators.knn"):
+            found = as_lists(knn_join(df.filter("id < 200"), df, 5, metric, decimals=6, max_query_rows=3))
+        assert found == brute(data, range(200), 5, metric, None)
+        done, every = (float(w) for w in re.findall(r"[0-9]+", caplog.messages[-1]))
+        assert every == 200 * 1500 and (done < 0.4 * every or metric == "inner_product")
+
+
+def test_knn_join_of_zero_vectors(spark):
+    rows = [(i, [0.0, 0.0] if i % 2 else [1.0, float(i)]) for i in range(6)] + [(9, None)]
+    df = spark.createDataFrame(rows, "id long, embedding array<float>")
+    found = as_lists(knn_join(df, df, 5, "cosine", decimals=6, max_query_rows=2))
+    assert [i for i, d in found[1]] == [0, 1, 2, 3, 4] and all(np.isinf(d) for _, d in found[1])
+    assert [i for i, d in found[0]] == [0, 2, 4, 1, 3] and 9 not in found
+    zeros = df.filter("id IN (1, 3)")
+    assert [i for i, _ in as_lists(knn_join(df, zeros, 5, "cosine", max_query_rows=2))[0]] == [1, 3]
+    assert knn_join(df, df.limit(0), 5, "l2", max_query_rows=2).count() == 0
+
+
 def test_knn_join_fewer_rows_than_k(corpus):
     data, df = corpus
+    narrow = as_lists(knn_join(df.filter("id < 3"), df.filter("id < 4"), 10, "l2", decimals=6, max_query_rows=1))
+    assert narrow == brute(data[:4], [0, 1, 2], 10, "l2")
     found = as_lists(knn_join(df.filter("id < 3"), df.filter("id < 4"), 10, "l2", decimals=6))
     assert found == brute(data[:4], [0, 1, 2], 10, "l2")
 
@@ -212,7 +242,7 @@ def test_lsh_reads_few_buckets_and_finds_the_neighbours(spark):
     for q in range(0, 3000, 300):
         order, _, near = index.probed(data[q].tolist())[0]
         read += index.counts[0][order[:near]].sum()
-        expected = brute(data, [q], 10, "l2")[q]
+        expected = brute(data, [q], 10, "l2", None)[q]
         found = index.search(data[q].tolist(), 10, columns=("id",), decimals=6)
         hits += len({r.id for r in found.collect()} & {i for i, _ in expected})
         if q % 900 == 0:
@@ -253,7 +283,7 @@ def test_two_level_cells(spark, monkeypatch):
     hits = 0
     for q in range(0, 3000, 300):
         found = {r.id for r in index.search(data[q].tolist(), 10, columns=("id",), decimals=6).collect()}
-        hits += len(found & {i for i, _ in brute(data, [q], 10, "l2")[q]})
+        hits += len(found & {i for i, _ in brute(data, [q], 10, "l2", None)[q]})
     assert hits >= 90 and index.probes < index.lists / 2
     plan = index.search(data[0].tolist(), 3, 1, columns=("id",))._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(coarse" in plan and "In(cell" in plan.replace("EqualTo(cell", "In(cell")

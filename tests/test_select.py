@@ -1,5 +1,7 @@
 import random
 
+import math
+
 import pytest
 from row_helpers import tuples
 
@@ -110,6 +112,40 @@ def test_select_per_item_grid(spark, table, combine, monkeypatch):
     assert sorted(tuples(found)) == expected
 
 
+@pytest.mark.parametrize("small", [True, False])
+@pytest.mark.parametrize("direction", ["ASC", "DESC"])
+def test_select_per_item_band(spark, monkeypatch, small, direction):
+    """Intervals meet rows by quantile buckets: no row is compared with every item."""
+    import nearspark.operators.select as module
+
+    if not small:
+        monkeypatch.setattr(module, "small_row_count", lambda df: None)
+    nan, inf = float("nan"), float("inf")
+    special = {3: nan, 4: None, 5: inf, 6: -inf, 7: 0.0}
+    rows = [(k, special.get(k, 5.0 if k % 3 == 0 else float(k % 37))) for k in range(400)]
+    df = spark.createDataFrame(rows, "id long, v double").repartition(3)
+    items = [(n, lo, hi) for n, (lo, hi) in enumerate(
+        [(1.0, 9.5), (5.0, 5.0), (30.0, 2.0), (None, 3.0), (36.0, inf), (-inf, 1.0), (nan, nan), (4.0, nan), (5.0, 6.0)] * 3
+    )]
+    items_df = spark.createDataFrame(items, "item_ordinal long, lo double, hi double")
+    where = [("v", ">=", "lo"), ("v", "<=", "hi")]
+    found = select_per_item(df, items_df, where, [("v", direction)], "id", "id", limit=6, first_slice=4)
+    assert "NestedLoop" not in found._jdf.queryExecution().executedPlan().toString()
+
+    def key(v):  # NaN is the greatest
+        return (1, 0.0) if math.isnan(v) else (0, v)
+
+    expected = []
+    for n, lo, hi in items:
+        mine = [r for r in rows if r[1] is not None and lo is not None and hi is not None and key(lo) <= key(r[1]) <= key(hi)]
+        mine.sort(key=lambda r: r[0])
+        mine.sort(key=lambda r: key(r[1]), reverse=direction == "DESC")
+        expected += [(n, r[0]) for r in mine[:6]]
+    assert sorted(tuples(found)) == sorted(expected)
+    every = select_per_item(df, items_df, where[:1], [], "id", "id", return_all=True)
+    assert every.count() == sum(key(lo) <= key(r[1]) for _, lo, _ in items if lo is not None for r in rows if r[1] is not None)
+
+
 def test_select_per_item_return_all(spark, table):
     rows, df = table
     items_df = spark.createDataFrame([(0, "hot"), (1, "none"), (2, "hot")], "item_ordinal long, g string")
