@@ -47,9 +47,11 @@ from .words import U64, mix, runs
 K = 10
 BLOCK_TERMS = 100_000
 #: Documents whose accumulators are held at a time, and candidates before they are cut to the best.
-DOCS = 512
+DOCS = 256
 CANDIDATES = 1 << 18
 SLICES = 64
+#: Bytes of text whose words a task holds at a time.
+RUN = 1 << 20
 
 
 def share(queries: list[list[int]], leaves: int) -> tuple[list[tuple[int, int]], list[list[int]]]:
@@ -125,7 +127,7 @@ def _profiles(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBa
     bits = np.zeros(1 << 20, bool)
     bits[(mix(terms, 3) >> U64(44)).astype(np.int64)] = True
     for batch in batches:
-        for run in runs(batch.column(1), "symbol"):
+        for run in runs(batch.column(1), "symbol", size=RUN):
             n = np.diff(run.first)
             at = np.flatnonzero(bits[(mix(run.hashes, 3) >> U64(44)).astype(np.int64)])
             code = np.searchsorted(terms, run.hashes[at])

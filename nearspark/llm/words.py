@@ -111,13 +111,13 @@ def _run(row: int, bytes_: np.ndarray, ends: np.ndarray, table: np.ndarray, valu
     return Run(row, mix(hashes), first)
 
 
-def runs(texts: pa.Array, kind: str = "space", fold: bool = True) -> Iterator[Run]:
+def runs(texts: pa.Array, kind: str = "space", fold: bool = True, size: int = RUN_BYTES) -> Iterator[Run]:
     """All texts of a batch, a few megabytes at a time; a longer text is a run of its own.
     Without ``fold`` words that differ in case differ."""
     offsets, data = text_buffers(texts)
     table, values, row, count = _TABLES[kind], _BYTE if fold else _EXACT, 0, len(offsets) - 1
     while row < count:
-        last = int(np.searchsorted(offsets, offsets[row] + RUN_BYTES, "right")) - 1
+        last = int(np.searchsorted(offsets, offsets[row] + size, "right")) - 1
         last = min(max(last, row + 1), count)
         lo = offsets[row]
         yield _run(row, data[lo : offsets[last]], offsets[row + 1 : last + 1] - lo, table, values)
