@@ -21,8 +21,10 @@ from pyspark.sql import types as T
 
 from ..functions.literals import typed_literal
 from ..functions.names import column, data_type, output_columns, parse_output_columns
-from .predicates import condition_column, where_column
-from .sizing import small_row_count
+from ..sources.staging import stage
+from .predicates import NULL_CONDITIONS, combine_columns, condition_column, where_column
+from .select import match_params
+from .sizing import has_rows, small_row_count
 
 ORDINAL = "item_ordinal"
 PRESENT = "item_columns"
@@ -127,6 +129,18 @@ def _key(df: DataFrame, key: str | Sequence[str]) -> list[str]:
     return names
 
 
+def unique_keys(key: str | Sequence | None) -> list[list[str]]:
+    """One or more unique keys: a column, the columns of a composite key, or a list of such lists."""
+    if not key:
+        return []
+    if isinstance(key, str):
+        return [[key]]
+    parts = list(key)
+    if all(isinstance(p, str) for p in parts):
+        return [parts]
+    return [[p] if isinstance(p, str) else list(p) for p in parts]
+
+
 def _any_null(names: Sequence[str]) -> Column:
     condition = F.lit(False)
     for name in names:
@@ -135,24 +149,62 @@ def _any_null(names: Sequence[str]) -> Column:
 
 
 def accepted_rows(
-    table: DataFrame, items: DataFrame, key: str | Sequence[str], **options
+    table: DataFrame, items: DataFrame, key: str | Sequence, **options
 ) -> DataFrame:
     """The insert images (with ordinal) that a skip-on-conflict insert lets in.
 
     Rows of the table win over items, earlier items over later ones. A NULL in the
     key never conflicts; such rows go past the key join, where they would all meet
-    in one partition.
+    in one partition. ``key`` may be several unique keys, see :func:`unique_keys`.
     """
     image = insert_image(table, items, **options)
-    names = _key(table, key)
+    keys = [_key(table, k) for k in unique_keys(key)]
+    few = small_row_count(items) is not None
+    if len(keys) > 1:
+        return _accepted_by_all(table, image, keys, few)
+    names = keys[0]
     keyed = image.filter(~_any_null(names))
     first = keyed.groupBy(*names).agg(
         F.min_by(F.struct(*[column(image, c) for c in image.columns]), F.col(ORDINAL)).alias("_row")
     )
-    fresh = _without_existing(table, first, names, small_row_count(items) is not None)
+    fresh = _without_existing(table, first, names, few)
     return fresh.select("_row.*").unionByName(image.filter(_any_null(names)))
 
 
+def _accepted_by_all(table: DataFrame, image: DataFrame, keys: list[list[str]], few: bool) -> DataFrame:
+    """The items that get in one after the other when each must be new in all of its keys.
+
+    An item that is the first of the open items in all of its keys gets in; items that share a
+    key with it are out, which frees their other keys. This is repeated until no item is open: as often
+    as the longest chain of items of which each depends on the one before. Only ordinals and keys take part.
+    """
+    image = stage(image, "insert-image")
+    groups = [f"_g{n}" for n in range(len(keys))]
+    open_ = image
+    for names in keys:
+        nulls = open_.filter(_any_null(names))
+        open_ = _without_existing(table, open_.filter(~_any_null(names)), names, few).unionByName(nulls)
+    open_ = open_.select(ORDINAL, *[
+        F.when(~_any_null(names), F.struct(*[column(image, n) for n in names])).alias(g) for names, g in zip(keys, groups)
+    ])
+    open_, accepted = stage(open_, "insert-open"), None
+    while True:
+        first, known = F.lit(True), open_
+        for n, g in enumerate(groups):
+            least = open_.filter(F.col(g).isNotNull()).groupBy(g).agg(F.min(ORDINAL).alias(f"_least{n}"))
+            known = known.join(least, g, "left")
+            first = first & (F.col(g).isNull() | (F.col(ORDINAL) == F.col(f"_least{n}")))
+        known = stage(known.select(ORDINAL, *groups, first.alias("_first")), "insert-first")
+        let_in = known.filter("_first")
+        accepted = let_in if accepted is None else accepted.unionByName(let_in)
+        left = known.filter("NOT _first").drop("_first")
+        for g in groups:
+            left = left.join(let_in.filter(F.col(g).isNotNull()).select(g), g, "left_anti")
+        open_ = stage(left.select(ORDINAL, *groups), "insert-open")
+        if not has_rows(open_, 1):
+            return image.join(accepted.select(ORDINAL), ORDINAL, "left_semi").select(*image.columns)
+
+
 def _without_existing(
     table: DataFrame, rows: DataFrame, names: Sequence[str], few: bool
 ) -> DataFrame:
@@ -180,9 +232,10 @@ def _count_keys(
 
 
 def insert_skip_conflicts(
-    table: DataFrame, items: DataFrame, key: str | Sequence[str], **options
+    table: DataFrame, items: DataFrame, key: str | Sequence, **options
 ) -> DataFrame:
-    """The table plus the items that do not collide on the (possibly composite) key."""
+    """The table plus the items that do not collide on the (possibly composite) key, or on any
+    of several keys."""
     return table.unionByName(accepted_rows(table, items, key, **options).drop(ORDINAL))
 
 
@@ -343,6 +396,55 @@ def upsert_values(
     return upsert_rows(table, item, key, defaults)
 
 
+# ---------------------------------------------------------------- constraints
+
+def changed_rows(
+    table: DataFrame, items: DataFrame, operation: str, key: str, defaults: Mapping[str, Any] | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """The rows an ``update`` or ``upsert`` touches as they will be, and the rows it leaves alone."""
+    wanted = _cast(items, table).select(column(items, key)).filter(column(items, key).isNotNull()).distinct()
+    wanted = _measured(items, wanted)
+    touched, others = table.join(wanted, key, "left_semi"), table.join(wanted, key, "left_anti")
+    if operation == "upsert":
+        return upsert_rows(touched, items, key, defaults), others
+    return update_rows(touched, items, key), others
+
+
+def constraint_errors(
+    changed: DataFrame, others: DataFrame, unique: str | Sequence | None = None, not_null: Sequence[str] = (),
+    fields: Iterable[str] | None = None,
+) -> DataFrame:
+    """What the changed rows would break: ``constraint``, ``value`` (JSON of the key, NULL for a missing
+    value) and the number of ``rows`` that share it.
+
+    Only keys of changed rows are counted, and of the other rows only those that have one of these.
+    ``fields`` are the columns that may have changed; constraints on others hold as before.
+    """
+    fields = set(changed.columns if fields is None else fields)
+    spark, found = changed.sparkSession, []
+    for name in not_null:
+        if name in fields:
+            bad = changed.filter(column(changed, name).isNull()).agg(F.count(F.lit(1)).alias("rows")).filter("rows > 0")
+            found.append(bad.select(F.lit(f"not null: {name}").alias("constraint"), F.lit(None).cast("string").alias("value"), "rows"))
+    for names in unique_keys(unique):
+        if not fields.intersection(names):
+            continue
+        keys = [column(changed, n) for n in names]
+        new = changed.filter(~_any_null(names)).groupBy(*keys).agg(F.count(F.lit(1)).alias("_new"))
+        old = others.select(*[column(others, n) for n in names]).join(new.select(*keys), names, "left_semi")
+        old = old.groupBy(*keys).agg(F.count(F.lit(1)).alias("_old"))
+        both = new.join(old, names, "left").withColumn("rows", F.col("_new") + F.coalesce("_old", F.lit(0)))
+        found.append(both.filter("rows > 1").select(
+            F.lit(f"unique: {','.join(names)}").alias("constraint"), F.to_json(F.struct(*keys)).alias("value"), "rows"
+        ))
+    if not found:
+        return spark.createDataFrame([], "constraint string, value string, rows long")
+    errors = found[0]
+    for more in found[1:]:
+        errors = errors.unionByName(more)
+    return errors
+
+
 # ---------------------------------------------------------------- delete, truncate
 
 def delete_rows(table: DataFrame, where: Iterable = (), combine: str = "AND") -> DataFrame:
@@ -358,6 +460,55 @@ def truncate_rows(table: DataFrame) -> DataFrame:
     return table.filter(F.lit(False))
 
 
+def _each(table: DataFrame, items: DataFrame, where: Iterable, combine: str) -> list[list[tuple]]:
+    """Clauses of a delete by items, as groups of which any may match a row."""
+    clauses = [tuple(c) for c in where]
+    if not clauses:
+        raise ValueError("a delete by items needs a condition")
+    return [[c] for c in clauses] if combine == "OR" else [clauses]
+
+
+def delete_each(
+    table: DataFrame, items: DataFrame, where: Iterable[tuple[str, str, str]], combine: str = "AND"
+) -> DataFrame:
+    """The rows that stay after every item deleted the rows for which its clauses are TRUE.
+
+    ``where`` holds ``(column, condition, item column)``. Equality conditions lead to a hash join and range
+    conditions to a band join; only what has neither compares rows with all items.
+    """
+    for clauses in _each(table, items, where, combine):
+        if all(c in NULL_CONDITIONS for _, c, _ in clauses):
+            hit = combine_columns([condition_column(table, (n, c)) for n, c, _ in clauses])
+            table = table.filter(~F.coalesce(hit, F.lit(False))) if has_rows(items, 1) else table
+        else:
+            table = match_params(table, items, clauses, how="left_anti")
+    return table
+
+
+def affected_by_delete_each(
+    table: DataFrame, items: DataFrame, where: Iterable[tuple[str, str, str]], combine: str = "AND"
+) -> DataFrame:
+    """Per item the number of rows it deletes; a row counts for the first item that matches it.
+
+    The table is written down once, so that its rows can be told apart by file and position.
+    """
+    rows = stage(table, "delete-table")
+    rows = rows.select(*rows.columns, F.struct("_metadata.file_path", "_metadata.row_index").alias("_row"))
+    matches = []
+    for clauses in _each(table, items, where, combine):
+        if all(c in NULL_CONDITIONS for _, c, _ in clauses):
+            hit = combine_columns([condition_column(rows, (n, c)) for n, c, _ in clauses])
+            first = items.agg(F.min(ORDINAL).alias(ORDINAL)).filter(F.col(ORDINAL).isNotNull())
+            matches.append(rows.filter(hit).select("_row").join(F.broadcast(first)))  # one row at most
+        else:
+            matches.append(match_params(rows, items, clauses, ORDINAL).select("_row", ORDINAL))
+    found = matches[0]
+    for more in matches[1:]:
+        found = found.unionByName(more)
+    counts = found.groupBy("_row").agg(F.min(ORDINAL).alias(ORDINAL)).groupBy(ORDINAL).agg(F.count(F.lit(1)).alias("_rows"))
+    return summary(items.select(ORDINAL).join(counts, ORDINAL, "left"), F.coalesce("_rows", F.lit(0)).cast("long"))
+
+
 # ---------------------------------------------------------------- reports
 
 def running_items(items: DataFrame, key: str, chunk: int = HISTORY_CHUNK) -> DataFrame:

@@ -150,7 +150,7 @@ class _Band(NamedTuple):
         cut = Bucketizer(splits=self.splits, inputCol=value, outputCol=bucket, handleInvalid="keep")
         return cut.transform(df).withColumn(bucket, F.col(bucket).cast("int")).drop(value)
 
-    def join(self, df: DataFrame, params: DataFrame, on: Column) -> DataFrame:
+    def join(self, df: DataFrame, params: DataFrame, on: Column, how: str = "inner") -> DataFrame:
         """Rows with the parameter rows they satisfy: both sides meet by bucket."""
         # greatest and least pass over NULL, which limits nothing
         open_low, open_high = F.lit(-float("inf")), F.lit(float("nan"))
@@ -159,17 +159,20 @@ class _Band(NamedTuple):
         asked = self.numbered(asked.withColumn("_v", high), "_v", "_to")
         every = F.explode(F.sequence("_from", "_to")).alias("_bucket")
         asked = asked.filter("_from <= _to").select(*params.columns, every)
-        rows = df.withColumn("_v", _as_double(column(df, self.name), self.dtype)).filter(F.col("_v").isNotNull())
+        rows = df.withColumn("_v", _as_double(column(df, self.name), self.dtype))
+        if how == "inner":
+            rows = rows.filter(F.col("_v").isNotNull())
         rows = self.numbered(rows, "_v", "_cell")
         if small_row_count(asked) is not None:
             asked = F.broadcast(asked)
-        return rows.join(asked, (F.col("_cell") == F.col("_bucket")) & on, "inner").drop("_cell", "_bucket")
+        return rows.join(asked, (F.col("_cell") == F.col("_bucket")) & on, how).drop("_cell", "_bucket")
 
 
 def _match_items(
-    df: DataFrame, params: DataFrame, on: Column, has_key: bool, unique: str, slices: int, band: _Band | None
+    df: DataFrame, params: DataFrame, on: Column, has_key: bool, unique: str | None, slices: int,
+    band: _Band | None, how: str = "inner",
 ) -> DataFrame:
-    """Rows of ``df`` joined with the parameter rows they satisfy.
+    """Rows of ``df`` joined with the parameter rows they satisfy, or those that satisfy none.
 
     An equality key gives an ordinary join, or one with a broadcast side where the parameter table was
     measured to be small. Otherwise a range condition gives a band join, in which rows and items meet by
@@ -179,12 +182,12 @@ def _match_items(
     exactly once and no grid cell depends on how values are distributed.
     """
     if band is not None and not has_key:
-        return band.join(df, params, on)
+        return band.join(df, params, on, how)
     rows = small_row_count(params)
     if rows is not None:
-        return df.join(F.broadcast(params), on, "inner")
-    if has_key:
-        return df.join(params, on, "inner")
+        return df.join(F.broadcast(params), on, how)
+    if has_key or how != "inner" or unique is None:
+        return df.join(params, on, how)
     blocks = max(1, params.count() // MAX_BROADCAST_ROWS)
     spread = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     left = df.withColumn("_slice", F.pmod(F.xxhash64(column(df, unique)), F.lit(slices)).cast("int"))
@@ -215,6 +218,34 @@ def _first_rows(rows: DataFrame, group: list[str], keys: list[Column], limit: in
     return rows.withColumn("_rank", rank).filter(F.col("_rank") <= limit)
 
 
+def _item_conditions(
+    df: DataFrame, items: DataFrame, clauses: list[tuple], combine: str
+) -> tuple[list[str], Column, bool]:
+    """Item columns the clauses use, the clauses over them, and whether an equality must hold."""
+    names = list(dict.fromkeys(v for _, c, v in clauses if c not in NULL_CONDITIONS))
+    parts = []
+    for name, condition, source in clauses:
+        if condition in NULL_CONDITIONS:
+            parts.append(condition_column(df, (name, condition)))
+        else:
+            value = _item_value(df, items, name, condition, source)
+            parts.append(compare(column(df, name), condition, value))
+    has_key = combine != "OR" and any(c in ("=", "equal") for _, c, _ in clauses)
+    return names, combine_columns(parts, combine) if parts else F.lit(True), has_key
+
+
+def match_params(
+    df: DataFrame, items: DataFrame, clauses: list[tuple], ordinal: str | None = None, how: str = "inner"
+) -> DataFrame:
+    """Rows of ``df`` joined with the least ``ordinal`` of each set of parameters that satisfies all
+    clauses; with ``how="left_anti"`` the rows no item satisfies."""
+    names, on, has_key = _item_conditions(df, items, clauses, "AND")
+    renamed = [column(items, n).alias(f"p_{n}") for n in names]
+    params = items.groupBy(*renamed).agg(F.min(ordinal).alias(ordinal)) if ordinal else items.select(*renamed).distinct()
+    band = None if has_key else _Band.of(df, items, clauses, "AND", df.count())
+    return _match_items(df, params, on, has_key, None, 1, band, how)
+
+
 def select_per_item(
     df: DataFrame,
     items: DataFrame,
@@ -245,21 +276,11 @@ def select_per_item(
     follow from a hash of ``unique``, so a retried task repeats them.
     """
     clauses = [tuple(c) for c in where]
-    names = list(dict.fromkeys(v for _, c, v in clauses if c not in NULL_CONDITIONS))
+    names, on, has_key = _item_conditions(df, items, clauses, combine)
     if not names:
         raise ValueError("no condition takes its value from an item; use select_rows")
-    parts = []
-    for name, condition, source in clauses:
-        if condition in NULL_CONDITIONS:
-            parts.append(condition_column(df, (name, condition)))
-        else:
-            value = _item_value(df, items, name, condition, source)
-            parts.append(compare(column(df, name), condition, value))
-    on = combine_columns(parts, combine)
-    renamed = [column(items, n).alias(f"p_{n}") for n in names]
     group = [f"p_{n}" for n in names]
-    params = items.select(*renamed).distinct()
-    has_key = combine != "OR" and any(c in ("=", "equal") for _, c, _ in clauses)
+    params = items.select(*[column(items, n).alias(f"p_{n}") for n in names]).distinct()
     size = df.count() if salts is None or not has_key else 0
     slices = salts or max(1, -(-size // SLICE_ROWS))
     band = None if has_key else _Band.of(df, items, clauses, combine, size)

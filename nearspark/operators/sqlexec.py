@@ -4,11 +4,15 @@ from __future__ import annotations
 
 import json
 import re
-from collections.abc import Mapping, Sequence
+import uuid
+from collections.abc import Callable, Iterator, Mapping, Sequence
+from contextlib import contextmanager
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..functions.names import column, quote_ident
+from .edits import ORDINAL
 from .predicates import metadata_map
 
 # Quoted text, identifiers and comments are passed over; only a bare $n is a parameter.
@@ -44,28 +48,55 @@ def parse_parameters(raw: Any) -> list[Any]:
     return [part.strip() for part in text.split(",") if part.strip()]
 
 
-def bind(sql: str, values: Sequence[Any]) -> tuple[str, dict[str, Any]]:
-    """``$n`` to named parameters; a count after LIMIT or OFFSET becomes an integer.
+def _rewritten(sql: str, name: Callable[[int, str], str]) -> str:
+    """``sql`` with every bare ``$n`` replaced by ``name(n, prefix)``, where the prefix is a LIMIT or OFFSET.
 
     Backslashes in quoted text are doubled, as they have no special meaning there.
     """
-    args: dict[str, Any] = {}
-
-    def name(match: re.Match) -> str:
+    def one(match: re.Match) -> str:
         if match["number"] is None:
             return match[0].replace("\\", "\\\\") if match[0][0] == "'" else match[0]
-        number = int(match["number"])
+        return name(int(match["number"]), match["limit"] or "")
+
+    return _TOKEN.sub(one, sql)
+
+
+def bind(sql: str, values: Sequence[Any]) -> tuple[str, dict[str, Any]]:
+    """``$n`` to named parameters; a count after LIMIT or OFFSET becomes an integer."""
+    args: dict[str, Any] = {}
+
+    def name(number: int, prefix: str) -> str:
         if not 1 <= number <= len(values):
             raise ValueError(f"there is no parameter ${number}")
         value = values[number - 1]
-        prefix = match["limit"] or ""
         if prefix and isinstance(value, str) and value.isdigit():
             args[f"n{number}"] = int(value)
             return f"{prefix}:n{number}"
         args[f"p{number}"] = value
         return f"{prefix}:p{number}"
 
-    return _TOKEN.sub(name, sql), args
+    return _rewritten(sql, name), args
+
+
+@contextmanager
+def _session(spark: SparkSession, views: Mapping[str, DataFrame]) -> Iterator[None]:
+    """The dialect's settings for the time of one analysis, and ``views`` registered; the caller's
+    settings are put back, and so are the caller's own temporary views of these names."""
+    before = {key: spark.conf.get(key, None) for key in _DIALECT}
+    kept = {v: spark.table(quote_ident(v)) for v in views if any(
+        t.isTemporary and t.name.lower() == v.lower() for t in spark.catalog.listTables()
+    )}
+    try:
+        for view, df in views.items():
+            df.createOrReplaceTempView(view)
+        for key, value in _DIALECT.items():
+            spark.conf.set(key, value)
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+        for view, df in kept.items():
+            df.createOrReplaceTempView(view)
 
 
 def execute_sql(
@@ -74,27 +105,51 @@ def execute_sql(
     parameters: Any = None,
     views: Mapping[str, DataFrame] | None = None,
 ) -> DataFrame:
-    """Run SQL once; ``views`` are registered under their names first.
+    """Run SQL once; ``views`` can be read under their names.
 
     A command without a result gives one ``(success = true)`` row; a query without
     rows gives an empty result with its columns.
     """
-    for view, df in (views or {}).items():
-        df.createOrReplaceTempView(view)
     text, args = bind(sql, parse_parameters(parameters))
-    before = {key: spark.conf.get(key, None) for key in _DIALECT}
-    try:
-        for key, value in _DIALECT.items():
-            spark.conf.set(key, value)
+    with _session(spark, views or {}):
         result = spark.sql(text, args=args) if args else spark.sql(text)
-    finally:
-        for key, value in before.items():
-            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
     if not result.columns:
         return spark.sql("SELECT true AS success")
     return result
 
 
+def execute_sql_each(
+    spark: SparkSession,
+    sql: str,
+    items: DataFrame,
+    parameters: Sequence[str],
+    views: Mapping[str, DataFrame] | None = None,
+) -> DataFrame:
+    """Run a query for every item: ``$n`` is the item's value in the ``n``-th column named by ``parameters``.
+
+    Each result row carries the ordinal of its item; an item whose query finds nothing has no row. The query
+    becomes a lateral join, so Spark plans one join on what it compares with the parameters, not a
+    run per item. A count after LIMIT or OFFSET cannot change from item to item and raises an error.
+    """
+    def name(number: int, prefix: str) -> str:
+        if not 1 <= number <= len(parameters):
+            raise ValueError(f"there is no parameter ${number}")
+        if prefix:
+            raise ValueError(f"{prefix.strip().upper()} cannot take its number from an item")
+        return f"_item.p{number}"
+
+    text = _rewritten(sql.strip().rstrip(";"), name)
+    given = items.select(
+        column(items, ORDINAL).alias(ORDINAL), *[column(items, c).alias(f"p{n}") for n, c in enumerate(parameters, 1)]
+    )
+    each = f"_items_{uuid.uuid4().hex}"
+    try:
+        with _session(spark, {**(views or {}), each: given}):
+            return spark.sql(f"SELECT _item.{ORDINAL}, _found.* FROM {each} AS _item, LATERAL ({text}) AS _found")
+    finally:
+        spark.catalog.dropTempView(each)
+
+
 def with_metadata_map(df: DataFrame, metadata: str = "metadata") -> DataFrame:
     """``df`` plus ``metadata_map``, so SQL can say ``metadata_map['lang'] IN (...)``."""
     return df.withColumn("metadata_map", metadata_map(metadata))

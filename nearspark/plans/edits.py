@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import edits
 from ..operators.edits import ORDINAL, PRESENT
 from ..operators.ingest import assign_ids
+from ..sources import catalog
+from ..sources.staging import new_path, stage
 from ..streaming.upsert import KeyedTable, stream_upsert
-from ..sources.staging import new_path
+from ..table import ItemError, TableEditor
 from .registry import Tables, query
 
 COLUMNS = "c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment"
@@ -112,6 +117,41 @@ def _(t: Tables) -> DataFrame:
     return edits.unique_violations(t.customer, keyed_items(t), "c_custkey")
 
 
+# Suppliers as customers that must be new in two keys: a number, missing for every fifth of them, and a name.
+_TWO_KEYS_SQL = """i AS (
+        SELECT row_number() OVER (ORDER BY s_suppkey) AS n, s_suppkey AS ord, s_acctbal AS bal,
+               CASE WHEN s_suppkey % 5 <> 0 THEN s_suppkey * 7 % 61 * 300 END AS k,
+               'N' || (s_suppkey * s_nationkey % 40) AS name
+        FROM supplier),
+    c AS (SELECT i.*, k IN (SELECT c_custkey FROM customer) IS TRUE AS known FROM i),
+    r AS (
+        SELECT 0::BIGINT AS n, []::BIGINT[] AS ks, []::VARCHAR[] AS names, []::BIGINT[] AS accepted
+        UNION ALL
+        SELECT n, CASE WHEN ok AND k IS NOT NULL THEN list_append(ks, k) ELSE ks END,
+               CASE WHEN ok THEN list_append(names, name) ELSE names END,
+               CASE WHEN ok THEN list_append(accepted, ord) ELSE accepted END
+        FROM (
+            SELECT c.*, ks, names, accepted, NOT known AND NOT list_contains(names, name)
+                AND NOT coalesce(list_contains(ks, k), false) AS ok
+            FROM r JOIN c ON c.n = r.n + 1)),
+    accepted AS (SELECT unnest(arg_max(accepted, n)) AS ord FROM r)"""
+
+
+def two_key_items(t: Tables) -> DataFrame:
+    key, nation = F.col("s_suppkey"), F.col("s_nationkey")
+    return t.supplier.select(
+        key.alias(ORDINAL), F.when(key % 5 != 0, key * 7 % 61 * 300).alias("c_custkey"),
+        F.concat(F.lit("N"), key * nation % 40).alias("c_name"), F.col("s_acctbal").alias("c_acctbal"),
+    )
+
+
+@query("insert_skip_two_keys", f"""
+    WITH RECURSIVE {_TWO_KEYS_SQL} SELECT {COLUMNS} FROM customer
+    UNION ALL SELECT k, name, NULL, bal, NULL FROM i JOIN accepted USING (ord)""")
+def _(t: Tables) -> DataFrame:
+    return edits.insert_skip_conflicts(t.customer, two_key_items(t), ["c_custkey", ["c_name"]])
+
+
 _OLD_OR_NEW = """
     CASE WHEN bal IS NOT NULL THEN bal.v ELSE c_acctbal END AS c_acctbal,
     CASE WHEN seg IS NOT NULL THEN seg.v ELSE c_mktsegment END AS c_mktsegment"""
@@ -133,6 +173,37 @@ def _(t: Tables) -> DataFrame:
     return edits.update_rows(t.customer, nation_items(t), "c_nationkey")
 
 
+# New names that suppliers of a nation share, and balances that may be missing.
+_RENAMED_SQL = """state AS (
+        SELECT c_custkey, s_suppkey IS NOT NULL AS changed,
+               CASE WHEN s_suppkey IS NULL THEN c_name WHEN s_suppkey % 4 = 0 THEN 'Customer#' || (s_suppkey + 1)
+                    ELSE 'of ' || s_nationkey END AS c_name,
+               CASE WHEN s_suppkey IS NULL THEN c_acctbal WHEN s_suppkey % 3 > 0 THEN s_acctbal END AS c_acctbal
+        FROM (SELECT c_custkey, c_acctbal, 'Customer#' || c_custkey AS c_name FROM customer)
+        LEFT JOIN supplier ON s_suppkey = c_custkey)"""
+
+
+@query("update_constraint_errors", f"""
+    WITH {_RENAMED_SQL}
+    SELECT 'not null: c_acctbal' AS "constraint", NULL AS value, count(*) AS "rows" FROM state
+    WHERE changed AND c_acctbal IS NULL HAVING count(*) > 0
+    UNION ALL
+    SELECT 'unique: c_name', CAST(to_json({{'c_name': c_name}}) AS VARCHAR), count(*) FROM state
+    GROUP BY c_name HAVING count(*) > 1 AND bool_or(changed)""")
+def _(t: Tables) -> DataFrame:
+    key = F.col("s_suppkey")
+    table = t.customer.withColumn("c_name", F.concat(F.lit("Customer#"), F.col("c_custkey")))
+    items = t.supplier.select(
+        key.alias(ORDINAL), key.alias("c_custkey"),
+        F.when(key % 4 == 0, F.concat(F.lit("Customer#"), key + 1)).otherwise(
+            F.concat(F.lit("of "), F.col("s_nationkey"))
+        ).alias("c_name"),
+        F.when(key % 3 > 0, F.col("s_acctbal")).alias("c_acctbal"),
+    )
+    changed, others = edits.changed_rows(table, items, "update", "c_custkey")
+    return edits.constraint_errors(changed, others, [["c_name"]], ["c_acctbal"], ["c_name", "c_acctbal"])
+
+
 @query("update_values", """
     SELECT c_custkey, CASE WHEN c_mktsegment = 'BUILDING' THEN '' ELSE c_name END AS c_name,
            CASE WHEN c_mktsegment = 'BUILDING' THEN 7 ELSE c_nationkey END AS c_nationkey,
@@ -191,6 +262,44 @@ def _(t: Tables) -> DataFrame:
     return edits.affected_by_delete(sparse_customers(t), where)
 
 
+def limits(t: Tables) -> DataFrame:
+    """Per supplier its nation and an interval of balances."""
+    return t.supplier.select(
+        F.col("s_suppkey").alias(ORDINAL), "s_nationkey", F.col("s_acctbal").alias("low"),
+        (F.col("s_acctbal") + F.lit(50.0)).alias("high"),
+    )
+
+
+def _per_item_sql(match: str) -> str:
+    return f"""hits AS (
+        SELECT c_custkey, min(s_suppkey) AS ord FROM customer JOIN supplier ON {match} GROUP BY c_custkey),
+    affected AS (
+        SELECT s_suppkey AS item_ordinal, true AS success, count(c_custkey) AS "affectedRows"
+        FROM supplier LEFT JOIN hits ON ord = s_suppkey GROUP BY s_suppkey),
+    kept AS (SELECT customer.* FROM customer ANTI JOIN hits USING (c_custkey))"""
+
+
+_BY_NATION = "c_nationkey = s_nationkey AND c_acctbal > s_acctbal"
+_BY_BALANCE = "c_acctbal >= s_acctbal AND c_acctbal < s_acctbal + 50.0"
+_NATION_WHERE = [("c_nationkey", "=", "s_nationkey"), ("c_acctbal", ">", "low")]
+_BALANCE_WHERE = [("c_acctbal", ">=", "low"), ("c_acctbal", "<", "high")]
+
+
+@query("delete_per_item", f"WITH {_per_item_sql(_BY_NATION)} SELECT * FROM affected")
+def _(t: Tables) -> DataFrame:
+    return edits.affected_by_delete_each(t.customer, limits(t), _NATION_WHERE)
+
+
+@query("delete_per_item_range", f"WITH {_per_item_sql(_BY_BALANCE)} SELECT * FROM affected")
+def _(t: Tables) -> DataFrame:
+    return edits.affected_by_delete_each(t.customer, limits(t), _BALANCE_WHERE)
+
+
+@query("delete_per_item_rows", f"WITH {_per_item_sql(_BY_BALANCE)} SELECT {COLUMNS} FROM kept")
+def _(t: Tables) -> DataFrame:
+    return edits.delete_each(t.customer, limits(t), _BALANCE_WHERE)
+
+
 def _refilled(t: Tables, last_id: int) -> DataFrame:
     """The table after a truncate and an insert of all orders with fresh ids."""
     rows = t.orders.select("o_orderkey", F.col("o_totalprice").alias("value"))
@@ -288,6 +397,19 @@ def _(t: Tables) -> DataFrame:
     return edits.split_errors(checked)[1]
 
 
+def _on_table(t: Tables, rows: DataFrame, work: Callable[[TableEditor], None], **options) -> DataFrame:
+    """The rows of a catalog table that starts with ``rows`` after ``work``; the table is dropped."""
+    name = f"query_{uuid.uuid4().hex}"
+    catalog.create_table(t.spark, name, rows.schema)
+    try:
+        catalog.append(t.spark, name, rows)
+        editor = TableEditor(t.spark, name, **options)
+        work(editor)
+        return stage(editor.rows(), "table")
+    finally:
+        catalog.drop_table(t.spark, name)
+
+
 @query("atomic_batch", f"""
     WITH {_TEXT_SQL}, last AS (
         SELECT k, arg_max(CAST(bal AS DOUBLE), ord) AS bal FROM texts
@@ -296,8 +418,49 @@ def _(t: Tables) -> DataFrame:
            coalesce(bal, c_acctbal) AS c_acctbal, c_mktsegment
     FROM customer FULL JOIN last ON k = c_custkey""")
 def _(t: Tables) -> DataFrame:
-    checked = edits.item_errors(t.customer, text_items(t), "upsert", "c_custkey")
-    return edits.upsert_rows(t.customer, edits.split_errors(checked)[0], "c_custkey")
+    """A batch with bad items changes nothing; without them the others go in."""
+    def work(editor: TableEditor) -> None:
+        before = editor.rows().count()
+        try:
+            editor.upsert(text_items(t), "c_custkey")
+        except ItemError:
+            editor.continue_on_fail = True
+        if editor.rows().count() != before:
+            raise RuntimeError("a refused batch changed the table")
+        editor.upsert(text_items(t), "c_custkey")
+
+    return _on_table(t, t.customer, work, unique="c_custkey")
+
+
+@query("table_round_trip", f"""
+    WITH {LAST_SQL}, inserted AS (
+        SELECT {COLUMNS} FROM customer
+        UNION ALL SELECT -1 - s_suppkey, s_name, NULL, s_acctbal, 'NEW' FROM supplier),
+    named AS (
+        SELECT c_custkey, CASE WHEN s_suppkey IS NULL THEN c_name ELSE 'renamed ' || s_suppkey END AS c_name,
+               c_nationkey, c_acctbal, c_mktsegment
+        FROM inserted LEFT JOIN supplier ON s_suppkey * 2 = c_custkey),
+    upserted AS (
+        SELECT coalesce(c_custkey, k) AS c_custkey, c_name, c_nationkey, {_OLD_OR_NEW}
+        FROM named FULL JOIN (SELECT k, bal, CASE WHEN c.c_custkey IS NULL AND seg IS NULL THEN {{'v': 'NEW'}} ELSE seg END AS seg
+                              FROM last LEFT JOIN customer c ON c.c_custkey = k) ON k = c_custkey),
+    deleted AS (SELECT * FROM upserted WHERE NOT coalesce(c_acctbal > 300000 OR c_mktsegment = 'MACHINERY', false))
+    SELECT {COLUMNS} FROM deleted WHERE NOT EXISTS (
+        SELECT 1 FROM supplier WHERE s_nationkey = c_nationkey AND c_acctbal > s_acctbal + 5000)""")
+def _(t: Tables) -> DataFrame:
+    """All edits, one after the other, on one catalog table."""
+    def work(editor: TableEditor) -> None:
+        editor.insert(supplier_items(t).withColumn("c_custkey", -1 - F.col("c_custkey")))
+        key = F.col("s_suppkey")
+        editor.update(t.supplier.select(
+            key.alias(ORDINAL), (key * 2).alias("c_custkey"), F.concat(F.lit("renamed "), key).alias("c_name")
+        ), "c_custkey")
+        editor.upsert(order_items(t), "c_custkey")
+        editor.delete(where=[("c_acctbal", ">", "300000"), ("c_mktsegment", "=", "MACHINERY")], combine="OR")
+        items = limits(t).withColumn("low", F.col("low") + 5000)
+        editor.delete_each(items, _NATION_WHERE)
+
+    return _on_table(t, t.customer, work, unique="c_custkey", defaults={"c_mktsegment": "NEW"})
 
 
 @query("item_lineage", """

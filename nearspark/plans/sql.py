@@ -6,8 +6,10 @@ from collections.abc import Mapping
 from typing import Any
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from ..operators.sqlexec import execute_sql, with_metadata_map
+from ..operators.edits import ORDINAL
+from ..operators.sqlexec import execute_sql, execute_sql_each, with_metadata_map
 from .registry import Tables, query
 from .vectors import RAG_SQL, rag_docs
 
@@ -92,3 +94,16 @@ def _(t: Tables) -> DataFrame:
         SELECT id, metadata_map['lang'] AS lang FROM docs
         WHERE metadata_map['lang'] IN ($1, $2) AND metadata_map['label']::int BETWEEN 2 AND 6""",
         ["en", "de"], {"docs": with_metadata_map(rag_docs(t))})
+
+
+@query("execute_sql_per_item", """
+    SELECT s_suppkey AS item_ordinal, count(*) AS n, round(sum(c_acctbal), 2) AS total, min(c_name) AS first
+    FROM supplier JOIN customer ON c_nationkey = s_nationkey AND c_acctbal > s_acctbal
+    WHERE c_mktsegment <> '$1' GROUP BY s_suppkey""")
+def _(t: Tables) -> DataFrame:
+    items = t.supplier.select(F.col("s_suppkey").alias(ORDINAL), "s_nationkey", "s_acctbal")
+    found = execute_sql_each(t.spark, """
+        SELECT count(*) AS n, round(sum(c_acctbal), 2) AS total, min(c_name) AS "first" FROM customer
+        WHERE c_nationkey = $1 AND c_acctbal > $2 AND c_mktsegment <> '$1'""",
+        items, ["s_nationkey", "s_acctbal"], {"customer": t.customer})
+    return found.filter("n > 0")

@@ -12,7 +12,7 @@ from .functions.names import parse_output_columns
 from .operators import edits
 from .operators.edits import ORDINAL
 from .operators.select import DEFAULT_LIMIT, select_per_item, select_rows
-from .operators.sqlexec import execute_sql
+from .operators.sqlexec import execute_sql, execute_sql_each
 from .sources import catalog
 from .sources.staging import stage
 
@@ -24,6 +24,9 @@ class ItemError(ValueError):
 class TableEditor:
     """Select, insert, update, upsert and delete on one table.
 
+    ``unique`` is a column, the columns of a composite key, or a list of several keys; ``not_null`` are
+    columns that need a value. Edits that would break one of them are refused as a whole.
+
     Each edit returns rows for its items: the output columns asked for, else
     ``(item_ordinal, success, affectedRows)``. Batches are all-or-nothing, except that
     with ``continue_on_fail`` bad items turn into ``(item_ordinal, error)`` rows,
@@ -35,7 +38,7 @@ class TableEditor:
         spark: SparkSession,
         table: str,
         schema: str = catalog.DEFAULT_SCHEMA,
-        unique: str | Sequence[str] | None = None,
+        unique: str | Sequence | None = None,
         not_null: Sequence[str] = (),
         defaults: Mapping[str, Any] | None = None,
         continue_on_fail: bool = False,
@@ -48,9 +51,24 @@ class TableEditor:
     def rows(self) -> DataFrame:
         return catalog.read_table(self.spark, self.name)
 
-    def execute_query(self, sql: str, parameters: Any = None) -> DataFrame:
+    def execute_query(self, sql: str, parameters: Any = None, items: DataFrame | None = None) -> DataFrame:
+        """Run SQL, or with ``items`` a query for each of them, whose ``parameters`` are item columns."""
+        if items is not None:
+            return execute_sql_each(self.spark, sql, items, parameters)
         return execute_sql(self.spark, sql, parameters)
 
+    def _keys(self) -> list[list[str]]:
+        return edits.unique_keys(self.unique)
+
+    def _check_constraints(self, changed: DataFrame, others: DataFrame, fields=None) -> None:
+        broken = edits.constraint_errors(changed, others, self.unique, self.not_null, fields).first()
+        if broken is None:
+            return
+        kind, name = broken["constraint"].split(": ", 1)
+        if kind == "not null":
+            raise ItemError(f'null value in column "{name}" violates not-null constraint')
+        raise ItemError(f"duplicate key value violates unique constraint: {broken['value']}")
+
     def select(
         self, columns=None, where: Iterable = (), combine: str = "AND", sort: Iterable = (),
         limit: int = DEFAULT_LIMIT, return_all: bool = False,
@@ -83,11 +101,11 @@ class TableEditor:
         if self.unique and skip_on_conflict:
             image = edits.accepted_rows(table, items, self.unique, **options)
         else:
-            if self.unique:
-                clash = edits.unique_violations(table, items, self.unique).first()
+            image = edits.insert_image(table, items, **options)
+            for key in self._keys():
+                clash = edits.unique_violations(table, image, key).first()
                 if clash is not None:
                     raise ItemError(f"duplicate key value violates unique constraint: {clash}")
-            image = edits.insert_image(table, items, **options)
         image = stage(image, "insert")
         catalog.append(self.spark, self.name, image.drop(ORDINAL))
         if parse_output_columns(output_columns):
@@ -102,6 +120,9 @@ class TableEditor:
     def update(self, items: DataFrame, match: str, output_columns=None) -> DataFrame:
         items = self._accept(items, "update", match)
         table = self.rows()
+        fields = [f for f in edits.item_fields(items) if f != match]
+        if set(fields) & {*self.not_null, *(c for key in self._keys() for c in key)}:
+            self._check_constraints(*edits.changed_rows(table, items, "update", match), fields)
         if parse_output_columns(output_columns):
             result = edits.returning_updated(table, items, match, output_columns)
         else:
@@ -119,6 +140,8 @@ class TableEditor:
         table = self.rows()
         if edits.unique_violations(table, items, key).filter("in_table > 1").first() is not None:
             raise ItemError(f"column '{key}' is not unique in {self.name}")
+        if self.not_null or self.unique:
+            self._check_constraints(*edits.changed_rows(table, items, "upsert", key, self.defaults))
         if parse_output_columns(output_columns):
             result = edits.returning_upserted(table, items, key, output_columns, self.defaults)
         else:
@@ -150,6 +173,16 @@ class TableEditor:
             raise ValueError(f"Invalid delete command '{command}'")
         return self.spark.createDataFrame([(True, 0)], "success boolean, affectedRows long")
 
+    def delete_each(self, items: DataFrame, where: Iterable, combine: str = "AND") -> DataFrame:
+        """Every item deletes the rows that match its values; one row per item says how many.
+
+        ``where`` holds ``(column, condition, item column)``.
+        """
+        where, table = [tuple(c) for c in where], self.rows()
+        result = stage(edits.affected_by_delete_each(table, items, where, combine), "result")
+        catalog.edit(self.spark, self.name, lambda t: edits.delete_each(t, items, where, combine))
+        return result
+
     def _accept(self, items: DataFrame, operation: str, key: str | None, not_null=()) -> DataFrame:
         checked = edits.item_errors(self.rows(), items, operation, key, not_null)
         good, bad = edits.split_errors(checked)

@@ -225,3 +225,93 @@ def test_update_plan_does_not_shuffle_the_table_for_few_items(spark, tmp_path):
     items = spark.createDataFrame([(0, 5, 1)], f"{ORDINAL} long, id long, v long")
     plan = edits.update_rows(target, items, "id")._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+@pytest.mark.parametrize("seed", range(3))
+@pytest.mark.parametrize("path", ["broadcast", "shuffle"])
+def test_insert_with_several_unique_keys(spark, monkeypatch, seed, path):
+    """Items one by one: each must be new in all keys, and refused ones free their other keys."""
+    if path == "shuffle":
+        monkeypatch.setattr(edits, "small_row_count", lambda df: None)
+    rng = random.Random(seed)
+    rows = [(k, f"old{k % 3}", k) for k in range(5)]
+    table = spark.createDataFrame(rows, "id long, name string, age int")
+    items = [(n, rng.choice([None, *range(60)]), rng.choice([None, "old1", *(f"n{k}" for k in range(40))]), rng.randrange(9)) for n in range(150)]
+    items += [(n, n, f"c{n // 2}", n % 2) for n in range(200, 240)] + [(n, (n + 1) // 2 * 2, f"c{n}", 1) for n in range(240, 260)]
+    frame = spark.createDataFrame(items, f"{ORDINAL} long, id long, name string, age int").repartition(4)
+    ids, names, accepted = {r[0] for r in rows}, {(r[1], r[2]) for r in rows}, []
+    for n, key, name, age in items:
+        pair = (name, age)
+        if (key is None or key not in ids) and (name is None or pair not in names):
+            accepted.append((n, key, name, age))
+            ids.add(key)
+            names.add(pair)
+    got = edits.accepted_rows(table, frame, ["id", ["name", "age"]])
+    assert sorted(tuples(got)) == accepted
+    assert edits.insert_skip_conflicts(table, frame, [["id"], ["name", "age"]]).count() == len(rows) + len(accepted)
+
+
+def test_chain_of_items(spark):
+    """Each item shares a key with the one before it, so every other one gets in."""
+    items = spark.createDataFrame([(n, n // 2, (n + 1) // 2) for n in range(11)], f"{ORDINAL} long, a long, b long")
+    table = spark.createDataFrame([], "a long, b long")
+    assert sorted(r[0] for r in tuples(edits.accepted_rows(table, items, [["a"], ["b"]]))) == [0, 2, 4, 6, 8, 10]
+
+
+DELETES = [
+    ([("grp", "=", "g"), ("v", ">", "x")], "AND", lambda r, i: i[1] is not None and r[1] == i[1] and _over(r[2], i[2])),
+    ([("v", ">", "x"), ("v", "<=", "y")], "AND", lambda r, i: _over(r[2], i[2]) and i[3] is not None and r[2] <= i[3]),
+    ([("grp", "=", "g"), ("v", ">", "y")], "OR", lambda r, i: (i[1] is not None and r[1] == i[1]) or _over(r[2], i[3])),
+    ([("grp", "LIKE", "g"), ("v", "IS NOT NULL", None)], "AND", lambda r, i: i[1] is not None and r[1] == i[1] and r[2] is not None),
+    ([("v", "IS NULL", None), ("grp", "!=", "g")], "OR", lambda r, i: r[2] is None or (i[1] is not None and r[1] not in (None, i[1]))),
+]
+
+
+def _over(value, bound):
+    return value is not None and bound is not None and value > bound
+
+
+@pytest.mark.parametrize("where,combine,match", DELETES)
+@pytest.mark.parametrize("path", ["broadcast", "shuffle"])
+def test_delete_each(spark, monkeypatch, where, combine, match, path):
+    import nearspark.operators.select as module
+
+    if path == "shuffle":
+        monkeypatch.setattr(module, "small_row_count", lambda df: None)
+    rng = random.Random(7)
+    rows = [(k % 90, rng.choice([None, "a", "b", "c"]), rng.choice([None, *range(30)])) for k in range(100)]
+    items = [(n, rng.choice([None, "a", "c"]), rng.choice([None, 5, 11, 25]), rng.choice([None, 7, 13, 27])) for n in range(12)]
+    table = spark.createDataFrame(rows, "id long, grp string, v int").repartition(3)
+    frame = spark.createDataFrame(items, f"{ORDINAL} long, g string, x int, y int")
+    kept, counts = [], dict.fromkeys(range(12), 0)
+    for row in rows:
+        first = next((i[0] for i in items if match(row, i)), None)
+        if first is None:
+            kept.append(row)
+        else:
+            counts[first] += 1
+    assert sorted(tuples(edits.delete_each(table, frame, where, combine)), key=repr) == sorted(kept, key=repr)
+    affected = {r[0]: (r[1], r[2]) for r in tuples(edits.affected_by_delete_each(table, frame, where, combine))}
+    assert affected == {n: (True, c) for n, c in counts.items()}
+    none = frame.limit(0)
+    assert edits.delete_each(table, none, where, combine).count() == 100
+    assert edits.affected_by_delete_each(table, none, where, combine).count() == 0
+
+
+def test_delete_each_needs_a_condition(spark, table):
+    with pytest.raises(ValueError):
+        edits.delete_each(table[1], spark.range(1).withColumnRenamed("id", ORDINAL), [])
+
+
+def test_constraint_errors(spark):
+    table = spark.createDataFrame([(1, "a", 1), (2, "b", 2), (3, "c", 3), (4, None, 4), (None, "z", 5)], "id long, name string, age int")
+    items = spark.createDataFrame([(0, 1, "c", None), (1, 2, "x", 7), (2, 9, "x", 8)], f"{ORDINAL} long, id long, name string, age int")
+    changed, others = edits.changed_rows(table, items, "update", "id")
+    found = edits.constraint_errors(changed, others, [["name"]], ["age"], ["name", "age"])
+    assert sorted(tuples(found), key=repr) == [("not null: age", None, 1), ("unique: name", '{"name":"c"}', 2)]
+    changed, others = edits.changed_rows(table, items, "upsert", "id")
+    found = edits.constraint_errors(changed, others, ["name", "id"], ["age"])
+    assert sorted(tuples(found), key=repr) == [("not null: age", None, 1)]
+    found = edits.constraint_errors(changed, others, [["name"], ["id"]])
+    assert sorted(tuples(found), key=repr) == [("unique: name", '{"name":"c"}', 2), ("unique: name", '{"name":"x"}', 2)]
+    assert edits.constraint_errors(changed, others).count() == 0

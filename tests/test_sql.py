@@ -1,7 +1,7 @@
 import pytest
 from row_helpers import tuples
 
-from nearspark.operators.sqlexec import bind, execute_sql, parse_parameters, with_metadata_map
+from nearspark.operators.sqlexec import bind, execute_sql, execute_sql_each, parse_parameters, with_metadata_map
 
 
 @pytest.mark.parametrize("raw, values", [
@@ -57,3 +57,24 @@ def test_metadata_sql(spark, vectors):
     assert tuples(found) == [("Vector search",)]
     count = execute_sql(spark, "SELECT COUNT(*) AS count FROM docs")
     assert count.first()["count"] == 4
+
+
+def test_sql_for_each_item(spark):
+    rows = spark.createDataFrame([(k, k % 4, f"t{k}") for k in range(12)], "id long, grp long, name string")
+    items = spark.createDataFrame([(5, 1, "7"), (6, 2, "0"), (7, 9, "0")], "item_ordinal long, g long, least string")
+    views = {"facts": rows}
+    found = execute_sql_each(spark, "SELECT id, '$1' AS mark FROM facts WHERE grp = $1 AND id >= $2;", items, ["g", "least"], views)
+    assert sorted(tuples(found)) == [(5, 9, "$1"), (6, 2, "$1"), (6, 6, "$1"), (6, 10, "$1")]
+    top = execute_sql_each(spark, "SELECT id FROM facts WHERE grp = $1 ORDER BY id DESC LIMIT 1", items, ["g"], views)
+    assert sorted(tuples(top)) == [(5, 9), (6, 10)]
+    with pytest.raises(ValueError, match="LIMIT"):
+        execute_sql_each(spark, "SELECT id FROM facts LIMIT $1", items, ["g"], views)
+    with pytest.raises(ValueError, match="no parameter"):
+        execute_sql_each(spark, "SELECT $2 FROM facts", items, ["g"], views)
+
+
+def test_callers_views_are_put_back(spark):
+    spark.range(3).createOrReplaceTempView("mine")
+    assert execute_sql(spark, "SELECT count(*) AS n FROM mine", None, {"mine": spark.range(7)}).first().n == 7
+    assert spark.table("mine").count() == 3
+    spark.catalog.dropTempView("mine")

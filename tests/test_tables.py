@@ -207,3 +207,53 @@ def test_stream_upsert(spark, tmp_path):
     before = sorted(tuples(table.read().select("k", "seq", "v")))
     table.upsert(spark.createDataFrame([(2, 5, "e"), (3, 4, "d")], schema))
     assert sorted(tuples(table.read().select("k", "seq", "v"))) == before
+
+
+def test_edits_keep_constraints(spark):
+    """NULL and duplicate values are refused by every edit, and the table stays as it was."""
+    catalog.drop_table(spark, "qa_limits")
+    catalog.create_table(spark, "qa_limits", spark.createDataFrame([], "id long, name string, age int").schema)
+    editor = TableEditor(spark, "qa_limits", unique=[["id"], ["name"]], not_null=["age"])
+
+    def items(*rows):
+        return spark.createDataFrame([(n, *r) for n, r in enumerate(rows)], f"{ORDINAL} long, id long, name string, age int")
+
+    editor.insert(items((1, "alice", 30), (2, "bob", 40), (3, "carol", 50)))
+    before = sorted(tuples(editor.rows()))
+    named = lambda *rows: items(*((*r, 0) for r in rows)).drop("age")
+    with pytest.raises(ItemError, match="unique"):
+        editor.insert(items((4, "bob", 1)))
+    with pytest.raises(ItemError, match="unique"):
+        editor.update(named((1, "bob")), "id")
+    with pytest.raises(ItemError, match="unique"):
+        editor.update(named((1, "x"), (2, "x")), "id")
+    with pytest.raises(ItemError, match="not-null"):
+        editor.update(items((1, "alice", None)), "id")
+    with pytest.raises(ItemError, match="unique"):
+        editor.upsert(items((9, "carol", 1)), "id")
+    with pytest.raises(ItemError, match="not-null"):
+        editor.upsert(named((9, "new")), "id")
+    assert sorted(tuples(editor.rows())) == before
+    editor.update(named((1, "bob"), (2, "alice")), "id")  # swapped in one batch
+    skipped = editor.insert(items((5, "bob", 1), (6, "dave", 2), (6, "erin", 3), (7, "erin", 4)), skip_on_conflict=True)
+    assert sorted(r.affectedRows for r in skipped.collect()) == [0, 0, 1, 1]
+    assert sorted(tuples(editor.rows())) == [(1, "bob", 30), (2, "alice", 40), (3, "carol", 50), (6, "dave", 2), (7, "erin", 4)]
+    gone = editor.delete_each(items((0, "dave", 45), (0, "x", 1)), [("name", "=", "name"), ("age", ">", "age")], "OR")
+    assert sorted((r[0], r[2]) for r in tuples(gone)) == [(0, 2), (1, 3)] and editor.rows().count() == 0
+    catalog.drop_table(spark, "qa_limits")
+
+
+def test_select_and_query_for_each_item(spark):
+    catalog.drop_table(spark, "qa_each")
+    rows = spark.createDataFrame([(k, f"g{k % 3}", k * 10) for k in range(9)], "id long, grp string, age int")
+    catalog.create_table(spark, "qa_each", rows.schema)
+    catalog.append(spark, "qa_each", rows)
+    editor = TableEditor(spark, "qa_each", unique="id")
+    items = spark.createDataFrame([(0, "g1", 20), (1, "g2", 0), (2, "none", 0)], f"{ORDINAL} long, g string, least int")
+    found = editor.select_each(items, [("grp", "=", "g"), ("age", ">=", "least")], "id", sort=[("age", "DESC")], limit=2)
+    assert sorted(tuples(found)) == [(0, 4), (0, 7), (1, 5), (1, 8)]
+    found = editor.execute_query(
+        "SELECT count(*) AS n, max(age) AS top FROM public.qa_each WHERE grp = $1 AND age >= $2 HAVING count(*) > 0", ["g", "least"], items
+    )
+    assert sorted(tuples(found)) == [(0, 2, 70), (1, 3, 80)]
+    catalog.drop_table(spark, "qa_each")
