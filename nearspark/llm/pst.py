@@ -14,18 +14,21 @@ probability from the longest state that ends there.
 
 How it is made:
 
-1. All n-grams up to ``DEPTH`` + 1 are counted, first per task, then by n-gram.
+1. Words are counted. Then, for n = 2, 3 and so on, one pass counts the n-grams whose first and whose
+   last n - 1 words are frequent; no other n-gram can be. A bitmap tells which are, so the rare tail, which
+   is nearly all n-grams, is never counted. An n-gram is named by these two parts, and a task
+   sends its different ones as packed arrays to ``buckets`` by hash, which grow with the texts.
 2. Depth by depth the candidates' divergence is summed by context, which starts before the
    exchange, and the chance of each frequent n-gram's last token is taken from the longest
    retained suffix of the rest: its own state's, else that of the n-gram less its first token.
 3. As every suffix of a frequent n-gram is frequent, a text's score is the sum of one weight
    per n-gram in it: the log10 backoff of the state it is, and what its chance adds to that
-   of its suffix, less the backoff of its context. Weights of n-grams that make up ``HOT_SHARE`` of the
-   tokens are broadcast and never enter an exchange, so none is a hot key; the others meet the
+   of its suffix, less the backoff of its context. The ``HOT_ROWS`` commonest n-grams with their weights
+   are broadcast and never enter an exchange, so none is a hot key; the others meet the
    texts by n-gram and are added up by text. A bitmap keeps n-grams without a weight away from
    that exchange; it can let too many through, never too few.
 
-Neither ``HOT_SHARE`` nor the bitmap's size changes a result.
+Neither ``HOT_ROWS`` nor the size of bitmaps, piles and buckets changes a result.
 
 Defined results: null and empty texts are one end of text; rows with a null id train;
 repeated rows train and are scored one by one; without training texts every token has
@@ -35,7 +38,7 @@ the same probability 1; an empty table gives no rows; other columns are not read
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -43,16 +46,22 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .scratch import Scratch
-from .words import U64, Run, mix, runs, windows
+from .words import U64, Run, mix, runs
 
 DEPTH = 3
 MIN_SHARE = 0.0
-MIN_COUNT = 3
+MIN_COUNT = 8
 DIVERGENCE = 0.02
 DISCOUNT = 0.5
-HOT_SHARE = 2e-5
+HOT_ROWS = 3_000_000
 BITMAP_BITS = 26
-PILE = 2_000_000
+#: N-grams that a task gathers before it joins equal ones and hands them on.
+PILE = 1_000_000
+#: Bytes of text for one bucket of n-grams, and the most buckets there may be.
+BUCKET_BYTES = 4 << 20
+MAX_BUCKET_BITS = 18
+#: Bytes of text whose words a task holds at a time.
+RUN = 1 << 20
 END = mix(np.array([0xE0F], U64), 77)[0]
 
 
@@ -71,8 +80,19 @@ def _inside(tokens: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return np.arange(len(tokens)) - np.repeat(starts[:-1], sizes)
 
 
-def grams(tokens: np.ndarray, n: int) -> np.ndarray:
-    return windows(tokens, n, 50 + n)
+def joined(heads: np.ndarray, tails: np.ndarray, n: int) -> np.ndarray:
+    """Name of the n-gram whose first and last n - 1 tokens have these names."""
+    with np.errstate(over="ignore"):
+        return mix(heads * U64(0x9FB21C651E98DF25) + tails * U64(0xD6E8FEB86659FD93), 50 + n)
+
+
+def all_grams(tokens: np.ndarray, depth: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(n, names of all n-grams) for n = 1 to depth + 1, text borders not regarded."""
+    names = tokens
+    for n in range(1, depth + 2):
+        if n > 1:
+            names = joined(names[:-1], names[1:], n)
+        yield n, names
 
 
 def _valid(place: np.ndarray, n: int) -> np.ndarray:
@@ -80,55 +100,81 @@ def _valid(place: np.ndarray, n: int) -> np.ndarray:
     return place[n - 1 :] >= n - 1
 
 
-class _Sums:
-    """Counts of n-grams of one task with their head and tail, joined when they pile up and
-    handed on when many different ones remain."""
+def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(gram, count) of the words of each run."""
+    for batch in batches:
+        for run in runs(batch.column(0), size=RUN):
+            words, counts = np.unique(_tokens(run)[0], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), pa.array(counts)], names=["gram", "count"])
 
-    def __init__(self, n: int):
-        self.n, self.parts, self.size = n, [], 0
 
-    def add(self, *columns: np.ndarray) -> Iterator[pa.RecordBatch]:
-        self.parts.append(columns)
-        self.size += len(columns[0])
-        if self.size > 2 * PILE:
-            self.parts = [self.joined()]
-            self.size = len(self.parts[0][0])
-            if self.size > PILE:
-                yield from self.out()
+def _packed(heads: np.ndarray, tails: np.ndarray, n: int, bits: int) -> pa.RecordBatch:
+    """One row per bucket: its different n-grams as arrays of heads, tails and counts."""
+    names, first, counts = np.unique(joined(heads, tails, n), return_index=True, return_counts=True)
+    heads, tails, counts = heads[first], tails[first], counts.astype(np.uint32)
+    bucket = (names >> U64(64 - bits)).astype(np.int64) if bits else np.zeros(len(names), np.int64)
+    starts = np.flatnonzero(np.diff(bucket, prepend=-1))
+    ends = np.append(starts[1:], len(names))
+    data = [heads[s:e].tobytes() + tails[s:e].tobytes() + counts[s:e].tobytes() for s, e in zip(starts, ends, strict=True)]
+    return pa.RecordBatch.from_arrays([pa.array(bucket[starts].astype(np.int32)), pa.array(data, pa.binary())], names=["bucket", "data"])
 
-    def joined(self) -> tuple[np.ndarray, ...]:
-        gram, *rest, count = (np.concatenate(c) for c in zip(*self.parts, strict=True))
-        keys, first, back = np.unique(gram, return_index=True, return_inverse=True)
-        return (keys, *(r[first] for r in rest), np.bincount(back, count, len(keys)).astype(np.int64))
 
-    def out(self) -> Iterator[pa.RecordBatch]:
-        if self.parts:
-            *names, count = self.joined()
-            self.parts, self.size = [], 0
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(count), self.n, np.int32)), *(pa.array(c.view(np.int64)) for c in names), pa.array(count)],
-                names=["n", "gram", "head", "tail", "count"],
-            )
+def _candidates(batches: Iterator[pa.RecordBatch], n: int, shared, bits: int) -> Iterator[pa.RecordBatch]:
+    """Packed n-grams whose parts may be frequent."""
+    frequent, piled, size = shared.value, [], 0
 
+    def pack() -> pa.RecordBatch:
+        heads, tails = (np.concatenate(c) for c in zip(*piled, strict=True))
+        return _packed(heads, tails, n, bits)
 
-def _counted(batches: Iterator[pa.RecordBatch], depth: int) -> Iterator[pa.RecordBatch]:
-    """(n, gram, its first n - 1 tokens, its last n - 1, count) of all n-grams."""
-    sums = [_Sums(n) for n in range(1, depth + 2)]
     for batch in batches:
-        for run in runs(batch.column(0)):
+        for run in runs(batch.column(0), size=RUN):
             tokens, starts = _tokens(run)
-            place, shorter = _inside(tokens, starts), np.zeros(len(tokens) + 1, U64)
-            for n in range(1, depth + 2):
-                h = grams(tokens, n)
-                if not len(h):
-                    break
-                at = np.flatnonzero(_valid(place, n))
-                keys, first, count = np.unique(h[at], return_index=True, return_counts=True)
-                at = at[first]
-                yield from sums[n - 1].add(keys, shorter[at], shorter[at + 1], count)
-                shorter = h
-    for s in sums:
-        yield from s.out()
+            if len(tokens) < n:
+                continue
+            names = next(names for m, names in all_grams(tokens, n) if m == n - 1)
+            known = _probed(frequent, names)
+            at = np.flatnonzero(known[:-1] & known[1:] & _valid(_inside(tokens, starts), n))
+            piled.append((names[at], names[at + 1]))
+            size += len(at)
+            if size >= PILE:
+                yield pack()
+                piled, size = [], 0
+    if size:
+        yield pack()
+
+
+def _counting(n: int, least: int) -> Callable[[pa.Table], pa.Table]:
+    return lambda rows: _counted(rows, n, least)
+
+
+def _counted(rows: pa.Table, n: int, least: int) -> pa.Table:
+    """(gram, head, tail, count) of the frequent n-grams of a bucket."""
+    heads, tails, counts = [], [], []
+    for data in rows["data"].to_pylist():
+        m = len(data) // 20
+        heads.append(np.frombuffer(data, U64, m))
+        tails.append(np.frombuffer(data, U64, m, 8 * m))
+        counts.append(np.frombuffer(data, np.uint32, m, 16 * m))
+    heads, tails, counts = (np.concatenate(c) for c in (heads, tails, counts))
+    names, first, back = np.unique(joined(heads, tails, n), return_index=True, return_inverse=True)
+    total = np.bincount(back, counts, len(names)).astype(np.int64)
+    keep = total >= least
+    return pa.table({
+        "gram": names[keep].view(np.int64), "head": heads[first][keep].view(np.int64),
+        "tail": tails[first][keep].view(np.int64), "count": total[keep],
+    })
+
+
+def _bitmap(grams: DataFrame) -> np.ndarray:
+    """The names in the column ``gram`` as a bitmap of fixed size."""
+    slot = F.col("gram").bitwiseAND((1 << BITMAP_BITS) - 1)
+    words = grams.groupBy(F.shiftright(slot, 6).alias("w")).agg(
+        F.bit_or(F.expr("shiftleft(1L, int(gram & 63))")).alias("bits")
+    ).toArrow()
+    bits = np.zeros(1 << BITMAP_BITS - 6, np.int64)
+    bits[words["w"].to_numpy()] = words["bits"].to_numpy()
+    return bits.view(U64)
 
 
 class Tree:
@@ -144,25 +190,28 @@ def learn(train: DataFrame, depth: int = DEPTH, min_share: float = MIN_SHARE, mi
           divergence: float = DIVERGENCE) -> Tree:
     """The tree of the texts in the column ``text`` of ``train``."""
     scratch = Scratch(train.sparkSession, "suffix-tree")
-    counted = train.mapInArrow(
-        lambda b: _counted(b, depth), "n int, gram long, head long, tail long, count long"
-    ).groupBy("gram").agg(
-        F.first("n").alias("n"), F.first("head").alias("head"), F.first("tail").alias("tail"), F.sum("count").alias("count"),
-    )
-    # a share is not known before the words are counted; nothing below the count is needed
-    table = scratch.put(counted.filter((F.col("n") == 1) | (F.col("count") >= min_count)), "grams")
-    size = table.filter("n = 1").agg(F.coalesce(F.sum("count"), F.lit(0)).alias("total"), F.count("*").alias("words")).first()
+    words = scratch.put(train.mapInArrow(_word_counts, "gram long, count long").groupBy("gram").agg(F.sum("count").alias("count")), "words")
+    size = words.agg(F.coalesce(F.sum("count"), F.lit(0)).alias("total"), F.count("*").alias("words")).first()
     tree = Tree(size["total"], size["words"], depth)
     least = max(min_count, math.ceil(min_share * tree.total))
+    volume = train.agg(F.coalesce(F.sum(F.octet_length("text").cast("long")), F.lit(0))).first()[0]
+    bits = min(MAX_BUCKET_BITS, max(4, (volume // BUCKET_BYTES).bit_length()))
+    levels = {1: words.filter(F.col("count") >= least)}
+    for n in range(2, depth + 2):
+        frequent = train.sparkSession.sparkContext.broadcast(_bitmap(levels[n - 1]))
+        packed = train.mapInArrow(lambda b, n=n, f=frequent: _candidates(b, n, f, bits), "bucket int, data binary")
+        counted = packed.groupBy("bucket").applyInArrow(_counting(n, least), "gram long, head long, tail long, count long")
+        levels[n] = scratch.put(counted, f"grams-{n}")
+        frequent.destroy()
 
     def level(n: int) -> DataFrame:
-        return table.filter((F.col("n") == n) & (F.col("count") >= least)).select("gram", "head", "tail", "count")
+        return levels[n]
 
-    known = table.filter("n = 1").select("gram", "count", F.log10((F.col("count") + 0.5) / 0.5).alias("logs"))
+    known = words.select("gram", "count", F.log10((F.col("count") + 0.5) / 0.5).alias("logs"))
     root = (F.col("count") + 0.5) / F.lit(tree.denominator)
     #: per frequent n-gram the chance of its last token, and the root's
     below = level(1).select("gram", root.alias("chance"), root.alias("root"))
-    states, steps = [], []
+    states, steps, made = [], [], []
     for n in range(1, depth + 1):
         tails = below.select(F.col("gram").alias("tail"), F.col("chance").alias("old"), "root")
         nexts = scratch.put(level(n + 1).join(tails, "tail").select("gram", "head", "count", "old", "root"), f"nexts-{n}")
@@ -186,6 +235,8 @@ def learn(train: DataFrame, depth: int = DEPTH, min_share: float = MIN_SHARE, mi
             "gram", "count", chance.alias("chance"), "root",
             (F.log10(chance / F.col("old")) - F.coalesce("backoff", F.lit(0.0))).alias("gain"),
         ), f"chances-{n}")
+        scratch.drop(nexts)
+        made += [retained, below]
         states.append(retained.select(F.col("head").alias("gram"), F.col("backoff").alias("gain")))
         steps.append(below.select("gram", "count", "gain"))
     none, no = F.lit(None).cast("long").alias("count"), F.lit(0.0)
@@ -197,25 +248,39 @@ def learn(train: DataFrame, depth: int = DEPTH, min_share: float = MIN_SHARE, mi
     tree.weights = scratch.put(parts.groupBy("gram").agg(
         F.max("count").alias("count"), F.max("known").alias("known"), F.sum("logs").alias("logs"), F.sum("gain").alias("gain")
     ).filter("known > 0 OR gain <> 0"), "weights")
+    scratch.drop(words, *(levels[n] for n in range(2, depth + 2)), *made)
     return tree
 
 
 class Lookup:
-    """Finds hashes in a sorted table; a bitmap by their top bits turns most away first."""
+    """Hot names in a sorted table, with their values."""
 
-    def __init__(self, keys: np.ndarray, values: np.ndarray):
-        self.keys, self.values = keys, values
-        self.bits = np.zeros(1 << 20, bool)
-        self.bits[(mix(keys, 3) >> U64(44)).astype(np.int64)] = True
+    def __init__(self, rows: pa.Table):
+        names = rows["gram"].to_numpy().view(U64)
+        order = np.argsort(names)
+        self.names, self.gain = names[order], rows["gain"].to_numpy()[order]
+        self.logs = rows["logs"].to_numpy()[order] if "logs" in rows.column_names else None
 
-    def __call__(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Which of ``h`` are in the table, and their values."""
-        if not len(self.keys):
-            return np.zeros(0, np.int64), self.values[:0]
-        at = np.flatnonzero(self.bits[(mix(h, 3) >> U64(44)).astype(np.int64)])
-        place = np.minimum(np.searchsorted(self.keys, h[at]), len(self.keys) - 1)
-        hit = self.keys[place] == h[at]
-        return at[hit], self.values[place[hit]]
+    def __call__(self, names: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of the names at the places ``at``: the places of hot ones, theirs in the table, and the other places."""
+        if not len(self.names):
+            return at[:0], at[:0], at
+        # equal and near names one after the other make the search in the table a walk
+        at = at[np.argsort(names[at])]
+        place = np.minimum(np.searchsorted(self.names, names[at]), len(self.names) - 1)
+        hit = self.names[place] == names[at]
+        return at[hit], place[hit], at[~hit]
+
+
+class Hot:
+    """What every task gets: the hot words and longer n-grams, and the bitmap of all that have a weight."""
+
+    def __init__(self, words: Lookup, others: Lookup, bits: np.ndarray):
+        self.words, self.others, self.bits = words, others, bits
+
+    def find(self, n: int, names: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        table = self.words if n == 1 else self.others
+        return table(names, np.flatnonzero(_valid(place, n) & _probed(self.bits, names)))
 
 
 def _by_text(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
@@ -229,18 +294,21 @@ def _probed(bits: np.ndarray, h: np.ndarray) -> np.ndarray:
 
 def _summaries(batches: Iterator[pa.RecordBatch], shared, depth: int) -> Iterator[pa.RecordBatch]:
     """From (text, ...): the other columns with n_tokens, and the sums of the hot n-grams."""
-    hot = Lookup(*shared.value[:2])
+    hot = shared.value
     for batch in batches:
         row = 0
-        for run in runs(batch.column(0)):
+        for run in runs(batch.column(0), size=RUN):
             tokens, starts = _tokens(run)
-            place, sums = _inside(tokens, starts), np.zeros((len(tokens), 3))
-            for n in range(1, depth + 2):
-                h = grams(tokens, n)
-                at, value = hot(h)
-                good = place[at + n - 1] >= n - 1
-                sums[at[good]] += value[good]
-            known, logs, gain = (_by_text(c, starts) for c in sums.T)
+            place, sums = _inside(tokens, starts), np.zeros((3, len(tokens)))
+            for n, names in all_grams(tokens, depth):
+                if not len(names):
+                    break
+                at, found, _ = hot.find(n, names, place)
+                if n == 1:
+                    sums[0][at] += 1
+                    sums[1][at] += hot.words.logs[found]
+                sums[2][at] += (hot.words if n == 1 else hot.others).gain[found]
+            known, logs, gain = (_by_text(c, starts) for c in sums)
             yield pa.RecordBatch.from_arrays(
                 [*(c.slice(row, len(run)) for c in batch.columns[1:]), pa.array(np.diff(starts)),
                  pa.array(known.astype(np.int64)), pa.array(logs), pa.array(gain)],
@@ -251,21 +319,18 @@ def _summaries(batches: Iterator[pa.RecordBatch], shared, depth: int) -> Iterato
 
 def _cold(batches: Iterator[pa.RecordBatch], shared, depth: int) -> Iterator[pa.RecordBatch]:
     """(gram, key, places) of each text's n-grams that are not hot and may have a weight."""
-    hot, bits = Lookup(*shared.value[:2]), shared.value[2]
+    hot = shared.value
     for batch in batches:
         row, key = 0, batch.column(1).to_numpy()
-        for run in runs(batch.column(0)):
+        for run in runs(batch.column(0), size=RUN):
             tokens, starts = _tokens(run)
             place, texts = _inside(tokens, starts), np.repeat(np.arange(len(run)), np.diff(starts))
-            for n in range(1, depth + 2):
-                h = grams(tokens, n)
-                if not len(h):
+            for n, names in all_grams(tokens, depth):
+                if not len(names):
                     break
-                cold = _valid(place, n) & _probed(bits, h)
-                cold[hot(h)[0]] = False
-                at = np.flatnonzero(cold)
-                h, text = h[at], texts[at]
-                order = np.lexsort((h, text))
+                at = hot.find(n, names, place)[2]
+                h, text = names[at], texts[at]
+                order = np.lexsort((text, h))
                 h, text = h[order], text[order]
                 new = np.ones(len(h), bool)
                 new[1:] = (h[1:] != h[:-1]) | (text[1:] != text[:-1])
@@ -278,19 +343,20 @@ def _cold(batches: Iterator[pa.RecordBatch], shared, depth: int) -> Iterator[pa.
             row += len(run)
 
 
-def _shared(tree: Tree) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The hot n-grams and their weights, at most (depth + 1) / HOT_SHARE, and the bitmap."""
-    hot = tree.weights.filter(F.col("count") >= max(1, math.ceil(HOT_SHARE * tree.total))).toArrow()
-    keys = hot["gram"].to_numpy().view(U64)
-    order = np.argsort(keys)
-    values = np.stack([hot[c].to_numpy().astype(float) for c in ("known", "logs", "gain")], 1)
-    slot = F.col("gram").bitwiseAND((1 << BITMAP_BITS) - 1)
-    words = tree.weights.groupBy(F.shiftright(slot, 6).alias("w")).agg(
-        F.bit_or(F.expr("shiftleft(1L, int(gram & 63))")).alias("bits")
-    ).toArrow()
-    bits = np.zeros(1 << BITMAP_BITS - 6, np.int64)
-    bits[words["w"].to_numpy()] = words["bits"].to_numpy()
-    return keys[order], values[order], bits.view(U64)
+def _hot(tree: Tree) -> Hot:
+    """The commonest n-grams and their weights, at most ``HOT_ROWS``, and the bitmap of all."""
+    counted = tree.weights.filter("count IS NOT NULL").withColumn("bin", F.floor(8 * F.log2("count")))
+    bins = sorted(((r["bin"], r["n"]) for r in counted.groupBy("bin").agg(F.count("*").alias("n")).collect()), reverse=True)
+    least, rows = None, 0  # a few hundred bins
+    for bin_, n in bins:
+        rows += n
+        if rows > HOT_ROWS:
+            break
+        least = bin_
+    hot = counted.filter(F.lit(False) if least is None else F.col("bin") >= least)
+    words = Lookup(hot.filter("known > 0").select("gram", "logs", "gain").toArrow())
+    others = Lookup(hot.filter("known = 0").select("gram", "gain").toArrow())
+    return Hot(words, others, _bitmap(tree.weights))
 
 
 def score(
@@ -305,18 +371,19 @@ def score(
     )
     if tree is None:
         tree = learn(rows.filter("NOT held_out").select("text"), **settings)
-    depth, shared = tree.depth, docs.sparkSession.sparkContext.broadcast(_shared(tree))
+    depth, shared = tree.depth, docs.sparkSession.sparkContext.broadcast(_hot(tree))
     kind = rows.schema["id"].dataType.simpleString()
     whole = rows.select("text", "id", "key", "held_out").mapInArrow(
         lambda b: _summaries(b, shared, depth),
         f"id {kind}, key long, held_out boolean, n_tokens long, known long, logs double, gain double",
     )
+    scratch = Scratch(docs.sparkSession, "suffix-scores")
     cold = rows.select("text", "key").mapInArrow(lambda b: _cold(b, shared, depth), "gram long, key long, places int")
     weights = tree.weights.select("gram", F.col("known").alias("w"), F.col("logs").alias("l"), F.col("gain").alias("g"))
-    sums = cold.join(weights, "gram").groupBy("key").agg(
+    sums = scratch.put(cold.join(weights, "gram").groupBy("key").agg(
         F.sum(F.col("places") * F.col("w")).alias("more_known"), F.sum(F.col("places") * F.col("l")).alias("more_logs"),
         F.sum(F.col("places") * F.col("g")).alias("more_gain"),
-    )
+    ), "sums")
     # equal rows share a key: their sums are theirs together
     copies = rows.groupBy("key").agg(F.count("*").alias("m"))
     joined = whole.join(sums.join(copies, "key"), "key", "left")

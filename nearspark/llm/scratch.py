@@ -2,10 +2,32 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.staging import new_path
 
+#: How a table is written. Nothing reads the job's shuffle files after it, and small Arrow batches keep what
+#: tasks hold of long texts small.
+SETTINGS = {
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
+}
+
+
+@contextmanager
+def _settings(spark: SparkSession) -> Iterator[None]:
+    before = {key: spark.conf.get(key, None) for key in SETTINGS}
+    try:
+        for key, value in SETTINGS.items():
+            spark.conf.set(key, value)
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
 
 class Scratch:
     """``put`` writes a table and reads it back, which cuts the lineage at a copy that
@@ -17,7 +39,8 @@ class Scratch:
 
     def put(self, df: DataFrame, name: str) -> DataFrame:
         path = new_path(self.spark, f"{self.label}-{name}")
-        df.write.parquet(path)
+        with _settings(self.spark):
+            df.write.parquet(path)
         read = self.spark.read.schema(df.schema).parquet(path)
         self.paths[id(read)] = path
         read._scratch = self  # the path lives as long as someone can name it
