@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from ..functions.distance import check_dims
 from ..functions.literals import JS_LINE_END, JS_SPACE
 from ..functions.names import column
-from ..sources.staging import stage
+from ..sources.staging import stage, unstage
 
 # Item fields that may hold the text, in order of preference.
 CONTENT_FIELDS = ("content", "text", "pageContent")
@@ -124,7 +124,9 @@ def assign_ids(
         "_file", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset")
     )
     identity = (F.col("_offset") + F.col("_row") + F.lit(start)).cast("long")
-    return numbered.join(F.broadcast(offsets), "_file").select(identity.alias(id_col), *rows.columns)
+    result = numbered.join(F.broadcast(offsets), "_file").select(identity.alias(id_col), *rows.columns)
+    result._staged = staged._staged  # for ``unstage``, once the ids have been used
+    return result
 
 
 def prepare_vectors(docs: DataFrame, dims: int) -> DataFrame:
@@ -158,13 +160,6 @@ def insert_documents(
     return append_numbered(table, assign_ids(docs, last_id + 1, order), dims)
 
 
-def ingest_report(added: DataFrame, table_name: str) -> DataFrame:
-    """One row: success, number of inserted documents, table."""
-    return added.agg(F.count(F.lit(1)).alias("insertedCount")).select(
-        F.lit(True).alias("success"), "insertedCount", F.lit(table_name).alias("tableName")
-    )
-
-
 def documents_from_items(items: DataFrame) -> DataFrame:
     """Items to ``(content, metadata)``, keeping the other columns."""
     return items.select(
@@ -199,4 +194,6 @@ def ingest_markdown(
     """Documents to chunks to vectors to table rows, in document and chunk order."""
     # staged, as the sort behind the ids would otherwise cut the documents twice
     chunks = stage(chunk_markdown(docs.select(key, text), text), "chunks")
-    return add_documents(table, chunks, embedder, dims, (key, "chunk"), last_id)
+    rows = add_documents(table, chunks, embedder, dims, (key, "chunk"), last_id)
+    unstage(chunks)  # the numbered copy has been written
+    return rows

@@ -66,6 +66,17 @@ def similarity_search(
     return rows.orderBy(*nearest_first(id_col)).limit(k).select(*columns, "distance")
 
 
+def fetch(
+    results: DataFrame, rows: DataFrame, columns: Sequence[str] = ("content",), id_col: str = "id"
+) -> DataFrame:
+    """The at most ``k`` rows of a search result with further ``columns`` of ``rows``, nearest first.
+
+    A search that ranks narrow rows and fetches the texts of its hits never moves any other text.
+    """
+    wide = rows.select(id_col, *columns).join(F.broadcast(results), id_col)
+    return wide.orderBy(*nearest_first(id_col))
+
+
 def with_rank(results: DataFrame, id_col: str = "id") -> DataFrame:
     """Number the at most ``k`` rows of a search result from 1."""
     return results.withColumn("rank", F.row_number().over(Window.orderBy(*nearest_first(id_col))))

@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 MAX_BROADCAST_ROWS = 50_000
 MAX_BROADCAST_BYTES = 64 << 20
 BOUND_SLICE = 1000
-MANY_FILES = 256
+MANY_BYTES = 32 << 30
 
 
 def _field_bytes(field: T.StructField) -> Column:
@@ -49,6 +49,7 @@ def bound_slice(df: DataFrame) -> int | None:
     """How thin a slice to search first for bounds; None where the extra job costs more.
 
     A first look pays off when many tasks would otherwise each hand on their own best
-    rows, so it goes by the number of files behind ``df``.
+    rows, so it goes by the size that the optimizer takes ``df`` to have, without listing files.
     """
-    return BOUND_SLICE if len(df.inputFiles()) > MANY_FILES else None
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return BOUND_SLICE if size > MANY_BYTES else None

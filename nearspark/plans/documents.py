@@ -13,6 +13,7 @@ from ..operators.ingest import (
     extract_metadata, extract_page_content, ingest_markdown, insert_documents, prepare_vectors,
 )
 from ..operators.search import get_many
+from ..sources.staging import stage
 from ..store import VectorStore
 from .registry import Tables, query
 from .vectors import DIMS, RAG_SQL, rag_docs
@@ -154,11 +155,12 @@ def _(t: Tables) -> DataFrame:
            CAST(to_json({{'lang': lang, 'source': source}}) AS VARCHAR) AS metadata, score
     FROM scores JOIN documents USING (doc_id) ORDER BY score, doc_id LIMIT 10""")
 def _(t: Tables) -> DataFrame:
-    table = t.documents.select(
+    # ingested once; the search reads the stored vectors
+    table = stage(t.documents.select(
         F.col("doc_id").alias("id"), F.col("text").alias("content"),
         F.to_json(F.struct("lang", "source")).alias("metadata"),
         embed_text(F.col("text"), EMBEDDER).alias("embedding"),
-    )
+    ), "vectors")
     found = get_many(table, PROMPT, EMBEDDER, decimals=6)
     return found.withColumn("score", F.col("score") + 0.0)
 
@@ -214,7 +216,9 @@ def _store(t: Tables) -> VectorStore:
 def _(t: Tables) -> DataFrame:
     store = _store(t)
     store.add_vectors(_batch(t).withColumn("metadata", F.lit(None).cast("string")), ("label", "vec_id"))
-    return _shown(store.rows())
+    rows = stage(_shown(store.rows()), "rows")
+    store.drop()
+    return rows
 
 
 @query("ingest_report", """
@@ -222,7 +226,8 @@ def _(t: Tables) -> DataFrame:
 def _(t: Tables) -> DataFrame:
     store = _store(t)
     report = store.insert(t.documents.select("text", F.struct("lang").alias("metadata")))
-    stored = store.rows().agg(F.count(F.lit(1)).alias("n"))
+    stored = stage(store.rows().agg(F.count(F.lit(1)).alias("n")), "rows")
+    store.drop()
     return report.crossJoin(F.broadcast(stored)).select(  # one row each
         "success", "insertedCount", (F.col("n") == F.col("insertedCount")).alias("stored")
     )

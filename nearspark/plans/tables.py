@@ -49,13 +49,14 @@ def _(t: Tables) -> DataFrame:
 @query("read_markdown", """
     SELECT doc_id, text || chr(10) AS text, length(text) + 1 AS n FROM documents""")
 def _(t: Tables) -> DataFrame:
+    # one file per document, all in one folder; the id stands in the first line
     path = new_path(t.spark, "markdown")
-    t.documents.select("doc_id", F.col("text").alias("value")).repartition(8, "doc_id").write.partitionBy(
-        "doc_id"
-    ).text(path)
+    lines = t.documents.select(F.concat_ws("\n", F.col("doc_id").cast("string"), "text"))
+    lines.repartition(8).write.option("maxRecordsPerFile", 1).text(path)
     files = read_markdown(t.spark, path)
-    doc_id = F.regexp_extract("path", r"doc_id=(\d+)", 1).cast("long")
-    return files.select(doc_id.alias("doc_id"), "text", F.length("text").cast("long").alias("n"))
+    doc_id = F.substring_index("text", "\n", 1)
+    text = files.select(doc_id.cast("long").alias("doc_id"), F.expr("substr(text, length(substring_index(text, '\n', 1)) + 2)").alias("text"))
+    return text.select("doc_id", "text", F.length("text").cast("long").alias("n"))
 
 
 @query("project_columns", "SELECT l_shipdate, l_orderkey, l_linenumber FROM lineitem")

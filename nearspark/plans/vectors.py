@@ -10,7 +10,7 @@ from ..operators.ann import IvfIndex, LshIndex, recall
 from ..operators.knn import knn_join
 from ..operators.predicates import metadata_filter
 from ..operators.search import (
-    retrieve_context, retrieve_documents, similarity_search,
+    fetch, retrieve_context, retrieve_documents, similarity_search,
 )
 from .registry import Tables, query
 
@@ -52,6 +52,23 @@ def rag_docs(t: Tables) -> DataFrame:
     )
 
 
+def rag_vectors(t: Tables) -> DataFrame:
+    """``rag_docs`` without the texts: what a search ranks."""
+    return rag_docs(t).drop("content")
+
+
+def rag_texts(t: Tables) -> DataFrame:
+    return t.documents.select(F.col("doc_id").alias("id"), F.col("text").alias("content"))
+
+
+def rag_search(t: Tables, metric: str = "cosine", filters: dict | None = None) -> DataFrame:
+    """Ten nearest of ``rag_docs``; only their texts are read into a join."""
+    found = similarity_search(
+        rag_vectors(t), query_vector(t), 10, metric, filters, ("id", "metadata"), decimals=DECIMALS
+    )
+    return fetch(found, rag_texts(t)).select("id", "content", "metadata", "distance")
+
+
 def scaled(t: Tables) -> DataFrame:
     factor = F.col("label") + 1
     vector = F.transform("embedding", lambda x: (x.cast("double") * factor).cast("float"))
@@ -124,8 +141,7 @@ def _(t: Tables) -> DataFrame:
     SELECT id, content, metadata, {rounded('cosine')} AS distance FROM rag_docs e, q
     ORDER BY distance NULLS LAST, id LIMIT 10""")
 def _(t: Tables) -> DataFrame:
-    found = similarity_search(rag_docs(t), query_vector(t), 10, decimals=DECIMALS)
-    return found.withColumn("distance", F.col("distance") + 0.0)
+    return rag_search(t).withColumn("distance", F.col("distance") + 0.0)
 
 
 @query("similarity_search_filtered", f"""
@@ -135,10 +151,7 @@ def _(t: Tables) -> DataFrame:
       AND metadata ->> 'lang' = 'en' AND metadata ->> 'label' = '4'
     ORDER BY distance NULLS LAST, id LIMIT 10""")
 def _(t: Tables) -> DataFrame:
-    found = similarity_search(
-        rag_docs(t), query_vector(t), 10, "l2", {"lang": "en", "label": 4}, decimals=DECIMALS
-    )
-    return found.withColumn("distance", F.col("distance") + 0.0)
+    return rag_search(t, "l2", {"lang": "en", "label": 4}).withColumn("distance", F.col("distance") + 0.0)
 
 
 @query("metadata_filter", f"""
@@ -161,7 +174,7 @@ _TOP_SQL = f"""
 
 
 def _top(t: Tables) -> DataFrame:
-    return similarity_search(rag_docs(t), query_vector(t), 10, decimals=DECIMALS)
+    return rag_search(t)
 
 
 @query("retrieve_documents", f"""{_TOP_SQL}

@@ -39,4 +39,13 @@ def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     spark = df.sparkSession
     path = new_path(spark, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    staged = spark.read.schema(df.schema).parquet(path)
+    staged._staged = path
+    return staged
+
+
+def unstage(df: DataFrame) -> None:
+    """Remove the files of a staged table that nothing reads any more."""
+    spark = df.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(df._staged)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -13,6 +13,7 @@ from .functions.distance import DEFAULT_METRIC, check_metric
 from .operators import ann, ingest, search
 from .operators.predicates import parse_metadata_filter
 from .sources import catalog
+from .sources.staging import unstage
 
 
 class VectorStore:
@@ -72,6 +73,7 @@ class VectorStore:
                 # the job committed nothing, so its ids are free again
                 catalog.set_property(self.spark, self.name, catalog.LAST_ID, str(last))
                 raise
+        unstage(numbered)
         return count
 
     def insert(self, items: DataFrame, order: Sequence[str] = ()) -> DataFrame:
