@@ -12,7 +12,7 @@ before the shuffle, so a key that many items share is no hot spot.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, Window
@@ -410,6 +410,17 @@ def changed_rows(
     return update_rows(touched, items, key), others
 
 
+def having(items: DataFrame, key: str) -> Callable[[DataFrame], DataFrame]:
+    """The filter that leaves the rows whose ``key`` an item has."""
+    def rows(table: DataFrame) -> DataFrame:
+        fields = [c for c in table.columns if c in items.columns]
+        wanted = _cast(items.select(ORDINAL, *[column(items, c) for c in fields]), table.select(*fields)).select(key)
+        wanted = _measured(items, wanted.filter(column(wanted, key).isNotNull()).distinct())
+        return table.join(wanted, key, "left_semi")
+
+    return rows
+
+
 def constraint_errors(
     changed: DataFrame, others: DataFrame, unique: str | Sequence | None = None, not_null: Sequence[str] = (),
     fields: Iterable[str] | None = None,
@@ -485,6 +496,20 @@ def delete_each(
     return table
 
 
+def hit_each(
+    table: DataFrame, items: DataFrame, where: Iterable[tuple[str, str, str]], combine: str = "AND"
+) -> DataFrame:
+    """Rows that some item of :func:`delete_each` matches; a row may come several times."""
+    found = None
+    for clauses in _each(table, items, where, combine):
+        if all(c in NULL_CONDITIONS for _, c, _ in clauses):
+            rows = table.filter(combine_columns([condition_column(table, (n, c)) for n, c, _ in clauses]))
+        else:
+            rows = match_params(table, items, clauses).select(*[column(table, c) for c in table.columns])
+        found = rows if found is None else found.unionByName(rows)
+    return found
+
+
 def affected_by_delete_each(
     table: DataFrame, items: DataFrame, where: Iterable[tuple[str, str, str]], combine: str = "AND"
 ) -> DataFrame:

@@ -1,8 +1,8 @@
-"""The six table operations on a catalog table."""
+"""The six table operations on a catalog table, or on a table with a ledger."""
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,9 +11,11 @@ from pyspark.sql import functions as F
 from .functions.names import parse_output_columns
 from .operators import edits
 from .operators.edits import ORDINAL
+from .operators.predicates import filter_rows
 from .operators.select import DEFAULT_LIMIT, select_per_item, select_rows
 from .operators.sqlexec import execute_sql, execute_sql_each
 from .sources import catalog
+from .sources.ledger import LedgerTable
 from .sources.staging import stage
 
 
@@ -27,6 +29,9 @@ class TableEditor:
     ``unique`` is a column, the columns of a composite key, or a list of several keys; ``not_null`` are
     columns that need a value. Edits that would break one of them are refused as a whole.
 
+    On a catalog table, named by ``table``, an edit writes the whole new state. On a ``LedgerTable`` it rewrites
+    only the files that hold rows it touches.
+
     Each edit returns rows for its items: the output columns asked for, else
     ``(item_ordinal, success, affectedRows)``. Batches are all-or-nothing, except that
     with ``continue_on_fail`` bad items turn into ``(item_ordinal, error)`` rows,
@@ -36,20 +41,36 @@ class TableEditor:
     def __init__(
         self,
         spark: SparkSession,
-        table: str,
+        table: str | LedgerTable,
         schema: str = catalog.DEFAULT_SCHEMA,
         unique: str | Sequence | None = None,
         not_null: Sequence[str] = (),
         defaults: Mapping[str, Any] | None = None,
         continue_on_fail: bool = False,
     ):
-        self.spark, self.name = spark, table if "." in table else f"{schema}.{table}"
+        self.spark = spark
+        self.ledger = table if isinstance(table, LedgerTable) else None
+        self.name = table.path if self.ledger else table if "." in table else f"{schema}.{table}"
         self.unique, self.not_null, self.defaults = unique, tuple(not_null), dict(defaults or {})
         self.continue_on_fail = continue_on_fail
         self.errors: DataFrame | None = None
 
     def rows(self) -> DataFrame:
-        return catalog.read_table(self.spark, self.name)
+        return self.ledger.read() if self.ledger else catalog.read_table(self.spark, self.name)
+
+    def _append(self, rows: DataFrame) -> None:
+        if self.ledger:
+            self.ledger.append(rows)
+        else:
+            catalog.append(self.spark, self.name, rows)
+
+    def _edit(self, hit: Callable[[DataFrame], DataFrame], change: Callable[[DataFrame], DataFrame]) -> None:
+        """Apply ``change``, which leaves rows alone that ``hit`` leaves out."""
+        if self.ledger:
+            self.ledger.edit(hit, change)
+            self.ledger.vacuum()
+        else:
+            catalog.edit(self.spark, self.name, change)
 
     def execute_query(self, sql: str, parameters: Any = None, items: DataFrame | None = None) -> DataFrame:
         """Run SQL, or with ``items`` a query for each of them, whose ``parameters`` are item columns."""
@@ -107,7 +128,7 @@ class TableEditor:
                 if clash is not None:
                     raise ItemError(f"duplicate key value violates unique constraint: {clash}")
         image = stage(image, "insert")
-        catalog.append(self.spark, self.name, image.drop(ORDINAL))
+        self._append(image.drop(ORDINAL))
         if parse_output_columns(output_columns):
             return edits.returning_inserted(image, output_columns)
         hit = image.select(ORDINAL, F.lit(1).cast("long").alias("_in"))
@@ -129,7 +150,7 @@ class TableEditor:
             result = edits.affected_by_update(table, items, match)
         # staged before the swap, as it reads the table as it was
         result = stage(result, "result")
-        catalog.replace(self.spark, self.name, edits.update_rows(table, items, match))
+        self._edit(edits.having(items, match), lambda t: edits.update_rows(t, items, match))
         return result
 
     def update_values(self, match: str, value: Any, values: Mapping[str, str], **options):
@@ -147,9 +168,7 @@ class TableEditor:
         else:
             result = edits.affected_by_upsert(items)
         result = stage(result, "result")
-        catalog.replace(
-            self.spark, self.name, edits.upsert_rows(table, items, key, self.defaults)
-        )
+        self._edit(edits.having(items, key), lambda t: edits.upsert_rows(t, items, key, self.defaults))
         return result
 
     def upsert_values(self, key: str, value: str, values: Mapping[str, str], **options):
@@ -160,14 +179,18 @@ class TableEditor:
         restart_identity: bool = False,
     ) -> DataFrame:
         """``delete`` (by conditions), ``truncate`` or ``drop``."""
-        if command == "drop":
+        if command == "drop" and not self.ledger:
             catalog.drop_table(self.spark, self.name)
+        elif command == "truncate" and self.ledger:
+            self.ledger.commit([])
         elif command == "truncate":
             catalog.truncate(self.spark, self.name, restart_identity)
         elif command == "delete":
             where = list(where)
             result = stage(edits.affected_by_delete(self.rows(), where, combine), "result")
-            catalog.edit(self.spark, self.name, lambda t: edits.delete_rows(t, where, combine))
+            self._edit(
+                lambda t: t if not where else filter_rows(t, where, combine), lambda t: edits.delete_rows(t, where, combine)
+            )
             return result
         else:
             raise ValueError(f"Invalid delete command '{command}'")
@@ -180,7 +203,8 @@ class TableEditor:
         """
         where, table = [tuple(c) for c in where], self.rows()
         result = stage(edits.affected_by_delete_each(table, items, where, combine), "result")
-        catalog.edit(self.spark, self.name, lambda t: edits.delete_each(t, items, where, combine))
+        gone = lambda t: edits.hit_each(t, items, where, combine)
+        self._edit(gone, lambda t: edits.delete_each(t, items, where, combine))
         return result
 
     def _accept(self, items: DataFrame, operation: str, key: str | None, not_null=()) -> DataFrame:

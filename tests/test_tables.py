@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from nearspark.functions.embedder import HashingEmbedder
 from nearspark.operators.edits import ORDINAL
 from nearspark.sources import catalog
+from nearspark.sources.ledger import LedgerTable
 from nearspark.sources.staging import stage, staging_root
 from nearspark.store import VectorStore
 from nearspark.streaming.upsert import KeyedTable, stream_upsert
@@ -209,6 +210,72 @@ def test_stream_upsert(spark, tmp_path):
     assert sorted(tuples(table.read().select("k", "seq", "v"))) == before
 
 
+def test_stream_batches_are_whole_and_counted_once(spark, tmp_path, monkeypatch):
+    schema = "k long, seq long, v string"
+    table = KeyedTable(spark, str(tmp_path / "t"), spark.createDataFrame([], schema).schema, "k", "seq", 4)
+    rows = lambda: sorted(tuples(table.read().select("k", "seq", "v")))
+    batch = lambda n, v: spark.createDataFrame([(k, n, v) for k in range(20)], schema)
+    table.upsert(batch(1, "a"), 0, "s")
+    before = rows()
+
+    def killed(*args, **kwargs):
+        raise KeyboardInterrupt("after the files, before the ledger")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(table.table, "commit", killed)
+        with pytest.raises(KeyboardInterrupt):
+            table.upsert(batch(2, "b"), 1, "s")
+    assert rows() == before  # some buckets had new files already
+    table.upsert(batch(2, "b"), 1, "s")
+    assert rows() == [(k, 2, "b") for k in range(20)]
+    table.upsert(batch(3, "c"), 1, "s")  # a repeated batch changes nothing
+    assert rows() == [(k, 2, "b") for k in range(20)]
+    table.upsert(batch(3, "c"), 0, "other")
+    assert rows() == [(k, 3, "c") for k in range(20)]
+    reader = table.read()
+    table.upsert(batch(4, "d"), 1, "other")
+    assert reader.filter("v = 'c'").count() == 20  # the state before stays readable
+    one = spark.createDataFrame([(5, 9, "x")], schema)
+    files = set(table.table.files())
+    table.upsert(one, 2, "other")
+    assert len(files & set(table.table.files())) >= len(files) - 1  # other buckets keep their files
+
+
+def test_ledger_edits_rewrite_hit_files_only(spark, tmp_path):
+    rows = spark.range(4000).selectExpr("id", "concat('n', id) AS name", "id % 10 AS age")
+    table = LedgerTable.create(spark, str(tmp_path / "t"), rows.schema)
+    table.append(rows.repartitionByRange(8, "id"))
+    assert len(table.files()) == 8 and LedgerTable.create(spark, table.path, rows.schema).version() == table.version()
+    editor = TableEditor(spark, table, unique="id", not_null=["age"])
+    before = set(table.files())
+
+    def items(*values):
+        return spark.createDataFrame([(n, *v) for n, v in enumerate(values)], f"{ORDINAL} long, id long, name string, age long")
+
+    summary = editor.update(items((7, "seven", 1), (9, "nine", 2)), "id")
+    assert [r.affectedRows for r in summary.collect()] == [1, 1]
+    assert len(before & set(table.files())) == 7
+    state, version = sorted(tuples(editor.rows())), table.version()
+    with pytest.raises(ItemError, match="not-null"):
+        editor.update(items((3999, "last", None)), "id")
+    with pytest.raises(Exception, match="boom"):
+        table.edit(lambda t: t.filter("id = 1"), lambda t: t.withColumn("name", F.raise_error(F.lit("boom")).cast("string")))
+    assert table.version() == version and sorted(tuples(editor.rows())) == state
+    editor.upsert(items((3999, "last", 3), (4000, "new", 4)), "id")
+    editor.delete(where=[("id", "<", "5")])
+    editor.delete_each(items((10, "n10", 0), (11, "?", 0)), [("id", "=", "id"), ("name", "=", "name")])
+    editor.insert(items((5000, "more", 5)))
+    found = {r.id: (r.name, r.age) for r in editor.rows().collect()}
+    expected = {k: (f"n{k}", k % 10) for k in range(5, 4000) if k != 10}
+    expected |= {7: ("seven", 1), 9: ("nine", 2), 3999: ("last", 3), 4000: ("new", 4), 5000: ("more", 5)}
+    assert found == expected and len(before & set(table.files())) == 6
+    with pytest.raises(RuntimeError, match="meanwhile"):
+        table.commit([], base=version)
+    editor.delete("truncate")
+    assert editor.rows().count() == 0 and table.vacuum(1) > 0 and table.vacuum(1) == 0
+    assert table.read().schema == rows.schema
+
+
 def test_edits_keep_constraints(spark):
     """NULL and duplicate values are refused by every edit, and the table stays as it was."""
     catalog.drop_table(spark, "qa_limits")
