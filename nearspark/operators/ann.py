@@ -32,7 +32,7 @@ from pyspark.sql.types import StructType
 from ..functions.distance import DEFAULT_METRIC, all_pairs, check_metric, matrix
 from ..sources.staging import new_path, stage
 from .knn import TILE_CELLS, bucket_candidates, top_k
-from .predicates import metadata_filter
+from .predicates import bloom_options, metadata_filter, shred_metadata
 from .search import DEFAULT_K, similarity_search
 from .sizing import has_rows
 
@@ -112,6 +112,12 @@ def _sample(vectors: DataFrame, rows: int, total: int, seed: int) -> np.ndarray:
     return matrix(found.combine_chunks() if isinstance(found, pa.ChunkedArray) else found, None)
 
 
+def _present(df: DataFrame, embedding: str) -> DataFrame:
+    """The rows that have a vector, with side columns for the commonest metadata keys."""
+    rows = df.filter(F.col(embedding).isNotNull())
+    return shred_metadata(rows) if "metadata" in df.columns else rows
+
+
 def _neighbours(sample: np.ndarray, metric: str) -> tuple[np.ndarray, np.ndarray]:
     """Numbers of sampled queries, and of their nearest rows in the sample."""
     asked = np.arange(0, len(sample), max(1, len(sample) // SAMPLE_QUERIES))
@@ -224,7 +230,7 @@ class IvfIndex(_Index):
         the corpus over several writing tasks.
         """
         check_metric(metric)
-        present = df.filter(F.col(embedding).isNotNull())
+        present = _present(df, embedding)
         vectors = present.select(F.col(embedding).cast("array<double>").alias("vector"))
         total = vectors.count()
         if lists is None:
@@ -254,7 +260,7 @@ class IvfIndex(_Index):
         dealt = placed.hint("rebalance", folder)
         if len(cells.tops):
             dealt = dealt.sortWithinPartitions("coarse", "cell")
-        dealt.write.partitionBy(folder).parquet(f"{path}/rows")
+        dealt.write.options(**bloom_options(placed)).partitionBy(folder).parquet(f"{path}/rows")
         table = df.sparkSession.read.schema(placed.schema).parquet(f"{path}/rows")
         probes = cls._probes(_sample(vectors, SAMPLE_ROWS, total, seed), cells) if total else 1
         index = cls(table, cells, probes, total, metric, id_col, embedding, path)
@@ -470,7 +476,7 @@ class LshIndex(_Index):
         check_metric(metric)
         if not 0 < bits <= BITS:
             raise ValueError(f"codes have 1 to {BITS} bits")
-        present = df.filter(F.col(embedding).isNotNull())
+        present = _present(df, embedding)
         vectors = present.select(F.col(embedding).cast("array<double>").alias("vector"))
         total = vectors.count()
         sample = _sample(vectors, SAMPLE_ROWS, total, seed) if total else np.zeros((0, dims))
@@ -478,9 +484,8 @@ class LshIndex(_Index):
         hashed = present.select("*", F.posexplode(cls._hashed(planes)(F.col(embedding))).alias("hash_table", "code"))
         hashed = hashed.withColumn("folder", F.expr(f"shiftright(code, {max(0, planes.bits - FOLDER_BITS)})"))
         path = path or new_path(df.sparkSession, "lsh")
-        hashed.hint("rebalance", "hash_table", "folder").sortWithinPartitions("hash_table", "folder", "code").write.partitionBy(
-            "hash_table", "folder"
-        ).parquet(f"{path}/rows")
+        dealt = hashed.hint("rebalance", "hash_table", "folder").sortWithinPartitions("hash_table", "folder", "code")
+        dealt.write.options(**bloom_options(hashed)).partitionBy("hash_table", "folder").parquet(f"{path}/rows")
         table = df.sparkSession.read.schema(hashed.schema).parquet(f"{path}/rows")
         counts = np.zeros((tables, 1 << planes.bits), np.int64)
         sizes = table.groupBy("hash_table", "code").agg(F.count(F.lit(1)).alias("n")).toArrow()

@@ -15,6 +15,9 @@ from ..functions.names import column, data_type
 
 RANGE_CONDITIONS = (">", "<", ">=", "<=")
 NULL_CONDITIONS = ("IS NULL", "IS NOT NULL")
+#: Most side columns for metadata keys, and the share of rows that must have a key.
+MAX_SIDE_COLUMNS = 8
+SIDE_SHARE = 0.01
 
 
 class Condition(NamedTuple):
@@ -93,11 +96,54 @@ def metadata_value(entries: Column, key: str) -> Column:
     return F.try_element_at(same, F.lit(-1))["value"]
 
 
-def metadata_column(filters: Mapping[str, Any], metadata: str = "metadata") -> Column:
-    """Every key of ``filters`` equals the text of its value in a JSON object."""
+def side_column(key: str, metadata: str = "metadata") -> str:
+    """Name of the column that holds the texts of one metadata key."""
+    return f"{metadata}${key}"
+
+
+def common_keys(df: DataFrame, limit: int = MAX_SIDE_COLUMNS, metadata: str = "metadata") -> list[str]:
+    """The commonest metadata keys, of those that at least ``SIDE_SHARE`` of the rows have."""
+    # a row names each key once; names that are rare in every task do not grow the result
+    keys = df.select(F.explode(F.array_distinct(F.map_keys(metadata_map(metadata)))).alias("key"))
+    rows = df.count()
+    counts = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= SIDE_SHARE * rows)
+    return [r["key"] for r in counts.orderBy(F.desc("n"), "key").limit(limit).collect()]
+
+
+def shred_metadata(
+    df: DataFrame, keys: Iterable[str] | None = None, metadata: str = "metadata"
+) -> DataFrame:
+    """``df`` with a text column for each of the ``keys``, by default the commonest ones.
+
+    Filters on these keys then compare plain columns, which reaches the files' statistics and
+    Bloom filters; other keys are still looked up in the JSON.
+    """
+    keys = list(common_keys(df, metadata=metadata) if keys is None else keys)
     entries = metadata_map(metadata)
-    parts = [entries.isNotNull()]
-    parts += [metadata_value(entries, k) == value_text(v) for k, v in filters.items()]
+    return df.select("*", *[metadata_value(entries, k).alias(side_column(k, metadata)) for k in keys])
+
+
+def bloom_options(df: DataFrame, metadata: str = "metadata") -> dict[str, str]:
+    """Options for a Parquet writer, which keeps a Bloom filter of each side column."""
+    return {
+        f"parquet.bloom.filter.enabled#{c}": "true" for c in df.columns if c.startswith(side_column("", metadata))
+    }
+
+
+def metadata_column(
+    filters: Mapping[str, Any], metadata: str = "metadata", columns: Iterable[str] = ()
+) -> Column:
+    """Every key of ``filters`` equals the text of its value in a JSON object.
+
+    A key with a side column among ``columns`` is compared there: it has a text only in an object.
+    """
+    entries, known, parts = metadata_map(metadata), set(columns), []
+    for key, value in filters.items():
+        side = side_column(key, metadata)
+        if side in known:
+            parts.append(F.col(f"`{side}`") == value_text(value))
+        else:
+            parts.append(entries.isNotNull() & (metadata_value(entries, key) == value_text(value)))
     return combine_columns(parts)
 
 
@@ -105,7 +151,7 @@ def metadata_filter(
     df: DataFrame, filters: Mapping[str, Any] | None, metadata: str = "metadata"
 ) -> DataFrame:
     """Keep rows whose metadata matches; an empty filter keeps every row."""
-    return df.filter(metadata_column(filters, metadata)) if filters else df
+    return df.filter(metadata_column(filters, metadata, df.columns)) if filters else df
 
 
 def parse_metadata_filter(text: str | None) -> dict[str, Any] | None:

@@ -12,6 +12,7 @@ from ..operators import edits
 from ..operators.edits import ORDINAL, PRESENT
 from ..operators.ingest import assign_ids
 from ..sources import catalog
+from ..sources.ledger import LedgerTable
 from ..sources.staging import new_path, stage
 from ..streaming.upsert import KeyedTable, stream_upsert
 from ..table import ItemError, TableEditor
@@ -463,6 +464,30 @@ def _(t: Tables) -> DataFrame:
     return _on_table(t, t.customer, work, unique="c_custkey", defaults={"c_mktsegment": "NEW"})
 
 
+@query("ledger_edits", """
+    WITH changed AS (
+        SELECT c_custkey, c_name, c_nationkey,
+               CASE WHEN s_suppkey IS NOT NULL THEN s_acctbal ELSE c_acctbal END AS c_acctbal, c_mktsegment
+        FROM customer LEFT JOIN supplier ON s_suppkey * 3 = c_custkey)
+    SELECT * FROM changed WHERE c_custkey % 50 <> 7 OR c_acctbal IS NULL
+    UNION ALL SELECT -1 - s_suppkey, s_name, NULL, s_acctbal, NULL FROM supplier""")
+def _(t: Tables) -> DataFrame:
+    """Insert, update and delete on a table with a ledger, which rewrites only files with hits."""
+    table = LedgerTable.create(t.spark, new_path(t.spark, "ledger"), t.customer.schema)
+    table.append(t.customer.repartitionByRange(8, "c_custkey"))
+    editor = TableEditor(t.spark, table, unique="c_custkey")
+    key = F.col("s_suppkey")
+    editor.update(t.supplier.select(
+        key.alias(ORDINAL), (key * 3).alias("c_custkey"), F.col("s_acctbal").alias("c_acctbal")
+    ), "c_custkey")
+    table.edit(
+        lambda rows: rows.filter("c_custkey % 50 = 7 AND c_acctbal IS NOT NULL"),
+        lambda rows: rows.filter("c_custkey % 50 <> 7 OR c_acctbal IS NULL"),
+    )
+    editor.insert(supplier_items(t).withColumn("c_custkey", -1 - F.col("c_custkey")))
+    return editor.rows()
+
+
 @query("item_lineage", """
     SELECT s_suppkey AS item_ordinal, s_suppkey AS c_custkey, s_name AS c_name,
            NULL::INTEGER AS c_nationkey, s_acctbal AS c_acctbal, NULL::VARCHAR AS c_mktsegment

@@ -8,10 +8,11 @@ from pyspark.sql import functions as F
 from ..functions.distance import METRICS, check_dims, distance, parse_vector, vector_literal, vector_text
 from ..operators.ann import IvfIndex, LshIndex, recall
 from ..operators.knn import knn_join
-from ..operators.predicates import metadata_filter
+from ..operators.predicates import bloom_options, metadata_filter, shred_metadata
 from ..operators.search import (
     fetch, retrieve_context, retrieve_documents, similarity_search,
 )
+from ..sources.staging import new_path
 from .registry import Tables, query
 
 DECIMALS = 6
@@ -161,6 +162,18 @@ def _(t: Tables) -> DataFrame:
     return metadata_filter(rag_docs(t), {"lang": "fr"}).select("id", "content", "metadata")
 
 
+@query("metadata_filter_shredded", f"""
+    WITH {RAG_SQL} SELECT id, content, metadata FROM rag_docs
+    WHERE json_type(metadata) = 'OBJECT' AND metadata ->> 'lang' = 'fr' AND metadata ->> 'label' = '4'""")
+def _(t: Tables) -> DataFrame:
+    """The filter on stored side columns, which reaches the files."""
+    rows = shred_metadata(rag_docs(t))
+    path = new_path(t.spark, "shredded")
+    rows.write.options(**bloom_options(rows)).parquet(path)
+    stored = t.spark.read.schema(rows.schema).parquet(path)
+    return metadata_filter(stored, {"lang": "fr", "label": 4}).select("id", "content", "metadata")
+
+
 @query("metadata_filter_empty", f"WITH {RAG_SQL} SELECT id, metadata FROM rag_docs")
 def _(t: Tables) -> DataFrame:
     return metadata_filter(rag_docs(t), {}).select("id", "metadata")

@@ -1,3 +1,4 @@
+import re
 from decimal import Decimal
 
 import pytest
@@ -7,6 +8,7 @@ from nearspark.functions.literals import number_text, parse_number, value_text
 from nearspark.functions.names import (
     output_columns, parse_output_columns, quote_ident, quote_table,
 )
+from nearspark.operators import predicates
 from nearspark.operators.predicates import (
     filter_rows, metadata_filter, parse_metadata_filter,
 )
@@ -146,3 +148,20 @@ def test_filters_reach_the_scan(spark, tmp_path):
     df = filter_rows(spark.read.parquet(str(tmp_path / "t")), [("id", ">", "9e1")]).select("id")
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThan(id,90)" in plan and "other" not in plan
+
+
+def test_side_columns_of_metadata(spark, tmp_path):
+    """The same rows as from the JSON, by filters that reach the files."""
+    texts = ['{"lang":"en","n":1}', '{"lang":"fr","n":1}', "null", None, "[1]", '{"lang":null}', '{"lang":"en","rare.key":"x"}',
+             '{"lang":"en","lang":"de"}', "{}", "not json", '{"n":"1","lang":"en"}']
+    df = spark.createDataFrame(list(enumerate(texts * 30)), "id long, metadata string")
+    assert predicates.common_keys(df) == ["lang", "n", "rare.key"] and predicates.common_keys(df, 1) == ["lang"]
+    rows = predicates.shred_metadata(df, ["lang", "rare.key"])
+    rows.write.options(**predicates.bloom_options(rows)).parquet(str(tmp_path / "t"))
+    stored = spark.read.schema(rows.schema).parquet(str(tmp_path / "t"))
+    for filters in ({"lang": "en"}, {"lang": "en", "n": 1}, {"rare.key": "x", "lang": "en"}, {"n": "1"}, {"lang": "de"}, {"no": 1}):
+        found = metadata_filter(stored, filters)
+        assert sorted(r.id for r in found.collect()) == sorted(r.id for r in metadata_filter(df, filters).collect())
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert bool(re.search(r"To\(`?metadata\$lang`?,", plan)) == ("lang" in filters)
+    assert predicates.common_keys(df.limit(0)) == []
