@@ -4,16 +4,16 @@ Words are compared without case and ASCII punctuation. A seed is a fixed mask ov
 ``SPAN`` neighbouring words that ignores some of them, so a hit survives substitutions at
 the ignored places; the masks ignore different ones.
 
-1. Benchmark items are hashed under every mask at every place. Items below ``SHORT`` words, but
-   of at least ``LEAST``, are also hashed under masks made for their length, which hit whichever
-   fifth of the words differs. Longer items are found where a mask of ``MASKS`` fits: not
-   every pattern of 12 equal words of 16 does (every fourth word changed does not).
+1. Benchmark items are hashed under every mask at every place. ``MASKS`` are chosen so that one
+   of them fits into every pattern of 12 equal words among 12 to 16, wherever the others stand.
+   Items below ``SHORT`` words, but of at least ``LEAST``, are also hashed under masks made for their
+   length, which hit whichever fifth of the words differs; below ``EXACT`` words none may.
 2. Texts are hashed in the same way. A bitmap of fixed size over the benchmark hashes
    keeps all but possible hits away from the exchange; it can let too many through, never too few.
 3. Possible hits join the benchmark's hashes exactly. What stays are (text, item, diagonal).
 4. Around each hit the whole overlap of text and item on that diagonal is compared word
    by word; a stretch is an overlap when it has at least ``MATCHES`` equal words, or all but a
-   fifth of a shorter item, and at least ``IDENTITY`` of it is equal. Reported is the stretch of
+   fifth of a shorter item (below ``EXACT`` words all of it), and at least ``IDENTITY`` of it is equal. Reported is the stretch of
    greatest matches minus mismatches if it is one, else of all that are one with most equal words.
 
 Equal texts are verified once, under a digest of their words; a task sends the words of a
@@ -21,7 +21,7 @@ text once, however many copies it sees.
 
 Defined results: null and empty texts and items match nothing; items below ``LEAST`` words
 are too short to tell and are left out; rows with one id are reported under it once per
-item; an empty table on either side gives no overlaps; other columns are not read.
+item, and ``clean`` judges each row by its own text; an empty table on either side gives no overlaps; other columns are not read.
 """
 
 from __future__ import annotations
@@ -37,9 +37,12 @@ from pyspark.sql import functions as F
 from .scratch import Scratch
 from .words import U64, mix, runs
 
-#: 1 is compared, 0 is ignored.
-MASKS = ("111011010111", "110110101110111", "111101001011011")
-LEAST = 8
+#: 1 is compared, 0 is ignored. Six words each; found by taking, again and again, the mask of at most 12
+#: words that fits into most of the patterns that no mask fits into yet.
+MASKS = ("11010111", "11100010011", "110010001011", "1101001011", "101000110011", "111111")
+LEAST = 6
+#: Items of fewer words are looked for as they are.
+EXACT = 8
 #: Items of fewer words have masks made for their length.
 SHORT = 15
 MATCHES = 12
@@ -59,11 +62,16 @@ def _seed(hashes: np.ndarray, mask: str, salt: int) -> np.ndarray:
     return mix(total, salt)
 
 
+def differing(n: int) -> int:
+    """How many words of an item of n words may differ."""
+    return 0 if n < EXACT else n // 5
+
+
 def _short_masks(n: int) -> list[tuple[str, int, int]]:
     """(mask, salt, its place in the item) for items of n words. Blocks of the item, two more than
     a fifth of its words, of which each mask ignores a fifth of the words' number: whichever
     fifth of the words differs or is cut off, some mask holds none of them."""
-    less = n // 5
+    less = differing(n)
     border = [n * k // (less + 2) for k in range(less + 3)]
     masks = []
     for k, out in enumerate(combinations(range(less + 2), less)):
@@ -188,7 +196,7 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for k, (doc_at, item_at, n) in enumerate(zip(*(batch.column(c).to_pylist() for c in (2, 3, 4)), strict=True)):
             x, y = batch.column(5)[k].values.to_numpy(), batch.column(6)[k].values.to_numpy()
             start, end, same = best_stretch(x == y)
-            least = min(MATCHES, n - n // 5)
+            least = min(MATCHES, n - differing(n))
             if same < least or same < IDENTITY * (end - start):
                 start, end, same = widest_stretch(x == y)
             if same >= least:
@@ -269,6 +277,10 @@ def overlaps(
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose id has no overlap, all columns as they are."""
-    bad = overlaps(docs, benchmark, id_col, text_col).select(F.col(id_col).alias("__id")).distinct()
-    return docs.join(bad, docs[id_col].eqNullSafe(F.col("__id")), "left_anti")
+    """The rows of ``docs`` whose text has no overlap, all columns as they are. Rows with one id, or none,
+    are told apart by their texts."""
+    row = F.struct(F.col(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("t"))
+    bad = overlaps(docs.select(row.alias("row"), F.col(text_col).alias("text")), benchmark, "row", "text")
+    bad = bad.select(F.col("row.id").alias("__id"), F.col("row.t").alias("__t")).distinct()
+    same = docs[id_col].eqNullSafe(F.col("__id")) & (F.xxhash64(docs[text_col]) == F.col("__t"))
+    return docs.join(bad, same, "left_anti")

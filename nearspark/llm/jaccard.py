@@ -413,14 +413,20 @@ def near_links(
 def keep_first(
     docs: DataFrame, size: int = SIZE, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """The rows of ``docs`` whose id is their component's; of rows with one id the first by
-    text. All columns stay as they are."""
-    groups = near_components(docs, size, percent, id_col, text_col)
-    kept = groups.filter(F.col(id_col).eqNullSafe(F.col("component_id")))
-    twice = not kept.groupBy(id_col).count().filter("count > 1").isEmpty()
-    keys = kept.select(F.col(id_col).alias("__id")).distinct() if twice else kept.select(F.col(id_col).alias("__id"))
-    rows = docs.join(keys, docs[id_col].eqNullSafe(F.col("__id")), "left_semi")
-    if not twice:
-        return rows
-    first = rows.groupBy(F.col(id_col)).agg(F.min(F.struct(F.col(text_col).alias("t"), F.struct(*docs.columns).alias("r"))).alias("m"))
-    return first.select("m.r.*")
+    """Of each group the row with the smallest id, all columns as they are; a null id is larger than others.
+
+    Rows are told apart by id and text, so different texts under one id, or without an id, are judged each
+    for itself; of one id's texts in a group the one with the smaller hash stays, and of rows with equal
+    id and text one, the smallest by its columns.
+    """
+    own = F.struct(F.col(id_col).isNull().alias("n"), F.col(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("t"))
+    groups = near_components(docs.select(own.alias("row"), F.col(text_col).alias("text")), size, percent, "row", "text")
+    kept = groups.filter(F.col("row") == F.col("component_id")).groupBy("row").agg(F.count("*").alias("__rows"))
+    kept = kept.select(F.col("row.id").alias("__id"), F.col("row.t").alias("__t"), "__rows")
+    same = docs[id_col].eqNullSafe(F.col("__id")) & (F.xxhash64(docs[text_col]) == F.col("__t"))
+    names = [F.col(f"`{c}`") for c in docs.columns]
+    rows = docs.join(kept, same).select(F.struct(*names).alias("__row"), "__id", "__t", "__rows")
+    # only rows that stand several times are exchanged again
+    once = rows.filter("__rows = 1").select("__row.*")
+    least = rows.filter("__rows > 1").groupBy("__id", "__t").agg(F.min("__row").alias("__row"))
+    return once.unionByName(least.select("__row.*"))

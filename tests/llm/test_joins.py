@@ -65,6 +65,72 @@ def test_keep_first(spark):
     assert len(ids) == len(set(ids)) and {0, 1, 2, 3, 5} <= set(ids) and not {6, 7, 8} & set(ids)
 
 
+def test_keep_first_tells_rows_apart(spark):
+    """Unlike texts under one id or without one stay, near copies go, whatever ids they share."""
+    rng = random.Random(8)
+    a, b, c, d = (sentence(rng, 80, [f"{x}{k}" for k in range(200)]) for x in "abcd")
+    near = a.replace(a.split()[40], "changed", 1)
+    more = [(None, c), (None, d), (None, d), (9, c + " end")]
+    for extra in ([], more):
+        rows = [(1, a), (5, near), (5, b), *extra]
+        kept = {(r["doc_id"], r["text"]) for r in jaccard.keep_first(odd_docs(spark, rows)).collect()}
+        assert kept == {(1, a), (5, b)} | ({(9, c + " end"), (None, d)} if extra else set())
+    assert jaccard.keep_first(odd_docs(spark, [(7, a)] * 5 + [(2, None)] * 2)).count() == 2
+
+
+def test_clean_tells_rows_apart(spark):
+    item = " ".join(f"q{k}" for k in range(20))
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    rows = [(None, f"x {item}"), (None, "fine text"), (4, "also fine"), (4, item), (None, None), (5, item)]
+    left = sorted((r["doc_id"], r["text"]) for r in decontaminate.clean(odd_docs(spark, rows), bench).fillna(-1, "doc_id").fillna("").collect())
+    assert left == [(-1, ""), (-1, "fine text"), (4, "also fine")]
+
+
+def test_masks_fit_every_pattern():
+    """12 equal words among up to 16 always hold a mask; of longer stretches with a quarter changed too,
+    unless they are put together against it."""
+    masks = [(len(m), int(m, 2)) for m in decontaminate.MASKS]
+
+    def fits(pattern, length):
+        return any((pattern >> k) & mask == mask for span, mask in masks for k in range(length - span + 1))
+
+    for length in range(12, 17):
+        for out in combinations(range(length), length - 12):
+            assert fits((1 << length) - 1 - sum(1 << k for k in out), length)
+    rng, found = random.Random(1), 0
+    for _ in range(3000):
+        length = rng.randint(17, 60)
+        out = rng.sample(range(length), length // 4)
+        found += fits((1 << length) - 1 - sum(1 << k for k in out), length)
+    every_fourth = int("1110" * 12, 2)
+    assert found >= 2990 and fits(every_fourth, 48)
+
+
+def test_decontamination_against_brute_force(spark):
+    """Items quoted with random words changed: all that the definition calls an overlap are found."""
+    rng = random.Random(11)
+    items = {k: [f"i{k}w{j}" for j in range(rng.randint(6, 50))] for k in range(25)}
+    rows, expected = [], set()
+    for n in range(500):
+        k = rng.randrange(25)
+        lo = rng.randint(0, len(items[k]) // 2)
+        part = [w if rng.random() > rng.choice([0, 0.1, 0.2, 0.25, 0.4]) else "other" for w in items[k][lo : lo + rng.randint(5, 50)]]
+        rows.append((n, " ".join(["f1", "f2", *part, "f3"])))
+        equal = [x == y for x, y in zip(part, items[k][lo:], strict=False)]
+        size = len(items[k])
+        least = min(decontaminate.MATCHES, size - decontaminate.differing(size))
+        best = max(
+            (sum(equal[a:b]) for a in range(len(equal)) for b in range(a + 1, len(equal) + 1) if 4 * sum(equal[a:b]) >= 3 * (b - a)),
+            default=0,
+        )
+        if best >= least:
+            expected.add((n, k))
+    bench = spark.createDataFrame([(k, " ".join(w)) for k, w in items.items()], "item_id long, text string")
+    found = {(r["doc_id"], r["item_id"]) for r in decontaminate.overlaps(odd_docs(spark, rows), bench).collect()}
+    assert found <= expected and len(expected) > 150
+    assert len(found) >= 0.99 * len(expected)
+
+
 def test_decontamination(spark):
     rng = random.Random(3)
     vocabulary = [f"t{k}" for k in range(500)]
