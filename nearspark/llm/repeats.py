@@ -54,6 +54,8 @@ SEED = 20
 BITMAP_BITS = 26
 #: Window hashes handed on at a time.
 PILE = 1 << 18
+#: Bytes of text whose words a task holds at a time.
+RUN = 1 << 20
 _WORD = re.compile(b"[^" + re.escape(SPACES) + b"]+")
 
 
@@ -82,7 +84,7 @@ def anchors(run: Run, size: int, seed: int) -> tuple[np.ndarray, ...]:
 def _anchor_rows(batches: Iterator[pa.RecordBatch], size: int, seed: int) -> Iterator[pa.RecordBatch]:
     """From (doc, t, text): (doc, t, anchor, extension, lo, hi)."""
     for batch in batches:
-        for run in runs(batch.column(2), fold=False):
+        for run in runs(batch.column(2), fold=False, size=RUN):
             text, anchor, extension, lo, hi = anchors(run, size, seed)
             rows = pa.array(run.row + text)
             yield pa.RecordBatch.from_arrays(
@@ -98,7 +100,7 @@ def _window_rows(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.Re
         spans = batch.column(3)
         first, flat = spans.offsets.to_numpy(), spans.values
         anchor, low, high = (flat.field(name).to_numpy() for name in ("anchor", "lo", "hi"))
-        for run in runs(batch.column(2), fold=False):
+        for run in runs(batch.column(2), fold=False, size=RUN):
             ranges = Ranges(run.hashes)
             at = np.arange(first[run.row], first[run.row + len(run)])
             text = np.repeat(np.arange(len(run)), np.diff(first[run.row : run.row + len(run) + 1]))
@@ -148,10 +150,9 @@ def _picked(rows: DataFrame, ids: DataFrame, wanted: bool = True, bitmap=None) -
     return hashed.mapInArrow(lambda b: _filtered(b, bitmap, wanted), rows.schema)
 
 
-def repeated_spans(rows: DataFrame, size: int = SIZE, seed: int = SEED) -> DataFrame:
+def repeated_spans(rows: DataFrame, scratch: Scratch, size: int = SIZE, seed: int = SEED) -> DataFrame:
     """From (doc, t, text): (doc, t, spans), the places (lo, hi) in the text whose windows
     all start in a document with a smaller id too; they may overlap."""
-    scratch = Scratch(rows.sparkSession, "repeats")
     found = rows.filter("doc IS NOT NULL AND text <> ''").mapInArrow(
         lambda b: _anchor_rows(b, size, seed), "doc long, t long, anchor long, extension long, lo long, hi long"
     )
@@ -226,13 +227,16 @@ def remove_repeats(
     rows = docs.select(F.col(id_col).cast("long").alias("doc"), whole(F.col(text_col)).alias("text")).select(
         "doc", F.xxhash64("text").alias("t"), "text"
     )
-    spans = repeated_spans(rows, size, seed)
+    scratch = Scratch(docs.sparkSession, "repeats")
+    spans = repeated_spans(rows, scratch, size, seed)
     bitmap = rows.sparkSession.sparkContext.broadcast(_Bitmap(spans.select("doc")))
     out = "doc long, n_words long, n_removed long, kept string"
     untouched = _picked(rows, spans, False, bitmap).select("doc", "text").mapInArrow(lambda b: _kept(b, texts), out)
     touched = _picked(rows, spans, True, bitmap).join(spans, ["doc", "t"], "left").select(
         "doc", "text", F.coalesce("spans", F.array().cast(spans.schema["spans"].dataType)).alias("spans")
     ).mapInArrow(lambda b: _kept(b, texts), out)
-    return untouched.unionByName(touched).select(
+    result = scratch.put(untouched.unionByName(touched), "result")
+    scratch.drop(spans)
+    return result.select(
         F.col("doc").alias(id_col), "n_words", "n_removed", F.col("kept").alias("kept_text" if texts else "kept_sha256")
     )
