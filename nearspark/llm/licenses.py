@@ -4,16 +4,17 @@ A document is cut into blocks of ``BLOCK`` words that overlap by half. A block m
 template when it holds at least ``threshold`` of the template's different words
 (containment). The join finds every such block:
 
-* tokens are ordered by how many blocks' worth of text hold them: their count over all
-  documents, rarest first, ties by the token. Only template words can overlap, so only they
-  are counted and ordered;
+* tokens are ordered by their count over all documents, rarest first, ties by the token. Only
+  template words can overlap, so only they are counted and ordered;
 * prefix filter: a template of n words that is met in at least k = ceil(threshold * n) of them
   has one of its n - k + 1 rarest words in the block. These prefixes make an inverted index
   (word -> templates), which is as large as the template table, a parameter;
-* length filter: a block with fewer than k different words cannot meet the template;
-* positional filter: with the first shared word at place i of the template's order, at
-  most n - i words can be shared, which must be k or more;
-* the pairs left are verified by the exact intersection.
+* length filter: a block with fewer than k different template words cannot meet the template;
+* positional filter: where the first shared word stands at place i of the template's n and at place j of
+  the block's m words, in that order, at most min(n - i, m - j) words can be shared;
+* the pairs left are verified by the exact intersection. Of the words that mark a template, those in
+  no template of another label, the block must hold the same share, so texts that differ in the one
+  deciding word (lesser, nc, mit) are told apart.
 
 Each document's blocks probe the index in its own row, so nothing is shuffled but the
 word counts, which are added up before the exchange, and a hot source changes nothing.
@@ -63,6 +64,12 @@ def template_sets(templates=TEMPLATES) -> list[tuple[str, list[str]]]:
     return [(label, sorted(set(text.split()))) for label, text in templates]
 
 
+def marks(templates=TEMPLATES) -> list[list[str]]:
+    """Per template its words that no template of another label has."""
+    sets = template_sets(templates)
+    return [[w for w in ws if not any(w in other for name, other in sets if name != label)] for label, ws in sets]
+
+
 def _words(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     text = whole(F.col(text_col))
     return docs.select(F.col(id_col), split_words(lower_ascii(text), SYMBOL_CLASS).alias("__w"))
@@ -77,13 +84,13 @@ def token_counts(words: DataFrame, templates=TEMPLATES) -> dict[str, int]:
     return {w: counts.get(w, 0) for w in vocabulary}
 
 
-def prefix_index(counts: dict[str, int], templates=TEMPLATES, threshold: float = THRESHOLD) -> list[tuple[str, int, int]]:
-    """(word, template, place of the word in the template's order) of all prefix words."""
-    index = []
+def prefix_index(order: list[str], templates=TEMPLATES, threshold: float = THRESHOLD) -> list[list[tuple[int, int]]]:
+    """Per word of the common order: (template, place of the word in the template's order) where it is in the prefix."""
+    rank, index = {w: r for r, w in enumerate(order)}, [[] for _ in order]
     for t, (_, ws) in enumerate(template_sets(templates)):
-        order = sorted(ws, key=lambda w: (counts[w], w))
-        need = needed(len(ws), threshold)
-        index += [(w, t, i) for i, w in enumerate(order[: len(ws) - need + 1])]
+        ranks = sorted(rank[w] for w in ws)
+        for i, r in enumerate(ranks[: len(ws) - needed(len(ws), threshold) + 1]):
+            index[r].append((t, i))
     return index
 
 
@@ -116,52 +123,61 @@ def scan(
     (block, template, containment)."""
     words = _words(docs, id_col, text_col)
     sets = template_sets(templates)
-    index = prefix_index(token_counts(words, templates), templates, threshold)
-    prefix_words = sorted({w for w, _, _ in index})
+    counts = token_counts(words, templates)
+    order = sorted(counts, key=lambda x: (counts[x], x))
+    index = prefix_index(order, templates, threshold)
+    prefix_words = sorted(x for x, places in zip(order, index, strict=True) if places)
     half = block // 2
     w = F.col("__w")
-    hits = F.array_compact(F.transform(w, lambda x, i: F.when(x.isin(prefix_words), F.struct(x.alias("w"), i.alias("i")))))
+    hits = F.array_compact(F.transform(w, lambda x, i: F.when(x.isin(prefix_words), i)))
     probed = words.select(id_col, "__w", phrase_starts(w, phrases).alias("__base"), hits.alias("__hits"))
 
-    table = F.create_map(*(
-        x for word in prefix_words for x in (
-            F.lit(word),
-            F.array(*(F.struct(F.lit(t).alias("t"), F.lit(i).alias("i")) for ww, t, i in index if ww == word)),
-        )
-    ))
+    entry = "array<struct<t:int,i:int>>"
+    table = F.array(*(F.array(*(F.struct(F.lit(t).alias("t"), F.lit(i).alias("i")) for t, i in places)).cast(entry) for places in index))
+    ranks = F.create_map(*(x for r, word in enumerate(order) for x in (F.lit(word), F.lit(r))))
     last_block = F.greatest(F.ceil((F.size("__w") - block) / half), F.lit(0)).cast("int")
+    places = F.transform("__hits", lambda i: F.floor(i / half).cast("int"))
+    near = F.array_distinct(F.flatten(F.transform(places, lambda b: F.filter(F.array(b - 1, b), lambda x: (x >= 0) & (x <= last_block)))))
 
-    def candidates(h: Column) -> Column:
-        # the blocks that hold the word, with each template whose prefix holds it
-        b = F.floor(h["i"] / half).cast("int")
-        return F.flatten(F.transform(
-            F.filter(F.array(b - 1, b), lambda x: (x >= 0) & (x <= last_block)),
-            lambda x: F.transform(F.element_at(table, h["w"]), lambda e: F.struct(x.alias("b"), e["t"].alias("t"), e["i"].alias("i"))),
-        ))
+    def contents(b: Column) -> Column:
+        content = F.slice(w, b * half + 1, F.lit(block))
+        own = F.array_compact(F.transform(F.array_distinct(content), lambda x: F.try_element_at(ranks, x)))
+        return F.struct(b.alias("b"), content.alias("content"), F.array_sort(own).alias("ranks"))
 
+    blocks = probed.select(
+        id_col, "__w", "__base",
+        F.transform(F.when(F.size("__hits") > 0, near).otherwise(F.array().cast("array<int>")), contents).alias("__blocks"),
+    )
     sizes = F.array(*(F.lit(len(ws)) for _, ws in sets))
     needs = F.array(*(F.lit(needed(len(ws), threshold)) for _, ws in sets))
     members = F.array(*(F.array(*map(F.lit, ws)) for _, ws in sets))
+    marked = F.array(*(F.array(*map(F.lit, ws)).cast("array<string>") for ws in marks(templates)))
+    marks_needed = F.array(*(F.lit(needed(len(ws), threshold) if ws else 0) for ws in marks(templates)))
 
-    pairs = F.filter(
-        F.flatten(F.transform("__hits", candidates)),
-        lambda c: F.get(sizes, c["t"]) - c["i"] >= F.get(needs, c["t"]),  # positional filter
-    )
-    pairs = F.array_distinct(F.transform(pairs, lambda c: F.struct(c["b"].alias("b"), c["t"].alias("t"))))
+    def candidates(x: Column) -> Column:
+        """Templates that may be met, by the length and the positional filter."""
+        m = F.size(x["ranks"])
+
+        def possible(r: Column, j: Column) -> Column:
+            return F.transform(F.filter(F.get(table, r), lambda e: (
+                (m >= F.get(needs, e["t"])) & (F.least(F.get(sizes, e["t"]) - e["i"], m - j) >= F.get(needs, e["t"]))
+            )), lambda e: e["t"])
+
+        return F.array_distinct(F.flatten(F.transform(x["ranks"], possible)))
+
+    def verified(x: Column) -> Column:
+        def one(t: Column) -> Column:
+            shared = F.size(F.array_intersect(x["content"], F.get(members, t)))
+            own = F.size(F.array_intersect(x["content"], F.get(marked, t)))
+            return F.when((shared >= F.get(needs, t)) & (own >= F.get(marks_needed, t)), F.struct(
+                x["b"].alias("block"), t.alias("template"), (shared / F.get(sizes, t)).alias("containment")
+            ))
 
-    def verified(c: Column) -> Column:
-        content = F.slice(w, c["b"] * half + 1, F.lit(block))
-        shared = F.size(F.array_intersect(content, F.get(members, c["t"])))
-        enough = (F.size(content) >= F.get(needs, c["t"])) & (shared >= F.get(needs, c["t"]))
-        return F.when(enough, F.struct(
-            c["b"].alias("block"), c["t"].alias("template"), (shared / F.get(sizes, c["t"])).alias("containment")
-        ))
+        return F.array_compact(F.transform(candidates(x), one))
 
-    met = probed.select(
+    met = blocks.select(
         id_col, F.size("__w").cast("long").alias("n_words"), "__base",
-        F.array_compact(F.transform(
-            F.when(F.size("__hits") > 0, pairs).otherwise(F.array().cast("array<struct<b:int,t:int>>")), verified
-        )).alias("blocks"),
+        F.flatten(F.transform("__blocks", verified)).alias("blocks"),
     )
     names = F.array(*(F.lit(label) for label, _ in sets))
     base = F.transform("__base", lambda x: x["label"])

@@ -38,8 +38,9 @@ def _licenses_sql() -> str:
         f"SELECT {_sql_list(p.split())} AS words, '{label}' AS label" for p, label in licenses.PHRASES
     )
     templates = " UNION ALL ".join(
-        f"SELECT {i} AS t, '{label}' AS label, {_sql_list(ws)} AS words, {licenses.needed(len(ws), licenses.THRESHOLD)} AS need"
-        for i, (label, ws) in enumerate(licenses.template_sets())
+        f"SELECT {i} AS t, '{label}' AS label, {_sql_list(ws)} AS words, {licenses.needed(len(ws), licenses.THRESHOLD)} AS need, "
+        f"{_sql_list(own)}::VARCHAR[] AS marks, {licenses.needed(len(own), licenses.THRESHOLD) if own else 0} AS own"
+        for i, ((label, ws), own) in enumerate(zip(licenses.template_sets(), licenses.marks(), strict=True))
     )
     half, block = licenses.BLOCK // 2, licenses.BLOCK
     return f"""
@@ -55,7 +56,7 @@ blocks AS (
   FROM (SELECT doc_id, w, unnest(range(0, 1 + greatest(ceil((len(w) - {block}) / {half}.0), 0)::BIGINT)) AS b FROM d)),
 met AS (
   SELECT doc_id, list(DISTINCT label) AS ls, max(len(list_intersect(c, words)) / len(words)::DOUBLE) AS s
-  FROM blocks, t WHERE len(list_intersect(c, words)) >= need GROUP BY doc_id)
+  FROM blocks, t WHERE len(list_intersect(c, words)) >= need AND len(list_intersect(c, marks)) >= own GROUP BY doc_id)
 SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word::BIGINT AS first_word,
   last_word::BIGINT AS last_word, array_to_string(list_sort(coalesce(base.ls, [])), ',') AS base_labels,
   array_to_string(list_sort(list_distinct(list_concat(coalesce(base.ls, []), coalesce(met.ls, [])))), ',') AS labels,

@@ -95,6 +95,43 @@ def test_licenses_find_wrapped_templates(spark):
     assert (rows[3]["n_base"], rows[3]["first_word"], rows[3]["last_word"], rows[3]["base_labels"]) == (3, 0, 4, "cc-by")
 
 
+LABELS = [
+    ("Licensed under CC BY 4.0", "cc-by"), ("Licensed under CC BY-NC 4.0.", "cc-by,cc-by-nc"),
+    ("under the terms of the GNU General Public License", "gpl"), ("under the terms of the GNU Lesser General Public License", "lgpl"),
+    ("released under the Apache License", "apache"), ("released under the MIT License", "mit"), ("released under the terms of it", ""),
+    ("you can redistribute it and/or modify it under the terms of the license version 2", ""),
+    ("subject to the terms of the Mozilla Public License", "mpl"), ("subject to the terms of the public license of it", ""),
+    ("redistribution and use in source and binary forms, with or without modification, are permitted", "bsd"),
+]
+
+
+def test_licenses_tell_deciding_words(spark):
+    rows = [(k, f"{'foo ' * k}{text} {'bar ' * 50}") for k, (text, _) in enumerate(LABELS)]
+    found = {r["doc_id"]: r["labels"] for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [found[k] for k in range(len(rows))] == [labels for _, labels in LABELS]
+
+
+def test_licenses_against_brute_force(spark):
+    """All blocks of shuffled template words, whatever filters leave out."""
+    rng, vocabulary = random.Random(4), sorted({w for _, ws in licenses.template_sets() for w in ws})
+    rows, expected = [], set()
+    for k in range(150):
+        words = [rng.choice(vocabulary + ["x"] * 20) for _ in range(rng.randint(0, 90))]
+        words += [w for w in rng.choice(licenses.template_sets())[1] if rng.random() < 0.93]
+        rng.shuffle(words)
+        rows.append((k, " ".join(words)))
+    for k, text in rows:
+        words = text.split()
+        for b in range(1 + max(0, -(-(len(words) - licenses.BLOCK) // (licenses.BLOCK // 2)))):
+            content = set(words[b * licenses.BLOCK // 2 : b * licenses.BLOCK // 2 + licenses.BLOCK])
+            for t, ((_, ws), own) in enumerate(zip(licenses.template_sets(), licenses.marks(), strict=True)):
+                enough = len(content & set(ws)) >= licenses.needed(len(ws), licenses.THRESHOLD)
+                if enough and len(content & set(own)) >= (licenses.needed(len(own), licenses.THRESHOLD) if own else 0):
+                    expected.add((k, b, t))
+    got = licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).select("doc_id", "blocks").collect()
+    assert {(r["doc_id"], x["block"], x["template"]) for r in got for x in r["blocks"]} == expected and len(expected) > 50
+
+
 URLS = [
     (1, "http://A.Example.COM/en/1", "a.example.com", "/en/1", "example.com/en/", "block"),
     (2, "https://www.example.com/en/x?y", "www.example.com", "/en/x", "www.example.com/en/", "allow"),
