@@ -53,7 +53,7 @@ MIN_SHARE = 0.0
 MIN_COUNT = 8
 DIVERGENCE = 0.02
 DISCOUNT = 0.5
-HOT_ROWS = 3_000_000
+HOT_ROWS = 4_500_000
 BITMAP_BITS = 26
 #: N-grams that a task gathers before it joins equal ones and hands them on.
 PILE = 1_000_000
