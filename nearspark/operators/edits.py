@@ -325,9 +325,8 @@ def update_values(
     ])
 
 
-NOTHING_TO_UPDATE = (
-    "No columns to update. Add values to update or set the 'Data Mode' to 'Define Below'."
-)
+# What users of these edits know the errors by.
+NOTHING_TO_UPDATE = "No columns to update. An item needs a value besides the match column."
 NOTHING_TO_UPSERT = "Add at least one value besides the unique column"
 
 

@@ -28,6 +28,7 @@ class Condition(NamedTuple):
     value: Any = None
 
 
+# The names of the conditions.
 _BUILD = {
     "=": lambda c, v: c == v,
     "equal": lambda c, v: c == v,
@@ -158,7 +159,7 @@ def parse_metadata_filter(text: str | None) -> dict[str, Any] | None:
     """Filter text to a mapping; empty text is no filter."""
     if not text:
         return None
-    message = 'Invalid metadata filter format. Expected a JSON object, e.g. {"key": "value"}'
+    message = 'Invalid metadata filter format. Expected a JSON object, e.g. {"key": "value"}'  # fixed value
     try:
         parsed = json.loads(text)
     except ValueError:
