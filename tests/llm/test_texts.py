@@ -1,6 +1,7 @@
 """Quality rules, licenses, URLs, BPE and chat formatting on odd tables."""
 
 import hashlib
+import os
 import random
 
 import duckdb
@@ -147,6 +148,40 @@ URLS = [
 ]
 
 
+RULES_SQL = """
+WITH p AS (SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS r FROM pages),
+h AS (
+  SELECT page_id, regexp_extract(r, '^[^/?#]*') AS given, substr(r, length(regexp_extract(r, '^[^/?#]*')) + 1) AS rest FROM p),
+u AS (
+  SELECT page_id, translate(given, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(rest, '^[^?#]*') AS path FROM h),
+rules AS (
+  SELECT * FROM (VALUES ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'),
+    ('net', '/es/', 'block'), ('net', '/fr/', 'block')) AS t(site, start, what)),
+m AS (
+  SELECT page_id, arg_max(site || start, length(site || start)) AS rule, arg_max(what, length(site || start)) AS what
+  FROM u JOIN rules ON (host = site OR ends_with(host, '.' || site)) AND starts_with(path, start) GROUP BY page_id)
+SELECT page_id, host, path, rule, what FROM u LEFT JOIN m USING (page_id)"""
+
+
+def test_urls_against_sql(spark, tmp_path):
+    """Host, path and rule of random urls and of the driver's pages; the verdict where a rule decides."""
+    rng = random.Random(2)
+    parts = ["http", "://", "www.", "example", ".com", ".net", "/", "/en/", "/es/", "/fr/x", "?", "#", "EN", "a", ":80", "com", "net"]
+    rows = [(-1 - k, "".join(rng.choice(parts) for _ in range(rng.randint(0, 9)))) for k in range(600)]
+    rows += [(-1000 - k, f"https://{rng.choice(['', 'x.', 'www.'])}{rng.choice(['example.com', 'Net', 'b.net', 'acom'])}{rng.choice(['/en/', '/en', '/fr/?', '/es/#', ''])}q") for k in range(200)]
+    pages = spark.createDataFrame(rows, "page_id long, url string")
+    if os.path.isdir("/root/testdata/sf0.001"):
+        pages = pages.unionByName(spark.read.parquet("/root/testdata/sf0.001/pages.parquet").select("page_id", "url"))
+    pages.write.parquet(str(tmp_path / "pages"))
+    db = duckdb.connect()
+    db.sql(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages/*.parquet'")
+    got = {r["page_id"]: r for r in urls.judge_urls(spark.read.parquet(str(tmp_path / "pages"))).collect()}
+    for page, host, path, rule, what in db.sql(RULES_SQL).fetchall():
+        assert (got[page]["host"], got[page]["path"], got[page]["rule"]) == (host, path, rule), page
+        assert what is None or got[page]["verdict"] == what
+
+
 def test_urls(spark):
     pages = spark.createDataFrame([(u[0], u[1], "h", "p") for u in URLS], "page_id long, url string, host string, path string")
     rows = sorted(urls.judge_urls(pages).collect(), key=lambda r: r["page_id"])
