@@ -54,7 +54,9 @@ MIN_COUNT = 8
 DIVERGENCE = 0.02
 DISCOUNT = 0.5
 HOT_ROWS = 4_500_000
-BITMAP_BITS = 26
+#: Size of a bitmap of names; a name has two bits in it.
+BITMAP_BITS = 27
+SECOND = 34
 #: N-grams that a task gathers before it joins equal ones and hands them on.
 PILE = 1_000_000
 #: Bytes of text for one bucket of n-grams, and the most buckets there may be.
@@ -168,9 +170,10 @@ def _counted(rows: pa.Table, n: int, least: int) -> pa.Table:
 
 def _bitmap(grams: DataFrame) -> np.ndarray:
     """The names in the column ``gram`` as a bitmap of fixed size."""
-    slot = F.col("gram").bitwiseAND((1 << BITMAP_BITS) - 1)
-    words = grams.groupBy(F.shiftright(slot, 6).alias("w")).agg(
-        F.bit_or(F.expr("shiftleft(1L, int(gram & 63))")).alias("bits")
+    size = (1 << BITMAP_BITS) - 1
+    slots = F.array(F.col("gram").bitwiseAND(size), F.shiftright("gram", SECOND).bitwiseAND(size))
+    words = grams.select(F.explode(slots).alias("slot")).groupBy(F.shiftright("slot", 6).alias("w")).agg(
+        F.bit_or(F.expr("shiftleft(1L, int(slot & 63))")).alias("bits")
     ).toArrow()
     bits = np.zeros(1 << BITMAP_BITS - 6, np.int64)
     bits[words["w"].to_numpy()] = words["bits"].to_numpy()
@@ -288,8 +291,14 @@ def _by_text(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
 
 
 def _probed(bits: np.ndarray, h: np.ndarray) -> np.ndarray:
-    at = h & U64((1 << BITMAP_BITS) - 1)
-    return (bits[(at >> U64(6)).astype(np.int64)] >> (at & U64(63))) & U64(1) != 0
+    def bit(at: np.ndarray) -> np.ndarray:
+        return (bits[(at >> U64(6)).astype(np.int64)] >> (at & U64(63))) & U64(1) != 0
+
+    size = U64((1 << BITMAP_BITS) - 1)
+    found = bit(h & size)
+    at = np.flatnonzero(found)
+    found[at] = bit(h[at] >> U64(SECOND) & size)
+    return found
 
 
 def _summaries(batches: Iterator[pa.RecordBatch], shared, depth: int) -> Iterator[pa.RecordBatch]:
