@@ -325,13 +325,15 @@ def pivot_candidates(
     at = stats["bucket"].to_numpy()
     for name, values in (("n", held), ("least", least), ("most", most)):
         values[at] = stats[name].to_numpy()
-    shared = corpus.sparkSession.sparkContext.broadcast((pivots, held, least, most))
+    dims = max(1, pivots.centers.shape[1])
+    group = _cell_groups(pivots.centers, held, min(block_rows or BLOCK_ROWS, max(1, BLOCK_BYTES // (8 * dims))))
+    shared = corpus.sparkSession.sparkContext.broadcast((pivots, held, least, most, group))
     slack = 0.0 if decimals is None else 10.0**-decimals
 
     @F.arrow_udf("array<int>")
     def first(batch: pa.Array) -> pa.Array:
         """The nearest cells that hold ``k`` rows together."""
-        pivots, held, _, _ = shared.value
+        pivots, held = shared.value[:2]
         vectors = matrix(batch, None)
         order = np.argsort(np.where(held > 0, pivots.distances(vectors, True), np.inf), axis=1, kind="stable")
         enough = 1 + (np.cumsum(held[order], axis=1) < k).sum(axis=1)
@@ -339,8 +341,8 @@ def pivot_candidates(
 
     @F.arrow_udf("array<int>")
     def others(batch: pa.Array, seen: pa.Array, bound: pa.Array) -> pa.Array:
-        """Further cells that may hold a row within the bound, which a missing one does not limit."""
-        pivots, held, least, most = shared.value
+        """Groups of further cells that may hold a row within the bound, which a missing one does not limit."""
+        pivots, held, least, most, group = shared.value
         vectors = matrix(batch, None)
         far = pivots.distances(vectors, True)
         limit = np.asarray(bound.fill_null(np.inf))
@@ -348,7 +350,11 @@ def pivot_candidates(
         open_ = (held > 0) & (np.maximum(far - most, least - far) <= limit[:, None])
         for n, own in enumerate(seen.to_pylist()):
             open_[n, own] = False
-        return _number_lists([np.flatnonzero(o) for o in open_])
+        return _number_lists([np.unique(group[o]) for o in open_])
+
+    @F.arrow_udf("int")
+    def grouped(cell: pa.Array) -> pa.Array:
+        return pa.array(shared.value[4][np.asarray(cell)].astype(np.int32))
 
     mine = stage(asked.filter(~zero).select(
         F.col("id").cast("long").alias("id"), "embedding", first(F.col("embedding")).alias("seen")
@@ -360,11 +366,26 @@ def pivot_candidates(
         "id", "embedding", F.explode(others(F.col("embedding"), F.col("seen"), F.col("bound"))).alias("bucket")
     ), "knn-further")
     if LOG.isEnabledFor(logging.INFO):
-        pairs = start.select("bucket").unionByName(further.select("bucket")).groupBy("bucket").count().toArrow()
-        done = float((held[pairs["bucket"].to_numpy()] * pairs["count"].to_numpy()).sum())
+        done, rows_of = 0.0, np.bincount(group, held)
+        for asked_for, sizes in ((start, held), (further, rows_of)):
+            pairs = asked_for.groupBy("bucket").count().toArrow()
+            done += float((sizes[pairs["bucket"].to_numpy()] * pairs["count"].to_numpy()).sum())
         LOG.info("compares %.0f of %.0f pairs", done, useful * mine.count())
-    more = bucket_candidates(cells, further, k, metric, decimals, block_rows)
-    return found.drop("rank").unionByName(more).unionByName(aside)
+    groups = cells.select("id", "embedding", grouped(F.col("bucket")).alias("bucket"))
+    more = bucket_candidates(groups, further, k, metric, decimals, block_rows)
+    # a group may hold cells that were seen before
+    return found.drop("rank").unionByName(more).dropDuplicates(["query_id", "id"]).unionByName(aside)
+
+
+def _cell_groups(centers: np.ndarray, held: np.ndarray, rows: int) -> np.ndarray:
+    """The group of each cell: cells side by side along the widest direction, about ``rows`` rows a group. A query
+    goes to a group once, however many of its cells it needs, so it is copied at most once per group."""
+    spread = centers - centers.mean(axis=0)
+    along = spread @ np.linalg.svd(spread, full_matrices=False)[2][0]
+    order = np.argsort(along, kind="stable")
+    group = np.zeros(len(centers), np.int64)
+    group[order] = (np.cumsum(held[order]) - held[order]) // rows
+    return np.unique(group, return_inverse=True)[1]
 
 
 def _number_lists(lists: list[np.ndarray]) -> pa.Array:
