@@ -78,3 +78,26 @@ def test_callers_views_are_put_back(spark):
     assert execute_sql(spark, "SELECT count(*) AS n FROM mine", None, {"mine": spark.range(7)}).first().n == 7
     assert spark.table("mine").count() == 3
     spark.catalog.dropTempView("mine")
+
+
+def test_views_left_behind_are_not_the_callers(spark, vectors):
+    execute_sql(spark, "SELECT count(*) FROM left_docs", None, {"left_docs": spark.range(200)})
+    execute_sql(spark, "SELECT count(*) FROM left_docs", None, {"left_docs": vectors})
+    assert execute_sql(spark, "SELECT count(*) AS n FROM left_docs").first().n == 4
+    spark.catalog.dropTempView("left_docs")
+
+
+def test_aggregate_for_each_item_joins_on_its_key(spark):
+    """An equality next to a range, below an aggregate: no parameter meets rows of another key."""
+    rows = spark.createDataFrame([(k, k % 4, f"t{k}") for k in range(12)], "id long, grp long, name string")
+    items = spark.createDataFrame(
+        [(5, 1, 3), (6, 2, 0), (7, 9, 0), (8, None, 0), (9, 1, 3), (10, 1, None)], "item_ordinal long, g long, least long")
+    sql = "SELECT count(*) AS n, min(name) AS first FROM {} WHERE grp = $1 AND id > $2"
+    found = execute_sql_each(spark, sql.format("facts"), items, ["g", "least"], {"facts": rows})
+    assert "NestedLoop" not in found._jdf.queryExecution().executedPlan().toString()
+    assert found.columns == ["item_ordinal", "n", "first"]
+    assert spark.table("facts").columns == ["id", "grp", "name"]
+    expected = [(5, 2, "t5"), (6, 3, "t10"), (7, 0, None), (8, 0, None), (9, 2, "t5"), (10, 0, None)]
+    assert sorted(tuples(found)) == expected
+    derived = "(SELECT * FROM facts) d"  # a star that would show the constant: as before
+    assert sorted(tuples(execute_sql_each(spark, sql.format(derived), items, ["g", "least"], {"facts": rows}))) == expected
