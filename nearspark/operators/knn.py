@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.distance import DEFAULT_METRIC, all_pairs, check_metric, matrix, paired
+from ..functions.distance import DEFAULT_METRIC, all_pairs, check_metric, manhattan, matrix, paired
 from ..sources.staging import stage
 from .sizing import MAX_BROADCAST_BYTES, MAX_BROADCAST_ROWS, bound_slice, small_row_count
 
@@ -28,6 +28,12 @@ TILE_CELLS = 2_000_000
 #: Most rows of a side of a tile, and most bytes of its vectors as doubles.
 BLOCK_ROWS = 100_000
 BLOCK_BYTES = 128 << 20
+#: Rows of the first part of a batch and most rows of a later one, and pairs that wait for a merge.
+FIRST_ROWS = 2_000
+MAX_ROWS = 32_000
+MAX_NEW = 4_000_000
+#: Most queries of a tile.
+ASKED_ROWS = 25_000
 #: Pivots grow with the square root of the corpus up to this number.
 MAX_PIVOTS = 2048
 LOG = logging.getLogger(__name__)
@@ -51,6 +57,7 @@ class Best:
         self.distance = np.empty(0)
         self.bound = np.full(len(ids), np.inf) if bounds is None else bounds.copy()
         self.norm = np.sqrt(np.square(vectors).sum(axis=1)) if len(ids) else np.empty(0)
+        self._single, self._new = None, []
 
     def _margin(self, numbers, longest, bound):
         """How far the fast distances may be off, per query."""
@@ -63,12 +70,37 @@ class Best:
         return self.margin * np.maximum(1.0, scale)
 
     def add(self, row_ids: np.ndarray, rows: np.ndarray, visible=None) -> None:
-        """Take in a batch; ``visible(query numbers)`` may hide rows from queries."""
-        step = max(1, TILE_CELLS // max(1, len(rows)))
+        """Take in a batch; ``visible(query numbers)`` may hide rows from queries.
+
+        The batch is cut into parts that grow: the first ones bound the ``k``-th distances, and of the later
+        ones only rows within these bounds are looked at any further.
+        """
+        if not len(rows) or not len(self.ids):
+            return
         longest = float(np.sqrt(np.square(rows).sum(axis=1).max()))
-        useful = None
-        for start in range(0, len(self.ids), step):
-            numbers = np.arange(start, min(start + step, len(self.ids)))
+        size, at, useful = FIRST_ROWS if visible is None else len(rows), 0, None
+        while at < len(rows):
+            part = slice(at, min(at + size, len(rows)))
+            for numbers, near in self._near(rows[part], longest, visible):
+                if np.count_nonzero(near) > 8 * self.k * len(numbers) + 1000:
+                    if useful is None:
+                        useful = first_copies(row_ids, rows, self.k)
+                    near &= useful[part][None, :]
+                self._take(near, numbers, row_ids[part], rows[part])
+            self._merge()
+            at, size = part.stop, min(4 * size, MAX_ROWS)
+
+    def _near(self, rows, longest, visible):
+        """Per slice of the queries which rows may be among their best."""
+        fast = self._fast(rows, longest) if visible is None else None
+        known = np.isfinite(self.bound) if fast is not None else np.zeros(len(self.ids), bool)
+        step = max(1, TILE_CELLS // len(rows))
+        bounded, others = np.flatnonzero(known), np.flatnonzero(~known)
+        for start in range(0, len(bounded), step):
+            numbers = bounded[start : start + step]
+            yield numbers, fast(numbers, self.bound[numbers] + self._margin(numbers, longest, self.bound[numbers]))
+        for start in range(0, len(others), step):
+            numbers = others[start : start + step]
             found = all_pairs(self.metric, self.vectors[numbers], rows)
             found = np.where(np.isnan(found), np.inf, found)
             hidden = None if visible is None else ~visible(numbers)
@@ -82,26 +114,67 @@ class Best:
             near = found <= (bound + self._margin(numbers, longest, bound))[:, None]
             if hidden is not None:
                 near &= ~hidden
-            if near.sum() > 8 * self.k * len(numbers) + 1000:
-                if useful is None:
-                    useful = first_copies(row_ids, rows, self.k)
-                near &= useful[None, :]
-            for query, row in self._exact_parts(near, numbers):
-                self._merge(query, row_ids[row], paired(
-                    self.metric, self.vectors[query], rows[row]
-                ))
-
-    def _exact_parts(self, near, numbers):
+            yield numbers, near
+
+    def _fast(self, rows, longest):
+        """``(query numbers, limits) -> bool matrix`` of the rows within the limits, in single precision with room for
+        its noise; None for vectors that it cannot hold."""
+        if self._single is None:
+            fits = bool(np.isfinite(self.norm).all()) and float(self.norm.max()) < 1e15
+            points = self.vectors
+            if self.metric == "cosine":
+                points = -points / np.where(self.norm == 0, 1.0, self.norm)[:, None]
+            elif self.metric != "manhattan":
+                points = (-2.0 if self.metric == "l2" else -1.0) * points
+            if self.metric == "l2":
+                points = np.column_stack([points, np.ones(len(points))])
+            self._single = fits, points.astype(np.float32) if fits else None
+        fits, points = self._single
+        if not fits or not longest < 1e15:
+            return None
+        square = np.square(rows).sum(axis=1)
+        noise = (rows.shape[1] + 16) * 2.0**-23
+        if self.metric == "cosine":
+            rows = rows / np.where(square == 0, 1.0, np.sqrt(square))[:, None]
+        elif self.metric == "l2":
+            rows = np.column_stack([rows, square])
+        rows = rows.astype(np.float32)
+
+        def within(numbers: np.ndarray, limit: np.ndarray) -> np.ndarray:
+            norm = self.norm[numbers]
+            if self.metric == "manhattan":
+                room = noise * np.sqrt(rows.shape[1]) * (norm + longest)
+                return manhattan(points[numbers], rows) <= (limit + room).astype(np.float32)[:, None]
+            if self.metric == "l2":
+                limit = np.square(np.maximum(limit, 0.0)) - np.square(norm) + noise * np.square(norm + longest)
+            elif self.metric == "cosine":
+                limit = limit - 1.0 + noise
+            else:
+                limit = limit + noise * norm * longest
+            return points[numbers] @ rows.T <= limit.astype(np.float32)[:, None]
+
+        return within
+
+    def _take(self, near, numbers, row_ids, rows) -> None:
+        """Exact distances of the marked pairs, kept for the next merge if they can count."""
         query, row = np.nonzero(near)
         for at in range(0, len(query), BLOCK_ROWS):
-            yield numbers[query[at:at + BLOCK_ROWS]], row[at:at + BLOCK_ROWS]
-
-    def _merge(self, query, row, distance) -> None:
-        if self.decimals is not None:
-            distance = np.round(distance, self.decimals)
-        query = np.concatenate([self.query, query])
-        row = np.concatenate([self.row, row])
-        distance = np.concatenate([self.distance, distance])
+            asked, own = numbers[query[at : at + BLOCK_ROWS]], row[at : at + BLOCK_ROWS]
+            distance = paired(self.metric, self.vectors[asked], rows[own])
+            if self.decimals is not None:
+                distance = np.round(distance, self.decimals)
+            keep = ~(distance > self.bound[asked])
+            self._new.append((asked[keep], row_ids[own[keep]], distance[keep]))
+            if sum(len(q) for q, _, _ in self._new) > MAX_NEW:
+                self._merge()
+
+    def _merge(self) -> None:
+        if not self._new:
+            return
+        query, row, distance = (np.concatenate([old, *new]) for old, new in zip(
+            (self.query, self.row, self.distance), zip(*self._new)
+        ))
+        self._new = []
         order = np.lexsort((row, distance, query))
         query, row, distance = query[order], row[order], distance[order]
         starts = np.searchsorted(query, query, side="left")
@@ -162,21 +235,23 @@ def bucket_candidates(
     Both sides have ``id``, ``embedding`` and ``bucket``; a row may stand in several. Buckets
     are cut by a hash of the id into tiles of at most about ``BLOCK_ROWS`` rows and
     ``BLOCK_BYTES`` bytes a side, by their measured sizes, so neither a hot bucket nor many
-    queries meet in one task. A pair found in several buckets is given once.
+    queries meet in one task. A pair found in several buckets is given once. A ``bound`` of the queries, where
+    there is one, is a distance beyond which no row can count.
     """
-    def sized(rows: DataFrame, name: str) -> DataFrame:
+    def sized(rows: DataFrame, name: str, most: int) -> DataFrame:
         count, bytes_ = F.count(F.lit(1)), 8 * F.coalesce(F.sum(F.size("embedding").cast("long")), F.lit(0))
-        tiles = F.greatest(F.ceil(count / (block_rows or BLOCK_ROWS)), F.ceil(bytes_ / BLOCK_BYTES), F.lit(1).cast("long"))
+        tiles = F.greatest(F.ceil(count / (block_rows or most)), F.ceil(bytes_ / BLOCK_BYTES), F.lit(1).cast("long"))
         return rows.groupBy("bucket").agg(tiles.alias(name))
 
-    tiles = sized(corpus, "rows").join(sized(queries, "asked"), "bucket")
+    tiles = sized(corpus, "rows", BLOCK_ROWS).join(sized(queries, "asked", ASKED_ROWS), "bucket")
 
     def dealt(side: DataFrame, own: str, other: str) -> DataFrame:
         part = F.pmod(F.xxhash64("id"), F.col(own)).alias(f"{own}_part")
         every = F.explode(F.sequence(F.lit(0).cast("long"), F.col(other) - 1)).alias(f"{other}_part")
-        placed = side.join(tiles, "bucket").select("id", "embedding", "bucket", own, other, part)
-        return placed.select("id", "embedding", "bucket", f"{own}_part", every).select(
-            F.col("id").cast("long").alias("id"), "embedding", "bucket",
+        bound = ["bound"] if "bound" in side.columns else []
+        placed = side.join(tiles, "bucket").select("id", "embedding", "bucket", *bound, own, other, part)
+        return placed.select("id", "embedding", "bucket", *bound, f"{own}_part", every).select(
+            F.col("id").cast("long").alias("id"), "embedding", "bucket", *bound,
             F.col("rows_part").cast("long").alias("rows_part"), F.col("asked_part").cast("long").alias("asked_part"),
         )
 
@@ -187,7 +262,11 @@ def bucket_candidates(
         if len(asked) and len(rows):
             query_ids, row_ids = (np.asarray(t["id"].combine_chunks()) for t in (asked, rows))
             vectors, others = (matrix(t["embedding"].combine_chunks(), None) for t in (asked, rows))
-            best = Best(query_ids, vectors, k, metric, decimals)
+            bounds = None
+            if "bound" in asked.column_names:
+                bounds = np.asarray(asked["bound"].combine_chunks().fill_null(np.inf), dtype=np.float64)
+                bounds = np.where(np.isnan(bounds), np.inf, bounds)
+            best = Best(query_ids, vectors, k, metric, decimals, bounds)
             best.add(row_ids, others)
         return pa.Table.from_batches([best.batch()])
 
@@ -363,7 +442,7 @@ def pivot_candidates(
     found = stage(top_k(bucket_candidates(cells, start, k, metric, decimals, block_rows), k), "knn-first")
     bounds = found.filter(F.col("rank") == k).select(F.col("query_id").alias("id"), F.col("distance").alias("bound"))
     further = stage(mine.join(bounds, "id", "left").select(
-        "id", "embedding", F.explode(others(F.col("embedding"), F.col("seen"), F.col("bound"))).alias("bucket")
+        "id", "embedding", "bound", F.explode(others(F.col("embedding"), F.col("seen"), F.col("bound"))).alias("bucket")
     ), "knn-further")
     if LOG.isEnabledFor(logging.INFO):
         done, rows_of = 0.0, np.bincount(group, held)

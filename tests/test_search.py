@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from nearspark.functions.distance import (
     check_dims, distance, parse_vector, vector_literal, vector_text,
 )
-from nearspark.operators import ann
+from nearspark.operators import ann, knn
 from nearspark.operators.ann import IvfIndex, LshIndex, create_index, recall
 from nearspark.operators.knn import knn_join
 from nearspark.operators.search import (
@@ -154,7 +154,6 @@ def test_knn_join(corpus, metric, path):
 
 def test_knn_join_leaves_out_far_cells(spark, caplog, monkeypatch):
     """Fewer pairs than all, tiles by bytes, and the same rows."""
-    from nearspark.operators import knn
 
     data, df = clustered(spark, 1500)
     monkeypatch.setattr(knn, "BLOCK_BYTES", 16 * 8 * 50)
@@ -326,3 +325,44 @@ def test_batch_search_has_no_cap_and_splits_hot_cells(spark, monkeypatch):
     assert sorted(tuples(top.select("query_id", "id"))) == sorted(
         tuples(exact.filter("rank = 1").select("query_id", "id"))
     )
+
+
+@pytest.mark.parametrize("metric", ["l2", "cosine", "inner_product", "manhattan"])
+def test_best_rows_of_long_batches(monkeypatch, metric):
+    """Parts of a batch, single precision and merges leave the exact result, with copies, zero vectors and huge ones."""
+    from nearspark.functions.distance import paired
+
+    rng = np.random.default_rng(5)
+    rows = rng.standard_normal((900, 6)) * rng.choice([1e-3, 1.0, 50.0], (900, 1))
+    rows[100:400] = rows[7]
+    rows[[3, 500]] = 0.0
+    ids = rng.permutation(900).astype(np.int64)
+    monkeypatch.setattr(knn, "FIRST_ROWS", 20)
+    monkeypatch.setattr(knn, "MAX_NEW", 300)
+    monkeypatch.setattr(knn, "TILE_CELLS", 5000)
+    merges, taken = [], knn.Best._merge
+    monkeypatch.setattr(knn.Best, "_merge", lambda self: (merges.append(1), taken(self)))
+    for vectors in (rows, rows * 1e16):
+        best = knn.Best(ids[:300], vectors[:300], 5, metric, 6)
+        best.add(ids[:600], vectors[:600])
+        best.add(ids[600:], vectors[600:])
+        for n in range(300):
+            distance = np.round(paired(metric, vectors, vectors[n]), 6)
+            if np.isnan(distance).all():
+                continue
+            assert best.row[best.query == n].tolist() == ids[np.lexsort((ids, distance))[:5]].tolist()
+    best = knn.Best(ids[:300], rows[:300], 5, metric, 6)
+    merges.clear()
+    monkeypatch.setattr(knn, "MAX_NEW", 10**6)
+    best.add(ids, rows)
+    assert len(merges) <= 5  # one for each part of the batch, not one for each slice of the queries
+
+
+def test_tiles_take_known_bounds(spark, monkeypatch):
+    rng = np.random.default_rng(9)
+    points = [(n, rng.standard_normal(4).round(3).tolist()) for n in range(300)]
+    frame = spark.createDataFrame(points, "id long, embedding array<double>")
+    monkeypatch.setattr(knn, "ASKED_ROWS", 40)
+    expected = tuples(knn.knn_join(frame, frame, 3, "manhattan", decimals=6))
+    found = tuples(knn.knn_join(frame, frame, 3, "manhattan", decimals=6, max_query_rows=0, block_rows=None))
+    assert sorted(found) == sorted(expected)
