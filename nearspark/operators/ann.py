@@ -430,6 +430,29 @@ class Hyperplanes:
             gap = (gap[:, None] + np.array([off, 0.0] if offset > 0 else [0.0, off])).ravel()
         return gap
 
+    def nearest(self, offsets: np.ndarray, filled: np.ndarray, width: int) -> np.ndarray:
+        """The ``width`` filled codes with the least gaps to one vector, given the vector's offsets in the table.
+
+        Only the planes nearest to the vector are crossed at first: a code beyond any other plane has a gap of
+        that plane's at least, so what is found below it is final. ``filled`` is sorted.
+        """
+        if width >= len(filled):
+            return filled
+        off = np.maximum(offsets * offsets, 1e-300)
+        near, weights = np.argsort(off, kind="stable"), 1 << np.arange(self.bits)[::-1]
+        home = int(((offsets > 0) * weights).sum())
+        for crossed in range(min(self.bits, width.bit_length() - 1), self.bits, 2):
+            codes, gap = np.array([home]), np.zeros(1)
+            for b in near[:crossed]:
+                codes, gap = np.concatenate([codes, codes ^ weights[b]]), np.concatenate([gap, gap + off[b]])
+            place = np.minimum(np.searchsorted(filled, codes), len(filled) - 1)
+            codes, gap = codes[filled[place] == codes], gap[filled[place] == codes]
+            inside = gap < off[near[crossed]]
+            if inside.sum() >= width:
+                codes, gap = codes[inside], gap[inside]
+                return codes[np.argpartition(gap, width - 1)[:width]]
+        return filled[np.argpartition(self.gaps(offsets)[filled], width - 1)[:width]]
+
     def share(self, sample: np.ndarray) -> float:
         """Share of a table's rows, nearest buckets first, that holds ``TARGET`` of the sample's neighbours."""
         asked, found = _neighbours(sample, self.metric)
@@ -591,9 +614,7 @@ class LshIndex(_Index):
                 for n in range(len(vectors)):
                     own = []
                     for t, codes in enumerate(filled.value):
-                        gap = planes.gaps(offsets[n, t])[codes]
-                        best = np.argpartition(gap, width - 1)[:width] if width < len(gap) else np.arange(len(gap))
-                        own.append(t * size + codes[best])
+                        own.append(t * size + planes.nearest(offsets[n, t], codes, width))
                     lists.append(np.concatenate(own))
                 ends = np.cumsum([0] + [len(x) for x in lists]).astype(np.int32)
                 return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(lists or [np.zeros(0)]).astype(np.int32)))

@@ -366,3 +366,20 @@ def test_tiles_take_known_bounds(spark, monkeypatch):
     expected = tuples(knn.knn_join(frame, frame, 3, "manhattan", decimals=6))
     found = tuples(knn.knn_join(frame, frame, 3, "manhattan", decimals=6, max_query_rows=0, block_rows=None))
     assert sorted(found) == sorted(expected)
+
+
+def test_nearest_buckets_without_all_gaps(monkeypatch):
+    """The filled codes of least gap, in nearly all cases without the gaps of all codes."""
+    rng = np.random.default_rng(3)
+    planes = ann.Hyperplanes.fit(rng.standard_normal((500, 16)), 16, "l2", 1, 12, 1)
+    filled = np.sort(rng.permutation(1 << 12)[:2500])
+    offsets = planes.offsets(rng.standard_normal((200, 16)))[:, 0]
+    whole, calls = planes.gaps, []
+    monkeypatch.setattr(planes, "gaps", lambda o: (calls.append(1), whole(o))[1])
+    for offset in offsets:
+        gap = whole(offset)
+        for width in (1, 4, 16, 64):
+            found = planes.nearest(offset, filled, width)
+            assert len(set(found)) == width and set(found) <= set(filled)
+            np.testing.assert_allclose(np.sort(gap[found]), np.sort(gap[filled])[:width])
+    assert len(calls) < 20
