@@ -23,7 +23,7 @@ from ..functions.literals import typed_literal
 from ..functions.names import column, data_type, output_columns, parse_output_columns
 from ..sources.staging import stage
 from .predicates import NULL_CONDITIONS, combine_columns, condition_column, where_column
-from .select import match_params
+from .select import match_first, match_params
 from .sizing import has_rows, small_row_count
 
 ORDINAL = "item_ordinal"
@@ -525,7 +525,7 @@ def affected_by_delete_each(
             first = items.agg(F.min(ORDINAL).alias(ORDINAL)).filter(F.col(ORDINAL).isNotNull())
             matches.append(rows.filter(hit).select("_row").join(F.broadcast(first)))  # one row at most
         else:
-            matches.append(match_params(rows, items, clauses, ORDINAL).select("_row", ORDINAL))
+            matches.append(match_first(rows, items, clauses, ORDINAL).select("_row", ORDINAL))
     found = matches[0]
     for more in matches[1:]:
         found = found.unionByName(more)

@@ -25,6 +25,8 @@ DEFAULT_LIMIT = 50
 #: Rows of a quantile bucket of a band join, and the most buckets there may be.
 BUCKET_ROWS = 50_000
 MAX_BUCKETS = 4096
+#: Items of a key from which on their bounds are cut into cells of about so many.
+CELL_ITEMS = 32
 #: Rows of a table for each slice in which an item's limit is applied first.
 SLICE_ROWS = 1_000_000
 
@@ -246,6 +248,74 @@ def match_params(
     return _match_items(df, params, on, has_key, None, 1, band, how)
 
 
+def match_first(df: DataFrame, items: DataFrame, clauses: list[tuple], ordinal: str) -> DataFrame:
+    """Rows of ``df`` with items that satisfy all clauses, among them the one with the least ``ordinal``.
+
+    Where equalities and ranges of one column decide and many items share a key, the column is cut into cells at
+    quantiles of the items' bounds. An item covers whole cells between those of its bounds, and these are a few nodes
+    of a binary tree over the cells, of which only the least ordinal counts. Rows are compared with
+    the items that have a bound in their cell, and take the least of the nodes above it.
+    """
+    ranges = {n for n, c, _ in clauses if c in RANGE_CONDITIONS}
+    equal = [(n, c, v) for n, c, v in clauses if c in ("=", "equal")]
+    plain = all(c in RANGE_CONDITIONS or c in NULL_CONDITIONS or c in ("=", "equal") for _, c, _ in clauses)
+    name = next(iter(ranges)) if len(ranges) == 1 and plain else None
+    if name is None or _as_double(F.lit(None), data_type(df, name)) is None:
+        return match_params(df, items, clauses, ordinal)
+    names, on, _ = _item_conditions(df, items, clauses, "AND")
+    params = items.groupBy(*[column(items, n).alias(f"p_{n}") for n in names]).agg(F.min(ordinal).alias(ordinal))
+    params = params.filter(combine_columns([F.col(f"p_{n}").isNotNull() for n in names]))  # NULL matches nothing
+    keys = list(dict.fromkeys(f"p_{v}" for _, _, v in equal))
+    most = params.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
+    if most <= CELL_ITEMS:
+        return match_params(df, items, clauses, ordinal)
+    band = _Band.of(df, items, [c for c in clauses if c[0] == name], "AND", 0)
+    params = params.withColumn("_low", F.greatest(*[F.lit(-float("inf"))] * 2, *band.lows)).withColumn(
+        "_high", F.least(*[F.lit(float("nan"))] * 2, *band.highs)
+    )
+    count = min(MAX_BUCKETS, max(2, most // CELL_ITEMS))
+    ends = [f"_{end}" for end, given in (("low", band.lows), ("high", band.highs)) if given]
+    bounds = params.select(F.explode(F.array(*ends)).alias("v"))
+    inner = bounds.approxQuantile("v", [i / count for i in range(1, count)], 1 / (4 * count))
+    inside = sorted({float(v) for v in inner if abs(v) != float("inf")}) or [0.0]
+    band = band._replace(splits=[-float("inf"), *inside, float("inf")])
+    cells = len(band.splits)  # the last one is that of NaN
+    params = band.numbered(band.numbered(params, "_low", "_from"), "_high", "_to")
+    # without a bound on a side the first or the last cell is covered too
+    first = F.col("_from") + 1 if band.lows else F.lit(0)
+    end = F.col("_to") if band.highs else F.lit(cells)
+    levels, nodes = cells.bit_length() + 1, []
+    for level in range(levels):
+        left, right = F.ceil(first / (1 << level)), F.floor(end / (1 << level))
+        some = left < right
+        nodes += [
+            F.when(some & (left % 2 == 1), left + (level << 20)), F.when(some & (right % 2 == 1), right - 1 + (level << 20)),
+        ]
+    covers = params.select(*keys, ordinal, F.explode(F.array_compact(F.array(*nodes))).alias("_node"))
+    covers = covers.groupBy(*keys, "_node").agg(F.min(ordinal).alias(ordinal))
+
+    valid = combine_columns([condition_column(df, (n, c)) for n, c, _ in clauses if c in NULL_CONDITIONS] or [F.lit(True)])
+    rows = df.filter(valid).withColumn("_v", _as_double(column(df, name), data_type(df, name))).filter("_v IS NOT NULL")
+    rows = band.numbered(rows, "_v", "_cell")
+    own = list(dict.fromkeys(n for n, _, _ in equal))
+    above = F.explode(F.array(*[F.shiftright("_cell", level) + (level << 20) for level in range(levels)])).alias("_above")
+    spots = rows.select(*[column(df, n).alias(f"k_{i}") for i, n in enumerate(own)], "_cell").distinct()
+    known = {n: F.col(f"k_{i}") for i, n in enumerate(own)}
+    met = [F.col("_above") == F.col("_node")]
+    met += [compare(known[n], c, _item_value(df, items, n, c, v)) for n, c, v in equal]
+    spots = spots.select(*spots.columns, above).join(covers, combine_columns(met))
+    spots = spots.groupBy(*[f"k_{i}" for i in range(len(own))], F.col("_cell").alias("_spot")).agg(F.min(ordinal).alias(ordinal))
+    here = combine_columns([F.col("_cell") == F.col("_spot"), *[column(df, n) == known[n] for n in own]])
+    shown = [*[column(df, c) for c in df.columns], ordinal]
+    found = rows.join(spots, here).select(*shown)
+
+    ends = [F.col(at) for at, given in (("_from", band.lows), ("_to", band.highs)) if given]
+    partial = params.select(*[f"p_{n}" for n in names], ordinal, F.explode(F.array_distinct(F.array(*ends))).alias("_end"))
+    if small_row_count(partial) is not None:
+        partial = F.broadcast(partial)
+    return found.unionByName(rows.join(partial, (F.col("_cell") == F.col("_end")) & on).select(*shown))
+
+
 def select_per_item(
     df: DataFrame,
     items: DataFrame,

@@ -315,3 +315,45 @@ def test_constraint_errors(spark):
     found = edits.constraint_errors(changed, others, [["name"], ["id"]])
     assert sorted(tuples(found), key=repr) == [("unique: name", '{"name":"c"}', 2), ("unique: name", '{"name":"x"}', 2)]
     assert edits.constraint_errors(changed, others).count() == 0
+
+
+@pytest.mark.parametrize("where,combine,match", DELETES)
+@pytest.mark.parametrize("low", [None, 6, 40])
+def test_deletes_by_many_items_are_cut_into_cells(spark, monkeypatch, where, combine, match, low):
+    """Cells and their tree give each row its first item, with NULL, equal bounds and several keys."""
+    import nearspark.operators.select as module
+
+    monkeypatch.setattr(module, "CELL_ITEMS", 3)
+    rng = random.Random(low)
+    rows = [(k, rng.choice([None, "a", "b", "c"]), rng.choice([None, *range(60)])) for k in range(150)]
+    items = [(n, rng.choice([None, "a", "c"]), rng.choice([None, low, *range(60)]), rng.choice([None, *range(60)])) for n in range(120)]
+    rng.shuffle(items)
+    table = spark.createDataFrame(rows, "id long, grp string, v int").repartition(3)
+    frame = spark.createDataFrame(items, f"{ORDINAL} long, g string, x int, y int")
+    counts = dict.fromkeys(range(120), 0)
+    for row in rows:
+        hits = [i[0] for i in items if match(row, i)]
+        if hits:
+            counts[min(hits)] += 1
+    affected = {r[0]: r[2] for r in tuples(edits.affected_by_delete_each(table, frame, where, combine))}
+    assert affected == counts
+
+
+def test_many_items_meet_few_rows(spark):
+    """Rows meet items with a bound in their cell, not all that match."""
+    from nearspark.operators.select import match_first
+
+    table = spark.range(2000).select(F.col("id"), (F.col("id") % 500).cast("double").alias("v"))
+    items = spark.range(1000).select(F.col("id").alias(ORDINAL), (F.col("id") % 500).cast("double").alias("x"))
+    assert match_first(table, items, [("v", ">", "x")], ORDINAL).count() < 2000 * 100
+
+
+def test_not_a_number_bounds_rows_too(spark, monkeypatch):
+    import nearspark.operators.select as module
+
+    monkeypatch.setattr(module, "CELL_ITEMS", 2)
+    nan = float("nan")
+    table = spark.createDataFrame([(k, v) for k, v in enumerate([1.0, 5.0, nan, None, 9.0])], "id long, v double")
+    items = spark.createDataFrame([(0, nan), (1, 8.0), (2, None), (3, 4.0), (4, 20.0), (5, 2.0)], f"{ORDINAL} long, x double")
+    found = edits.affected_by_delete_each(table, items, [("v", ">=", "x")])
+    assert {r[0]: r[2] for r in tuples(found)} == {0: 1, 1: 1, 2: 0, 3: 1, 4: 0, 5: 0}
