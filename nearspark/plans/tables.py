@@ -13,6 +13,9 @@ from ..sources.staging import new_path
 from ..sources.tables import read_items, read_markdown
 from .registry import Tables, query
 
+#: Files of a folder of Markdown files.
+FOLDER_FILES = 1000
+
 # Orders with NULLs: 5-LOW has no priority, status P no price.
 ORDERS_SQL = """
     SELECT o_orderkey, o_custkey, o_orderstatus, o_orderdate,
@@ -49,10 +52,15 @@ def _(t: Tables) -> DataFrame:
 @query("read_markdown", """
     SELECT doc_id, text || chr(10) AS text, length(text) + 1 AS n FROM documents""")
 def _(t: Tables) -> DataFrame:
-    # one file per document, all in one folder; the id stands in the first line
+    # one file per document; the id stands in the first line. Each folder is written by one task, so the tasks grow
+    # with the documents, and a commit moves folders, not files
     path = new_path(t.spark, "markdown")
-    lines = t.documents.select(F.concat_ws("\n", F.col("doc_id").cast("string"), "text"))
-    lines.repartition(8).write.option("maxRecordsPerFile", 1).text(path)
+    folders = max(1, -(-t.documents.count() // FOLDER_FILES))
+    lines = t.documents.select(
+        F.concat_ws("\n", F.col("doc_id").cast("string"), "text").alias("value"),
+        F.pmod(F.xxhash64("doc_id", "text"), F.lit(folders)).alias("folder"),
+    )
+    lines.repartition(folders, "folder").write.option("maxRecordsPerFile", 1).partitionBy("folder").text(path)
     files = read_markdown(t.spark, path)
     doc_id = F.substring_index("text", "\n", 1)
     text = files.select(doc_id.cast("long").alias("doc_id"), F.expr("substr(text, length(substring_index(text, '\n', 1)) + 2)").alias("text"))

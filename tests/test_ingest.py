@@ -162,3 +162,18 @@ def test_ids_stay_unique_when_a_task_writes_many_files(spark):
         assert all(r.id == r.n + 5 for r in ordered)
     finally:
         spark.conf.unset("spark.sql.files.maxRecordsPerFile")
+
+
+def test_markdown_files_lie_in_folders(spark, tmp_path, monkeypatch):
+    """Tasks that write the files grow with the documents; equal documents stay apart."""
+    import nearspark.plans.tables as module
+    from nearspark.plans.registry import QUERIES
+
+    rows = [(n, f"text\n\n# {n} ") for n in range(60)] + [(3, "twice"), (3, "twice")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    monkeypatch.setattr(module, "FOLDER_FILES", 2)
+    monkeypatch.setattr(module, "new_path", lambda spark, label: str(tmp_path / label))
+    found = QUERIES["read_markdown"](spark, str(tmp_path))
+    assert sorted((r.doc_id, r.text, r.n) for r in found.collect()) == sorted((n, f"{t}\n", len(t) + 1) for n, t in rows)
+    folders = list((tmp_path / "markdown").glob("folder=*"))
+    assert len(folders) > 8 and sum(len(list(f.glob("part-*.txt"))) for f in folders) == len(rows)
