@@ -23,12 +23,13 @@ How it is made:
    retained suffix of the rest: its own state's, else that of the n-gram less its first token.
 3. As every suffix of a frequent n-gram is frequent, a text's score is the sum of one weight
    per n-gram in it: the log10 backoff of the state it is, and what its chance adds to that
-   of its suffix, less the backoff of its context. The ``HOT_ROWS`` commonest n-grams with their weights
-   are broadcast and never enter an exchange, so none is a hot key; the others meet the
-   texts by n-gram and are added up by text. A bitmap keeps n-grams without a weight away from
+   of its suffix, less the backoff of its context. The n-grams that each make up ``HOT_SHARE`` of all training
+   tokens are broadcast with their weights and never enter an exchange, so none is a hot key; there are at
+   most 1 / ``HOT_SHARE`` of each length in a corpus of any size. The others meet the weights by buckets of
+   names, as packed arrays, and are added up by text. A bitmap keeps n-grams without a weight away from
    that exchange; it can let too many through, never too few.
 
-Neither ``HOT_ROWS`` nor the size of bitmaps, piles and buckets changes a result.
+Neither ``HOT_SHARE`` nor the size of bitmaps, piles and buckets changes a result.
 
 Defined results: null and empty texts are one end of text; rows with a null id train;
 repeated rows train and are scored one by one; without training texts every token has
@@ -53,7 +54,7 @@ MIN_SHARE = 0.0
 MIN_COUNT = 8
 DIVERGENCE = 0.02
 DISCOUNT = 0.5
-HOT_ROWS = 3_000_000
+HOT_SHARE = 5e-6
 #: Size of a bitmap of names; a name has two bits in it.
 BITMAP_BITS = 27
 SECOND = 34
@@ -61,9 +62,15 @@ SECOND = 34
 PILE = 1_000_000
 #: Bytes of text for one bucket of n-grams, and the most buckets there may be.
 BUCKET_BYTES = 4 << 20
+#: The same for the n-grams that meet the weights: fewer buckets, so that a text's sums are in fewer of them.
+MEETING_BYTES = 16 << 20
+#: A text has sums in up to so many buckets (as a power of two) at every size; with more buckets at most one per n-gram.
+MEETING_BITS = 6
+MEETING_PILE = 200_000
 MAX_BUCKET_BITS = 18
 #: Bytes of text whose words a task holds at a time.
 RUN = 1 << 20
+SUMS = ["known", "logs", "gain"]
 END = mix(np.array([0xE0F], U64), 77)[0]
 
 
@@ -189,6 +196,11 @@ class Tree:
         self.weights: DataFrame | None = None
 
 
+def _bucket_bits(texts: DataFrame, bytes_: int, least: int) -> int:
+    volume = texts.agg(F.coalesce(F.sum(F.octet_length("text").cast("long")), F.lit(0))).first()[0]
+    return min(MAX_BUCKET_BITS, max(least, (volume // bytes_).bit_length()))
+
+
 def learn(train: DataFrame, depth: int = DEPTH, min_share: float = MIN_SHARE, min_count: int = MIN_COUNT,
           divergence: float = DIVERGENCE) -> Tree:
     """The tree of the texts in the column ``text`` of ``train``."""
@@ -197,8 +209,7 @@ def learn(train: DataFrame, depth: int = DEPTH, min_share: float = MIN_SHARE, mi
     size = words.agg(F.coalesce(F.sum("count"), F.lit(0)).alias("total"), F.count("*").alias("words")).first()
     tree = Tree(size["total"], size["words"], depth)
     least = max(min_count, math.ceil(min_share * tree.total))
-    volume = train.agg(F.coalesce(F.sum(F.octet_length("text").cast("long")), F.lit(0))).first()[0]
-    bits = min(MAX_BUCKET_BITS, max(4, (volume // BUCKET_BYTES).bit_length()))
+    bits = _bucket_bits(train, BUCKET_BYTES, 4)
     levels = {1: words.filter(F.col("count") >= least)}
     for n in range(2, depth + 2):
         frequent = train.sparkSession.sparkContext.broadcast(_bitmap(levels[n - 1]))
@@ -326,43 +337,92 @@ def _summaries(batches: Iterator[pa.RecordBatch], shared, depth: int) -> Iterato
             row += len(run)
 
 
-def _cold(batches: Iterator[pa.RecordBatch], shared, depth: int) -> Iterator[pa.RecordBatch]:
-    """(gram, key, places) of each text's n-grams that are not hot and may have a weight."""
-    hot = shared.value
+def _planes(values: np.ndarray) -> bytes:
+    """The values byte by byte, first bytes first, so that bytes that hardly change lie side by side."""
+    return values.view(np.uint8).reshape(len(values), values.itemsize).T.tobytes()
+
+
+def _unplaned(data: bytes, kind: type, rows: int, start: int) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.frombuffer(data, np.uint8, rows * size, start).reshape(size, rows).T.copy().view(kind).ravel()
+
+
+def _meeting(names: np.ndarray, texts: np.ndarray, keys: np.ndarray, bits: int) -> pa.RecordBatch:
+    """One row per bucket: its different pairs of n-gram and text as arrays of names, numbers of keys and places, and the keys."""
+    order = np.argsort(names)
+    names, texts = names[order], texts[order]
+    new = np.diff(names, prepend=~names[:1]) != 0
+    pairs = np.sort((np.cumsum(new) - 1) * len(keys) + texts)
+    first = np.flatnonzero(np.diff(pairs, prepend=-1))
+    places = np.diff(first, append=len(pairs)).astype(np.uint32)
+    names, texts = names[new][pairs[first] // len(keys)], pairs[first] % len(keys)
+    bucket = (names >> U64(64 - bits)).astype(np.int64)
+    starts = np.flatnonzero(np.diff(bucket, prepend=-1))
+    ends, data = np.append(starts[1:], len(names)), []
+    for s, e in zip(starts, ends, strict=True):
+        own = np.zeros(len(keys), bool)
+        own[texts[s:e]] = True
+        number = (np.cumsum(own, dtype=np.uint32) - np.uint32(1))[texts[s:e]]
+        data.append(_planes(names[s:e]) + _planes(number) + _planes(places[s:e]) + keys[own].tobytes())
+    return pa.RecordBatch.from_arrays(
+        [pa.array(bucket[starts].astype(np.int32)), pa.array((ends - starts).astype(np.int32)), pa.array(data, pa.binary())],
+        names=["bucket", "rows", "data"],
+    )
+
+
+def _cold(batches: Iterator[pa.RecordBatch], shared, depth: int, bits: int) -> Iterator[pa.RecordBatch]:
+    """Packed n-grams, with their texts, that are not hot and may have a weight."""
+    hot, piled, keys, size, count = shared.value, [], [], 0, 0
+
+    def pack() -> pa.RecordBatch:
+        names, texts = (np.concatenate(c) for c in zip(*piled, strict=True))
+        return _meeting(names, texts, np.concatenate(keys), bits)
+
     for batch in batches:
         row, key = 0, batch.column(1).to_numpy()
         for run in runs(batch.column(0), size=RUN):
             tokens, starts = _tokens(run)
-            place, texts = _inside(tokens, starts), np.repeat(np.arange(len(run)), np.diff(starts))
+            place, texts = _inside(tokens, starts), np.repeat(np.arange(count, count + len(run)), np.diff(starts))
+            keys.append(key[row : row + len(run)])
             for n, names in all_grams(tokens, depth):
                 if not len(names):
                     break
                 at = hot.find(n, names, place)[2]
-                h, text = names[at], texts[at]
-                order = np.lexsort((text, h))
-                h, text = h[order], text[order]
-                new = np.ones(len(h), bool)
-                new[1:] = (h[1:] != h[:-1]) | (text[1:] != text[:-1])
-                first = np.flatnonzero(new)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(h[first].view(np.int64)), pa.array(key[row + text[first]]),
-                     pa.array(np.diff(first, append=len(h)).astype(np.int32))],
-                    names=["gram", "key", "places"],
-                )
-            row += len(run)
+                piled.append((names[at], texts[at]))
+                size += len(at)
+            row, count = row + len(run), count + len(run)
+            if size >= MEETING_PILE:
+                yield pack()
+                piled, keys, size, count = [], [], 0, 0
+    if size:
+        yield pack()
 
 
-def _hot(tree: Tree) -> Hot:
-    """The commonest n-grams and their weights, at most ``HOT_ROWS``, and the bitmap of all."""
-    counted = tree.weights.filter("count IS NOT NULL").withColumn("bin", F.floor(8 * F.log2("count")))
-    bins = sorted(((r["bin"], r["n"]) for r in counted.groupBy("bin").agg(F.count("*").alias("n")).collect()), reverse=True)
-    least, rows = None, 0  # a few hundred bins
-    for bin_, n in bins:
-        rows += n
-        if rows > HOT_ROWS:
+def _added(weights: pa.Table, packs: pa.Table) -> pa.Table:
+    """(key, known, logs, gain) of the texts in a bucket's packs: what the bucket's weights add."""
+    names = weights["gram"].to_numpy().view(U64)
+    order = np.argsort(names)
+    names, values = names[order], [weights[c].to_numpy()[order] for c in SUMS]
+    found = [[np.zeros(0, np.int64)], *([np.zeros(0, v.dtype)] for v in values)]
+    for rows, data in zip(packs["rows"], packs["data"], strict=True):
+        if not len(names):
             break
-        least = bin_
-    hot = counted.filter(F.lit(False) if least is None else F.col("bin") >= least)
+        rows, data = rows.as_py(), data.as_py()
+        grams = _unplaned(data, U64, rows, 0)
+        place = np.minimum(np.searchsorted(names, grams), len(names) - 1)
+        hit = np.flatnonzero(names[place] == grams)
+        text, places = (_unplaned(data, np.uint32, rows, start * rows)[hit] for start in (8, 12))
+        keys = np.frombuffer(data, np.int64, offset=16 * rows)
+        some = np.flatnonzero(np.bincount(text, minlength=len(keys)))
+        found[0].append(keys[some])
+        for c, v in zip(found[1:], values, strict=True):
+            c.append(np.bincount(text, places * v[place[hit]], len(keys))[some].astype(v.dtype))
+    return pa.table(dict(zip(["key", *SUMS], map(np.concatenate, found), strict=True)))
+
+
+def _hot(tree: Tree) -> Hot:
+    """The n-grams that each make up ``HOT_SHARE`` of all training tokens, with their weights, and the bitmap of all."""
+    hot = tree.weights.filter(F.col("count") >= HOT_SHARE * tree.total)
     words = Lookup(hot.filter("known > 0").select("gram", "logs", "gain").toArrow())
     others = Lookup(hot.filter("known = 0").select("gram", "gain").toArrow())
     return Hot(words, others, _bitmap(tree.weights))
@@ -387,12 +447,13 @@ def score(
         f"id {kind}, key long, held_out boolean, n_tokens long, known long, logs double, gain double",
     )
     scratch = Scratch(docs.sparkSession, "suffix-scores")
-    cold = rows.select("text", "key").mapInArrow(lambda b: _cold(b, shared, depth), "gram long, key long, places int")
-    weights = tree.weights.select("gram", F.col("known").alias("w"), F.col("logs").alias("l"), F.col("gain").alias("g"))
-    sums = scratch.put(cold.join(weights, "gram").groupBy("key").agg(
-        F.sum(F.col("places") * F.col("w")).alias("more_known"), F.sum(F.col("places") * F.col("l")).alias("more_logs"),
-        F.sum(F.col("places") * F.col("g")).alias("more_gain"),
-    ), "sums")
+    bits = _bucket_bits(rows, MEETING_BYTES, MEETING_BITS)
+    weights = tree.weights.withColumn("bucket", F.shiftrightunsigned("gram", 64 - bits).cast("int"))
+    packs = rows.select("text", "key").mapInArrow(lambda b: _cold(b, shared, depth, bits), "bucket int, rows int, data binary")
+    added = weights.select("bucket", "gram", F.col("known").cast("long"), "logs", "gain").groupBy("bucket").cogroup(
+        packs.groupBy("bucket")
+    ).applyInArrow(_added, "key long, known long, logs double, gain double")
+    sums = scratch.put(added.groupBy("key").agg(*(F.sum(c).alias(f"more_{c}") for c in SUMS)), "sums")
     # equal rows share a key: their sums are theirs together
     copies = rows.groupBy("key").agg(F.count("*").alias("m"))
     joined = whole.join(sums.join(copies, "key"), "key", "left")

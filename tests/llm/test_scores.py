@@ -119,3 +119,29 @@ def test_counts_do_not_grow_with_the_corpus(spark):
     plain = Plain([t for i, t in rows if not is_held(i)], pst.DEPTH, lambda n: pst.MIN_COUNT, pst.DIVERGENCE)
     assert pst.MIN_COUNT < 10 < 2e-5 * plain.total and ("stone",) in plain.states
     assert row["score"] == pytest.approx(plain.scores("stone over river goes")[3])
+
+
+def test_hot_words_are_a_share_of_the_corpus(spark):
+    """Five times the corpus sends five times the words through the exchange, not words that the table was too small for."""
+    outside = []
+    for copies in (1, 5):
+        texts = [(" ".join([f"n{k}x{i}" for i in range(4000)] + ["stone"] * 1000),) for k in range(80)] * copies
+        tree = pst.learn(spark.createDataFrame(texts, "text string"))
+        names = pst._hot(tree).words.names
+        hot = spark.createDataFrame([(int(x),) for x in names.view("int64")], "gram long")
+        outside.append(tree.weights.filter("known > 0").join(hot, "gram", "left_anti").agg({"count": "sum"}).first()[0])
+    assert outside == [80 * 4000, 5 * 80 * 4000]
+    assert 0 < len(names) <= 1 / pst.HOT_SHARE
+
+
+@pytest.mark.parametrize("share", [0.002, 0.05, 2.0])
+def test_cold_grams(spark, monkeypatch, share):
+    """Scores do not depend on which n-grams are hot; texts repeat, and some share an id."""
+    monkeypatch.setattr(pst, "HOT_SHARE", share)
+    rng = random.Random(7)
+    rows = [(k % 90, " ".join(rng.choice(["a", "b c", "d e f", f"r{rng.randint(0, 200)}"]) for _ in range(rng.randint(0, 50)))) for k in range(120)]
+    rows += [*rows[:10], (None, "d e f d e f")]
+    got = pst.score(odd_docs(spark, rows)).collect()
+    plain = Plain([t for i, t in rows if not is_held(i)], pst.DEPTH, lambda n: pst.MIN_COUNT, pst.DIVERGENCE)
+    assert any(len(s) == pst.DEPTH for s in plain.states)
+    check(rows, got, plain)
