@@ -101,3 +101,51 @@ def test_aggregate_for_each_item_joins_on_its_key(spark):
     assert sorted(tuples(found)) == expected
     derived = "(SELECT * FROM facts) d"  # a star that would show the constant: as before
     assert sorted(tuples(execute_sql_each(spark, sql.format(derived), items, ["g", "least"], {"facts": rows}))) == expected
+
+
+@pytest.mark.parametrize("cells", [4, 200_000])
+@pytest.mark.parametrize("operator, key, flipped", [(">", "grp", False), ("<=", "grp", True), (">=", "'' || grp", False), ("<", None, False)])
+def test_aggregates_for_each_item_make_no_pairs(spark, monkeypatch, cells, operator, key, flipped):
+    """Repeated and missing keys and values, infinities and NaN: as one query per item finds them, without a join of pairs."""
+    from nearspark.operators import summaries
+
+    monkeypatch.setattr(summaries, "CELL_VALUES", cells)
+    number = [None, 0.0, -0.0, 1.5, 2.0, 2.0, 7.25, float("inf"), float("-inf"), float("nan"), 40.0, -3.0]
+    rows = [(k % 3 if k % 7 else None, number[k % 12], f"t{k % 20:02}" if k % 5 else None, k * 0.5) for k in range(90)]
+    facts = spark.createDataFrame(rows, "grp int, v double, name string, size double")
+    given = [(k % 19, (None, 0, 1, 2, 9)[k % 5], number[k // 5 % 12]) for k in range(60)] + [(3, 1, 2.0)] * 2
+    text = "''" in (key or "")
+    items = spark.createDataFrame(given, f"item_ordinal long, g {'string' if text else 'long'}, least double") if not text else (
+        spark.createDataFrame([(o, g if g is None else str(g), x) for o, g, x in given], "item_ordinal long, g string, least double"))
+    order = lambda x: (x != x, 0.0 if x != x else x)  # noqa: E731, NaN is the greatest
+    holds = {">": lambda a, b: a > b, ">=": lambda a, b: a >= b, "<": lambda a, b: a < b, "<=": lambda a, b: a <= b}[operator]
+    expected = []
+    for o, g, x in given:
+        seen = [(n, s) for k, v, n, s in rows if None not in (x, v) and holds(order(v), order(x)) and s != 7
+                and (key is None or None not in (g, k) and k == g)]
+        names = [n for n, _ in seen if n is not None]
+        expected.append((o, len(seen), len(names), sum(s for _, s in seen) + 1 if seen else None, min(names, default=None), max(names, default=None)))
+    mirrored = {">": "<", "<": ">", ">=": "<=", "<=": ">="}
+    bound = f"$2 {mirrored[operator]} v" if flipped else f"v {operator} $2"
+    sql = f"""SELECT count(*), count(name) AS named, sum(size) + 1 AS "{{size}}", min(name), MAX (name) -- $9
+        FROM facts AS f WHERE {bound} AND size <> 7 {f"AND {key} = $1" if key else ""};"""
+    found = execute_sql_each(spark, sql, items, ["g", "least"], {"facts": facts})
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" in plan and "size" in found.columns[3]
+    none = lambda rows: sorted([tuple((c is not None, c) for c in r) for r in rows])
+    assert none(tuples(found)) == none(expected)
+
+
+def test_other_statements_for_each_item_stay_joins(spark):
+    facts = spark.createDataFrame([(k, k % 4, k % 3) for k in range(12)], "id long, grp long, other int")
+    items = spark.createDataFrame([(5, 1, 3)], "item_ordinal long, g long, least long")
+    for sql, expected in (
+        ("SELECT count(*) AS n FROM facts WHERE grp = $1 OR id > $2", (5, 9)),
+        ("SELECT count(*) AS n FROM facts WHERE NOT grp = $1", (5, 9)),
+        ("SELECT count(*) AS n FROM facts WHERE id BETWEEN $1 AND $2", (5, 3)),
+        ("SELECT count(*) AS n FROM facts WHERE id > $1 AND id < $2 + 4", (5, 5)),
+        ("SELECT count(DISTINCT other) AS n FROM facts WHERE grp = $1", (5, 3)),
+        ("SELECT sum(id) AS n FROM facts WHERE grp = $1", (5, 15)),
+        ("SELECT count(*) AS n FROM facts WHERE grp = $1 HAVING count(*) > 0", (5, 3)),
+    ):
+        assert tuples(execute_sql_each(spark, sql, items, ["g", "least"], {"facts": facts})) == [expected], sql
