@@ -10,7 +10,7 @@ from ..operators.select import (
     count_rows, limit_rows, project_columns, select_per_item, select_rows, sort_rows,
 )
 from ..sources.staging import new_path
-from ..sources.tables import read_items, read_markdown
+from ..sources.tables import read_items, read_markdown, write_markdown
 from .registry import Tables, query
 
 #: Files of a folder of Markdown files.
@@ -53,14 +53,14 @@ def _(t: Tables) -> DataFrame:
     SELECT doc_id, text || chr(10) AS text, length(text) + 1 AS n FROM documents""")
 def _(t: Tables) -> DataFrame:
     # one file per document; the id stands in the first line. Each folder is written by one task, so the tasks grow
-    # with the documents, and a commit moves folders, not files
+    # with the documents
     path = new_path(t.spark, "markdown")
     folders = max(1, -(-t.documents.count() // FOLDER_FILES))
     lines = t.documents.select(
         F.concat_ws("\n", F.col("doc_id").cast("string"), "text").alias("value"),
         F.pmod(F.xxhash64("doc_id", "text"), F.lit(folders)).alias("folder"),
     )
-    lines.repartition(folders, "folder").write.option("maxRecordsPerFile", 1).partitionBy("folder").text(path)
+    write_markdown(lines.select("folder", "value"), path, folders)
     files = read_markdown(t.spark, path)
     doc_id = F.substring_index("text", "\n", 1)
     text = files.select(doc_id.cast("long").alias("doc_id"), F.expr("substr(text, length(substring_index(text, '\n', 1)) + 2)").alias("text"))

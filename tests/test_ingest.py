@@ -177,3 +177,48 @@ def test_markdown_files_lie_in_folders(spark, tmp_path, monkeypatch):
     assert sorted((r.doc_id, r.text, r.n) for r in found.collect()) == sorted((n, f"{t}\n", len(t) + 1) for n, t in rows)
     folders = list((tmp_path / "markdown").glob("folder=*"))
     assert len(folders) > 8 and sum(len(list(f.glob("part-*.txt"))) for f in folders) == len(rows)
+
+
+def test_markdown_is_read_as_spark_reads_it(spark, tmp_path, monkeypatch):
+    """Names, hidden, empty and compressed files, bytes that are no text; folders are listed in the tasks."""
+    import gzip
+
+    import nearspark.sources.tables as module
+
+    for name, content in {
+        "a b%20ü#.md": b"# A\r\n\n", "sub/deep/er/x.md": b"x\xff\xfe", "sub/_hidden.md": b"no", "_gone/x.md": b"no", "k=1/.x.md": b"no",
+        "_k=2/y.md": b"yes", "empty.md": b"", "z.md.gz": gzip.compress(b"packed"), "sub/z.md._COPYING_": b"no", "k=1/z.md": b"\n" * 3,
+        **{f"many/{n}.md": b"%d" % n for n in range(50)},
+    }.items():
+        (tmp_path / "md" / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / "md" / name).write_bytes(content)
+    rows = lambda df: sorted((r.path, bytes(r.text)) for r in df.select("path", F.col("text").cast("binary").alias("text")).collect())
+    path = str(tmp_path / "md")
+    with monkeypatch.context() as patched:
+        patched.setattr(module, "local_path", lambda spark, path: None)
+        expected = rows(read_markdown(spark, path))
+    assert len(expected) == 55
+    for batch, listed in ((1000, 1000), (3, 2)):
+        monkeypatch.setattr(module, "BATCH_FILES", batch)
+        monkeypatch.setattr(module, "LISTED_FILES", listed)
+        found = read_markdown(spark, path)
+        assert "MapInArrow" in found._jdf.queryExecution().optimizedPlan().toString()
+        assert rows(found) == expected == rows(read_markdown(spark, f"file://{path}"))
+    assert rows(read_markdown(spark, f"{path}/k=*")) == [r for r in expected if "/k=1/" in r[0]]
+    assert rows(read_markdown(spark, f"{path}/sub/deep/er/x.md")) == [r for r in expected if "/deep/" in r[0]]
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        read_markdown(spark, f"{path}/none")
+
+
+def test_markdown_is_written_without_checksum_files(spark, tmp_path):
+    from nearspark.sources.tables import write_markdown
+
+    rows = spark.range(40).select((F.col("id") % 7).alias("folder"), F.concat(F.lit("é\n"), "id").alias("value"))
+    write_markdown(rows, str(tmp_path / "md"), 4)
+    files = [f for f in (tmp_path / "md").rglob("*") if f.is_file()]
+    assert sorted(f.read_text() for f in files) == sorted(f"é\n{n}\n" for n in range(40))
+    assert {f.parent.name for f in files} == {f"folder={n}" for n in range(7)} == {f.name for f in (tmp_path / "md").iterdir()}
+    with pytest.raises(FileExistsError):
+        write_markdown(rows, str(tmp_path / "md"), 4)
+    write_markdown(rows.limit(0), str(tmp_path / "none"), 1)
+    assert read_markdown(spark, str(tmp_path / "none")).collect() == []
