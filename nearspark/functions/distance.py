@@ -95,7 +95,8 @@ def paired(metric: str, a: np.ndarray, b: np.ndarray) -> np.ndarray:
 def manhattan(queries: np.ndarray, rows: np.ndarray) -> np.ndarray:
     """Queries x rows distances in the precision of the vectors, in blocks that stay in the cache."""
     result = np.zeros((len(queries), len(rows)), rows.dtype)
-    across, many = np.ascontiguousarray(rows.T), 8
+    # few rows meet more queries at once, as a call takes as long as thousands of numbers
+    across, many = np.ascontiguousarray(rows.T), max(8, 131_072 // (max(1, len(rows)) * rows.dtype.itemsize))
     wide = max(1, 131_072 // (many * rows.dtype.itemsize))
     for top in range(0, len(queries), many):
         for left in range(0, len(rows), wide):
@@ -109,6 +110,53 @@ def manhattan(queries: np.ndarray, rows: np.ndarray) -> np.ndarray:
     return result
 
 
+class Steps:
+    """Vectors in whole steps of a grid, which bound Manhattan distances from below.
+
+    The grid lies around the vectors it is made for; others may lie beside it. A distance is at least that of the
+    steps less what either vector is away from its own.
+    """
+
+    #: Greatest step; four of them fit into a byte.
+    LAST = 63
+
+    def __init__(self, vectors: np.ndarray):
+        some = vectors[:: max(1, len(vectors) // 1000)]
+        self.middle = np.median(some, axis=0)
+        size = 2.0 * float(np.quantile(np.abs(some - self.middle), 0.999)) / self.LAST if some.size else 0.0
+        self.size = size if size > 0 else 1.0
+
+    def cut(self, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The steps of each vector, and how many it is away from them in all."""
+        at = (vectors - self.middle) / self.size + self.LAST / 2
+        whole = np.clip(np.rint(at), 0, self.LAST)
+        return whole.astype(np.int8), np.abs(at - whole).sum(axis=1)
+
+    def within(self, queries: np.ndarray, across: np.ndarray, away: np.ndarray, limit: np.ndarray) -> np.ndarray:
+        """Queries x rows: whether steps less what the row is ``away`` are within the query's ``limit``, rounded in its
+        favour. ``across`` has the rows' steps by dimension."""
+        dims, count = across.shape
+        dtype = np.int16 if dims * self.LAST < 16_000 else np.int32
+        most = np.iinfo(dtype).max - dims * self.LAST - 1
+        least = -np.ceil(np.minimum(away, most)).astype(dtype)
+        limit = np.clip(np.floor(limit), np.iinfo(dtype).min, np.iinfo(dtype).max).astype(dtype)[:, None]
+        near = np.empty((len(queries), count), bool)
+        many = max(1, 131_072 // max(count, 1))
+        for top in range(0, len(queries), many):
+            asked = queries[top : top + many]
+            total = np.repeat(least[None, :], len(asked), axis=0)
+            part, gap = np.empty(total.shape, np.int8), np.empty(total.shape, np.int8)
+            for start in range(0, dims, 4):
+                np.abs(np.subtract(asked[:, start, None], across[start], out=part), out=part)
+                for d in range(start + 1, min(start + 4, dims)):
+                    np.abs(np.subtract(asked[:, d, None], across[d], out=gap), out=gap)
+                    np.add(part.view(np.uint8), gap.view(np.uint8), out=part.view(np.uint8))
+                np.add(total, part.view(np.uint8), out=total)
+            np.less_equal(total, limit[top : top + many], out=near[top : top + many])
+        near[:, away > most] = True
+        return near
+
+
 def all_pairs(metric: str, queries: np.ndarray, rows: np.ndarray) -> np.ndarray:
     """Queries x rows distances by matrix product: fast, exact to rounding noise."""
     if metric == "manhattan":

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.distance import DEFAULT_METRIC, all_pairs, check_metric, manhattan, matrix, paired
+from ..functions.distance import DEFAULT_METRIC, Steps, all_pairs, check_metric, manhattan, matrix, paired
 from ..sources.staging import stage
 from .sizing import MAX_BROADCAST_BYTES, MAX_BROADCAST_ROWS, bound_slice, small_row_count
 
@@ -32,8 +32,14 @@ BLOCK_BYTES = 128 << 20
 FIRST_ROWS = 2_000
 MAX_ROWS = 32_000
 MAX_NEW = 4_000_000
+#: Share of the pairs that steps may leave, above which they are given up, and pairs of which the distance is taken at once.
+LEFT_SHARE = 0.1
+LEFT_PAIRS = 50_000
 #: Most queries of a tile.
 ASKED_ROWS = 25_000
+#: Fewest queries of a tile that is cut smaller so that all cores have some, and tiles for a core.
+LEAST_ASKED = 500
+CORE_TILES = 4
 #: Pivots grow with the square root of the corpus up to this number.
 MAX_PIVOTS = 2048
 LOG = logging.getLogger(__name__)
@@ -57,7 +63,7 @@ class Best:
         self.distance = np.empty(0)
         self.bound = np.full(len(ids), np.inf) if bounds is None else bounds.copy()
         self.norm = np.sqrt(np.square(vectors).sum(axis=1)) if len(ids) else np.empty(0)
-        self._single, self._new = None, []
+        self._single, self._steps, self._new = None, None, []
 
     def _margin(self, numbers, longest, bound):
         """How far the fast distances may be off, per query."""
@@ -138,13 +144,22 @@ class Best:
             rows = rows / np.where(square == 0, 1.0, np.sqrt(square))[:, None]
         elif self.metric == "l2":
             rows = np.column_stack([rows, square])
+        elif self.metric == "manhattan":
+            by_steps = self._within_steps(rows)
         rows = rows.astype(np.float32)
 
         def within(numbers: np.ndarray, limit: np.ndarray) -> np.ndarray:
             norm = self.norm[numbers]
             if self.metric == "manhattan":
                 room = noise * np.sqrt(rows.shape[1]) * (norm + longest)
-                return manhattan(points[numbers], rows) <= (limit + room).astype(np.float32)[:, None]
+                near, limit = by_steps(numbers, limit + room), (limit + room).astype(np.float32)
+                if near is None:
+                    return manhattan(points[numbers], rows) <= limit[:, None]
+                query, row = np.divmod(np.flatnonzero(near), near.shape[1])
+                for at in range(0, len(query), LEFT_PAIRS):
+                    asked, own = query[at : at + LEFT_PAIRS], row[at : at + LEFT_PAIRS]
+                    near[asked, own] = paired("manhattan", points[numbers[asked]], rows[own]) <= limit[asked]
+                return near
             if self.metric == "l2":
                 limit = np.square(np.maximum(limit, 0.0)) - np.square(norm) + noise * np.square(norm + longest)
             elif self.metric == "cosine":
@@ -155,9 +170,32 @@ class Best:
 
         return within
 
+    def _within_steps(self, rows):
+        """``(query numbers, limits) -> bool matrix`` of the rows that may lie within the limits by their steps, which takes
+        a third of the time; None once that leaves too many."""
+        if self._steps is None:
+            steps = Steps(self.vectors)
+            self._steps = steps, *steps.cut(self.vectors)
+        if not self._steps:
+            return lambda numbers, limit: None
+        steps, asked, asked_away = self._steps
+        own, away = steps.cut(rows)
+        across = np.ascontiguousarray(own.T)
+
+        def within(numbers: np.ndarray, limit: np.ndarray) -> np.ndarray | None:
+            if not self._steps:
+                return None
+            near = steps.within(asked[numbers], across, away, limit / steps.size + asked_away[numbers] + 1e-6)
+            if np.count_nonzero(near) > LEFT_SHARE * near.size:
+                self._steps = ()
+                return None
+            return near
+
+        return within
+
     def _take(self, near, numbers, row_ids, rows) -> None:
         """Exact distances of the marked pairs, kept for the next merge if they can count."""
-        query, row = np.nonzero(near)
+        query, row = np.divmod(np.flatnonzero(near), near.shape[1])
         for at in range(0, len(query), BLOCK_ROWS):
             asked, own = numbers[query[at : at + BLOCK_ROWS]], row[at : at + BLOCK_ROWS]
             distance = paired(self.metric, self.vectors[asked], rows[own])
@@ -228,22 +266,23 @@ def top_k(candidates: DataFrame, k: int) -> DataFrame:
 
 def bucket_candidates(
     corpus: DataFrame, queries: DataFrame, k: int, metric: str, decimals: int | None,
-    block_rows: int | None = None,
+    block_rows: int | None = None, asked_parts: int = 1,
 ) -> DataFrame:
     """Best ``k`` per query and tile among the rows that share a bucket with it.
 
     Both sides have ``id``, ``embedding`` and ``bucket``; a row may stand in several. Buckets
     are cut by a hash of the id into tiles of at most about ``BLOCK_ROWS`` rows and
     ``BLOCK_BYTES`` bytes a side, by their measured sizes, so neither a hot bucket nor many
-    queries meet in one task. A pair found in several buckets is given once. A ``bound`` of the queries, where
+    queries meet in one task. The queries of a bucket are cut into ``asked_parts`` at least, where they are many. A pair found in several buckets is given once. A ``bound`` of the queries, where
     there is one, is a distance beyond which no row can count.
     """
-    def sized(rows: DataFrame, name: str, most: int) -> DataFrame:
+    def sized(rows: DataFrame, name: str, most: int, parts: int = 1) -> DataFrame:
         count, bytes_ = F.count(F.lit(1)), 8 * F.coalesce(F.sum(F.size("embedding").cast("long")), F.lit(0))
-        tiles = F.greatest(F.ceil(count / (block_rows or most)), F.ceil(bytes_ / BLOCK_BYTES), F.lit(1).cast("long"))
+        tiles = F.greatest(F.ceil(count / (block_rows or most)), F.ceil(bytes_ / BLOCK_BYTES), F.lit(1).cast("long"),
+                           F.least(F.lit(parts).cast("long"), F.ceil(count / LEAST_ASKED)))
         return rows.groupBy("bucket").agg(tiles.alias(name))
 
-    tiles = sized(corpus, "rows", BLOCK_ROWS).join(sized(queries, "asked", ASKED_ROWS), "bucket")
+    tiles = sized(corpus, "rows", BLOCK_ROWS).join(sized(queries, "asked", ASKED_ROWS, asked_parts), "bucket")
 
     def dealt(side: DataFrame, own: str, other: str) -> DataFrame:
         part = F.pmod(F.xxhash64("id"), F.col(own)).alias(f"{own}_part")
@@ -451,7 +490,9 @@ def pivot_candidates(
             done += float((sizes[pairs["bucket"].to_numpy()] * pairs["count"].to_numpy()).sum())
         LOG.info("compares %.0f of %.0f pairs", done, useful * mine.count())
     groups = cells.select("id", "embedding", grouped(F.col("bucket")).alias("bucket"))
-    more = bucket_candidates(groups, further, k, metric, decimals, block_rows)
+    wanted = CORE_TILES * cells.sparkSession.sparkContext.defaultParallelism
+    parts = -(-wanted // max(1, len(np.unique(group))))
+    more = bucket_candidates(groups, further, k, metric, decimals, block_rows, parts)
     # a group may hold cells that were seen before
     return found.drop("rank").unionByName(more).dropDuplicates(["query_id", "id"]).unionByName(aside)
 

@@ -387,3 +387,70 @@ def test_nearest_buckets_without_all_gaps(monkeypatch):
             assert len(set(found)) == width and set(found) <= set(filled)
             np.testing.assert_allclose(np.sort(gap[found]), np.sort(gap[filled])[:width])
     assert len(calls) < 20
+
+
+@pytest.mark.parametrize("kind", ["plain", "far", "grouped", "same", "long"])
+def test_steps_leave_out_most_pairs(monkeypatch, kind):
+    """Manhattan: the best rows are those of all distances, of which few are taken; steps that leave too many are given up."""
+    from nearspark.operators import knn
+
+    rng = np.random.default_rng(3)
+    dims = 300 if kind == "long" else 30
+    rows, asked = rng.normal(size=(6000, dims)), rng.normal(size=(40, dims))
+    if kind == "far":  # beside the grid, by far more than its steps can say
+        rows[::7] *= 1e6
+        rows[5::70] = asked[3] + 1e7
+        asked[3] += 1e7
+    elif kind == "grouped":
+        rows = rng.normal(size=(60, dims))[np.arange(6000) % 60] + rng.normal(size=(6000, dims)) * 1e-3
+        asked = rows[:40] + 1e-4
+    elif kind == "same":
+        asked[:] = asked[0]
+    rows[1000:1100] = rows[:100]
+    taken = []
+    monkeypatch.setattr(knn, "FIRST_ROWS", 1000)
+    kernel = knn.manhattan
+    monkeypatch.setattr(knn, "manhattan", lambda a, b: (taken.append(len(a) * len(b)), kernel(a, b))[1])
+    exact = np.round(np.abs(asked[:, None, :] - rows[None]).sum(axis=2), 6)
+    best = knn.Best(np.arange(40), asked, 10, "manhattan", 6)
+    best.add(np.arange(6000), rows)
+    if kind == "plain":
+        assert sum(taken) < 0.1 * exact.size
+    expected = [sorted(zip(exact[n], range(6000)))[:10] for n in range(40)]
+    found = best.batch().to_pydict()
+    got = {n: [] for n in range(40)}
+    for n, row, distance in zip(found["query_id"], found["id"], found["distance"]):
+        got[n].append((distance, row))
+    for n in range(40):
+        assert [r for _, r in got[n]] == [r for _, r in expected[n]]
+        np.testing.assert_allclose([d for d, _ in got[n]], [d for d, _ in expected[n]], rtol=1e-9)
+
+
+def test_few_groups_are_cut_for_all_cores(spark, monkeypatch):
+    """One group of cells: its queries are dealt to as many tiles as the cores need."""
+    from nearspark.operators import knn
+
+    points = [(n, [float(n % 37), float(n % 11), n / 500]) for n in range(500)]
+    frame = spark.createDataFrame(points, "id long, embedding array<double>")
+    monkeypatch.setattr(knn, "LEAST_ASKED", 10)
+    parts, dealt = [], knn.bucket_candidates
+    monkeypatch.setattr(knn, "bucket_candidates", lambda *a: (parts.append(a[6:]), dealt(*a))[1])
+    found = tuples(knn.knn_join(frame, frame, 3, "manhattan", decimals=6, max_query_rows=0))
+    monkeypatch.undo()
+    assert parts[0] == () and parts[1][0] > 1
+    assert sorted(found) == sorted(tuples(knn.knn_join(frame, frame, 3, "manhattan", decimals=6)))
+
+
+def test_steps_bound_distances_from_below():
+    from nearspark.functions.distance import Steps
+
+    rng = np.random.default_rng(5)
+    for dims in (1, 3, 64, 300):
+        points, rows = rng.standard_t(2, size=(20, dims)), rng.standard_t(1, size=(500, dims)) * 50
+        steps = Steps(points)
+        (own, own_away), (others, away) = steps.cut(points), steps.cut(rows)
+        exact = np.abs(points[:, None, :] - rows[None]).sum(axis=2)
+        for share in (0.01, 0.3, 1.0):
+            limit = np.quantile(exact, share, axis=1)
+            near = steps.within(own, np.ascontiguousarray(others.T), away, limit / steps.size + own_away + 1e-6)
+            assert near[exact <= limit[:, None]].all()
